@@ -22,6 +22,9 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
+#: Bytes that are in no letter: ASCII other than A-Z and a-z.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[0x41:0x5B] = NO_LETTER[0x61:0x7B] = NO_LETTER[0x80:] = False
 
 
 @dataclass
@@ -56,12 +59,15 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = end
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each text the number of the first of its words (n + 1 entries)."""
+def words(data: np.ndarray, offs: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each text the number of the first of its words (n + 1 entries).
+
+    gap: the bytes that part words, as a table of 256 booleans.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    word = ~SPACE[data]
+    word = ~gap[data]
     edge = np.zeros(n + 1, bool)
     edge[offs] = True
     before = np.empty(n, bool)
