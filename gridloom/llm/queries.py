@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import exact_dedup, language, mixing, secrets, toxicity
+from gridloom.llm import decontaminate, exact_dedup, language, lines, mixing, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,10 +33,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_toxicity, op4_mixing, op5_exact_dedup, op6_language_id, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op3_toxicity, op4_mixing, op5_exact_dedup, op6_language_id, op9_line_dedup, op10_secret_scan)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE, "op10_secret_scan": secrets.oracle()}
