@@ -27,11 +27,12 @@ SLICE_BITS = 20
 _PLACE = U64((1 << 28) - 1)
 
 
-def segments(grams: np.ndarray, first: np.ndarray, per_window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def segments(grams: np.ndarray, first: np.ndarray, per_window: int, width: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of windows with one minimiser: text, first window, windows, and the minimiser's place.
 
     grams: hashes of all grams of all texts, text i having first[i]:first[i + 1]; a window is ``per_window`` grams
-    in a row and is known by the place of its first gram.
+    in a row and is known by the place of its first gram. width: places that a window needs, where ``first``
+    counts more places than a text has grams.
     """
     none = np.zeros(0, np.int64)
     n = len(grams) - per_window + 1
@@ -45,7 +46,7 @@ def segments(grams: np.ndarray, first: np.ndarray, per_window: int) -> tuple[np.
         low = np.minimum(low[: len(low) - span], low[span:])
         span *= 2
     low = np.minimum(low[:n], low[per_window - span : per_window - span + n])
-    count = np.maximum(np.diff(first) - per_window + 1, 0)
+    count = np.maximum(np.diff(first) - (width or per_window) + 1, 0)
     begin = np.repeat(first[:-1], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     if not len(begin):
         return none, none, none, none

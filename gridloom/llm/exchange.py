@@ -28,6 +28,21 @@ def dealt(records: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
     )
 
 
+def packed(heads: np.ndarray, body: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket of records that each have a head and ``size`` values of ``body``."""
+    order = np.argsort(bucket, kind="stable")
+    start = (np.cumsum(size) - size)[order]
+    heads, bucket, size = heads[order], bucket[order], size[order]
+    out = np.cumsum(size)
+    body = body[np.repeat(start, size) + np.arange(out[-1] if len(out) else 0) - np.repeat(out - size, size)]
+    edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+    out = np.concatenate([[0], out])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[edge[:-1]].astype(np.int32)), pa.array([heads[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()), pa.array([body[out[a] : out[b]].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
+        ["bucket", "heads", "body"],
+    )
+
+
 def flushed(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """Gather (records, bucket) parts and emit blobs whenever FLUSH bytes are held."""
     held, size = [], 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, exact_dedup, language, lines, mixing, secrets, substrings, toxicity
+from gridloom.llm import decontaminate, exact_dedup, language, lines, mixing, secrets, substrings, suffixes, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +49,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op3_toxicity, op4_mixing, op5_exact_dedup, op6_language_id, op8_substring_dedup, op9_line_dedup, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_toxicity, op4_mixing, op5_exact_dedup, op6_language_id, op8_substring_dedup, op9_line_dedup, op10_secret_scan)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE, "op10_secret_scan": secrets.oracle()}

@@ -25,6 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from gridloom.llm.anchors import Sketch, cell_bits, segments, sketch
+from gridloom.llm.exchange import packed
 from gridloom.llm.session import buckets_for, materialize
 from gridloom.llm.textkit import U64, Block, blocks, covered, grams, word_hashes, words
 
@@ -60,21 +61,6 @@ def unsent(block: Block, seen: set[tuple[int, int]]) -> np.ndarray:
     return new
 
 
-def packed(heads: np.ndarray, body: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
-    """Deal records of a head and ``size`` 8-byte values each."""
-    order = np.argsort(bucket, kind="stable")
-    start = (np.cumsum(size) - size)[order]
-    heads, bucket, size = heads[order], bucket[order], size[order]
-    out = np.cumsum(size)
-    body = body[np.repeat(start, size) + np.arange(out[-1] if len(out) else 0) - np.repeat(out - size, size)]
-    edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-    out = np.concatenate([[0], out])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[edge[:-1]].astype(np.int32)), pa.array([heads[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()), pa.array([body[out[a] : out[b]].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
-        ["bucket", "heads", "body"],
-    )
-
-
 def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window: int) -> DataFrame:
     """(k1, k2, start, end) in words: stretches of each text that repeated windows cover."""
 
