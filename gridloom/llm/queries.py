@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, exact_dedup, language, lines, mixing, secrets, substrings, suffixes, toxicity
+from gridloom.llm import decontaminate, exact_dedup, language, lines, mixing, ngram_join, secrets, substrings, suffixes, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_toxicity, op4_mixing, op5_exact_dedup, op6_language_id, op8_substring_dedup, op9_line_dedup, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_toxicity, op4_mixing, op5_exact_dedup, op6_language_id, op7_ngram_join, op8_substring_dedup, op9_line_dedup, op10_secret_scan)}
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE, "op10_secret_scan": secrets.oracle()}
+ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE, "op7_ngram_join": ngram_join.ORACLE, "op10_secret_scan": secrets.oracle()}
