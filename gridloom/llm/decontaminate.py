@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridloom.llm.textkit import LOWER, blocks, grams, word_hashes, words
+from gridloom.llm.textkit import LOWER, Block, blocks, grams, word_hashes, words
 
 MIN_TILE = 5
 THRESHOLD = 0.5
@@ -98,29 +98,34 @@ class Items:
         self.begin = np.append(self.begin, len(self.seeds))
 
 
+def hits(items: Items, block: Block, threshold: float) -> Iterator[tuple[int, tuple]]:
+    """(row, result) of each document of a block and item at ``threshold`` or more."""
+    data = LOWER[block.data]
+    starts, ends, first = words(data, block.offs, GAP)
+    hashed = word_hashes(data, starts, ends)
+    seeds, at = grams(hashed, first, MIN_TILE)
+    if not len(seeds) or not len(items.distinct):
+        return
+    where = np.minimum(np.searchsorted(items.distinct, seeds), len(items.distinct) - 1)
+    hit = np.flatnonzero(items.distinct[where] == seeds)
+    tokens = (hashed >> np.uint64(4)).astype(np.int64)
+    doc = np.searchsorted(at, hit, "right") - 1
+    edge = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]])) if len(hit) else np.zeros(1, np.int64)
+    for a, b in zip(edge[:-1], edge[1:]):
+        d = doc[a]
+        for result in tiled(items, where[hit[a:b]], hit[a:b] - at[d], tokens[first[d] : first[d + 1]], threshold):
+            yield d, result
+
+
 def compared(items: Items, threshold: float):
     """Batches of documents to rows of SCHEMA."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            data = LOWER[block.data]
-            starts, ends, first = words(data, block.offs, GAP)
-            hashed = word_hashes(data, starts, ends)
-            seeds, at = grams(hashed, first, MIN_TILE)
-            if not len(seeds) or not len(items.distinct):
-                continue
-            where = np.minimum(np.searchsorted(items.distinct, seeds), len(items.distinct) - 1)
-            hit = np.flatnonzero(items.distinct[where] == seeds)
             ids = block.rows.column("doc_id").to_pylist()
-            doc_of = np.searchsorted(at, hit, "right") - 1
-            out = []
-            tokens = (hashed >> np.uint64(4)).astype(np.int64)
-            for d in np.unique(doc_of):
-                own = hit[doc_of == d]
-                out += [(ids[d], *r) for r in tiled(items, where[own], own - at[d], tokens[first[d] : first[d + 1]], threshold)]
+            out = [(ids[d], *result) for d, result in hits(items, block, threshold)]
             if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()))], ["doc_id", "item_id", "item_words", "matched_words", "n_tiles", "coverage"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()))], ["doc_id", "item_id", "item_words", "matched_words", "n_tiles", "coverage"])
 
     return apply
 
@@ -176,7 +181,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that hold no benchmark item; all their columns."""
-    found = decontaminate(docs, benchmark, threshold).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows that hold no benchmark item, with all their columns; nothing is joined or shuffled."""
+
+    def without(items: Items):
+        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in blocks(batches):
+                keep = np.ones(block.n, bool)
+                for d, _ in hits(items, block, threshold):
+                    keep[d] = False
+                yield block.rows.filter(pa.array(keep))
+
+        return apply
+
+    for items in item_blocks(benchmark, block_bytes):
+        docs = docs.mapInArrow(without(items), docs.schema)
+    return docs

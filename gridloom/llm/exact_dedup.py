@@ -17,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridloom.llm.session import materialize
+from gridloom.llm.session import ROW, materialize, numbered
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 #: A chunk ends after the first word past 1,024 characters whose end is one of 10 letter pairs, or at 8,192.
@@ -28,9 +28,12 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")
 
 
-def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    norm = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc_id"), normalised(F.col(text)).alias("norm"))
+def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rid: Column | None = None, chunk_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, rid.
+
+    rid: a number of each row, where the caller has one to join by.
+    """
+    norm = docs.select((F.monotonically_increasing_id() if rid is None else rid).alias("rid"), F.col(doc_id).alias("doc_id"), normalised(F.col(text)).alias("norm"))
     cut = norm.select("rid", "doc_id", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), F.regexp_extract_all("norm", F.lit(CHUNK), F.lit(0)).alias("chunks"))
     cut = cut.withColumn("chunks", F.transform("chunks", lambda c: F.struct(chunk_hash(c).alias("h"), F.unhex(F.sha2(c.cast("binary"), 256)).alias("sha"))))
     cut = materialize(cut, "recipes")
@@ -53,7 +56,14 @@ def grouped(recipes: DataFrame) -> DataFrame:
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     recipes = materialize(recipes, "with-recipes")
     groups = materialize(recipes.groupBy("recipe").agg(F.min(own).alias("keep"), F.count("*").alias("group_size")), "recipe-groups")
-    return recipes.join(groups, "recipe").select("doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("keep.rid") == F.col("rid")).alias("kept"), "text_sha256")
+    return recipes.join(groups, "recipe").select("doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("keep.rid") == F.col("rid")).alias("kept"), "text_sha256", "rid")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of each group of equal texts, with all its columns."""
+    rows = numbered(docs)
+    dropped = exact_dedup(rows, rid=F.col(ROW)).filter("NOT kept").select(F.col("rid").alias(ROW))
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""

@@ -25,11 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.llm.components import components
 from gridloom.llm.exchange import SCHEMA, flushed, reduce_buckets
-from gridloom.llm.session import buckets_for, materialize
+from gridloom.llm.session import ROW, buckets_for, materialize, numbered
 from gridloom.llm.textkit import LOWER, U64, Block, blocks, grams, mix, word_hashes, words
 
 SHINGLE = 5
@@ -47,9 +47,10 @@ POST = np.dtype([("tok", "<u8"), ("cls", "<i8"), ("n", "<u4")])
 COUNT = np.dtype([("tok", "<u8"), ("n", "<u4")])
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, rid: Column | None) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    rid = F.monotonically_increasing_id() if rid is None else rid
+    return docs.select(rid.alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
 
 
 def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,8 +75,8 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def profile(texts: DataFrame) -> DataFrame:
-    """Rows of documents (kind 0: doc_id, key, n, sig) and packed local counts of tokens (kind 1: bucket in n)."""
-    schema = "kind int, doc_id bigint, key bigint, n int, sig bigint, blob binary"
+    """Rows of documents (kind 0: rid, doc_id, key, n, sig) and packed local counts of tokens (kind 1: bucket in n)."""
+    schema = "kind int, rid bigint, doc_id bigint, key bigint, n int, sig bigint, blob binary"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -87,11 +88,11 @@ def profile(texts: DataFrame) -> DataFrame:
             out["tok"], out["n"] = tok[keep], n[keep]
             for bucket in range(16):
                 part = out[out["tok"] >> U64(60) == bucket]
-                yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([bucket], pa.int32()), pa.nulls(1, pa.int64()), pa.array([part.tobytes()], pa.binary())], ["kind", "doc_id", "key", "n", "sig", "blob"])
+                yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), *[pa.nulls(1, pa.int64())] * 3, pa.array([bucket], pa.int32()), pa.nulls(1, pa.int64()), pa.array([part.tobytes()], pa.binary())], ["kind", "rid", "doc_id", "key", "n", "sig", "blob"])
 
         for block in blocks(batches):
             tokens, at, sig = shingle_sets(block)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(block.n, np.int32)), block.rows.column("doc_id"), block.rows.column("key"), pa.array(np.diff(at).astype(np.int32)), pa.array(sig), pa.nulls(block.n, pa.binary())], ["kind", "doc_id", "key", "n", "sig", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(block.n, np.int32)), block.rows.column("rid"), block.rows.column("doc_id"), block.rows.column("key"), pa.array(np.diff(at).astype(np.int32)), pa.array(sig), pa.nulls(block.n, pa.binary())], ["kind", "rid", "doc_id", "key", "n", "sig", "blob"])
             held.append(tokens)
             size += len(tokens)
             if size >= COUNTED:
@@ -286,7 +287,7 @@ def in_memory(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, shared, total, linked) of pairs, by joins."""
-    prefixes = [F.transform(F.slice(F.array_sort(F.transform("toks", lambda t: F.xxhash64(t, F.lit(k)))), F.lit(1), (F.size("toks") - F.ceil(F.size("toks") * percent / 100) + 1).cast("int")), lambda h: h.cast("int")) for k in (1, 2)]
+    prefixes = [F.transform(F.slice(F.array_sort(F.transform("toks", lambda t: F.xxhash64(t, F.lit(k)))), F.lit(1), (F.size("toks") - F.ceil(F.size("toks") * percent / 100) + 1).cast("int")), lambda h: F.pmod(h, F.lit(2147483647)).cast("int")) for k in (1, 2)]
     side = sets.select("sig", "toks", prefixes[0].alias("p1"), prefixes[1].alias("p2"))
     left, right = (side.select(*(F.col(c).alias(f"{s}_{c}") for c in side.columns)) for s in "ab")
     both = pairs.join(left, pairs["a"] == left["a_sig"]).join(right, pairs["b"] == right["b_sig"])
@@ -317,10 +318,13 @@ def by_joins(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return components(links.unionByName(more).filter("linked"))
 
 
-def ngram_join(docs: DataFrame, percent: int = PERCENT, most_in_memory: int = MOST_IN_MEMORY) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+def ngram_join(docs: DataFrame, percent: int = PERCENT, most_in_memory: int = MOST_IN_MEMORY, rid: Column | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept (one row of each component), rid.
+
+    rid: a number of each row, where the caller has one to join by.
+    """
     spark = docs.sparkSession
-    texts = keyed(docs)
+    texts = keyed(docs, rid)
     profiles = materialize(profile(texts), "shingle-profiles")
     common = spark.sparkContext.broadcast(common_tokens(profiles))
     found = materialize(candidates(postings(texts, common, buckets_for(docs, 1.5), percent), percent), "candidates")
@@ -339,11 +343,21 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, most_in_memory: int = MO
     if large.limit(1).count():
         label = label.unionByName(by_joins(sets_in.filter("large").select("sig", "toks"), found_in.filter("large").select("kind", "a", "b", "tok"), percent))
     label = materialize(label, "set-labels")
-    rows = profiles.filter("kind = 0").select("doc_id", "n", "sig")
-    rows = materialize(rows.join(label, rows["sig"] == label["v"], "left").select("doc_id", "n", F.coalesce("label", "sig").alias("root")), "rooted")
-    least = materialize(rows.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")), "component-ids")
-    empty = rows.filter("n = 0").select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return rows.filter("n > 0").join(least, "root").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id").unionByName(empty)
+    rows = profiles.filter("kind = 0").select("rid", "doc_id", "n", "sig")
+    rows = materialize(rows.join(label, rows["sig"] == label["v"], "left").select("rid", "doc_id", "n", F.coalesce("label", "sig").alias("root")), "rooted")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")
+    least = materialize(rows.filter("n > 0").groupBy("root").agg(least), "component-ids")
+    n = F.col("n").cast("bigint").alias("n_shingles")
+    empty = rows.filter("n = 0").select("doc_id", n, F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "rid")
+    full = rows.filter("n > 0").join(least, "root").select("doc_id", n, F.col("least.doc_id").alias("component_id"), (F.col("least.rid") == F.col("rid")).alias("kept"), "rid")
+    return full.unionByName(empty)
+
+
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, with all its columns."""
+    rows = numbered(docs)
+    dropped = ngram_join(rows, percent, rid=F.col(ROW)).filter("NOT kept").select(F.col("rid").alias(ROW))
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
 
 
 ORACLE = f"""

@@ -30,7 +30,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("rid")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents")).drop("kept", "rid")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,3 +55,12 @@ def buckets_for(df: DataFrame, factor: float, target: int = 8 << 20, most: int =
 def fold(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 4; 2 is the held-out part."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)), F.lit(0))
+
+
+#: Name of the row number that ``numbered`` adds.
+ROW = "gridloom_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, written so that the numbers stay whatever is computed again."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")

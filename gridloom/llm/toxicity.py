@@ -149,5 +149,15 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def kept(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score under ``threshold``, with all their columns; nothing is joined or shuffled."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            yield block.rows.filter(pa.array(scores(machine, block) < threshold))
+
+    return docs.mapInArrow(apply, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, train(docs, labels))
