@@ -41,7 +41,7 @@ LEAST_COMMON = 8
 LOCAL_COMMON = 3
 COUNTED = 1 << 22
 #: Groups whose sets hold more tokens are solved by joins.
-MOST_IN_MEMORY = 1 << 20
+MOST_IN_MEMORY = 1 << 23
 ORDERS = (U64(0xD1342543DE82EF95), U64(0xAF251AF3B0F025B5))
 POST = np.dtype([("tok", "<u8"), ("cls", "<i8"), ("n", "<u4")])
 COUNT = np.dtype([("tok", "<u8"), ("n", "<u4")])
@@ -190,9 +190,14 @@ def candidates(packed: DataFrame, percent: int) -> DataFrame:
     return reduce_buckets(packed, POST, pairs, schema, arrow)
 
 
-def sets_of(texts: DataFrame, profiles: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sig, toks) of each wanted signature, from one document that has it."""
-    chosen = profiles.filter("kind = 0").join(wanted, "sig").groupBy("sig").agg(F.min("key").alias("key"))
+def with_texts(texts: DataFrame, profiles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (sig, ...) with the text of one document that has the set."""
+    chosen = profiles.filter("kind = 0").join(wanted, "sig").groupBy(*wanted.columns).agg(F.min("key").alias("key"))
+    return texts.select("key", "text").join(chosen, "key").drop("key")
+
+
+def sets_of(wanted: DataFrame) -> DataFrame:
+    """(sig, toks) of (sig, text)."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -203,55 +208,63 @@ def sets_of(texts: DataFrame, profiles: DataFrame, wanted: DataFrame) -> DataFra
             toks = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(tokens[use].view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), toks], ["sig", "toks"])
 
-    return texts.join(chosen, "key").select("sig", "text").mapInArrow(apply, "sig bigint, toks array<bigint>")
+    return wanted.select("sig", "text").mapInArrow(apply, "sig bigint, toks array<bigint>")
 
 
 class Sets:
-    """Sets of one bucket and the test of a pair."""
+    """Sets of one bucket, and the test of a pair."""
 
-    def __init__(self, sigs: np.ndarray, toks: np.ndarray, offs: np.ndarray, percent: int):
-        self.at = {int(s): i for i, s in enumerate(sigs)}
-        self.toks, self.offs, self.percent = toks.view(U64), offs, percent
+    def __init__(self, texts: pa.Table, percent: int):
+        self.held: dict[int, np.ndarray] = {}
+        self.percent = percent
+        for block in blocks(iter(texts.combine_chunks().to_batches())):
+            tokens, at, sig = shingle_sets(block)
+            for i in np.flatnonzero(sig == block.rows.column("sig").to_numpy()):
+                self.held[int(sig[i])] = tokens[at[i] : at[i + 1]]
         self.prefixes: list[dict[int, frozenset]] = [{} for _ in ORDERS]
 
-    def of(self, sig: int) -> np.ndarray:
-        i = self.at[sig]
-        return self.toks[self.offs[i] : self.offs[i + 1]]
-
     def prefix(self, order: int, sig: int) -> frozenset:
         held = self.prefixes[order]
         if sig not in held:
-            own = self.of(sig)
+            own = self.held[sig]
             p = int(prefix_size(np.array([len(own)]), self.percent)[0])
             held[sig] = frozenset(np.partition(own * ORDERS[order], p - 1)[:p].tolist())
         return held[sig]
 
-    def linked(self, a: int, b: int) -> bool:
-        x, y = self.of(a), self.of(b)
-        if 100 * min(len(x), len(y)) < self.percent * max(len(x), len(y)):
-            return False
+    def compared(self, a: int, b: int) -> tuple[bool, float]:
+        """Whether two sets link, and a bound below their distance that is exact where they were compared."""
+        x, y = self.held[a], self.held[b]
+        small, large = sorted((len(x), len(y)))
+        if 100 * small < self.percent * large:
+            return False, 1 - small / large
         if any(self.prefix(k, a).isdisjoint(self.prefix(k, b)) for k in range(len(ORDERS))):
-            return False
+            return False, 1 - self.percent / 100
         both = np.concatenate([x, y])
         both.sort(kind="stable")
         shared = int(np.count_nonzero(both[1:] == both[:-1]))
-        return 100 * shared >= self.percent * (len(x) + len(y) - shared)
+        total = len(x) + len(y) - shared
+        return 100 * shared >= self.percent * total, 1 - shared / total
 
 
 def solve(sets: Sets, pairs: list[tuple[int, int]], lists: list[list[int]]) -> dict[int, int]:
-    """Least connected signature of each set."""
-    up: dict[int, int] = {}
+    """Least connected signature of each set. No pair is compared twice, none that is connected already."""
+    up = {x: x for x in sets.held}
+    apart: set[tuple[int, int]] = set()
 
     def find(x: int) -> int:
-        while up.setdefault(x, x) != x:
+        while up[x] != x:
             up[x] = up[up[x]]
             x = up[x]
         return x
 
     def tie(a: int, b: int) -> None:
         x, y = find(a), find(b)
-        if x != y and sets.linked(a, b):
+        if x == y or (pair := (min(a, b), max(a, b))) in apart:
+            return
+        if sets.compared(a, b)[0]:
             up[max(x, y)] = min(x, y)
+        else:
+            apart.add(pair)
 
     for a, b in pairs:
         tie(a, b)
@@ -262,18 +275,16 @@ def solve(sets: Sets, pairs: list[tuple[int, int]], lists: list[list[int]]) -> d
         for x in [x for x in members if find(x) != find(pivot)]:
             for y in members:
                 tie(x, y)
-    return {x: find(x) for x in sets.at}
+    return {x: find(x) for x in up}
 
 
-def in_memory(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def in_memory(texts: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """(v, label) for groups of moderate size; both tables have ``bucket``."""
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({"v": pa.array([], pa.int64()), "label": pa.array([], pa.int64())})
-        toks = left.column("toks").combine_chunks()
-        toks = toks if isinstance(toks, pa.ListArray) else pa.concat_arrays(toks.chunks)
-        own = Sets(left.column("sig").to_numpy(), toks.flatten().to_numpy(), np.asarray(toks.offsets) - toks.offsets[0].as_py(), percent)
+        own = Sets(left, percent)
         kind, a, b, tok = (right.column(c).to_numpy() for c in ("kind", "a", "b", "tok"))
         pairs = sorted(set(zip(a[kind == 0].tolist(), b[kind == 0].tolist())))
         lists: dict[float, list[int]] = {}
@@ -282,7 +293,7 @@ def in_memory(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
         label = solve(own, pairs, list({tuple(m): m for m in lists.values()}.values()))
         return pa.table({"v": pa.array(list(label), pa.int64()), "label": pa.array(list(label.values()), pa.int64())})
 
-    return sets.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(apply, "v bigint, label bigint")
+    return texts.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(apply, "v bigint, label bigint")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -329,19 +340,18 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, most_in_memory: int = MO
     common = spark.sparkContext.broadcast(common_tokens(profiles))
     found = materialize(candidates(postings(texts, common, buckets_for(docs, 1.5), percent), percent), "candidates")
     group = materialize(components(found.filter("a != b")), "candidate-groups")
-    wanted = group.select(F.col("v").alias("sig"))
-    sets = materialize(sets_of(texts, profiles, wanted).dropDuplicates(["sig"]), "sets")
-    sized = sets.join(group, sets["sig"] == group["v"]).select("sig", "label", F.size("toks").alias("n"))
-    large = materialize(sized.groupBy("label").agg(F.sum("n").alias("n")).filter(F.col("n") > most_in_memory).select("label"), "large-groups")
-    n_buckets = buckets_for(docs, 0.5)
-    of_group = group.join(large.withColumn("large", F.lit(True)), "label", "left").select("v", F.coalesce("large", F.lit(False)).alias("large"), F.pmod(F.xxhash64("label"), F.lit(n_buckets)).cast("int").alias("bucket"))
+    size = profiles.filter("kind = 0").groupBy("sig").agg(F.first("n").alias("n"))
+    sized = size.join(group, size["sig"] == group["v"]).groupBy("label").agg(F.sum("n").alias("n"))
+    large = materialize(sized.filter(F.col("n") > most_in_memory).select("label"), "large-groups")
+    bucket = F.pmod(F.xxhash64("label"), F.lit(buckets_for(docs, 0.5))).cast("int").alias("bucket")
+    of_group = group.join(large.withColumn("large", F.lit(True)), "label", "left").select("v", F.coalesce("large", F.lit(False)).alias("large"), bucket)
     of_group = materialize(of_group, "group-buckets")
-    sets_in = sets.join(of_group, sets["sig"] == of_group["v"]).drop("v")
-    of_pair = of_group.select(*(F.col(c).alias(c) for c in of_group.columns))
-    found_in = found.join(of_pair, found["a"] == of_pair["v"]).drop("v")
-    label = in_memory(sets_in.filter("NOT large").drop("large"), found_in.filter("NOT large").drop("large"), percent)
+    of_set = of_group.select(F.col("v").alias("sig"), F.col("large").alias("large"), F.col("bucket").alias("bucket"))
+    found_in = found.join(of_group, found["a"] == of_group["v"]).drop("v")
+    label = in_memory(with_texts(texts, profiles, of_set.filter("NOT large").select("sig", "bucket")), found_in.filter("NOT large").drop("large"), percent)
     if large.limit(1).count():
-        label = label.unionByName(by_joins(sets_in.filter("large").select("sig", "toks"), found_in.filter("large").select("kind", "a", "b", "tok"), percent))
+        sets = materialize(sets_of(with_texts(texts, profiles, of_set.filter("large").select("sig"))).dropDuplicates(["sig"]), "sets")
+        label = label.unionByName(by_joins(sets, found_in.filter("large").select("kind", "a", "b", "tok"), percent))
     label = materialize(label, "set-labels")
     rows = profiles.filter("kind = 0").select("rid", "doc_id", "n", "sig")
     rows = materialize(rows.join(label, rows["sig"] == label["v"], "left").select("rid", "doc_id", "n", F.coalesce("label", "sig").alias("root")), "rooted")
