@@ -7,11 +7,10 @@ they must share prefix tokens under two other orders as well before the sets are
 Texts with one set are one class from the start, so copies cost nothing more. Counts for the first order cover
 all documents: each task reports the tokens it met in several texts; any function of the token serves as a
 global order, so what a task leaves out costs speed and never a link. Short posting lists give their pairs. A
-long list (over ``LONG``) does not: its members are tied to one pivot each, and only members that did not turn
-out connected with the others are compared further. Candidates fall into groups; each group of moderate size is
-solved in memory, its sets sent once, pairs already connected left out. Larger groups are solved by joins: the
-Jaccard distance is a metric, so of a long list only members whose distances to the pivot differ by at most
-1 - t are paired, and members already connected are not.
+long list (over ``LONG``) does not: its members are paired with one pivot each; the Jaccard distance is a metric,
+so of members that did not turn out connected only those are paired further whose distances to the pivot differ
+by at most 1 - t. Pairs are compared with one text of each set, in buckets of pairs, and an end that has many
+pairs is dealt to many buckets.
 
 Defined results: empty and null texts have no shingles, link with nothing and are their own component; texts of
 1 to 4 words have their whole sequence as one shingle; a component's id is its smallest doc_id, null where all
@@ -40,8 +39,7 @@ MOST_COMMON = 1 << 20
 LEAST_COMMON = 8
 LOCAL_COMMON = 3
 COUNTED = 1 << 22
-#: Groups whose sets hold more tokens are solved by joins.
-MOST_IN_MEMORY = 1 << 23
+PAIRS_AT_ONCE = 2_000
 ORDERS = (U64(0xD1342543DE82EF95), U64(0xAF251AF3B0F025B5))
 POST = np.dtype([("tok", "<u8"), ("cls", "<i8"), ("n", "<u4")])
 COUNT = np.dtype([("tok", "<u8"), ("n", "<u4")])
@@ -196,163 +194,107 @@ def with_texts(texts: DataFrame, profiles: DataFrame, wanted: DataFrame) -> Data
     return texts.select("key", "text").join(chosen, "key").drop("key")
 
 
-def sets_of(wanted: DataFrame) -> DataFrame:
-    """(sig, toks) of (sig, text)."""
+def prefix(own: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """The prefix of a set under one of the other orders."""
+    p = int(prefix_size(np.array([len(own)]), percent)[0])
+    return np.partition(own * ORDERS[order], p - 1)[:p]
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            tokens, at, sig = shingle_sets(block)
-            keep = sig == block.rows.column("sig").to_numpy()
-            use = np.repeat(keep, np.diff(at))
-            size = np.diff(at)[keep]
-            toks = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(tokens[use].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), toks], ["sig", "toks"])
 
-    return wanted.select("sig", "text").mapInArrow(apply, "sig bigint, toks array<bigint>")
+def meet(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two arrays of distinct values share."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
-class Sets:
-    """Sets of one bucket, and the test of a pair."""
+def compare(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[int, int, bool]:
+    """Shared and all shingles of two sets, and whether they link: first the prefixes under every other order must meet."""
+    shared = meet(x, y)
+    total = len(x) + len(y) - shared
+    near = 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) and all(meet(prefix(x, k, percent), prefix(y, k, percent)) for k in range(len(ORDERS)))
+    return shared, total, near and 100 * shared >= percent * total
 
-    def __init__(self, texts: pa.Table, percent: int):
-        self.held: dict[int, np.ndarray] = {}
-        self.percent = percent
-        for block in blocks(iter(texts.combine_chunks().to_batches())):
-            tokens, at, sig = shingle_sets(block)
-            for i in np.flatnonzero(sig == block.rows.column("sig").to_numpy()):
-                self.held[int(sig[i])] = tokens[at[i] : at[i + 1]]
-        self.prefixes: list[dict[int, frozenset]] = [{} for _ in ORDERS]
-
-    def prefix(self, order: int, sig: int) -> frozenset:
-        held = self.prefixes[order]
-        if sig not in held:
-            own = self.held[sig]
-            p = int(prefix_size(np.array([len(own)]), self.percent)[0])
-            held[sig] = frozenset(np.partition(own * ORDERS[order], p - 1)[:p].tolist())
-        return held[sig]
-
-    def compared(self, a: int, b: int) -> tuple[bool, float]:
-        """Whether two sets link, and a bound below their distance that is exact where they were compared."""
-        x, y = self.held[a], self.held[b]
-        small, large = sorted((len(x), len(y)))
-        if 100 * small < self.percent * large:
-            return False, 1 - small / large
-        if any(self.prefix(k, a).isdisjoint(self.prefix(k, b)) for k in range(len(ORDERS))):
-            return False, 1 - self.percent / 100
-        both = np.concatenate([x, y])
-        both.sort(kind="stable")
-        shared = int(np.count_nonzero(both[1:] == both[:-1]))
-        total = len(x) + len(y) - shared
-        return 100 * shared >= self.percent * total, 1 - shared / total
-
-
-def solve(sets: Sets, pairs: list[tuple[int, int]], lists: list[list[int]]) -> dict[int, int]:
-    """Least connected signature of each set. No pair is compared twice, none that is connected already."""
-    up = {x: x for x in sets.held}
-    apart: set[tuple[int, int]] = set()
-
-    def find(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    def tie(a: int, b: int) -> None:
-        x, y = find(a), find(b)
-        if x == y or (pair := (min(a, b), max(a, b))) in apart:
-            return
-        if sets.compared(a, b)[0]:
-            up[max(x, y)] = min(x, y)
-        else:
-            apart.add(pair)
-
-    for a, b in pairs:
-        tie(a, b)
-    for members in lists:
-        pivot = members[len(members) // 2]
-        for x in members:
-            tie(x, pivot)
-        for x in [x for x in members if find(x) != find(pivot)]:
-            for y in members:
-                tie(x, y)
-    return {x: find(x) for x in up}
-
-
-def in_memory(texts: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """(v, label) for groups of moderate size; both tables have ``bucket``."""
-
-    def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return pa.table({"v": pa.array([], pa.int64()), "label": pa.array([], pa.int64())})
-        own = Sets(left, percent)
-        kind, a, b, tok = (right.column(c).to_numpy() for c in ("kind", "a", "b", "tok"))
-        pairs = sorted(set(zip(a[kind == 0].tolist(), b[kind == 0].tolist())))
-        lists: dict[float, list[int]] = {}
-        for t, x in sorted(zip(right.column("tok").filter(pa.compute.equal(right.column("kind"), 1)).to_pylist(), a[kind == 1].tolist())):
-            lists.setdefault(t, []).append(x)
-        label = solve(own, pairs, list({tuple(m): m for m in lists.values()}.values()))
-        return pa.table({"v": pa.array(list(label), pa.int64()), "label": pa.array(list(label.values()), pa.int64())})
-
-    return texts.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(apply, "v bigint, label bigint")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, shared, total, linked) of pairs, by joins."""
-    prefixes = [F.transform(F.slice(F.array_sort(F.transform("toks", lambda t: F.xxhash64(t, F.lit(k)))), F.lit(1), (F.size("toks") - F.ceil(F.size("toks") * percent / 100) + 1).cast("int")), lambda h: F.pmod(h, F.lit(2147483647)).cast("int")) for k in (1, 2)]
-    side = sets.select("sig", "toks", prefixes[0].alias("p1"), prefixes[1].alias("p2"))
-    left, right = (side.select(*(F.col(c).alias(f"{s}_{c}") for c in side.columns)) for s in "ab")
-    both = pairs.join(left, pairs["a"] == left["a_sig"]).join(right, pairs["b"] == right["b_sig"])
-    shared = F.size(F.array_intersect("a_toks", "b_toks"))
-    out = both.select("a", "b", shared.alias("shared"), (F.size("a_toks") + F.size("b_toks") - shared).alias("total"), (F.arrays_overlap("a_p1", "b_p1") & F.arrays_overlap("a_p2", "b_p2")).alias("near"))
-    return out.select("a", "b", "shared", "total", (F.col("near") & (100 * F.col("shared") >= percent * F.col("total"))).alias("linked"))
-
-
-def by_joins(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """(v, label) for large groups."""
-    order = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b")
-    links = materialize(verified(order(found).distinct(), sets, percent), "links")
-    label = components(links.filter("linked"))
+
+def sets_of(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(row, sig, set) of rows (sig, text) whose text has that signature."""
+    row = 0
+    for block in blocks(iter(table.combine_chunks().to_batches())):
+        tokens, at, sig = shingle_sets(block)
+        for i in np.flatnonzero(sig == block.rows.column("sig").to_numpy()):
+            yield row + int(i), int(sig[i]), tokens[at[i] : at[i + 1]]
+        row += block.n
+
+
+def verified(pairs: DataFrame, held: DataFrame, n_buckets: int, percent: int) -> DataFrame:
+    """(a, b, shared, total, linked) of distinct pairs. held: sig, text.
+
+    Pairs are dealt by the end that has more of them; its text goes to the bucket once, the others' texts once a
+    pair. An end with over ``PAIRS_AT_ONCE`` pairs is dealt to several buckets.
+    """
+    ends = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).groupBy("v").agg(F.count("*").alias("degree"))
+    of_a, of_b = (ends.select(F.col("v").alias(f"v_{s}"), F.col("degree").alias(f"degree_{s}")) for s in "ab")
+    both = pairs.join(of_a, F.col("a") == F.col("v_a")).join(of_b, F.col("b") == F.col("v_b"))
+    swap = F.col("degree_b") > F.col("degree_a")
+    both = both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"), F.greatest("degree_a", "degree_b").alias("degree"))
+    parts = F.ceil(F.col("degree") / PAIRS_AT_ONCE)
+    bucket = F.pmod(F.xxhash64("a", "part"), F.lit(n_buckets)).cast("int").alias("bucket")
+    both = materialize(both.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("b"), parts)), "pairs")
+    other = held.select(F.col("sig").alias("b_sig"), F.col("text").alias("b_text"))
+    right = other.join(both.select("a", "b", bucket), F.col("b_sig") == F.col("b")).select(F.col("bucket").alias("b_bucket"), F.col("a").alias("hub"), "b_sig", "b_text")
+    hubs = both.select("a", "parts").distinct().select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    left = held.select("sig", "text").join(hubs.select("a", bucket), F.col("sig") == F.col("a")).select("bucket", "sig", "text")
+
+    def apply(hub: pa.Table, other: pa.Table) -> pa.Table:
+        sets = {sig: own for _, sig, own in sets_of(hub.select(["sig", "text"]))}
+        a = other.column("hub").to_pylist()
+        out = [(a[row], sig, *compare(sets[a[row]], own, percent)) for row, sig, own in sets_of(other.select(["b_sig", "b_text"]).rename_columns(["sig", "text"])) if a[row] in sets]
+        cols = list(zip(*out)) or [[]] * 5
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("a", "b", "shared", "total", "linked"), cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()))})
+
+    return left.groupBy("bucket").cogroup(right.groupBy("b_bucket")).applyInArrow(apply, "a bigint, b bigint, shared bigint, total bigint, linked boolean")
+
+
+def ordered(df: DataFrame) -> DataFrame:
+    return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+
+
+def still_apart(found: DataFrame, links: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs of long lists that may link and are not connected yet: none between members whose distances to the
+    pivot differ by more than 1 - t."""
+    d = links.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("d"))
+    d = d.unionByName(d.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")).select(F.col("a").alias("d_a"), F.col("b").alias("d_b"), "d")
+    of = label.select(F.col("v").alias("l_v"), F.col("label").alias("l_label"))
     members = found.filter("kind = 1").select("tok", F.col("a").alias("x"), F.col("b").alias("pivot"))
-    apart = links.select(F.col("a"), F.col("b"), (1 - F.col("shared") / F.col("total")).alias("d"))
-    apart = apart.unionByName(apart.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    members = members.join(apart, (members["x"] == apart["a"]) & (members["pivot"] == apart["b"]), "left").select("tok", "x", "pivot", F.coalesce("d", F.lit(0.0)).alias("d"))
-    members = members.join(label, members["x"] == label["v"], "left").select("tok", "x", "pivot", "d", F.coalesce("label", "x").alias("label"))
-    members = materialize(members, "members")
-    home = members.filter("x = pivot").select("tok", F.col("label").alias("home"))
-    members = members.join(home, "tok")
+    members = members.join(d, (F.col("x") == F.col("d_a")) & (F.col("pivot") == F.col("d_b")), "left").join(of, F.col("x") == F.col("l_v"), "left")
+    members = materialize(members.select("tok", "x", "pivot", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("l_label", "x").alias("label")), "members")
+    home = members.filter("x = pivot").select(F.col("tok").alias("h_tok"), F.col("label").alias("home"))
     reach = 1 - percent / 100 + 1e-9
     band = F.floor(F.col("d") / reach)
-    lost = members.filter("label != home").select("tok", F.col("x").alias("a"), F.col("d").alias("a_d"), F.col("label").alias("a_label"), F.explode(F.array(band - 1, band, band + 1)).alias("band"))
+    lost = members.join(home, F.col("tok") == F.col("h_tok")).filter("label != home").select(F.col("tok").alias("a_tok"), F.col("x").alias("a"), F.col("d").alias("a_d"), F.col("label").alias("a_label"), F.explode(F.array(band - 1, band, band + 1)).alias("a_band"))
     others = members.select("tok", F.col("x").alias("b"), F.col("d").alias("b_d"), F.col("label").alias("b_label"), band.alias("band"))
-    more = order(lost.join(others, ["tok", "band"]).filter((F.col("a_label") != F.col("b_label")) & (F.abs(F.col("a_d") - F.col("b_d")) <= reach))).distinct()
-    more = materialize(verified(more.join(links, ["a", "b"], "left_anti"), sets, percent), "more-links")
-    return components(links.unionByName(more).filter("linked"))
+    more = lost.join(others, (F.col("a_tok") == F.col("tok")) & (F.col("a_band") == F.col("band"))).filter((F.col("a_label") != F.col("b_label")) & (F.abs(F.col("a_d") - F.col("b_d")) <= reach))
+    return ordered(more).join(ordered(links), ["a", "b"], "left_anti")
 
 
-def ngram_join(docs: DataFrame, percent: int = PERCENT, most_in_memory: int = MOST_IN_MEMORY, rid: Column | None = None) -> DataFrame:
+def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept (one row of each component), rid.
 
     rid: a number of each row, where the caller has one to join by.
     """
-    spark = docs.sparkSession
     texts = keyed(docs, rid)
     profiles = materialize(profile(texts), "shingle-profiles")
-    common = spark.sparkContext.broadcast(common_tokens(profiles))
+    common = docs.sparkSession.sparkContext.broadcast(common_tokens(profiles))
     found = materialize(candidates(postings(texts, common, buckets_for(docs, 1.5), percent), percent), "candidates")
-    group = materialize(components(found.filter("a != b")), "candidate-groups")
-    size = profiles.filter("kind = 0").groupBy("sig").agg(F.first("n").alias("n"))
-    sized = size.join(group, size["sig"] == group["v"]).groupBy("label").agg(F.sum("n").alias("n"))
-    large = materialize(sized.filter(F.col("n") > most_in_memory).select("label"), "large-groups")
-    bucket = F.pmod(F.xxhash64("label"), F.lit(buckets_for(docs, 0.5))).cast("int").alias("bucket")
-    of_group = group.join(large.withColumn("large", F.lit(True)), "label", "left").select("v", F.coalesce("large", F.lit(False)).alias("large"), bucket)
-    of_group = materialize(of_group, "group-buckets")
-    of_set = of_group.select(F.col("v").alias("sig"), F.col("large").alias("large"), F.col("bucket").alias("bucket"))
-    found_in = found.join(of_group, found["a"] == of_group["v"]).drop("v")
-    label = in_memory(with_texts(texts, profiles, of_set.filter("NOT large").select("sig", "bucket")), found_in.filter("NOT large").drop("large"), percent)
-    if large.limit(1).count():
-        sets = materialize(sets_of(with_texts(texts, profiles, of_set.filter("large").select("sig"))).dropDuplicates(["sig"]), "sets")
-        label = label.unionByName(by_joins(sets, found_in.filter("large").select("kind", "a", "b", "tok"), percent))
-    label = materialize(label, "set-labels")
+    pairs = materialize(ordered(found), "candidate-pairs")
+    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    held = materialize(with_texts(texts, profiles, wanted).dropDuplicates(["sig"]), "candidate-texts")
+    n_buckets = buckets_for(docs, 1.0)
+    links = materialize(verified(pairs, held, n_buckets, percent), "links")
+    label = components(links.filter("linked"))
+    more = materialize(still_apart(found, links, label, percent), "more-pairs")
+    more = materialize(verified(more, held, n_buckets, percent).filter("linked"), "more-links")
+    if more.limit(1).count():
+        label = components(links.filter("linked").unionByName(more))
     rows = profiles.filter("kind = 0").select("rid", "doc_id", "n", "sig")
     rows = materialize(rows.join(label, rows["sig"] == label["v"], "left").select("rid", "doc_id", "n", F.coalesce("label", "sig").alias("root")), "rooted")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")
