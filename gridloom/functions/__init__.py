@@ -1,0 +1 @@
+"""Column expressions: flux algebra, the grid, calendars."""

@@ -1,0 +1 @@
+"""Relational operators over long tables: series, windows, joins, sets."""

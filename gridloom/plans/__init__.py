@@ -1,0 +1 @@
+"""Compositions: fits, diurnal transform, budgets, diagnostics, checks, lineage."""

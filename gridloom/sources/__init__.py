@@ -1,0 +1 @@
+"""Readers and writers. Parquet is canonical; text formats are parsed with built-in functions."""
