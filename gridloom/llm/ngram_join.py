@@ -1,8 +1,9 @@
 """Similarity join on word shingles: Jaccard 0.8 or more, by prefix filters under several global orders.
 
 Two sets of Jaccard t or more share a token among the first n - ceil(t n) + 1 of each, whatever order all sets
-are sorted by. Candidates are found under the first order, rare tokens first, from postings of those prefixes;
-they must share prefix tokens under two other orders as well before the sets are compared.
+are sorted by, and k tokens of the first n - ceil(t n) + k. Candidates are found under the first order, rare tokens
+first, from postings of such extended prefixes; they must share prefix tokens under two other orders as well before
+the sets are compared.
 
 Texts with one set are one class from the start, so copies cost nothing more. Counts for the first order cover
 all documents: each task reports the tokens it met in several texts; any function of the token serves as a
@@ -40,6 +41,7 @@ LEAST_COMMON = 8
 LOCAL_COMMON = 3
 COUNTED = 1 << 22
 PAIRS_AT_ONCE = 2_000
+EXTENDED = 20
 ORDERS = (U64(0xD1342543DE82EF95), U64(0xAF251AF3B0F025B5))
 POST = np.dtype([("tok", "<u8"), ("cls", "<i8"), ("n", "<u4")])
 COUNT = np.dtype([("tok", "<u8"), ("n", "<u4")])
@@ -57,8 +59,8 @@ def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends, first = words(data, block.offs)
     tokens, at = grams(word_hashes(data, starts, ends), first, SHINGLE, short=True)
     text = np.repeat(np.arange(block.n), np.diff(at))
-    order = np.lexsort((tokens, text))
-    tokens, text = tokens[order], text[order]
+    for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+        tokens[i:j].sort()
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (text[1:] != text[:-1])
     tokens, text = tokens[new], text[new]
@@ -69,9 +71,15 @@ def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens of a set's prefix, of which sets that link share one at least."""
     return np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
 
 
+def needed(n: np.ndarray) -> np.ndarray:
+    """With so many tokens less one added to each prefix, sets that link share so many of them (the least of the two)."""
+    return 1 + n // EXTENDED
+
+
 def profile(texts: DataFrame) -> DataFrame:
     """Rows of documents (kind 0: rid, doc_id, key, n, sig) and packed local counts of tokens (kind 1: bucket in n)."""
     schema = "kind int, rid bigint, doc_id bigint, key bigint, n int, sig bigint, blob binary"
@@ -143,9 +151,9 @@ def postings(texts: DataFrame, common: Broadcast, n_buckets: int, percent: int)
                 if len(known):
                     where = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                     rank = np.where(known[where] == tokens, counts[where], 0)
-                order = np.lexsort((tokens, rank, text))
+                order = np.lexsort((rank, text))  # tokens ascend within a text
                 n = np.diff(at)
-                take = (np.arange(len(tokens)) - at[:-1][text]) < np.where(new, prefix_size(n, percent), 0)[text]
+                take = (np.arange(len(tokens)) - at[:-1][text]) < np.where(new, prefix_size(n, percent) + needed(n) - 1, 0)[text]
                 own = order[take]
                 out = np.zeros(len(own), POST)
                 out["tok"], out["cls"], out["n"] = tokens[own], sig[text[own]], n[text[own]]
@@ -157,9 +165,10 @@ def postings(texts: DataFrame, common: Broadcast, n_buckets: int, percent: int)
 
 
 def candidates(packed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets (kind 0: a, b), and members of long lists (kind 1: a with pivot b, list tok)."""
-    schema = "kind int, a bigint, b bigint, tok bigint"
-    arrow = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("tok", pa.int64())])
+    """Pairs of sets with the short lists they share and the number needed (kind 0: a, b, n, need), and members of
+    long lists (kind 1: a with pivot b, list tok)."""
+    schema = "kind int, a bigint, b bigint, tok bigint, n int, need int"
+    arrow = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("tok", pa.int64()), ("n", pa.int32()), ("need", pa.int32())])
 
     def pairs(_: int, got: np.ndarray) -> Iterator[pa.RecordBatch]:
         got = got[np.lexsort((got["cls"], got["n"], got["tok"]))]
@@ -168,26 +177,34 @@ def candidates(packed: DataFrame, percent: int) -> DataFrame:
         got = got[new]
         edge = np.flatnonzero(np.concatenate([[True], got["tok"][1:] != got["tok"][:-1], [True]]))
         size = np.diff(edge)
-        a, b = [], []
+        found = []
         for m in range(2, LONG + 1):  # all lists of one length at once
             at = edge[:-1][size == m]
             for i in range(m - 1):
                 for j in range(i + 1, m):
                     x, y = got[at + i], got[at + j]
-                    ok = (100 * x["n"].astype(np.int64) >= percent * y["n"].astype(np.int64)) & (x["cls"] != y["cls"])
-                    a.append(x["cls"][ok])
-                    b.append(y["cls"][ok])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(both), np.int32)), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.nulls(len(both), pa.int64())], schema=arrow)
+                    ok = 100 * x["n"].astype(np.int64) >= percent * y["n"].astype(np.int64)
+                    x, y = x[ok], y[ok]
+                    found.append(np.stack([np.minimum(x["cls"], y["cls"]), np.maximum(x["cls"], y["cls"]), needed(x["n"].astype(np.int64))], 1))
+        if found:
+            both, count = np.unique(np.concatenate(found), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(both), np.int32)), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.nulls(len(both), pa.int64()), pa.array(count.astype(np.int32)), pa.array(both[:, 2].astype(np.int32))], schema=arrow)
         for at, m in zip(edge[:-1][size > LONG], size[size > LONG]):
             own = got[at : at + m]
-            pivot = own["cls"][m // 2]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.array(np.ascontiguousarray(own["cls"])), pa.array(np.full(m, pivot)), pa.array(np.full(m, own["tok"][0]).view(np.int64))], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.array(np.ascontiguousarray(own["cls"])), pa.array(np.full(m, own["cls"].min())), pa.array(np.full(m, own["tok"][0]).view(np.int64)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32())], schema=arrow)
 
     return reduce_buckets(packed, POST, pairs, schema, arrow)
 
 
+def to_compare(found: DataFrame) -> DataFrame:
+    """Distinct pairs that share as many short lists as they need, and members of long lists with their pivots.
+
+    A pair that links but shares fewer short lists shares a long one, and is met there.
+    """
+    short = found.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need")).filter("n >= need")
+    return ordered(short.select("a", "b").unionByName(found.filter("kind = 1").select("a", "b")))
+
+
 def with_texts(texts: DataFrame, profiles: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (sig, ...) with the text of one document that has the set."""
     chosen = profiles.filter("kind = 0").join(wanted, "sig").groupBy(*wanted.columns).agg(F.min("key").alias("key"))
@@ -285,7 +302,7 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = Non
     profiles = materialize(profile(texts), "shingle-profiles")
     common = docs.sparkSession.sparkContext.broadcast(common_tokens(profiles))
     found = materialize(candidates(postings(texts, common, buckets_for(docs, 1.5), percent), percent), "candidates")
-    pairs = materialize(ordered(found), "candidate-pairs")
+    pairs = materialize(to_compare(found), "candidate-pairs")
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
     held = materialize(with_texts(texts, profiles, wanted).dropDuplicates(["sig"]), "candidate-texts")
     n_buckets = buckets_for(docs, 1.0)
