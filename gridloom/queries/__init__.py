@@ -2,3 +2,5 @@
 
 from gridloom.queries.base import ORACLES, QUERIES
 from gridloom.queries import fitting  # noqa: F401
+from gridloom.queries import product  # noqa: F401,E402
+from gridloom.queries import sources  # noqa: F401,E402
