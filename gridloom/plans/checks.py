@@ -65,7 +65,6 @@ def count_of(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-A, B, C, H, U = (F.col(x) for x in "abchu")
 REGISTRY: dict[str, Check] = {}
 
 
@@ -117,7 +116,7 @@ def _(t):
 def _(t):
     h = t["hourly"].groupBy("cell", "ym").agg(F.avg("gpp").alias("m"))
     f = t["fits"].filter("channel = 'gpp'").select("cell", "ym", "u")
-    return one(h.join(f, ["cell", "ym"]), F.percentile(F.try_divide(F.abs(F.col("m") - U), F.nullif(F.abs(U), F.lit(0.0))), 0.99))
+    return one(h.join(f, ["cell", "ym"]), F.percentile(F.try_divide(F.abs(F.col("m") - F.col("u")), F.nullif(F.abs(F.col("u")), F.lit(0.0))), 0.99))
 
 
 @check("2.3", "months follow each other", "monthly", zero)
@@ -250,7 +249,7 @@ def _(t):
 def _(t):
     both = t["fits"].join(t["previous"].select("cell", "channel", "ym", F.col("c").alias("p")), ["cell", "channel", "ym"])
     back = F.row_number().over(W.partitionBy("cell", "channel").orderBy(F.desc("ym")))
-    return one(both.withColumn("_b", back).filter("_b <= 3"), F.percentile(F.try_divide(F.abs(C - F.col("p")), F.nullif(F.abs("p"), F.lit(0.0))), 0.5))
+    return one(both.withColumn("_b", back).filter("_b <= 3"), F.percentile(F.try_divide(F.abs(F.col("c") - F.col("p")), F.nullif(F.abs("p"), F.lit(0.0))), 0.5))
 
 
 @check("12.1", "leap February has 696 hours", "hourly", zero)
@@ -333,7 +332,7 @@ def _(t):
 
 @check("16.4", "revision horizon", "fits previous", below(0.25))
 def _(t):
-    both = t["fits"].join(t["previous"].select("cell", "channel", "ym", F.col("c").alias("p")), ["cell", "channel", "ym"]).withColumn("rel", F.try_divide(F.abs(C - F.col("p")), F.nullif(F.abs("p"), F.lit(0.0))))
+    both = t["fits"].join(t["previous"].select("cell", "channel", "ym", F.col("c").alias("p")), ["cell", "channel", "ym"]).withColumn("rel", F.try_divide(F.abs(F.col("c") - F.col("p")), F.nullif(F.abs("p"), F.lit(0.0))))
     from gridloom.operators.windows import tail_sweep
 
     return one(tail_sweep(both, "cell", "ym", "rel"), F.min("median"))
@@ -363,7 +362,7 @@ def _(t):
 @check("18.1", "pieces keep their sign", "fits", below(0.01), below(0.05))
 def _(t):
     g = t["fits"].filter("channel = 'gpp' AND u != 0")
-    return one(g, F.avg((piece_max(A, B, C, H) > 1e-12).cast("double")))
+    return one(g, F.avg((piece_max(F.col("a"), F.col("b"), F.col("c"), F.col("h")) > 1e-12).cast("double")))
 
 
 @check("18.2", "fit is continuous", "fits", below(1e-9))

@@ -12,20 +12,17 @@ from gridloom.functions.flux import evaluate, piece_max, piece_mean, piece_min,
 from gridloom.operators.windows import by_cell, envelope, weighted_quantile
 from gridloom.plans.fits import daily, fit
 
-A, B, C, H, U = (F.col(x) for x in ("a", "b", "c", "h", "u"))
-
-
 def residual(fitted: DataFrame, last: bool = False) -> DataFrame:
     """|piece mean - u| over |u|; the last piece is left out unless asked for."""
     w = by_cell()
-    out = fitted.withColumn("rel", F.try_divide(F.abs(piece_mean(A, B, C, H) - U), F.nullif(F.abs(U), F.lit(0.0)))).withColumn("_last", F.lead("ym").over(w).isNull())
+    out = fitted.withColumn("rel", F.try_divide(F.abs(piece_mean(F.col("a"), F.col("b"), F.col("c"), F.col("h")) - F.col("u")), F.nullif(F.abs(F.col("u")), F.lit(0.0)))).withColumn("_last", F.lead("ym").over(w).isNull())
     return (out if last else out.filter("NOT _last")).drop("_last")
 
 
 def overshoot(fitted: DataFrame, least: float = 1e-12) -> DataFrame:
     """Peak of each piece over the envelope of the means around it."""
-    env = envelope(U, by_cell())
-    return fitted.withColumn("env", env).withColumn("ratio", F.when(F.col("env") > least, piece_peak(A, B, C, H) / F.col("env")))
+    env = envelope(F.col("u"), by_cell())
+    return fitted.withColumn("env", env).withColumn("ratio", F.when(F.col("env") > least, piece_peak(F.col("a"), F.col("b"), F.col("c"), F.col("h")) / F.col("env")))
 
 
 def overshoot_summary(fitted: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -37,10 +34,10 @@ def overshoot_summary(fitted: DataFrame, keys: tuple[str, ...] = ()) -> DataFram
 def joints(fitted: DataFrame) -> DataFrame:
     """Jumps of value and slope at each piece's right end, curvature, and whether it turns inside."""
     w = by_cell()
-    turn = F.try_divide(-B, 2 * A)
+    turn = F.try_divide(-F.col("b"), 2 * F.col("a"))
     return overshoot(fitted).select(
-        *fitted.columns, "env", F.abs(evaluate(A, B, C, H) - F.lead(C).over(w)).alias("jump"), F.abs(2 * A * H + B - F.lead(B).over(w)).alias("slope_jump"), F.abs(2 * A * H * H).alias("curvature"),
-        F.coalesce((A != 0) & (turn > 0) & (turn < H), F.lit(False)).alias("turns"), "ratio",
+        *fitted.columns, "env", F.abs(evaluate(F.col("a"), F.col("b"), F.col("c"), F.col("h")) - F.lead(F.col("c")).over(w)).alias("jump"), F.abs(2 * F.col("a") * F.col("h") + F.col("b") - F.lead(F.col("b")).over(w)).alias("slope_jump"), F.abs(2 * F.col("a") * F.col("h") * F.col("h")).alias("curvature"),
+        F.coalesce((F.col("a") != 0) & (turn > 0) & (turn < F.col("h")), F.lit(False)).alias("turns"), "ratio",
     )
 
 
@@ -53,14 +50,14 @@ def scores(series: DataFrame, names: tuple[str, ...]) -> DataFrame:
     rel = F.try_divide("jump", F.nullif(F.col("env"), F.lit(0.0)))
     return every.groupBy("fitter").agg(
         F.max("ratio").alias("max_overshoot"), F.avg(F.when(F.col("ratio").isNotNull(), (F.col("ratio") > 1 + 1e-9).cast("double"))).alias("share_over"), F.percentile(rel, 0.5).alias("jump_median"), F.percentile(rel, 0.99).alias("jump_p99"),
-        F.avg(F.when(rel.isNotNull(), (rel > 1e-9).cast("double"))).alias("share_discontinuous"), F.avg(F.abs(A * H + B)).alias("gradient"), F.avg(F.col("turns").cast("double")).alias("share_turning"),
+        F.avg(F.when(rel.isNotNull(), (rel > 1e-9).cast("double"))).alias("share_discontinuous"), F.avg(F.abs(F.col("a") * F.col("h") + F.col("b"))).alias("gradient"), F.avg(F.col("turns").cast("double")).alias("share_turning"),
     )
 
 
 def footprint(series: DataFrame, name: str, bump: float = 1.10, tolerance: float = 0.01) -> DataFrame:
     """By cell: how many months before the last one move when its mean is revised."""
     last = F.lead("ym").over(by_cell()).isNull()
-    revised = series.withColumn("u", F.when(last, U * bump).otherwise(U))
+    revised = series.withColumn("u", F.when(last, F.col("u") * bump).otherwise(F.col("u")))
     keep = lambda d, p: d.select("cell", "ym", *(F.col(x).alias(f"{p}{x}") for x in ("c", "a", "b", "h")))
     both = keep(fit(series, name), "o_").join(keep(fit(revised, name), "n_"), ["cell", "ym"]).join(series.groupBy("cell").agg(F.max(F.abs("u")).alias("scale"), F.max("ym").alias("last")), "cell")
     at = lambda p, s: evaluate(F.col(f"{p}a"), F.col(f"{p}b"), F.col(f"{p}c"), s * F.col("o_h"))
@@ -70,8 +67,8 @@ def footprint(series: DataFrame, name: str, bump: float = 1.10, tolerance: float
 
 def sign_violations(fitted: DataFrame, sign: int, slack: float = 1e-12) -> DataFrame:
     """Pieces that reach the wrong side of 0, among pieces with a signal."""
-    bad = (piece_min(A, B, C, H) < -slack) if sign > 0 else (piece_max(A, B, C, H) > slack)
-    return fitted.filter(F.abs(U) > 0).agg(F.count_if(bad).alias("violations"), F.count("*").alias("pieces"))
+    bad = (piece_min(F.col("a"), F.col("b"), F.col("c"), F.col("h")) < -slack) if sign > 0 else (piece_max(F.col("a"), F.col("b"), F.col("c"), F.col("h")) > slack)
+    return fitted.filter(F.abs(F.col("u")) > 0).agg(F.count_if(bad).alias("violations"), F.count("*").alias("pieces"))
 
 
 def continuity(fitted: DataFrame) -> DataFrame:
@@ -80,7 +77,7 @@ def continuity(fitted: DataFrame) -> DataFrame:
 
 def fidelity(fitted: DataFrame, truth: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """RMSE of daily values against daily truth (cell, ym, day, value), over the envelope: by cell month, then averaged."""
-    env = fitted.withColumn("env", envelope(U, by_cell())).select("cell", "ym", "env")
+    env = fitted.withColumn("env", envelope(F.col("u"), by_cell())).select("cell", "ym", "env")
     d = daily(fitted).join(truth.select("cell", "ym", "day", F.col("value").alias("truth")), ["cell", "ym", "day"])
     month = d.groupBy("cell", "ym").agg(F.sqrt(F.avg(F.pow(F.col("value") - F.col("truth"), 2))).alias("rmse"), F.var_samp("value").alias("var_fit"), F.var_samp("truth").alias("var_truth")).join(env, ["cell", "ym"])
     month = month.withColumn("score", F.try_divide("rmse", F.nullif(F.col("env"), F.lit(0.0)))).withColumn("variance_fraction", F.try_divide("var_fit", F.nullif(F.col("var_truth"), F.lit(0.0))))
@@ -91,7 +88,7 @@ def structural_band(series: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """Spread between fits at the middle of each piece."""
     every = None
     for name in names:
-        one = fit(series, name).select("cell", "ym", evaluate(A, B, C, H / 2).alias("v"))
+        one = fit(series, name).select("cell", "ym", evaluate(F.col("a"), F.col("b"), F.col("c"), F.col("h") / 2).alias("v"))
         every = one if every is None else every.unionByName(one)
     return every.groupBy("cell", "ym").agg((F.max("v") - F.min("v")).alias("band"))
 
@@ -161,7 +158,7 @@ def spectrum(series: DataFrame, value: str, key: str = "cell") -> DataFrame:
 
 def flat_rate(fitted: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Share of pieces that fell back to a flat line."""
-    return fitted.groupBy(*keys).agg((F.count_if((A == 0) & (B == 0)) / F.count("*")).alias("flat"))
+    return fitted.groupBy(*keys).agg((F.count_if((F.col("a") == 0) & (F.col("b") == 0)) / F.count("*")).alias("flat"))
 
 
 def compare(left: DataFrame, right: DataFrame, keys: tuple[str, ...], value: str) -> DataFrame:

@@ -15,19 +15,16 @@ from gridloom.queries.base import HOURLY, MONTHLY, REGIONAL, SERIES, W, q4, quer
 from gridloom.schema import RADIUS_BUDGET
 from gridloom.sources.tables import hourly, monthly, regional
 
-U, V = F.col("u"), F.col("v")
-
-
 # 2.2 projections
 @query("p_flux_channels", f"WITH {MONTHLY} SELECT cell, ym, {q4('v * 1e3')} AS grams, {q4('-2 * v')} AS gpp, {q4('u + v')} AS rtot, {q4('u - v')} AS nee, {q4('u - v + 1.5 + 2.5')} AS nbe, {q4('u / 12')} AS mol, {q4('u * 12.011')} AS gc FROM m")
 def _(spark, root):
-    return monthly(spark, root).select("cell", "ym", r4(flux.kg_to_g(V)).alias("grams"), r4(flux.gpp(V)).alias("gpp"), r4(flux.rtot(V, U)).alias("rtot"), r4(flux.nee(V, U)).alias("nee"), r4(flux.nbe(V, U, F.lit(1.5), F.lit(2.5))).alias("nbe"), r4(flux.gc_to_mol(U)).alias("mol"), r4(flux.mol_to_gc(U)).alias("gc"))
+    return monthly(spark, root).select("cell", "ym", r4(flux.kg_to_g(F.col("v"))).alias("grams"), r4(flux.gpp(F.col("v"))).alias("gpp"), r4(flux.rtot(F.col("v"), F.col("u"))).alias("rtot"), r4(flux.nee(F.col("v"), F.col("u"))).alias("nee"), r4(flux.nbe(F.col("v"), F.col("u"), F.lit(1.5), F.lit(2.5))).alias("nbe"), r4(flux.gc_to_mol(F.col("u"))).alias("mol"), r4(flux.mol_to_gc(F.col("u"))).alias("gc"))
 
 
 @query("p4_clean", f"WITH {MONTHLY}, x AS (SELECT cell, ym, CASE WHEN ym % 5 = 0 THEN -1e34 WHEN ym % 5 = 1 THEN 'nan'::DOUBLE WHEN ym % 5 = 2 THEN NULL WHEN ym % 5 = 3 THEN 'inf'::DOUBLE ELSE v END AS x, v FROM m) SELECT cell, ym, CASE WHEN ym % 5 = 4 THEN {q4('v')} ELSE {q4('0.0')} END AS cleaned, ym % 5 <> 4 AS missing FROM x")
 def _(spark, root):
     k = F.col("ym") % 5
-    x = F.when(k == 0, -1e34).when(k == 1, float("nan")).when(k == 2, None).when(k == 3, float("inf")).otherwise(V)
+    x = F.when(k == 0, -1e34).when(k == 1, float("nan")).when(k == 2, None).when(k == 3, float("inf")).otherwise(F.col("v"))
     return monthly(spark, root).select("cell", "ym", r4(flux.clean(x)).alias("cleaned"), flux.to_null(x).isNull().alias("missing"))
 
 
@@ -196,7 +193,7 @@ def _placed(spark, root):
 
 @query("a6_budget", f"WITH {_PLACED} SELECT ym, {q4('sum(u * area_m2) * 86400 * 30 / 1e24', 6)} AS pg FROM x GROUP BY 1")
 def _(spark, root):
-    return _placed(spark, root).groupBy("ym").agg(r4(budget.pgc(U, F.col("area_m2"), F.lit(86400.0 * 30)) / 1e9, 6).alias("pg"))
+    return _placed(spark, root).groupBy("ym").agg(r4(budget.pgc(F.col("u"), F.col("area_m2"), F.lit(86400.0 * 30)) / 1e9, 6).alias("pg"))
 
 
 def _in_band(b: str) -> str:
@@ -298,7 +295,7 @@ def _(spark, root):
 
 @query("a26_residual_cutoff", f"WITH {SERIES}, x AS (SELECT cell, abs(u - avg(u) OVER (PARTITION BY cell)) AS rel FROM s), c AS (SELECT quantile_cont(rel, 0.99) AS p FROM x) SELECT cell % 10 AS band, count(*) FILTER (rel > (SELECT p FROM c)) AS n FROM x GROUP BY 1")
 def _(spark, root):
-    x = series(spark, root).select("cell", F.abs(windows.group_anomaly(U, "cell")).alias("rel"))
+    x = series(spark, root).select("cell", F.abs(windows.group_anomaly(F.col("u"), "cell")).alias("rel"))
     cut = x.agg(F.percentile("rel", 0.99).alias("p"))
     return x.crossJoin(F.broadcast(cut)).groupBy((F.col("cell") % 10).alias("band")).agg(F.count_if(F.col("rel") > F.col("p")).alias("n"))  # one row
 
@@ -306,7 +303,7 @@ def _(spark, root):
 @query("a27_outliers", f"WITH {SERIES}, z AS (SELECT cell, ym, abs(u - avg(u) OVER a) / stddev_pop(u) OVER a AS z, abs(u - avg(u) OVER b) / nullif(stddev_pop(u) OVER b, 0) AS zm FROM s WINDOW a AS (PARTITION BY cell), b AS (PARTITION BY cell, ym % 12)) SELECT cell, count(*) FILTER (z > 2.5) AS n, count(*) FILTER (zm > 2) AS by_month, bool_or(z > 6) AS any FROM z GROUP BY 1")
 def _(spark, root):
     x = series(spark, root).withColumn("month", F.col("ym") % 12)
-    z = x.select("cell", F.abs(windows.z_score(U, "cell")).alias("z"), F.abs(windows.z_score(U, "cell", "month")).alias("zm"))
+    z = x.select("cell", F.abs(windows.z_score(F.col("u"), "cell")).alias("z"), F.abs(windows.z_score(F.col("u"), "cell", "month")).alias("zm"))
     return z.groupBy("cell").agg(F.count_if(F.col("z") > 2.5).alias("n"), F.count_if(F.col("zm") > 2).alias("by_month"), F.bool_or(F.col("z") > 6).alias("any"))
 
 
@@ -454,7 +451,7 @@ def _(spark, root):
 def _(spark, root):
     f = fit(series(spark, root), "minmod")
     m = flux.piece_mean(*(F.col(x) for x in "abch")) * F.col("h")
-    x = f.groupBy(F.floor(F.col("ym") / 12).cast("int").alias("year")).agg(F.sum(m).alias("fitted"), F.sum(U * F.col("h")).alias("given"))
+    x = f.groupBy(F.floor(F.col("ym") / 12).cast("int").alias("year")).agg(F.sum(m).alias("fitted"), F.sum(F.col("u") * F.col("h")).alias("given"))
     return x.select("year", r4("fitted", 1).alias("fitted"), (F.abs(F.col("fitted") - F.col("given")) < 1e-9 * F.col("given")).alias("same"))
 
 
@@ -467,5 +464,5 @@ def _(spark, root):
 @query("h11_float_ulps", f"WITH {SERIES}, x AS (SELECT cell, u, u::FLOAT::DOUBLE AS r, max(abs(u)) OVER (PARTITION BY cell) AS p FROM s) SELECT cell, max(abs(u - r) / (1.1920928955078125e-07 * p)) <= 1 AS within, count(*) AS n FROM x GROUP BY 1")
 def _(spark, root):
     peak = F.max(F.abs("u")).over(Window.partitionBy("cell"))
-    x = series(spark, root).withColumn("ulps", D.float_ulps(U, U.cast("float").cast("double"), peak))
+    x = series(spark, root).withColumn("ulps", D.float_ulps(F.col("u"), F.col("u").cast("float").cast("double"), peak))
     return x.groupBy("cell").agg((F.max("ulps") <= 1).alias("within"), F.count("*").alias("n"))
