@@ -8,9 +8,10 @@ the sets are compared.
 Texts with one set are one class from the start, so copies cost nothing more. Counts for the first order cover
 all documents: each task reports the tokens it met in several texts; any function of the token serves as a
 global order, so what a task leaves out costs speed and never a link. Short posting lists give their pairs. A
-long list (over ``LONG``) does not: its members are paired with one pivot each; the Jaccard distance is a metric,
-so of members that did not turn out connected only those are paired further whose distances to the pivot differ
-by at most 1 - t. Pairs are compared with one text of each set, in buckets of pairs, and an end that has many
+long list (over ``LONG``) does not: its members are paired with one pivot each, and only members that did not turn
+out connected are paired further. What a pair can share is bounded first: shingles that no other candidate has
+are shared with nobody. And the Jaccard distance is a metric, so members whose distances to the pivot differ by
+more than 1 - t do not link. Pairs are compared with one text of each set, in buckets of pairs, and an end that has many
 pairs is dealt to many buckets.
 
 Defined results: empty and null texts have no shingles, link with nothing and are their own component; texts of
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.llm.components import components
 from gridloom.llm.exchange import SCHEMA, flushed, reduce_buckets
-from gridloom.llm.session import ROW, buckets_for, materialize, numbered
+from gridloom.llm.session import ROW, buckets_for, materialize, numbered, plan_bytes
 from gridloom.llm.textkit import LOWER, U64, Block, blocks, grams, mix, word_hashes, words
 
 SHINGLE = 5
@@ -166,7 +167,7 @@ def postings(texts: DataFrame, common: Broadcast, n_buckets: int, percent: int)
 
 def candidates(packed: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets with the short lists they share and the number needed (kind 0: a, b, n, need), and members of
-    long lists (kind 1: a with pivot b, list tok)."""
+    long lists (kind 1: member a, list tok)."""
     schema = "kind int, a bigint, b bigint, tok bigint, n int, need int"
     arrow = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("tok", pa.int64()), ("n", pa.int32()), ("need", pa.int32())])
 
@@ -191,23 +192,65 @@ def candidates(packed: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(both), np.int32)), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.nulls(len(both), pa.int64()), pa.array(count.astype(np.int32)), pa.array(both[:, 2].astype(np.int32))], schema=arrow)
         for at, m in zip(edge[:-1][size > LONG], size[size > LONG]):
             own = got[at : at + m]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.array(np.ascontiguousarray(own["cls"])), pa.array(np.full(m, own["cls"].min())), pa.array(np.full(m, own["tok"][0]).view(np.int64)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32())], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.array(np.ascontiguousarray(own["cls"])), pa.nulls(m, pa.int64()), pa.array(np.full(m, own["tok"][0]).view(np.int64)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32())], schema=arrow)
 
     return reduce_buckets(packed, POST, pairs, schema, arrow)
 
 
-def to_compare(found: DataFrame) -> DataFrame:
-    """Distinct pairs that share as many short lists as they need, and members of long lists with their pivots.
+def short_pairs(found: DataFrame) -> DataFrame:
+    """Distinct pairs that share as many short lists as they need. A pair that links but shares fewer shares a long one."""
+    short = found.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    return short.filter("n >= need").select("a", "b")
 
-    A pair that links but shares fewer short lists shares a long one, and is met there.
+
+def bounds(held: DataFrame, n_buckets: int) -> DataFrame:
+    """(sig, n, dead): of each set, how many shingles no other set in ``held`` has.
+
+    Shingles are compared by 32 bits within a bucket; two that fall together only count as shared, which loosens
+    the bound and loses nothing.
     """
-    short = found.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need")).filter("n >= need")
-    return ordered(short.select("a", "b").unionByName(found.filter("kind = 1").select("a", "b")))
+    record = np.dtype([("tok", "<u4"), ("cls", "<i8")])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts():
+            for block in blocks(batches):
+                tokens, at, sig = shingle_sets(block)
+                out = np.zeros(len(tokens), record)
+                out["tok"], out["cls"] = tokens >> U64(32), np.repeat(sig, np.diff(at))
+                yield out, (tokens % U64(n_buckets)).astype(np.int64)
+
+        yield from flushed(parts())
+
+    def lone(_: int, got: np.ndarray) -> Iterator[pa.RecordBatch]:
+        got = got[np.argsort(got["tok"], kind="stable")]
+        alone = np.ones(len(got), bool)
+        same = got["tok"][1:] == got["tok"][:-1]
+        alone[1:] &= ~same
+        alone[:-1] &= ~same
+        cls, n = np.unique(got["cls"][alone], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(n)], ["sig", "dead"])
+
+    dead = reduce_buckets(held.select("text").mapInArrow(send, SCHEMA), record, lone, "sig bigint, dead bigint", pa.schema([("sig", pa.int64()), ("dead", pa.int64())]))
+    dead = dead.groupBy("sig").agg(F.sum("dead").alias("dead"))
+    return held.select("sig", "n").join(dead, "sig", "left").select("sig", F.col("n").cast("bigint").alias("n"), F.coalesce("dead", F.lit(0)).alias("dead"))
+
+
+def may_link(n_a, dead_a, n_b, dead_b, percent: int):
+    """Whether sets of these sizes can link: they share no more than the lesser number of shingles that are not theirs alone."""
+    alive = F.least(n_a - dead_a, n_b - dead_b)
+    return 100 * alive >= percent * (n_a + n_b - alive)
+
+
+def bounded(pairs: DataFrame, bound: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that their bounds allow."""
+    of = lambda s: bound.select(F.col("sig").alias(f"{s}_sig"), F.col("n").alias(f"{s}_n"), F.col("dead").alias(f"{s}_dead"))
+    both = pairs.join(of("a"), F.col("a") == F.col("a_sig")).join(of("b"), F.col("b") == F.col("b_sig"))
+    return both.filter(may_link(*(F.col(c) for c in ("a_n", "a_dead", "b_n", "b_dead")), percent)).select("a", "b")
 
 
 def with_texts(texts: DataFrame, profiles: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (sig, ...) with the text of one document that has the set."""
-    chosen = profiles.filter("kind = 0").join(wanted, "sig").groupBy(*wanted.columns).agg(F.min("key").alias("key"))
+    chosen = profiles.filter("kind = 0").join(wanted, "sig").groupBy(*wanted.columns).agg(F.min("key").alias("key"), F.first("n").alias("n"))
     return texts.select("key", "text").join(chosen, "key").drop("key")
 
 
@@ -275,22 +318,45 @@ def ordered(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
 
-def still_apart(found: DataFrame, links: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs of long lists that may link and are not connected yet: none between members whose distances to the
-    pivot differ by more than 1 - t."""
+def still_apart(members: DataFrame, links: DataFrame, label: DataFrame, n_buckets: int, percent: int) -> DataFrame:
+    """Pairs within long lists that may link and are not connected yet. members: tok, x, n, dead, pivot.
+
+    None is made of members whose distances to the pivot differ by more than 1 - t, nor of members whose bounds
+    do not allow it. Within a list, ordered by shingles that are a set's own, a member is tried only while a
+    partner with as few of them could link, so the work is near the number of pairs that come out.
+    """
     d = links.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("d"))
     d = d.unionByName(d.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")).select(F.col("a").alias("d_a"), F.col("b").alias("d_b"), "d")
     of = label.select(F.col("v").alias("l_v"), F.col("label").alias("l_label"))
-    members = found.filter("kind = 1").select("tok", F.col("a").alias("x"), F.col("b").alias("pivot"))
-    members = members.join(d, (F.col("x") == F.col("d_a")) & (F.col("pivot") == F.col("d_b")), "left").join(of, F.col("x") == F.col("l_v"), "left")
-    members = materialize(members.select("tok", "x", "pivot", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("l_label", "x").alias("label")), "members")
-    home = members.filter("x = pivot").select(F.col("tok").alias("h_tok"), F.col("label").alias("home"))
+    members = members.join(of, F.col("x") == F.col("l_v"), "left").withColumn("label", F.coalesce("l_label", "x"))
+    mixed = members.groupBy(F.col("tok").alias("m_tok")).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("m_tok")
+    members = members.join(mixed, F.col("tok") == F.col("m_tok"), "left_semi").join(d, (F.col("x") == F.col("d_a")) & (F.col("pivot") == F.col("d_b")), "left")
+    own = F.when(F.col("x") == F.col("pivot"), 0.0).otherwise(F.col("d"))
+    members = members.select(F.pmod("tok", F.lit(n_buckets)).cast("int").alias("bucket"), "tok", "x", "n", "dead", "label", own.alias("d"))
     reach = 1 - percent / 100 + 1e-9
-    band = F.floor(F.col("d") / reach)
-    lost = members.join(home, F.col("tok") == F.col("h_tok")).filter("label != home").select(F.col("tok").alias("a_tok"), F.col("x").alias("a"), F.col("d").alias("a_d"), F.col("label").alias("a_label"), F.explode(F.array(band - 1, band, band + 1)).alias("a_band"))
-    others = members.select("tok", F.col("x").alias("b"), F.col("d").alias("b_d"), F.col("label").alias("b_label"), band.alias("band"))
-    more = lost.join(others, (F.col("a_tok") == F.col("tok")) & (F.col("a_band") == F.col("band"))).filter((F.col("a_label") != F.col("b_label")) & (F.abs(F.col("a_d") - F.col("b_d")) <= reach))
-    return ordered(more).join(ordered(links), ["a", "b"], "left_anti")
+
+    def pairs(table: pa.Table) -> pa.Table:
+        tok, x, n, dead, label, d = (table.column(c).to_numpy() for c in ("tok", "x", "n", "dead", "label", "d"))
+        order = np.lexsort((x, dead, tok))
+        tok, x, n, dead, label, d = (v[order] for v in (tok, x, n, dead, label, d))
+        edge = np.append(np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])), len(tok))
+        found = []
+        for i, j in zip(edge[:-1], edge[1:]):
+            most = n[i:j].max()
+            for k in range(i, j - 1):
+                if (100 + percent) * dead[k] > (100 - percent) * most:
+                    break  # all that follow have more of their own
+                rest = slice(k + 1, j)
+                alive = np.minimum(n[k] - dead[k], n[rest] - dead[rest])
+                ok = (label[rest] != label[k]) & (100 * alive >= percent * (n[k] + n[rest] - alive)) & ~(np.abs(d[rest] - d[k]) > reach)
+                if ok.any():
+                    y = x[rest][ok]
+                    found.append(np.stack([np.minimum(y, x[k]), np.maximum(y, x[k])], 1))
+        both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(both[:, 0].copy()), "b": pa.array(both[:, 1].copy())})
+
+    more = members.groupBy("bucket").applyInArrow(pairs, "a bigint, b bigint").distinct()
+    return more.join(ordered(links), ["a", "b"], "left_anti")
 
 
 def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = None) -> DataFrame:
@@ -302,13 +368,20 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = Non
     profiles = materialize(profile(texts), "shingle-profiles")
     common = docs.sparkSession.sparkContext.broadcast(common_tokens(profiles))
     found = materialize(candidates(postings(texts, common, buckets_for(docs, 1.5), percent), percent), "candidates")
-    pairs = materialize(to_compare(found), "candidate-pairs")
-    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    short = materialize(short_pairs(found), "short-pairs")
+    listed = found.filter("kind = 1").select("tok", F.col("a").alias("x"))
+    wanted = short.select(F.col("a").alias("sig")).unionByName(short.select(F.col("b").alias("sig"))).unionByName(listed.select(F.col("x").alias("sig"))).distinct()
     held = materialize(with_texts(texts, profiles, wanted).dropDuplicates(["sig"]), "candidate-texts")
+    bound = materialize(bounds(held, max(8, plan_bytes(docs) // (20 << 20))), "bounds")
+    members = listed.join(bound, F.col("x") == F.col("sig")).select("tok", "x", "n", "dead")
+    pivot = members.groupBy(F.col("tok").alias("p_tok")).agg(F.min(F.struct("dead", "x")).alias("p"))
+    members = materialize(members.join(pivot, F.col("tok") == F.col("p_tok")).select("tok", "x", "n", "dead", F.col("p.x").alias("pivot")), "long-lists")
+    stars = members.select(F.col("x").alias("a"), F.col("pivot").alias("b"))
+    pairs = materialize(bounded(ordered(short.unionByName(stars)), bound, percent), "candidate-pairs")
     n_buckets = buckets_for(docs, 1.0)
     links = materialize(verified(pairs, held, n_buckets, percent), "links")
     label = components(links.filter("linked"))
-    more = materialize(still_apart(found, links, label, percent), "more-pairs")
+    more = materialize(still_apart(members, links, label, n_buckets, percent), "more-pairs")
     more = materialize(verified(more, held, n_buckets, percent).filter("linked"), "more-links")
     if more.limit(1).count():
         label = components(links.filter("linked").unionByName(more))
