@@ -35,7 +35,7 @@ def packed(heads: np.ndarray, body: np.ndarray, size: np.ndarray, bucket: np.nda
     heads, bucket, size = heads[order], bucket[order], size[order]
     out = np.cumsum(size)
     body = body[np.repeat(start, size) + np.arange(out[-1] if len(out) else 0) - np.repeat(out - size, size)]
-    edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+    edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, np.int64)
     out = np.concatenate([[0], out])
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[edge[:-1]].astype(np.int32)), pa.array([heads[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()), pa.array([body[out[a] : out[b]].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],

@@ -194,7 +194,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFra
             new = np.ones(len(labels), bool)
             new[1:] = (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])
             head = np.flatnonzero(new)
-            tail = np.append(head[1:], len(labels)) - 1
+            tail = np.append(head[1:], len(labels))[: len(head)] - 1
             owner = np.searchsorted(text[head], np.arange(block.n + 1))
             said = [f"{names[labels[h]]}:{a}:{b}" for h, a, b in zip(head, starts[head] - block.offs[:-1][text[head]], ends[tail] - block.offs[:-1][text[head]])]
             yield pa.RecordBatch.from_arrays(

@@ -106,7 +106,7 @@ def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window:
         new = np.ones(len(at), bool)
         new[1:] = (owner[at][1:] != owner[at][:-1]) | (start[1:] != start[:-1] + 1)
         head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(at)) - 1
+        tail = np.append(head[1:], len(at))[: len(head)] - 1
         who = heads[owner[at[head]]]
         return pa.table({"k1": pa.array(np.ascontiguousarray(who["k1"])), "k2": pa.array(np.ascontiguousarray(who["k2"])), "start": pa.array(start[head].astype(np.int32)), "end": pa.array((start[tail] + window).astype(np.int32))})
 

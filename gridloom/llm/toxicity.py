@@ -101,7 +101,9 @@ def fit(texts: np.ndarray, terms: np.ndarray, toxic: np.ndarray, weight: np.ndar
 
 
 def scores(machine: Machine, block: Block) -> np.ndarray:
-    """Scores of the texts of a block."""
+    """Scores of the texts of a block; all 0 where nothing could be learned."""
+    if machine.bias == -np.inf:
+        return np.zeros(block.n)
     rows, terms = places(block)
     table = np.full(1 << BITS, -1, np.int32)
     table[machine.terms] = np.arange(len(machine.terms))
@@ -111,7 +113,7 @@ def scores(machine: Machine, block: Block) -> np.ndarray:
     for f in range(machine.v.shape[1]):
         x = machine.v[at, f]
         margin += 0.5 * (np.bincount(rows, x, n) ** 2 - np.bincount(rows, x * x, n))
-    return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
+    return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
 
 
 def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Machine:
