@@ -9,10 +9,10 @@ Texts with one set are one class from the start, so copies cost nothing more. Co
 all documents: each task reports the tokens it met in several texts; any function of the token serves as a
 global order, so what a task leaves out costs speed and never a link. Short posting lists give their pairs. A
 long list (over ``LONG``) does not: its members are paired with one pivot each, and only members that did not turn
-out connected are paired further. What a pair can share is bounded first: shingles that no other candidate has
-are shared with nobody. And the Jaccard distance is a metric, so members whose distances to the pivot differ by
-more than 1 - t do not link. Pairs are compared with one text of each set, in buckets of pairs, and an end that has many
-pairs is dealt to many buckets.
+out connected are looked at further. What a pair can share is bounded first: shingles that no other candidate has
+are shared with nobody. Pairs are compared with one text of each set, in buckets of pairs, and an end that has many
+pairs is dealt to many buckets. Members of long lists that stay apart are compared in blocks, where products of
+incidence matrices give all their overlaps at once; links between components come out, never the pairs tried.
 
 Defined results: empty and null texts have no shingles, link with nothing and are their own component; texts of
 1 to 4 words have their whole sequence as one shingle; a component's id is its smallest doc_id, null where all
@@ -42,6 +42,7 @@ LEAST_COMMON = 8
 LOCAL_COMMON = 3
 COUNTED = 1 << 22
 PAIRS_AT_ONCE = 2_000
+GROUP_BLOCK = 1_024
 EXTENDED = 20
 ORDERS = (U64(0xD1342543DE82EF95), U64(0xAF251AF3B0F025B5))
 POST = np.dtype([("tok", "<u8"), ("cls", "<i8"), ("n", "<u4")])
@@ -318,45 +319,70 @@ def ordered(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
 
-def still_apart(members: DataFrame, links: DataFrame, label: DataFrame, n_buckets: int, percent: int) -> DataFrame:
-    """Pairs within long lists that may link and are not connected yet. members: tok, x, n, dead, pivot.
-
-    None is made of members whose distances to the pivot differ by more than 1 - t, nor of members whose bounds
-    do not allow it. Within a list, ordered by shingles that are a set's own, a member is tried only while a
-    partner with as few of them could link, so the work is near the number of pairs that come out.
-    """
-    d = links.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("d"))
-    d = d.unionByName(d.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")).select(F.col("a").alias("d_a"), F.col("b").alias("d_b"), "d")
+def unresolved(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(v, n, label, grp) of the members of long lists that are not of one component yet; grp: connected by such lists."""
     of = label.select(F.col("v").alias("l_v"), F.col("label").alias("l_label"))
-    members = members.join(of, F.col("x") == F.col("l_v"), "left").withColumn("label", F.coalesce("l_label", "x"))
+    members = members.join(of, F.col("x") == F.col("l_v"), "left").select("tok", "x", "n", "pivot", F.coalesce("l_label", "x").alias("label"))
     mixed = members.groupBy(F.col("tok").alias("m_tok")).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("m_tok")
-    members = members.join(mixed, F.col("tok") == F.col("m_tok"), "left_semi").join(d, (F.col("x") == F.col("d_a")) & (F.col("pivot") == F.col("d_b")), "left")
-    own = F.when(F.col("x") == F.col("pivot"), 0.0).otherwise(F.col("d"))
-    members = members.select(F.pmod("tok", F.lit(n_buckets)).cast("int").alias("bucket"), "tok", "x", "n", "dead", "label", own.alias("d"))
-    reach = 1 - percent / 100 + 1e-9
-
-    def pairs(table: pa.Table) -> pa.Table:
-        tok, x, n, dead, label, d = (table.column(c).to_numpy() for c in ("tok", "x", "n", "dead", "label", "d"))
-        order = np.lexsort((x, dead, tok))
-        tok, x, n, dead, label, d = (v[order] for v in (tok, x, n, dead, label, d))
-        edge = np.append(np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])), len(tok))
+    members = materialize(members.join(mixed, F.col("tok") == F.col("m_tok"), "left_semi").select("x", "n", "pivot", "label").distinct(), "mixed-lists")
+    group = components(members.select(F.col("x").alias("a"), F.col("pivot").alias("b"))).select("v", F.col("label").alias("grp"))
+    own = members.select("x", "n", "label").distinct()
+    return own.join(group, F.col("x") == F.col("v")).select("v", "n", "label", "grp")
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Shared values of every two of some sets, exactly, as products of their incidence matrices, columns in blocks."""
+    m = len(sets)
+    size = np.array([len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = count[column] > 1  # what one set alone has is shared with none
+    column, row = column[keep], np.repeat(np.arange(m), size)[keep]
+    order = np.argsort(column, kind="stable")
+    column, row = np.unique(column[order], return_inverse=True)[1], row[order]
+    out = np.zeros((m, m), np.float32)
+    width = 2048
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (first, first + width))
+        x = np.zeros((m, width), np.float32)
+        x[row[a:b], column[a:b] - first] = 1
+        out += x @ x.T
+    return out.astype(np.int64)
+
+
+def group_links(left: DataFrame, held: DataFrame, n_buckets: int, percent: int) -> DataFrame:
+    """(a, b): labels of sets of one group that link. A group of over ``GROUP_BLOCK`` sets is dealt out as pairs of blocks.
+
+    Sets are compared where they lie together; what comes out are links between components, not pairs of sets.
+    """
+    size = left.groupBy(F.col("grp").alias("s_grp")).agg(F.ceil(F.count("*") / GROUP_BLOCK).alias("parts"))
+    left = left.join(size, F.col("grp") == F.col("s_grp")).withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other")
+    tasks = left.select("v", "label", "grp", "part", other).select("v", "label", F.xxhash64("grp", F.least("part", "other"), F.greatest("part", "other")).alias("task"))
+    sent = held.select("sig", "text").join(tasks, F.col("sig") == F.col("v")).select(F.pmod("task", F.lit(n_buckets)).cast("int").alias("bucket"), "task", "sig", "label", "text")
+
+    def apply(table: pa.Table) -> pa.Table:
+        task, label = table.column("task").to_numpy(), table.column("label").to_numpy()
+        rows, sets = [], []
+        for row, _, own in sets_of(table.select(["sig", "text"])):
+            rows.append(row)
+            sets.append(own)
+        rows = np.array(rows, np.int64)
         found = []
-        for i, j in zip(edge[:-1], edge[1:]):
-            most = n[i:j].max()
-            for k in range(i, j - 1):
-                if (100 + percent) * dead[k] > (100 - percent) * most:
-                    break  # all that follow have more of their own
-                rest = slice(k + 1, j)
-                alive = np.minimum(n[k] - dead[k], n[rest] - dead[rest])
-                ok = (label[rest] != label[k]) & (100 * alive >= percent * (n[k] + n[rest] - alive)) & ~(np.abs(d[rest] - d[k]) > reach)
-                if ok.any():
-                    y = x[rest][ok]
-                    found.append(np.stack([np.minimum(y, x[k]), np.maximum(y, x[k])], 1))
-        both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        for t in np.unique(task):
+            at = np.flatnonzero(task[rows] == t)
+            both = overlaps([sets[k] for k in at])
+            own = label[rows[at]]
+            n = np.array([len(sets[k]) for k in at])
+            i, j = np.nonzero(100 * both >= percent * (n[:, None] + n[None, :] - both))
+            apart = own[i] != own[j]
+            pairs = np.unique(np.sort(np.stack([i[apart], j[apart]], 1), axis=1), axis=0)
+            for x, y in pairs.tolist():
+                if compare(sets[at[x]], sets[at[y]], percent)[2]:
+                    found.append(sorted((int(own[x]), int(own[y]))))
+        both = np.unique(np.array(found, np.int64).reshape(-1, 2), axis=0)
         return pa.table({"a": pa.array(both[:, 0].copy()), "b": pa.array(both[:, 1].copy())})
 
-    more = members.groupBy("bucket").applyInArrow(pairs, "a bigint, b bigint").distinct()
-    return more.join(ordered(links), ["a", "b"], "left_anti")
+    return sent.groupBy("bucket").applyInArrow(apply, "a bigint, b bigint").distinct()
 
 
 def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = None) -> DataFrame:
@@ -381,10 +407,10 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = Non
     n_buckets = buckets_for(docs, 1.0)
     links = materialize(verified(pairs, held, n_buckets, percent), "links")
     label = components(links.filter("linked"))
-    more = materialize(still_apart(members, links, label, n_buckets, percent), "more-pairs")
-    more = materialize(verified(more, held, n_buckets, percent).filter("linked"), "more-links")
+    left = materialize(unresolved(members, label), "unresolved")
+    more = materialize(group_links(left, held, n_buckets, percent), "group-links")
     if more.limit(1).count():
-        label = components(links.filter("linked").unionByName(more))
+        label = components(links.filter("linked").select("a", "b").unionByName(more))
     rows = profiles.filter("kind = 0").select("rid", "doc_id", "n", "sig")
     rows = materialize(rows.join(label, rows["sig"] == label["v"], "left").select("rid", "doc_id", "n", F.coalesce("label", "sig").alias("root")), "rooted")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")

@@ -214,6 +214,7 @@ def brute_components(rows, percent=80):
 def test_ngram_join(spark, corpus, monkeypatch, long, at_once):
     monkeypatch.setattr(ngram_join, "LONG", long)
     monkeypatch.setattr(ngram_join, "PAIRS_AT_ONCE", at_once)
+    monkeypatch.setattr(ngram_join, "GROUP_BLOCK", at_once)
     got = ngram_join.ngram_join(docs(spark, corpus)).collect()
     assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(str, brute_components(corpus)))
 
