@@ -104,14 +104,29 @@ def poisson_bootstrap(df: DataFrame, value: str, unit: str, replicates: int = 20
     Blocks are summed first, so only (block, replicate) pairs are made; no block is drawn on the driver.
     """
     blocks = df.groupBy(unit).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(unit), F.col("r")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    cdf = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)])
-    weight = sum(((u > float(c)).cast("int") for c in cdf), F.lit(0))
-    each = blocks.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r")).withColumn("w", weight)
+    each = blocks.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r")).withColumn("w", poisson_weight(F.lit(seed), F.col(unit), F.col("r")))
     means = each.groupBy("r").agg(F.try_divide(F.sum(F.col("w") * F.col("s")), F.nullif(F.sum(F.col("w") * F.col("n")), F.lit(0))).alias("m"))
     return means.agg(F.percentile("m", p[0]).alias("low"), F.percentile("m", 0.5).alias("median"), F.percentile("m", p[1]).alias("high"))
 
 
+def refit_band(daily_values: DataFrame, name: str, replicates: int = 100, seed: int = 42, p: tuple[float, float] = (0.025, 0.975)) -> DataFrame:
+    """Interval of each piece's middle value when days are resampled and the series is fitted again. daily_values: cell, ym, day, value."""
+    from gridloom.operators.series import with_knots
+
+    each = daily_values.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r")).withColumn("w", poisson_weight(F.lit(seed), F.col("cell"), F.col("ym"), F.col("day"), F.col("r")))
+    means = each.groupBy("cell", "r", "ym").agg(F.coalesce(F.try_divide(F.sum(F.col("w") * F.col("value")), F.nullif(F.sum("w"), F.lit(0))), F.avg("value")).alias("u"))
+    fitted = fit(with_knots(means.select(F.concat_ws(":", "cell", "r").alias("cell"), "ym", "u")), name)
+    middle = fitted.select(F.split("cell", ":")[0].cast("int").alias("cell"), "ym", evaluate(F.col("a"), F.col("b"), F.col("c"), F.col("h") / 2).alias("v"))
+    return middle.groupBy("cell", "ym").agg(F.percentile("v", p[0]).alias("low"), F.percentile("v", p[1]).alias("high"))
+
+
+def poisson_weight(*key: Column) -> Column:
+    """A Poisson(1) draw that the key alone decides."""
+    u = F.pmod(F.xxhash64(*key), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    cdf = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)])
+    return sum(((u > float(c)).cast("int") for c in cdf), F.lit(0))
+
+
 def shadow_diff(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("cell",)) -> DataFrame:
     """Two diurnal cycles (cell, hour, m): ratio of means, ratio of amplitudes, shift of the least hour."""
     s = lambda d, p: d.groupBy(*keys).agg(F.avg("m").alias(f"{p}mean"), (F.max("m") - F.min("m")).alias(f"{p}amp"), F.min_by("hour", F.struct("m", "hour")).alias(f"{p}low"))

@@ -466,3 +466,45 @@ def _(spark, root):
     peak = F.max(F.abs("u")).over(Window.partitionBy("cell"))
     x = series(spark, root).withColumn("ulps", D.float_ulps(F.col("u"), F.col("u").cast("float").cast("double"), peak))
     return x.groupBy("cell").agg((F.max("ulps") <= 1).alias("within"), F.count("*").alias("n"))
+
+
+@query("a25_never_present", f"WITH {SERIES}, x AS (SELECT cell, (cell * 7 % 180) // 10 AS band, count(m.u) AS n FROM fr LEFT JOIN m USING (cell, ym) GROUP BY 1, 2) SELECT band::INT AS band, count(*) AS cells, count(*) FILTER (n < 83) AS with_gaps FROM x GROUP BY 1 ORDER BY with_gaps DESC, band LIMIT 5")
+def _(spark, root):
+    m = monthly(spark, root)
+    x = S.scaffold(m).join(m.select("cell", "ym", "u"), ["cell", "ym"], "left").groupBy("cell", F.floor((F.col("cell") * 7 % 180) / 10).cast("int").alias("band")).agg(F.count("u").alias("n"))
+    return x.groupBy("band").agg(F.count("*").alias("cells"), F.count_if(F.col("n") < 83).alias("with_gaps")).orderBy(F.desc("with_gaps"), "band").limit(5)
+
+
+@query("h8_spinup", f"WITH {MONTHLY}, c AS (SELECT cell, ym % 12 AS month, avg(u) AS u FROM m GROUP BY 1, 2) SELECT c.cell, y.ym::INT AS ym, {q4('u')} AS u, true AS flux_from_climatology FROM c JOIN range(23904, 23928) y(ym) ON y.ym % 12 = month")
+def _(spark, root):
+    m = monthly(spark, root)
+    early = spark.range(23904, 23928).select(F.col("id").cast("int").alias("ym"))
+    months = m.select("cell").distinct().crossJoin(F.broadcast(early))  # months of the spin-up
+    return diurnal.monthly_or_climatology(months, m, S.month_mean(m, ("cell",), ("u",)), ("u",)).filter("u IS NOT NULL").select("cell", "ym", r4("u").alias("u"), "flux_from_climatology")
+
+
+@query("s10_day_split", f"WITH {HOURLY} SELECT cell, ts::DATE::VARCHAR AS date, {q4('avg(value)')} AS nee, count(*) AS slots FROM e GROUP BY 1, 2")
+def _(spark, root):
+    x = hourly(spark, root).withColumn("date", F.to_date("ts").cast("string"))
+    return x.groupBy("cell", "date").agg(r4(F.avg("value")).alias("nee"), F.count("*").alias("slots"))
+
+
+@query("j9_lag_pairs", f"WITH {MONTHLY}, x AS (SELECT cell, ym, u, CASE WHEN lead(ym) OVER w = ym + 1 THEN lead(u) OVER w END AS n FROM m {W}) SELECT cell, {q4('corr(u, n)')} AS r, count(n) AS pairs FROM x GROUP BY 1")
+def _(spark, root):
+    w = windows.by_cell()
+    x = monthly(spark, root).withColumn("n", F.when(F.lead("ym").over(w) == F.col("ym") + 1, F.lead("u").over(w)))
+    return x.groupBy("cell").agg(r4(F.corr("u", "n")).alias("r"), F.count("n").alias("pairs"))
+
+
+@query("w6_december_to_january", f"WITH {SERIES}, x AS (SELECT cell, ym, u - lag(u) OVER w AS d FROM s {W}) SELECT cell, {q4('avg(abs(d)) FILTER (ym % 12 = 0)')} AS january, {q4('avg(abs(d)) FILTER (ym % 12 <> 0)')} AS others FROM x GROUP BY 1")
+def _(spark, root):
+    x = series(spark, root).withColumn("d", F.abs(windows.step(F.col("u"), windows.by_cell())))
+    january = F.col("ym") % 12 == 0
+    return x.groupBy("cell").agg(r4(F.avg(F.when(january, F.col("d")))).alias("january"), r4(F.avg(F.when(~january, F.col("d")))).alias("others"))
+
+
+@query("d13_refit_band")
+def _(spark, root):
+    from gridloom.queries.fitting import _truth
+
+    return D.refit_band(_truth(spark, root), "minmod", 20).select("cell", "ym", r4("low", 2).alias("low"), r4("high", 2).alias("high"))
