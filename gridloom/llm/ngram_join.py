@@ -399,7 +399,8 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = Non
     wanted = short.select(F.col("a").alias("sig")).unionByName(short.select(F.col("b").alias("sig"))).unionByName(listed.select(F.col("x").alias("sig"))).distinct()
     held = materialize(with_texts(texts, profiles, wanted).dropDuplicates(["sig"]), "candidate-texts")
     bound = materialize(bounds(held, max(8, plan_bytes(docs) // (20 << 20))), "bounds")
-    members = listed.join(bound, F.col("x") == F.col("sig")).select("tok", "x", "n", "dead")
+    open_ = 100 * (F.col("n") - F.col("dead")) >= percent * F.col("n")  # else it links with nothing
+    members = listed.join(bound.filter(open_), F.col("x") == F.col("sig")).select("tok", "x", "n", "dead")
     pivot = members.groupBy(F.col("tok").alias("p_tok")).agg(F.min(F.struct("dead", "x")).alias("p"))
     members = materialize(members.join(pivot, F.col("tok") == F.col("p_tok")).select("tok", "x", "n", "dead", F.col("p.x").alias("pivot")), "long-lists")
     stars = members.select(F.col("x").alias("a"), F.col("pivot").alias("b"))
