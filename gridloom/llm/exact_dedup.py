@@ -44,6 +44,7 @@ def with_recipes(cut: DataFrame) -> DataFrame:
     """Add each row's recipe: its chunks' verified identifiers in order."""
     refs = cut.select("rid", F.posexplode("chunks").alias("at", "c")).select("rid", "at", "c.h", "c.sha")
     clashing = refs.groupBy("h", "sha").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("sha")).alias("shas")).filter("n > 1").select("h", "shas")
+    clashing = materialize(clashing, "clashing")  # all but empty: what its size shows lets the join be a broadcast
     doubtful = refs.join(clashing, "h").select("rid", "at", F.array_position("shas", F.col("sha")).alias("variant"))
     doubtful = doubtful.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("at", "variant"))).alias("variants"))
     place = lambda c, i: F.struct(c["h"].alias("h"), F.coalesce(F.try_element_at("variants", i), F.lit(1).cast("bigint")).alias("variant"))
