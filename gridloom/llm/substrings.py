@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame, functions as F
 from gridloom.llm.anchors import Sketch, cell_bits, segments, sketch
 from gridloom.llm.exchange import packed
 from gridloom.llm.session import buckets_for, materialize
-from gridloom.llm.textkit import U64, Block, blocks, covered, grams, word_hashes, words
+from gridloom.llm.textkit import U64, WORD_BASE, Block, blocks, covered, grams, prefix, spans, word_hashes, words
 
 WINDOW = 35
 GRAM = 8
 #: One anchor in 14 words or so.
 BYTES_PER_ANCHOR = 80
-HEAD = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("start", "<u4"), ("n", "<u4")])
+HEAD = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("start", "<u4"), ("n", "<u4"), ("kind", "<u4")])
+#: A segment with its windows; one that this task met again, so that all its windows repeat; one met before, without them.
+ONCE, AGAIN, BEFORE = 0, 1, 2
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -61,6 +63,20 @@ def unsent(block: Block, seen: set[tuple[int, int]]) -> np.ndarray:
     return new
 
 
+def met_before(heads: np.ndarray, body: np.ndarray, n: np.ndarray, bucket: np.ndarray, n_buckets: int):
+    """Of segments with the same windows keep those of one; the others, dealt by text, only say where they are.
+
+    A passage that many texts share so costs each task one segment in the passage's bucket.
+    """
+    end = np.cumsum(n)
+    same = spans(prefix(body, WORD_BASE), end - n, end, WORD_BASE)
+    _, first, back, count = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
+    keep = np.zeros(len(heads), bool)
+    keep[first] = True
+    heads["kind"] = np.where(keep, np.where(count[back] > 1, AGAIN, ONCE), BEFORE)
+    return heads, body[np.repeat(keep, n)], np.where(keep, n, 0), np.where(keep, bucket, np.mod(heads["k1"], n_buckets))
+
+
 def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window: int) -> DataFrame:
     """(k1, k2, start, end) in words: stretches of each text that repeated windows cover."""
 
@@ -82,15 +98,15 @@ def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window:
             held.append((heads, body, n, (anchor % U64(n_buckets)).astype(np.int64)))
             size += body.nbytes + heads.nbytes
             if size > 16 << 20:
-                yield packed(*(np.concatenate(x) for x in zip(*held)))
+                yield packed(*met_before(*(np.concatenate(x) for x in zip(*held)), n_buckets))
                 held, size = [], 0
         if held:
-            yield packed(*(np.concatenate(x) for x in zip(*held)))
+            yield packed(*met_before(*(np.concatenate(x) for x in zip(*held)), n_buckets))
 
     def group(table: pa.Table) -> pa.Table:
         join = lambda name: b"".join(x for c in table.column(name).chunks for x in c.to_pylist())
         heads, body = np.frombuffer(join("heads"), HEAD), np.frombuffer(join("body"), U64)
-        n = heads["n"].astype(np.int64)
+        n = np.where(heads["kind"] == BEFORE, 0, heads["n"]).astype(np.int64)
         owner = np.repeat(np.arange(len(heads)), n)
         order = np.argsort(body, kind="stable")
         value = body[order]
@@ -101,6 +117,7 @@ def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window:
             same[:-1] |= equal
         hit = np.zeros(len(body), bool)
         hit[order] = same
+        hit |= heads["kind"][owner] == AGAIN
         at = np.flatnonzero(hit)
         start = heads["start"][owner[at]].astype(np.int64) + at - (np.cumsum(n) - n)[owner[at]]
         new = np.ones(len(at), bool)
@@ -108,7 +125,11 @@ def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window:
         head = np.flatnonzero(new)
         tail = np.append(head[1:], len(at))[: len(head)] - 1
         who = heads[owner[at[head]]]
-        return pa.table({"k1": pa.array(np.ascontiguousarray(who["k1"])), "k2": pa.array(np.ascontiguousarray(who["k2"])), "start": pa.array(start[head].astype(np.int32)), "end": pa.array((start[tail] + window).astype(np.int32))})
+        whole = heads[heads["kind"] == BEFORE]
+        begin = np.concatenate([start[head], whole["start"].astype(np.int64)])
+        end = np.concatenate([start[tail] + window, whole["start"].astype(np.int64) + whole["n"] - 1 + window])
+        who = np.concatenate([who, whole])
+        return pa.table({"k1": pa.array(who["k1"].copy()), "k2": pa.array(who["k2"].copy()), "start": pa.array(begin.astype(np.int32)), "end": pa.array(end.astype(np.int32))})
 
     sent = texts.select("k1", "k2", "text").mapInArrow(send, "bucket int, heads binary, body binary")
     return sent.groupBy("bucket").applyInArrow(group, "k1 bigint, k2 bigint, start int, end int")
