@@ -251,7 +251,8 @@ def bounded(pairs: DataFrame, bound: DataFrame, percent: int) -> DataFrame:
 
 def with_texts(texts: DataFrame, profiles: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (sig, ...) with the text of one document that has the set."""
-    chosen = profiles.filter("kind = 0").join(wanted, "sig").groupBy(*wanted.columns).agg(F.min("key").alias("key"), F.first("n").alias("n"))
+    own = profiles.filter("kind = 0").groupBy("sig").agg(F.min("key").alias("key"), F.first("n").alias("n"))  # copies fall together before the shuffle
+    chosen = own.join(wanted, "sig")
     return texts.select("key", "text").join(chosen, "key").drop("key")
 
 
