@@ -50,10 +50,12 @@ def log_errors(lines: DataFrame, value: str = "value", pattern: str = r"(?i)\b(e
 
 
 def tower_csv(spark: SparkSession, path: str, columns: list[str], skip: int = 2) -> DataFrame:
-    """Half-hourly tower file: ``skip`` lines before the header, -9999 for missing, rows with gaps left out."""
-    lines = spark.read.text(path).withColumn("_n", F.monotonically_increasing_id())
-    body = lines.orderBy("_n").rdd.zipWithIndex().filter(lambda x: x[1] >= skip).map(lambda x: x[0][0]) if skip else lines.rdd.map(lambda x: x[0])
-    return spark.read.csv(body, header=True, inferSchema=False, nullValue="-9999").select(*columns).dropna()
+    """One half-hourly tower file: ``skip`` lines before the header, -9999 for missing, rows with gaps left out."""
+    lines = spark.read.text(path).withColumn("_n", F.monotonically_increasing_id())  # a file's first split counts from 0
+    header = lines.filter(F.col("_n") == skip).first()["value"].split(",")
+    schema = ", ".join(f"`{c.strip()}` string" for c in header)
+    rows = lines.filter(F.col("_n") > skip).select(F.from_csv("value", schema, {"nullValue": "-9999"}).alias("r")).select("r.*")
+    return rows.select(*columns).dropna()
 
 
 def parse_column(name: str) -> tuple[str, int, int, int, int] | None:
