@@ -37,7 +37,11 @@ WIDTH = 100
 GRAM = 20
 BYTES_PER_ANCHOR = 35
 LAST = (1 << 63) - 1
-SEGMENT = np.dtype([("anchor", "<u4"), ("n", "<u4"), ("seg", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<u4")])
+#: place: of the minimiser in the segment; often: its minimiser has over ``OFTEN`` different segments.
+SEGMENT = np.dtype([("anchor", "<u4"), ("n", "u1"), ("place", "u1"), ("often", "<u2"), ("seg", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<u4")])
+OFTEN = 10_000
+#: Windows of such segments are dealt by where they lie to the minimiser, in steps of PART, and by the bytes they all hold.
+PART = 16
 SENT, MARKED, COPY = 0, 1, 2
 ROW = "bucket int, kind int, blob binary"
 BLOCK = 2 << 20
@@ -51,13 +55,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def cut(block: Block, width: int):
-    """Segments of a block: text, first window, windows, anchor hash and segment hash."""
+    """Segments of a block: text, first window, windows, the minimiser's place, its hash, and the segment's hash."""
     sums = prefix(block.data.astype(U64) + U64(1), BYTE_BASE)
     n = len(block.data) - GRAM + 1
     small = mix((sums[GRAM:] - sums[:-GRAM]) * powers(BYTE_BASE, n)[1]) if n > 0 else np.zeros(0, U64)
     text, begin, count, place = segments(small, block.offs, width - GRAM + 1, width)
     seg = spans(sums, begin, begin + count - 1 + width, BYTE_BASE) + mix((place - begin).astype(U64))
-    return text, begin, count, small[place], seg
+    return text, begin, count, place, small[place], seg
 
 
 def searched(block: Block, seen: dict[tuple[int, int], int]) -> np.ndarray:
@@ -79,7 +83,7 @@ def split(records: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[True], ~same])[: len(r)]
     again = r[~first & ~np.concatenate([[False], twin])[: len(r)]]
     marks = np.zeros(len(again), MARK)
-    marks["doc"], marks["key"], marks["start"], marks["end"] = again["doc"], again["key"], again["start"], again["start"] + again["n"] - 1 + width
+    marks["doc"], marks["key"], marks["start"], marks["end"] = again["doc"], again["key"], again["start"], again["start"] + again["n"].astype(np.uint32) - 1 + width
     return r[first], marks
 
 
@@ -112,10 +116,11 @@ def grouped(texts: DataFrame, found: Broadcast, n_buckets: int, n_docs: int, wid
             yield rows(marks, of_doc(marks, n_buckets), MARKED)
 
         for block in blocks(batches, most=BLOCK):
-            text, begin, n, anchor, seg = cut(block, width)
+            text, begin, n, place, anchor, seg = cut(block, width)
             use = np.flatnonzero(searched(block, seen)[text] & known.repeated(anchor))
             out = np.zeros(len(use), SEGMENT)
             owner = text[use]
+            out["place"] = (place - begin)[use]
             out["anchor"], out["n"], out["seg"], out["start"] = anchor[use] & U64(0xFFFFFFFF), n[use], seg[use], begin[use] - block.offs[:-1][owner]
             out["doc"], out["key"] = block.rows.column("doc").to_numpy()[owner], block.rows.column("key").to_numpy()[owner]
             held.append(out)
@@ -134,6 +139,8 @@ def grouped(texts: DataFrame, found: Broadcast, n_buckets: int, n_docs: int, wid
         lone[1:] &= ~equal
         lone[:-1] &= ~equal
         keep = keep[~lone]
+        _, back, count = np.unique(keep["anchor"], return_inverse=True, return_counts=True)
+        keep["often"] = count[back] > OFTEN
         return pa.Table.from_batches([rows(keep, of_doc(keep, n_docs), SENT), rows(marks, of_doc(marks, n_docs), MARKED)])
 
     sent = texts.select("doc", "key", "k1", "k2", "text").mapInArrow(send, ROW)
@@ -155,6 +162,28 @@ def lookup(table: pa.Table, records: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return hit, order[at[hit]]
 
 
+def parted(records: np.ndarray, data: np.ndarray, width: int, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segments of one text and their buckets; those of very common minimisers cut up.
+
+    Equal windows lie alike to their minimiser, so they fall into one step of PART places, and hold the bytes that
+    all windows of that step hold: those bytes choose the bucket, so one common passage fills many of them.
+    """
+    often = records["often"] > 0
+    out, where = [records[~often]], [records["anchor"][~often].astype(np.int64) % n_buckets]
+    for r in records[often]:
+        n, place = int(r["n"]), int(r["place"])
+        step = (place - np.arange(n)) // PART
+        for k in np.unique(step):
+            own = np.flatnonzero(step == k)
+            low = int(r["start"]) + place - PART * int(k)
+            core = int.from_bytes(hashlib.blake2b(data[low : low + width - PART + 1].tobytes() + bytes([int(k)]), digest_size=8).digest(), "little")
+            part = np.array([r], SEGMENT)
+            part["start"], part["n"], part["anchor"] = int(r["start"]) + own[0], len(own), core & 0xFFFFFFFF
+            out.append(part)
+            where.append(np.array([(core >> 32) % n_buckets]))
+    return np.concatenate(out), np.concatenate(where)
+
+
 def compared(texts: DataFrame, wanted: DataFrame, n_buckets: int, n_docs: int, width: int) -> DataFrame:
     """Marks from the suffix arrays of the segments in ``wanted``."""
 
@@ -166,10 +195,11 @@ def compared(texts: DataFrame, wanted: DataFrame, n_buckets: int, n_docs: int, w
         records, row = records[order], row[order]
         edge = np.append(np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, np.int64), len(row))
         text = left.column("text")
-        heads, bodies, sizes = [], [], []
+        heads, bodies, sizes, buckets = [], [], [], []
         for a, b in zip(edge[:-1], edge[1:]):
             data = np.frombuffer(text[int(row[a])].as_py().encode(), np.uint8)
-            own = records[a:b]
+            own, where = parted(records[a:b], data, width, n_buckets)
+            buckets.append(where)
             size = own["n"].astype(np.int64) - 1 + width
             at = np.repeat(own["start"].astype(np.int64) - (np.cumsum(size) - size), size) + np.arange(size.sum())
             heads.append(own)
@@ -180,7 +210,7 @@ def compared(texts: DataFrame, wanted: DataFrame, n_buckets: int, n_docs: int, w
             head = np.zeros(len(own), HEAD)
             for name in HEAD.names:
                 head[name] = own[name]
-            out.append(packed(head, np.concatenate(bodies), np.concatenate(sizes), own["anchor"].astype(np.int64) % n_buckets))
+            out.append(packed(head, np.concatenate(bodies), np.concatenate(sizes), np.concatenate(buckets)))
         return pa.Table.from_batches(out, pa.schema([("bucket", pa.int32()), ("heads", pa.binary()), ("body", pa.binary())]))
 
     kernel = gsaca.register(texts.sparkSession)
@@ -213,13 +243,15 @@ def later_copies(texts: DataFrame, n_docs: int) -> DataFrame:
 
 def suffix_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    if not GRAM <= width < GRAM + 255:
+        raise ValueError(f"width must be {GRAM} to {GRAM + 254} bytes")
     texts = keyed(docs)
     n_docs, n_buckets = buckets_for(docs, 2.0), buckets_for(docs, 1.0, 2 << 20)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         seen: dict[tuple[int, int], int] = {}
         for block in blocks(batches, most=BLOCK):
-            text, _, _, anchor, _ = cut(block, width)
+            text, _, _, _, anchor, _ = cut(block, width)
             yield anchor[searched(block, seen)[text]]
 
     counted = sketch(texts.select("doc", "k1", "k2", "text"), anchors, cell_bits(docs, BYTES_PER_ANCHOR))

@@ -108,6 +108,23 @@ def brute_bytes(rows, width):
     return out
 
 
+def test_common_minimisers_are_parted_alike():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(97, 123, 140).astype(np.uint8)
+    seen = {}
+    for lead in range(5):
+        data = np.concatenate([rng.integers(97, 123, 10 + lead).astype(np.uint8), passage, rng.integers(97, 123, 30).astype(np.uint8)])
+        at = 10 + lead + 60  # the minimiser, inside the passage
+        r = np.zeros(1, suffixes.SEGMENT)
+        r["start"], r["n"], r["place"], r["often"] = at - 60, 50 + lead, 60, 1
+        out, where = suffixes.parted(r, data, 100, 7)
+        assert out["n"].sum() == 50 + lead
+        for part, bucket in zip(out, where):
+            for i in range(int(part["n"])):
+                w = data[int(part["start"]) + i :][:100].tobytes()
+                assert seen.setdefault(w, (int(part["anchor"]), int(bucket))) == (int(part["anchor"]), int(bucket))
+
+
 def test_suffix_dedup_is_exact(spark, corpus):
     rows = [r for r in corpus if r[0] not in (600, 601)]
     got = sorted(map(str, map(tuple, suffixes.suffix_dedup(docs(spark, rows)).collect())))
