@@ -14,8 +14,15 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED
+    """This application's place in the folder that driver and executors share: spark.checkpoint.dir, or a local one
+    where that is unset. It goes when the application ends."""
+    context = spark.sparkContext
+    place = f"{spark.conf.get('spark.checkpoint.dir', None) or LOCAL_SHARED}/gridloom-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(place)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return place
 
 
 @contextmanager
@@ -30,10 +37,7 @@ def shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
-
-    The folder belongs to the application; the session's own housekeeping removes it.
-    """
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with shuffles_cleaned(spark):
@@ -47,7 +51,7 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def buckets_for(df: DataFrame, factor: float, target: int = 8 << 20, most: int = 1 << 16) -> int:
-    """Buckets so that ``factor`` times the bytes of ``df`` make about ``target`` bytes in each; four for each task slot at least."""
+    """Buckets so that ``factor`` times the bytes of ``df`` make about ``target`` bytes in each; as many as shuffle partitions at least."""
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(4, min(most, max(shuffle, int(plan_bytes(df) * factor / target))))
 
