@@ -57,42 +57,46 @@ def places(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return (key >> U64(BITS)).astype(np.int64), (key & U64((1 << BITS) - 1)).astype(np.int64)
 
 
-def fit(texts: np.ndarray, terms: np.ndarray, toxic: np.ndarray, weight: np.ndarray, factors: int = FACTORS, most_terms: int = MOST_TERMS, seed: int = 0) -> Machine:
-    """Fit on (text, term) pairs; toxic and weight by text."""
+def fit(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, factors: int = FACTORS, most_terms: int = MOST_TERMS, seed: int = 0) -> Machine:
+    """Fit on texts given by their distinct terms; toxic and weight by text. Works through the texts a thousand at a time."""
     n, size = len(toxic), 1 << BITS
     if not n or not weight.sum():
         return Machine(-np.inf, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
     total, positive = weight.sum(), float((weight * toxic).sum())
     base = np.clip(positive / total, 1e-6, 1 - 1e-6)
-    df, df_pos = np.bincount(terms, minlength=size), np.bincount(terms[toxic[texts] == 1], minlength=size)
-    n_pos = int(toxic.sum())
-    rate = n_pos / n
+    df, df_pos = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    for k in range(0, n, 1000):
+        for counts, own in ((df, rows[k : k + 1000]), (df_pos, [r for r, y in zip(rows[k : k + 1000], toxic[k : k + 1000]) if y])):
+            if own:
+                counts += np.bincount(np.concatenate(own), minlength=size).astype(np.int32)
+    rate = toxic.sum() / n
     with np.errstate(all="ignore"):
         z = np.where(df >= 2, (df_pos - df * rate) / np.sqrt(df * rate * (1 - rate)), 0.0)
     z = np.nan_to_num(z)
     chosen = np.flatnonzero(np.abs(z) >= 3)
     if len(chosen) > most_terms:
         chosen = np.sort(chosen[np.argsort(-np.abs(z[chosen]), kind="stable")[:most_terms]])
-    place = np.full(size, -1, np.int64)
+    place = np.full(size, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    keep = place[terms] >= 0
-    rows, cols, m = texts[keep], place[terms[keep]], len(chosen)
+    found = [at[at >= 0] for at in (place[r] for r in rows)]
+    texts = np.repeat(np.arange(n), [len(x) for x in found])
+    cols, m = np.concatenate(found), len(chosen)
     rng = np.random.default_rng(seed)
     w, v, b = np.zeros(m), rng.normal(0, 0.02, (m, factors)), float(np.log(base / (1 - base)))
     share = weight / total
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (w, v)]
     for step in range(1, 151):
-        vs = np.stack([np.bincount(rows, v[cols, f], n) for f in range(factors)], 1) if m else np.zeros((n, factors))
-        squares = np.bincount(rows, (v[cols] ** 2).sum(1), n) if m else np.zeros(n)
-        margin = b + np.bincount(rows, w[cols], n) + 0.5 * ((vs**2).sum(1) - squares)
+        vs = np.stack([np.bincount(texts, v[cols, f], n) for f in range(factors)], 1) if m else np.zeros((n, factors))
+        squares = np.bincount(texts, (v * v).sum(1)[cols], n) if m else np.zeros(n)
+        margin = b + np.bincount(texts, w[cols], n) + 0.5 * ((vs**2).sum(1) - squares)
         error = share * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic)
         b -= 2.0 * float(error.sum())
         if not m:
             continue
-        e = error[rows]
+        e = error[texts]
         gw = np.bincount(cols, e, m) + 1e-5 * w
         es = np.bincount(cols, e, m)
-        gv = np.stack([np.bincount(cols, e * vs[rows, f], m) for f in range(factors)], 1) - es[:, None] * v + 1e-4 * v
+        gv = np.stack([np.bincount(cols, e * vs[texts, f], m) for f in range(factors)], 1) - es[:, None] * v + 1e-4 * v
         for x, g, (m1, m2) in ((w, gw, state[0]), (v, gv, state[1])):
             m1 += 0.1 * (g - m1)
             m2 += 0.01 * (g * g - m2)
@@ -132,12 +136,10 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most
             yield pa.RecordBatch.from_arrays([block.rows.column("toxic"), pa.array([terms[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())], ["toxic", "terms"])
 
     got = sample.mapInArrow(features, "toxic int, terms binary").toArrow()
-    toxic = got.column("toxic").to_numpy().astype(np.int64)
-    terms = [np.frombuffer(x, np.int32) for x in got.column("terms").to_pylist()]
-    order = sorted(range(len(terms)), key=lambda i: (toxic[i], terms[i].tobytes()))  # whatever order the rows came in
-    toxic, terms = toxic[order], [terms[i] for i in order]
-    texts = np.repeat(np.arange(len(terms)), [len(x) for x in terms])
-    return fit(texts, np.concatenate(terms).astype(np.int64) if terms else np.zeros(0, np.int64), toxic, np.where(toxic == 1, 1 / part[1], 1 / part[0]))
+    found = sorted(zip(got.column("toxic").to_pylist(), got.column("terms").to_pylist()))  # whatever order the rows came in
+    del got
+    toxic = np.array([y for y, _ in found], np.int64)
+    return fit([np.frombuffer(x, np.int32) for _, x in found], toxic, np.where(toxic == 1, 1 / part[1], 1 / part[0]))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
