@@ -42,11 +42,17 @@ def missing(df: DataFrame, key: str = "cell") -> DataFrame:
 
 
 def filled(df: DataFrame, key: str = "cell", values: tuple[str, ...] = ("u", "v")) -> DataFrame:
-    """The series on its scaffold, gaps taken from the month's climatology, with a flag."""
-    clim = month_mean(df, (key,), values).select(key, "month", *(F.col(v).alias(f"{v}_clim") for v in values))
-    frame = scaffold(df, key).withColumn("month", F.col("ym") % 12)
-    out = frame.join(df.withColumn("present", F.lit(True)), [key, "ym"], "left").join(clim, [key, "month"], "left")
-    return out.select(key, "ym", *(F.coalesce(v, f"{v}_clim").alias(v) for v in values), F.col("present").isNull().alias("from_clim"))
+    """The series on its scaffold, gaps taken from the month's climatology, with a flag. (key, ym) is unique.
+
+    A key's months meet in one row (bounded by the record), are laid on the calendar there, and stay partitioned by
+    key for the climatology's window and for what follows: no join, and one scan beside that of the record's ends.
+    """
+    held = df.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ym", F.struct(*values).alias("v")))).alias("_held"))
+    ends = df.agg(F.min("ym").alias("_lo"), F.max("ym").alias("_hi"))
+    laid = F.transform(F.sequence("_lo", "_hi"), lambda m: F.struct(m.alias("ym"), F.try_element_at("_held", m).alias("v")))
+    rows = held.crossJoin(F.broadcast(ends)).select(key, F.inline(laid))  # one row
+    month = W.partitionBy(key, F.col("ym") % 12)
+    return rows.select(key, "ym", *(F.coalesce(F.col("v")[x], F.avg(F.col("v")[x]).over(month)).alias(x) for x in values), F.col("v").isNull().alias("from_clim"))
 
 
 def with_knots(series: DataFrame) -> DataFrame:

@@ -12,6 +12,10 @@ from gridloom.functions.flux import evaluate, piece_max, piece_mean, piece_min,
 from gridloom.operators.windows import by_cell, envelope, weighted_quantile
 from gridloom.plans.fits import daily, fit
 
+#: An extremum so near to a piece's end, as a share of its width, lies on it: limiters put them there.
+EDGE = 1e-9
+
+
 def residual(fitted: DataFrame, last: bool = False) -> DataFrame:
     """|piece mean - u| over |u|; the last piece is left out unless asked for."""
     w = by_cell()
@@ -37,7 +41,7 @@ def joints(fitted: DataFrame) -> DataFrame:
     turn = F.try_divide(-F.col("b"), 2 * F.col("a"))
     return overshoot(fitted).select(
         *fitted.columns, "env", F.abs(evaluate(F.col("a"), F.col("b"), F.col("c"), F.col("h")) - F.lead(F.col("c")).over(w)).alias("jump"), F.abs(2 * F.col("a") * F.col("h") + F.col("b") - F.lead(F.col("b")).over(w)).alias("slope_jump"), F.abs(2 * F.col("a") * F.col("h") * F.col("h")).alias("curvature"),
-        F.coalesce((F.col("a") != 0) & (turn > 0) & (turn < F.col("h")), F.lit(False)).alias("turns"), "ratio",
+        F.coalesce((F.col("a") != 0) & (turn > EDGE * F.col("h")) & (turn < (1 - EDGE) * F.col("h")), F.lit(False)).alias("turns"), "ratio",
     )
 
 

@@ -99,6 +99,7 @@ MINMOD = linear()
 #: Value at the right end, at an interior extremum (or NULL), and the largest magnitude of a piece.
 END = "(a * h * h + b * h + c)"
 VERTEX = "(CASE WHEN a <> 0 AND -b / (2 * a) > 0 AND -b / (2 * a) < h THEN c - b * b / (4 * a) END)"
+TURNS = "coalesce(a <> 0 AND -b / (2 * a) > 1e-9 * h AND -b / (2 * a) < (1 - 1e-9) * h, false)"
 PEAK = f"greatest(abs(c), abs{END}, coalesce(abs{VERTEX}, 0))"
 HOURLY = "e AS (SELECT event_type AS cell, date_trunc('hour', ts) AS ts, avg(value) AS value FROM events GROUP BY 1, 2)"
 REGIONAL = "g AS (SELECT n_nationkey::INT AS cell, (year(o_orderdate) * 12 + month(o_orderdate) - 1)::INT AS ym, avg(o_totalprice) AS u, n_nationkey * 7.25 - 88 AS lat FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 4)"

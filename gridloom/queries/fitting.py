@@ -156,7 +156,7 @@ def _(spark, root):
 
 
 _SCORED = {"constant": B.CONSTANT, "minmod": B.MINMOD, "ppm": B.PPM}
-_JOINT = f"j AS (SELECT *, abs({B.END} - lead(c) OVER w) AS jump, {B.PEAK} / env AS ratio, {B.VERTEX} IS NOT NULL AS turns FROM n {W})"
+_JOINT = f"j AS (SELECT *, abs({B.END} - lead(c) OVER w) AS jump, {B.PEAK} / env AS ratio, {B.TURNS} AS turns FROM n {W})"
 
 
 @query("d2_scores", " UNION ALL ".join(f"""(WITH {SERIES}, {sql}, {_ENV}, {_JOINT} SELECT '{k}' AS fitter, {q4('max(ratio)')} AS max_overshoot, {q4('avg((ratio > 1.000000001)::INT)')} AS share_over, {q4('quantile_cont(jump / env, 0.5)')} AS jump_median, {q4('quantile_cont(jump / env, 0.99)')} AS jump_p99, {q4('avg((jump / env > 1e-9)::INT)')} AS share_discontinuous, {q4('avg(abs(a * h + b))')} AS gradient, {q4('avg(turns::INT)')} AS share_turning FROM j)""" for k, sql in _SCORED.items()))
@@ -165,7 +165,7 @@ def _(spark, root):
     return out.select("fitter", *(r4(c).alias(c) for c in out.columns if c != "fitter"))
 
 
-@query("d3_joints", f"WITH {SERIES}, {B.PPM}, {_ENV} SELECT cell, ym, {q4(f'abs({B.END} - lead(c) OVER w)')} AS jump, {q4('abs(2 * a * h + b - lead(b) OVER w)')} AS slope_jump, {q4('abs(2 * a * h * h)')} AS curvature, {B.VERTEX} IS NOT NULL AS turns FROM n {W}")
+@query("d3_joints", f"WITH {SERIES}, {B.PPM}, {_ENV} SELECT cell, ym, {q4(f'abs({B.END} - lead(c) OVER w)')} AS jump, {q4('abs(2 * a * h + b - lead(b) OVER w)')} AS slope_jump, {q4('abs(2 * a * h * h)')} AS curvature, {B.TURNS} AS turns FROM n {W}")
 def _(spark, root):
     return D.joints(fit(series(spark, root), "ppm")).select("cell", "ym", r4("jump").alias("jump"), r4("slope_jump").alias("slope_jump"), r4("curvature").alias("curvature"), "turns")
 
