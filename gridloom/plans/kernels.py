@@ -1,15 +1,16 @@
 """Fits of whole series, in numpy: what a window cannot say (scans, linear systems, quadratic programs).
 
-Each takes piece widths h and means u and gives a, b, c (kriging a variance as well). Cells are independent, so
-they run as one Arrow group each; a group is one cell's record, bounded by the months there are.
+Each takes piece widths h and means u and gives a, b, c (kriging a variance as well). Cells are independent: tasks
+stream through them in Arrow batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 Fit = tuple[np.ndarray, np.ndarray, np.ndarray]
@@ -259,22 +260,92 @@ def bounded_iterative(u: np.ndarray, per_piece: int = 30, rounds: int = 100, upp
 KERNELS: dict[str, Callable[[np.ndarray, np.ndarray], Fit]] = {"pchip": pchip, "piqs": piqs, "mss": mss, "atpk": lambda h, u: kriged(h, u)[:3], "histospline": histospline}
 
 
-def fit(series: DataFrame, kernel: str, key: str = "cell") -> DataFrame:
-    """Fit every cell of (cell, ym, t0, h, u): adds a, b, c, and var for kriging."""
+def many_monotone_slopes(u: np.ndarray) -> np.ndarray:
+    """monotone_slopes of every row of u at once: the pass goes over pieces, each step over all rows."""
+    m = np.concatenate([u[:, :1], (u[:, :-1] + u[:, 1:]) / 2, u[:, -1:]], axis=1)
+    for k in range(u.shape[1]):
+        s = u[:, k]
+        still = s == 0
+        safe = np.where(still, 1.0, s)
+        alpha, beta = m[:, k] / safe, m[:, k + 1] / safe
+        reach = np.hypot(alpha, beta)
+        pull = np.where(reach > 3, 3 / np.maximum(reach, 3), 1.0)
+        m[:, k] = np.where(still, 0.0, np.where(reach > 3, safe * alpha * pull, m[:, k]))
+        m[:, k + 1] = np.where(still, 0.0, np.where(reach > 3, safe * beta * pull, m[:, k + 1]))
+    return m
+
+
+def many_pchip(h: np.ndarray, u: np.ndarray) -> Fit:
+    """pchip of every row."""
+    s = np.where(u.mean(1, keepdims=True) < 0, -1.0, 1.0)
+    v = s * u
+    m = many_monotone_slopes(v)
+    left, right = m[:, :-1], m[:, 1:]
+    return s * (3 * (left + right) - 6 * v) / h**2, s * (6 * v - 4 * left - 2 * right) / h, s * left
+
+
+#: Kernels that take many records of one length at once.
+TOGETHER = {"pchip": many_pchip}
+HELD_ROWS = 200_000
+
+
+def fitted(table: pa.Table, key: str, kernel: str) -> pa.Table:
+    """a, b, c (and var) for whole cells, in order of key and time."""
+    n = table.num_rows
+    k = table.column(key).combine_chunks()
+    new = np.ones(n, bool)
+    if n > 1:
+        new[1:] = pc.not_equal(k.slice(1), k.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    at = np.append(np.flatnonzero(new), n)
+    h, u = table.column("h").to_numpy(), table.column("u").to_numpy()
+    out = np.zeros((4 if kernel == "atpk" else 3, n))
+    weights: dict[int, list] = {}
+    length = np.diff(at)
+    for size in np.unique(length):
+        start = at[:-1][length == size]
+        rows = start[:, None] + np.arange(size)
+        live = np.any(u[rows] != 0, axis=1)  # a silent record keeps zeros
+        rows = rows[live]
+        if kernel in TOGETHER and len(rows):
+            for x, values in zip(out, TOGETHER[kernel](h[rows], u[rows])):
+                x[rows] = values
+            continue
+        for own in rows:
+            if kernel == "atpk":
+                weights.setdefault(size, all_kriging_weights(int(size)))
+                values = kriged(h[own], u[own], weights[size])
+            else:
+                values = KERNELS[kernel](h[own], u[own])
+            for x, v in zip(out, values):
+                x[own] = v
+    for name, x in zip(("a", "b", "c", "var"), out):
+        table = table.append_column(name, pa.array(x))
+    return table
+
+
+def fit(series: DataFrame, kernel: str, key: str = "cell", rows_at_once: int = HELD_ROWS) -> DataFrame:
+    """Fit every cell of (cell, ym, t0, h, u): adds a, b, c, and var for kriging.
+
+    One shuffle and sort by cell; a task streams through its cells some hundreds at a time, and holds no more.
+    """
     extra = ", var double" if kernel == "atpk" else ""
     schema = f"{key} {dict(series.dtypes)[key]}, ym int, t0 double, h double, u double, a double, b double, c double{extra}"
 
-    def apply(table: pa.Table) -> pa.Table:
-        table = table.sort_by("ym")
-        h, u = table.column("h").to_numpy(), table.column("u").to_numpy()
-        if not np.any(u):
-            out = [np.zeros(len(u))] * (4 if extra else 3)
-        elif kernel == "atpk":
-            out = kriged(h, u)
-        else:
-            out = KERNELS[kernel](h, u)
-        for name, x in zip(("a", "b", "c", "var"), out):
-            table = table.append_column(name, pa.array(np.asarray(x, float)))
-        return table
-
-    return series.select(key, "ym", "t0", "h", "u").groupBy(key).applyInArrow(apply, schema)
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < rows_at_once:
+                continue
+            table = pa.Table.from_batches(held)
+            k = table.column(key).combine_chunks()
+            last = pc.index(k, k[-1]).as_py()  # the last cell may go on in the next batch
+            if last:
+                yield from fitted(table.slice(0, last), key, kernel).combine_chunks().to_batches()
+            held = table.slice(last).to_batches()
+        if held:
+            table = pa.Table.from_batches(held)
+            if table.num_rows:
+                yield from fitted(table, key, kernel).combine_chunks().to_batches()
+
+    return series.select(key, "ym", "t0", "h", "u").repartition(key).sortWithinPartitions(key, "ym").mapInArrow(apply, schema)

@@ -49,6 +49,27 @@ def test_monotone_slopes_stay_in_the_circle():
         assert (np.hypot(m[:-1] / u, m[1:] / u) <= 3 + 1e-9).all()
 
 
+def test_many_records_at_once_are_as_one():
+    rng = np.random.default_rng(9)
+    u = rng.uniform(0, 5, (40, 15)) * rng.choice([1, -1], (40, 1))
+    u[rng.random(u.shape) < 0.1] = 0
+    h = np.tile(np.resize(H, 15), (40, 1))
+    many = kernels.many_pchip(h, u)
+    for i in range(40):
+        for x, y in zip(many, kernels.pchip(h[i], u[i])):
+            assert np.allclose(x[i], y, atol=1e-12)
+
+
+def test_cells_that_span_batches(spark):
+    df = series(spark, {k: np.random.default_rng(k).uniform(1, 9, 20 + k % 3) for k in range(30)})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = kernels.fit(df, "pchip", rows_at_once=25).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(out) == df.count() and np.allclose(mean(out.h, out.a, out.b, out.c), out.u)
+
+
 def test_smoothest_fit_keeps_its_sign_at_test_points():
     rng = np.random.default_rng(3)
     for _ in range(50):
