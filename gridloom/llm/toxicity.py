@@ -129,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most
     sample = docs.select("doc_id", "text").join(F.broadcast(known.filter(draw)), "doc_id")  # bounded by the two limits
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, most=2 << 20):
             rows, terms = places(block)
             edges = np.searchsorted(rows, np.arange(block.n + 1))
             terms = terms.astype(np.int32)
@@ -146,7 +146,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, most=2 << 20):
             yield pa.RecordBatch.from_arrays([block.rows.column("doc_id"), pa.array(scores(machine, block), pa.float64())], ["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(apply, "doc_id bigint, score double")
@@ -157,7 +157,7 @@ def kept(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> Dat
     """The rows that score under ``threshold``, with all their columns; nothing is joined or shuffled."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, most=2 << 20):
             yield block.rows.filter(pa.array(scores(machine, block) < threshold))
 
     return docs.mapInArrow(apply, docs.schema)
