@@ -1,13 +1,18 @@
-"""Line deduplication by content-defined chunks of lines.
+"""Line deduplication: every passage of two lines or more that occurs again goes, all but its first occurrence.
 
-A hash rolls over the hashes of three lines in a row; where its low bits are 0 a chunk ends after the line. The
-boundaries depend on those lines alone, so chunks line up again after lines were put in or left out. Chunks of
-two lines or more that occur more than once anywhere are removed, all but the first (by doc_id, then place),
-after their bytes were compared: texts under one 128-bit key are grouped byte for byte, and a key that stood for
-two texts is left alone.
+``passage_dedup`` is the whole job and what op9 runs. A passage of two lines or more is a row of windows of two
+lines, so windows are what is matched: no copy is lost to where a boundary falls. A window is known by the 64-bit
+hashes of its two lines; the bytes of all lines are grouped under their hashes, and windows with a hash that stood
+for two texts are left alone. Of a window that occurs more than once the first occurrence (by doc_id, null last,
+then place) stays, and the lines under each later one go; where a later one overlaps the first (a run of one
+repeated line, of which the first two stay) only the line outside it goes. The first occurrence of any line stays.
 
-Chunks travel once, pre-aggregated in each task, so a chunk that most documents share moves once a task. What
-is joined afterwards are keys and places, about 40 bytes a chunk.
+``line_dedup`` matches coarse content-defined chunks alone and finds fewer copies, none that a boundary does not
+delimit: a hash rolls over the hashes of three lines in a row; where its low bits are 0 a chunk ends after the line.
+Chunks of two lines or more that occur more than once anywhere are removed, all but the first, after their bytes
+were compared: texts under one 128-bit key are grouped byte for byte, and a key that stood for two texts is left
+alone. Chunks travel once, pre-aggregated in each task, so a chunk that most documents share moves once a task.
+What is joined afterwards are keys and places, about 40 bytes a chunk.
 
 Defined results: lines end at \\n; null text counts as empty; an empty text has one empty line; rows that repeat
 a doc_id are documents each, ties between equal doc_ids going to the row read first; other columns are ignored.
@@ -22,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridloom.llm.session import materialize
-from gridloom.llm.textkit import BYTE_BASE, U64, WORD_BASE, Block, blocks, mix, prefix, spans
+from gridloom.llm.textkit import BYTE_BASE, U64, WORD_BASE, Block, blocks, covered, mix, prefix, spans
 
 ROLL = 3
 #: One line in four ends a chunk.
@@ -30,8 +35,8 @@ MASK = 3
 NEWLINE = 0x0A
 
 
-def chunks(block: Block):
-    """Per chunk: document, first line, lines, byte start and end, and a 128-bit key; lines of each document."""
+def cut_lines(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Byte start and end of each line, lines of each document, and the number of each document's first line (one more entry)."""
     data, offs = block.data, block.offs
     breaks = np.flatnonzero(data == NEWLINE)
     doc = np.searchsorted(offs, breaks, "right") - 1
@@ -46,6 +51,13 @@ def chunks(block: Block):
     inner = np.ones(first[-1], bool)
     inner[first[1:] - 1] = False
     ends[inner] = breaks
+    return starts, ends, n_lines, first
+
+
+def chunks(block: Block):
+    """Per chunk: document, first line, lines, byte start and end, and a 128-bit key; lines of each document."""
+    data = block.data
+    starts, ends, n_lines, first = cut_lines(block)
     sums = prefix(data.astype(U64) + U64(1), BYTE_BASE)
     line = spans(sums, starts, ends, BYTE_BASE)
     rolled = spans(prefix(line, WORD_BASE), np.maximum(np.arange(len(line)) - ROLL + 1, 0), np.arange(1, len(line) + 1), WORD_BASE)
@@ -60,8 +72,74 @@ def chunks(block: Block):
     return owner[head], head - first[:-1][owner[head]], tail - head + 1, a, b, k1.view(np.int64), k2.view(np.int64), n_lines
 
 
+def line_hashes(block: Block, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return spans(prefix(block.data.astype(U64) + U64(1), BYTE_BASE), starts, ends, BYTE_BASE).view(np.int64)
+
+
+def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, n_lines and ``parts`` (stretches of lines, which may overlap) to what ``passage_dedup`` returns."""
+    for batch in batches:
+        n = batch.column("n_lines").to_numpy(zero_copy_only=False).astype(np.int64)
+        parts = batch.column("parts")
+        flat = parts.flatten()
+        a, b = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("a", "b"))
+        base = np.concatenate([[0], np.cumsum(n + 1)])  # one place more for each document, so that stretches end there
+        at = np.repeat(base[:-1], parts.value_lengths().to_numpy(zero_copy_only=False))
+        gone = np.concatenate([[False], covered(int(base[-1]), at + a, at + b), [False]])
+        edges = np.flatnonzero(gone[1:] != gone[:-1])
+        heads, ends = edges[::2], edges[1::2]
+        doc = np.searchsorted(base, heads, "right") - 1
+        said = [[] for _ in range(len(n))]
+        for d, x, y in zip(doc.tolist(), (heads - base[doc]).tolist(), (ends - base[doc]).tolist()):
+            said[d].append(f"{x}:{y}")
+        removed = np.bincount(doc, (ends - heads), len(n)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(removed), pa.array([",".join(x) for x in said], pa.string())], ["doc_id", "n_lines", "n_removed", "removed"])
+
+
+def passage_dedup(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_lines, n_removed, removed (first:end of stretches of removed lines)."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each line, with its hash and that of the next line of the document; the last has none after it."""
+        for block in blocks(batches):
+            starts, ends, n_lines, first = cut_lines(block)
+            line = line_hashes(block, starts, ends)
+            owner = np.repeat(np.arange(block.n), n_lines)
+            final = np.zeros(len(line), bool)
+            final[first[1:] - 1] = True
+            ids = pa.array(owner)
+            place = (np.arange(len(line)) - first[:-1][owner]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([block.rows.column("rid").take(ids), block.rows.column("doc_id").take(ids), pa.array(place), pa.array(line), pa.array(np.roll(line, -1), mask=final)], ["rid", "doc_id", "line", "k1", "k2"])
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bytes of each line under its hash; a line alone in its document is in no window."""
+        for block in blocks(batches):
+            starts, ends, n_lines, _ = cut_lines(block)
+            many = np.repeat(n_lines > 1, n_lines)
+            starts, ends = starts[many], ends[many]
+            body = [block.data[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(line_hashes(block, starts, ends)), pa.array(body, pa.binary())], ["k", "body"])
+
+    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    cut = materialize(texts.mapInArrow(keys, "rid bigint, doc_id bigint, line int, k1 bigint, k2 bigint"), "lines")
+    refs = cut.filter("k2 IS NOT NULL")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "line")
+    repeated = refs.groupBy("k1", "k2").agg(F.count("*").alias("times"), F.min(place).alias("keep")).filter("times > 1").select("k1", "k2", "keep")
+    compared = docs.select("text").mapInArrow(bodies, "k bigint, body binary").groupBy("k", "body").agg(F.count("*").alias("times"))
+    two_texts = materialize(compared.groupBy("k").agg(F.count("*").alias("texts")).filter("texts > 1").select("k"), "lines-of-one-hash")
+    for k in ("k1", "k2"):
+        repeated = repeated.join(two_texts.select(F.col("k").alias(k)), k, "left_anti")
+    repeated = materialize(repeated, "repeated-windows")
+    inside = (F.col("rid") == F.col("keep.rid")) & (F.col("line") == F.col("keep.line") + 1)
+    gone = refs.join(repeated, ["k1", "k2"]).filter(place != F.col("keep"))
+    gone = gone.groupBy("rid").agg(F.collect_list(F.struct((F.col("line") + inside.cast("int")).alias("a"), (F.col("line") + 2).alias("b"))).alias("parts"))
+    whole = cut.filter("k2 IS NULL").select("rid", "doc_id", (F.col("line") + 1).alias("n_lines")).join(gone, "rid", "left")
+    whole = whole.select("doc_id", "n_lines", F.coalesce("parts", F.array().cast("array<struct<a:int,b:int>>")).alias("parts"))
+    return whole.mapInArrow(rendered, "doc_id bigint, n_lines bigint, n_removed bigint, removed string")
+
+
 def line_dedup(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_lines, n_removed, removed (first:end of removed lines)."""
+    """By chunks alone: one row per row of ``docs``: doc_id, n_lines, n_removed, removed (first:end of removed lines)."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):

@@ -46,7 +46,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_dedup(table(spark, sf_dir, "documents"))
+    return lines.passage_dedup(table(spark, sf_dir, "documents"))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -303,6 +303,49 @@ def test_line_chunks_shift(spark):
     assert len(texts[0] & texts[1]) >= len(texts[0]) - 2
 
 
+def brute_passages(rows):
+    """Windows of two lines, straight from the definition: lines under copies after the first, less what the first itself covers."""
+    cut = [(t or "").split("\n") for _, t in rows]
+    seen = {}
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k)):
+        for i in range(len(cut[k]) - 1):
+            seen.setdefault((cut[k][i], cut[k][i + 1]), []).append((k, i))
+    gone = [set() for _ in rows]
+    for (d, i), *later in seen.values():
+        for k, j in later:
+            gone[k] |= {j, j + 1} - ({i, i + 1} if k == d else set())
+    return gone, cut
+
+
+def test_passages_are_removed_wherever_they_stand(spark):
+    rng = random.Random(9)
+    fresh = iter(range(10**6))
+    own = lambda n: [f"own {next(fresh)}" for _ in range(n)]
+    shared = [[f"passage {p} line {i}" for i in range(n)] for p, n in enumerate((2, 2, 3, 4, 8, 30))]
+    rows = [(k, "\n".join(own(rng.randrange(1, 4)) + rng.choice(shared) + own(rng.randrange(3)) + rng.choice(shared) + own(rng.randrange(2)))) for k in range(40)]
+    rows += [(50, None), (51, ""), (52, "\n\n\n"), (None, "\n".join(shared[0])), (53, "one"), (54, "\n".join(own(1) + ["same"] * 9 + own(1))), (55, "same\nsame\nsame"), (7, "\n".join(shared[1])), (56, "a\nb\na\nb\na\nb")]
+    got = {}
+    for r in lines.passage_dedup(docs(spark, rows)).collect():
+        removed = {i for part in r["removed"].split(",") if part for i in range(*map(int, part.split(":")))}
+        assert len(removed) == r["n_removed"]
+        got.setdefault(r["doc_id"], []).append((r["n_lines"], sorted(removed)))
+    gone, cut = brute_passages(rows)
+    want = {}
+    for k, (doc_id, _) in enumerate(rows):
+        want.setdefault(doc_id, []).append((len(cut[k]), sorted(gone[k])))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert got[54] == [(11, [*range(3, 10)])] and got[55] == [(3, [0, 1, 2])] and got[56] == [(6, [2, 3, 4, 5])]
+    assert {k for k, r in enumerate(rows[:40]) if gone[k]} >= set(range(6, 40))
+    assert lines.passage_dedup(docs(spark, [])).count() == 0
+
+
+def test_op9_runs_the_whole_job(spark, tmp_path):
+    from gridloom.llm.queries import op9_line_dedup
+
+    docs(spark, [(1, "x\nshared a\nshared b\ny"), (2, "z\nshared a\nshared b\nw")]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["removed"] for r in op9_line_dedup(spark, str(tmp_path)).collect()} == {1: "", 2: "1:3"}
+
+
 # decontamination
 
 
