@@ -4,7 +4,7 @@ A check is a measure (one aggregate row) and limits on it. The registry holds wh
 measure and its limits; ``run`` unions any set of them. Tables, all long:
 
 monthly: cell, i, j, lon, lat, area_m2, ym, npp, rh, fire, fuel, is_clim | fits: cell, channel, ym, t0, h, u, a, b, c
-hourly: cell, lon, lat, ts, ym, gpp, resp, nee, ssrd | summary: ym, {nee,gpp,resp}_{band}, year
+hourly: cell, lon, lat, ts, ym, gpp, resp, nee, ssrd (fluxes in the units of monthly) | summary: ym, {nee,gpp,resp}_{band} in Pg a month
 manifest, logs, files, attributes as their sources give them.
 """
 
@@ -19,7 +19,7 @@ from gridloom.functions.flux import clean, piece_max, piece_mean, piece_min, sol
 from gridloom.functions.grid import disjoint_band
 from gridloom.operators.windows import neighbour_pairs
 from gridloom.plans import budget, diagnostics
-from gridloom.schema import CHECK
+from gridloom.schema import CHECK, SECONDS_PER_DAY
 
 Tables = dict[str, DataFrame]
 
@@ -125,11 +125,11 @@ def _(t):
     return one(t["monthly"].select("cell", "ym").distinct().withColumn("_g", gap), F.count_if(F.col("_g") != 1))
 
 
-@check("2.4", "daily mean against the month's", "hourly monthly", below(0.01), below(0.10))
+@check("2.4", "daily mean against the month's", "hourly monthly", below(0.01))
 def _(t):
-    d = t["hourly"].groupBy("cell", "ym", F.to_date("ts").alias("d")).agg(F.avg("nee").alias("v")).groupBy("cell", "ym").agg(F.avg("v").alias("m"))
-    m = t["hourly"].groupBy("cell", "ym").agg(F.avg("nee").alias("w"))
-    return one(d.join(m, ["cell", "ym"]), F.max(F.try_divide(F.abs(F.col("m") - F.col("w")), F.nullif(F.abs("w"), F.lit(0.0)))))
+    d = t["hourly"].groupBy("cell", "ym", F.to_date("ts").alias("d")).agg(F.avg("gpp").alias("v")).groupBy("cell", "ym").agg(F.avg("v").alias("m"))
+    m = t["monthly"].filter(F.abs("npp") > 1e-15).select("cell", "ym", (-2 * F.col("npp")).alias("w"))
+    return one(d.join(m, ["cell", "ym"]), F.max(F.abs(F.col("m") - F.col("w")) / F.abs("w")))
 
 
 @check("3.1", "sign flips that logs report", "logs", lambda v: v <= 5, lambda v: v <= 15)
@@ -152,11 +152,11 @@ def _(t):
 
 
 def annual_range(id_: str, name: str, column: str, low: float, high: float) -> None:
-    REGISTRY[id_] = Check(id_, name, ("summary",), lambda t: one(budget.annual(t["summary"], column), F.count_if(~F.col(column).between(low, high))), zero)
+    REGISTRY[id_] = Check(id_, name, ("summary",), lambda t: one(budget.annual(t["summary"], column), F.when(F.count("*") > 0, F.count_if(~F.coalesce(F.col(column).between(low, high), F.lit(False))))), zero)
 
 
-annual_range("5.1", "annual uptake in range", "gpp_global", -1e300, 0.0)
-annual_range("5.1r", "annual respiration in range", "resp_global", 0.0, 1e300)
+annual_range("5.1", "annual uptake in range", "gpp_global", -200.0, -50.0)
+annual_range("5.1r", "annual respiration in range", "resp_global", 30.0, 200.0)
 
 
 @check("5.2", "year-on-year changes", "summary", below(25), below(50))
@@ -277,24 +277,35 @@ def _(t):
 
 
 def biome(id_: str, name: str, lon: float, lat: float, value: str, good, warn=None) -> None:
-    """Mean, amplitude or month of least NEE of the cell at a point."""
+    """Of NEE in the cell at a point: its mean over all months; or, of its mean year over the last five years, the month
+    of least NEE, or how many marks of a boreal forest it lacks (least in May to September, most in November to April,
+    an amplitude over 5e-7)."""
 
     def measure(t: Tables) -> DataFrame:
         i, j = int((lon + 180) // 1), int((lat + 90) // 1)
         own = t["monthly"].filter((F.col("i") == i) & (F.col("j") == j)).withColumn("nee", clean(F.col("rh")) - clean(F.col("npp")))
-        mean = own.groupBy((F.col("ym") % 12 + 1).alias("month")).agg(F.avg("nee").alias("m"))
-        return one(mean, {"mean": F.avg("m"), "amplitude": F.max("m") - F.min("m"), "low": F.min_by("month", F.struct("m", "month"))}[value])
+        if value == "mean":
+            return one(own, F.avg("nee"))
+        year = F.floor(F.col("ym") / 12)
+        recent = own.withColumn("_y", year).withColumn("_last", F.max(year).over(W.partitionBy("cell"))).filter("_y >= _last - 4")
+        mean = recent.groupBy((F.col("ym") % 12 + 1).alias("month")).agg(F.avg("nee").alias("m"))
+        low, high = F.min_by("month", F.struct("m", "month")), F.max_by("month", F.struct("m", -F.col("month")))
+        if value == "low":
+            return one(mean, low)
+        lacks = (~low.between(5, 9)).cast("int") + high.between(5, 10).cast("int") + (F.max("m") - F.min("m") <= 5e-7).cast("int")
+        return one(mean, lacks)
 
     REGISTRY[id_] = Check(id_, name, ("monthly",), measure, good, warn)
 
 
-biome("14.1", "Amazon: small seasonal cycle", -60.5, -3.5, "amplitude", lambda v: v >= 0)
-biome("14.2", "Siberia: summer uptake", 100.5, 60.5, "low", lambda v: v.isin(6, 7, 8))
-biome("14.3", "Sahara: near 0", 10.5, 23.5, "mean", lambda v: F.abs(v) < 1e-5)
-biome("19.1", "Midwest: summer uptake", -93.5, 42.5, "low", lambda v: v.isin(6, 7, 8))
-biome("19.2", "Western Europe: late spring uptake", 5.5, 48.5, "low", lambda v: v.isin(5, 6, 7))
-biome("19.3", "Southeast Asia: no strong season", 102.5, 15.5, "amplitude", lambda v: v >= 0)
-biome("19.4", "Australia: modest flux", 134.5, -24.5, "mean", lambda v: F.abs(v) < 1e-4)
+# Cells that the reference finds nearest to its sites; of two as near, the one in the south or west.
+biome("14.1", "Manaus: no large source", -60.5, -3.5, "mean", lambda v: v <= 5e-7)
+biome("14.2", "Hyytiala: seasons of a boreal forest", 23.5, 60.5, "boreal", zero)
+biome("14.3", "Sahel: uptake in the monsoon", 19.5, 12.5, "low", lambda v: v.isin(7, 8, 9, 10))
+biome("19.1", "Utqiagvik: summer uptake", -156.5, 70.5, "low", lambda v: v.isin(6, 7, 8))
+biome("19.2", "Caatinga: uptake in the wet season", -40.5, -10.5, "low", lambda v: v.isin(12, 1, 2, 3, 4, 5))
+biome("19.3", "Kalimantan: no large source", 114.5, -2.5, "mean", lambda v: v <= 5e-7)
+biome("19.4", "Central Australia: small net flux", 134.5, -25.5, "mean", lambda v: F.abs(v) <= 1e-6)
 
 
 @check("15.1", "trend of net flux", "summary", lambda v: F.abs(v) < 0.2, lambda v: F.abs(v) < 0.5)
@@ -352,11 +363,12 @@ def _(t):
     return one(shape, F.percentile(hours_apart(F.col("low_hour") + 0.5, solar_noon(F.col("lon"))), 0.5))
 
 
-@check("17.3", "amplitude is largest where light is", "hourly", lambda v: v >= 0)
+@check("17.3", "daily cycle in the tropics", "hourly", lambda v: v >= 1.5)
 def _(t):
     cycle = budget.diurnal_cycle(t["hourly"], "gpp", ("cell", "lat"), F.hour("ts"))
-    shape = budget.diurnal_shape(cycle, ("cell", "lat")).withColumn("band", disjoint_band(F.col("lat")))
-    return one(shape, F.avg(F.when(F.col("band") == 0, F.col("amplitude"))))
+    ratio = cycle.groupBy("cell", "lat").agg((F.max("m") - F.min("m")).alias("range"), F.abs(F.avg("m")).alias("mean")).filter("mean > 1e-8").withColumn("r", F.col("range") / F.col("mean"))
+    south, north = (F.percentile(F.when((F.col("lat") >= lo) & (F.col("lat") < lo + 30), F.col("r")), 0.5) for lo in (-30, 0))
+    return one(ratio, F.coalesce((south + north) / 2, south, north))
 
 
 @check("18.1", "pieces keep their sign", "fits", below(0.01), below(0.05))
@@ -378,10 +390,12 @@ def _(t):
     return one(both, F.max(F.try_divide(F.abs(F.col("npp") - F.col("o")), F.nullif(F.abs("o"), F.lit(0.0)))))
 
 
-@check("20.2", "net biome exchange has a value", "monthly", lambda v: F.abs(v) < 1e6)
+@check("20.2", "net biome exchange within 3 Pg a year", "monthly", lambda v: F.abs(v) <= 3, lambda v: F.lit(True))
 def _(t):
     nbe = clean(F.col("rh")) - clean(F.col("npp")) + clean(F.col("fire")) + clean(F.col("fuel"))
-    return one(t["monthly"].groupBy("ym").agg(F.sum(nbe * F.col("area_m2")).alias("s")), F.avg("s") / 1e15)
+    months = t["monthly"].groupBy("ym").agg((F.sum(nbe * F.col("area_m2")) * (365.25 * SECONDS_PER_DAY / 1e15)).alias("s"))
+    years = months.groupBy(F.floor(F.col("ym") / 12).alias("year")).agg(F.avg("s").alias("s"))
+    return one(years.filter("year BETWEEN 2001 AND 2024"), F.avg("s"))
 
 
 def outliers(id_: str, name: str, keys: tuple[str, ...]) -> None:
@@ -469,10 +483,18 @@ def _(t):
     return one(t["hourly"].groupBy("cell", F.to_date("ts").alias("d")).agg(F.count("*").alias("n")), F.count_if(F.col("n") != 24))
 
 
-@check("C5.1", "hourly means return the month's", "hourly monthly", below(0.05))
+def round_trip(hourly: DataFrame, monthly: DataFrame) -> DataFrame:
+    """The worst deviation of a month's hourly means from the monthly field they were made of, by its largest value."""
+    h = hourly.groupBy("cell", "ym").agg(F.avg(clean(F.col("nee"))).alias("m"))
+    field = monthly.select("cell", "ym", (clean(F.col("rh")) - clean(F.col("npp"))).alias("w"))
+    peak = field.groupBy("ym").agg(F.max(F.abs("w")).alias("p"))
+    worst = h.join(field, ["cell", "ym"]).groupBy("ym").agg(F.max(F.abs(F.col("m") - F.col("w"))).alias("d")).join(peak, "ym")
+    return one(worst, F.max(F.col("d") / F.when(F.col("p") == 0, 1.0).otherwise(F.col("p"))))
+
+
+@check("C5.1", "hourly means return the month's", "hourly monthly", below(5e-3))
 def _(t):
-    h = t["hourly"].groupBy("cell", "ym").agg(F.avg("resp").alias("m"), F.avg("qresp").alias("q")) if "qresp" in t["hourly"].columns else t["hourly"].groupBy("cell", "ym").agg(F.avg("resp").alias("m"), F.avg("resp").alias("q"))
-    return one(h, F.max(F.try_divide(F.abs(F.col("m") - F.col("q")), F.nullif(F.abs("q"), F.lit(0.0)))))
+    return round_trip(t["hourly"], t["monthly"])
 
 
 @check("C5.2", "no trend in a climatology", "series", below(1e-9))
