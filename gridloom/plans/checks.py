@@ -5,7 +5,10 @@ measure and its limits; ``run`` unions any set of them. Tables, all long:
 
 monthly: cell, i, j, lon, lat, area_m2, ym, npp, rh, fire, fuel, is_clim | fits: cell, channel, ym, t0, h, u, a, b, c
 hourly: cell, lon, lat, ts, ym, gpp, resp, nee, ssrd (fluxes in the units of monthly) | summary: ym, {nee,gpp,resp}_{band} in Pg a month
-manifest, logs, files, attributes as their sources give them.
+reference, reference_year: hourly of the other product, of the year that an extension is held against
+reference_monthly: monthly of the other product | series, delivery: monthly of a climatology, of what is delivered
+files: file, stream, exists, size, sha256, recorded, mtime | attributes: a map for each file
+manifest, logs as their sources give them.
 """
 
 from __future__ import annotations
@@ -16,10 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from gridloom.functions.flux import clean, piece_max, piece_mean, piece_min, solar_noon
-from gridloom.functions.grid import disjoint_band
+from gridloom.functions.grid import cell_area, disjoint_band
 from gridloom.operators.windows import neighbour_pairs
 from gridloom.plans import budget, diagnostics
-from gridloom.schema import CHECK, SECONDS_PER_DAY
+from gridloom.schema import CHECK, GC_PER_MOL, SECONDS_PER_DAY
 
 Tables = dict[str, DataFrame]
 
@@ -28,7 +31,7 @@ Tables = dict[str, DataFrame]
 class Check:
     """measure: tables -> one row with ``value``; good(value) passes, else warn(value) warns, else it fails.
 
-    An empty measure (NULL) is skipped.
+    An empty measure (NULL) is skipped. info: the value is told and judged by nothing, as in the reference.
     """
 
     id: str
@@ -37,10 +40,12 @@ class Check:
     measure: Callable[[Tables], DataFrame]
     good: Callable[[Column], Column]
     warn: Callable[[Column], Column] | None = None
+    info: bool = False
 
     def run(self, tables: Tables) -> DataFrame:
         v = F.col("value")
-        status = F.when(v.isNull(), "SKIP").when(self.good(v), "PASS")
+        status = F.when(v.isNull(), "SKIP")
+        status = status.when(F.lit(self.info), "INFO").when(self.good(v), "PASS")
         status = (status.when(self.warn(v), "WARN") if self.warn else status).otherwise("FAIL")
         return self.measure(tables).select(F.lit(self.id).alias("check_id"), F.lit(self.name).alias("name"), status.alias("status"), F.format_string("value=%s", F.coalesce(v.cast("double").cast("string"), F.lit("none"))).alias("detail"))
 
@@ -68,9 +73,13 @@ def count_of(condition: Column) -> Column:
 REGISTRY: dict[str, Check] = {}
 
 
-def check(id_: str, name: str, needs: str, good, warn=None):
+def always(v: Column) -> Column:
+    return F.lit(True)
+
+
+def check(id_: str, name: str, needs: str, good, warn=None, info: bool = False):
     def add(measure: Callable[[Tables], DataFrame]):
-        REGISTRY[id_] = Check(id_, name, tuple(needs.split()), measure, good, warn)
+        REGISTRY[id_] = Check(id_, name, tuple(needs.split()), measure, good, warn, info)
         return measure
 
     return add
@@ -390,7 +399,7 @@ def _(t):
     return one(both, F.max(F.try_divide(F.abs(F.col("npp") - F.col("o")), F.nullif(F.abs("o"), F.lit(0.0)))))
 
 
-@check("20.2", "net biome exchange within 3 Pg a year", "monthly", lambda v: F.abs(v) <= 3, lambda v: F.lit(True))
+@check("20.2", "net biome exchange within 3 Pg a year", "monthly", lambda v: F.abs(v) <= 3, always)
 def _(t):
     nbe = clean(F.col("rh")) - clean(F.col("npp")) + clean(F.col("fire")) + clean(F.col("fuel"))
     months = t["monthly"].groupBy("ym").agg((F.sum(nbe * F.col("area_m2")) * (365.25 * SECONDS_PER_DAY / 1e15)).alias("s"))
@@ -444,6 +453,26 @@ def _(t):
     return one(s.crossJoin(F.broadcast(d)), F.max(((F.col("lo") >= F.col("dlo")) | (F.col("hi") <= F.col("dhi"))).cast("int")))  # one row each
 
 
+def year_of(ym: str = "ym") -> Column:
+    return F.floor(F.col(ym) / 12).cast("int")
+
+
+def delivered_years(t: Tables) -> DataFrame:
+    """One row for each year from the first to the last of the delivery."""
+    return t["delivery"].agg(F.min(year_of()).alias("lo"), F.max(year_of()).alias("hi")).filter("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias("year"))
+
+
+@check("C1.2", "series covers every delivered year", "series delivery", zero)
+def _(t):
+    return one(delivered_years(t).join(t["series"].select(year_of().alias("year")).distinct(), "year", "left_anti"), F.count("*"))
+
+
+@check("C1.3", "series is padded on both sides", "series delivery", zero, always)
+def _(t):
+    s, d = t["series"].agg(F.min(year_of()).alias("lo"), F.max(year_of()).alias("hi")), delivered_years(t).agg(F.min("year").alias("dlo"), F.max("year").alias("dhi"))
+    return one(s.crossJoin(F.broadcast(d)), F.max(((F.col("lo") >= F.col("dlo")) | (F.col("hi") <= F.col("dhi"))).cast("int")))  # one row each
+
+
 @check("C1.4", "a calendar month is the same in every year", "series", zero)
 def _(t):
     return one(t["series"].groupBy("cell", (F.col("ym") % 12).alias("month")).agg((F.max("npp") - F.min("npp")).alias("spread")), F.max("spread"))
@@ -454,12 +483,27 @@ def _(t):
     return one(t["series"].groupBy("cell", (F.col("ym") % 12).alias("month")).agg(F.count("*").alias("n")), F.max("n") - F.min("n"))
 
 
+def said(key: str) -> Column:
+    return F.try_element_at("attributes", F.lit(key))
+
+
+@check("C1.6", "the baseline asked for was there", "attributes", zero, always)
+def _(t):
+    actual = F.coalesce(said("climatology_baseline"), F.lit("?"))
+    return one(t["attributes"], F.count_if(F.coalesce(said("climatology_baseline_requested"), actual) != actual))
+
+
 @check("C1.7", "imposed variables vary between years", "series", lambda v: v > 0)
 def _(t):
     july = t["series"].filter(F.col("ym") % 12 == 6)
     return one(july.groupBy("cell").agg((F.max("fire") - F.min("fire")).alias("spread")), F.max("spread"))
 
 
+@check("C2.1", "every delivered month has its own coefficients", "fits delivery", zero)
+def _(t):
+    return one(t["delivery"].select("cell", "ym").distinct().join(t["fits"].select("cell", "ym"), ["cell", "ym"], "left_anti"), F.count("*"))
+
+
 @check("C2.2", "fit of the climatology keeps means", "fits", below(1e-6))
 def _(t):
     return one(diagnostics.residual(t["fits"]), F.max("rel"))
@@ -472,6 +516,36 @@ def _(t):
     return one(same, F.max("spread"))
 
 
+def day_of(hourly: DataFrame) -> Column:
+    """The nominal day of a file where the table says it, else that of the time."""
+    return F.col("date") if "date" in hourly.columns else F.to_date("ts")
+
+
+def lost_days(t: Tables) -> DataFrame:
+    """By cell and delivered year: days without an hour."""
+    h = t["hourly"]
+    found = h.select("cell", day_of(h).alias("d")).distinct().groupBy("cell", F.year("d").alias("year")).agg(F.count("*").alias("n"))
+    wanted = h.select("cell").distinct().crossJoin(F.broadcast(delivered_years(t)))  # years of a record
+    days = F.datediff(F.make_date(F.col("year") + 1, F.lit(1), F.lit(1)), F.make_date("year", F.lit(1), F.lit(1)))
+    return wanted.join(found, ["cell", "year"], "left").select("cell", "year", (days - F.coalesce("n", F.lit(0))).alias("lost"))
+
+
+@check("C3.1", "every delivered year has its days", "hourly delivery", zero)
+def _(t):
+    """3.1, 3.2, ... of the reference, a year each: the worst year."""
+    return one(lost_days(t), F.max("lost"))
+
+
+@check("C3.a", "all days of the delivery are there", "hourly delivery", zero)
+def _(t):
+    return one(lost_days(t), F.sum("lost"))
+
+
+@check("C3.b", "no file is empty", "files", zero)
+def _(t):
+    return one(t["files"], F.count_if(F.col("size") == 0))
+
+
 @check("C3.c", "no day is missing", "hourly", zero)
 def _(t):
     d = t["hourly"].select("cell", F.to_date("ts").alias("d")).distinct().groupBy("cell").agg(F.count("*").alias("n"), F.datediff(F.max("d"), F.min("d")).alias("span"))
@@ -492,20 +566,90 @@ def round_trip(hourly: DataFrame, monthly: DataFrame) -> DataFrame:
     return one(worst, F.max(F.col("d") / F.when(F.col("p") == 0, 1.0).otherwise(F.col("p"))))
 
 
+@check("C3.e", "slots are 00:30 to 23:30 of their day", "hourly", below(1e-9))
+def _(t):
+    day = t["hourly"].select("cell", "ts", day_of(t["hourly"]).alias("d"))
+    w = W.partitionBy("cell", "d")
+    past = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("d").cast("timestamp"))) / 86400e6
+    slot = day.select(past.alias("past"), F.row_number().over(w.orderBy("ts")).alias("k"), F.count("*").over(w).alias("n")).filter("n = 24")
+    return one(slot, F.max(F.abs(F.col("past") - (F.col("k") - 0.5) / 24)))
+
+
+@check("C3.f", "29 February is there and unlike the 28th", "hourly delivery", zero)
+def _(t):
+    y = F.col("year")
+    leap = delivered_years(t).filter((y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0)))
+    h = t["hourly"].select("cell", "nee", day_of(t["hourly"]).alias("d")).filter((F.month("d") == 2) & (F.dayofmonth("d") >= 28))
+    on = lambda k: F.avg(F.when(F.dayofmonth("d") == k, clean(F.col("nee"))))
+    apart = h.groupBy("cell", F.year("d").alias("year")).agg(F.abs(on(29) - on(28)).alias("d")).groupBy("year").agg(F.max("d").alias("d"))
+    return one(leap.join(apart, "year", "left"), F.when(F.count("*") > 0, F.count_if(~F.coalesce(F.col("d") > 0, F.lit(False)))))
+
+
+# Parity with the other product, of what a table shows: columns and types, not chunking or compression.
+@check("C4.0", "the other product has a day of these", "hourly reference", lambda v: v > 0)
+def _(t):
+    days = lambda h: h.select(day_of(h).alias("d")).distinct()
+    return one(days(t["hourly"]).join(days(t["reference"]), "d"), F.count("*"))
+
+
+@check("C4.1", "columns and types are those of the other product", "hourly reference", zero)
+def _(t):
+    from gridloom.plans.lineage import schema_drift
+
+    drift = schema_drift(t["hourly"], dict(t["reference"].dtypes))
+    return t["hourly"].limit(1).agg(F.lit(float(sum(map(len, drift.values())))).alias("value"))
+
+
+CLIMATOLOGY_SAYS = ("flux_from_climatology", "prior_variant", "climatology_baseline", "climatology_method", "scope_note")
+
+
+@check("C4.2", "files say that they are a climatology", "attributes", zero)
+def _(t):
+    return one(t["attributes"], F.count_if(F.exists(F.array(*map(F.lit, CLIMATOLOGY_SAYS)), lambda k: F.try_element_at("attributes", k).isNull())))
+
+
+@check("C4.3", "flux_from_climatology is yes", "attributes", zero)
+def _(t):
+    own = said("flux_from_climatology")
+    return one(t["attributes"], F.when(F.count(own) > 0, F.count_if(own != "yes")))
+
+
 @check("C5.1", "hourly means return the month's", "hourly monthly", below(5e-3))
 def _(t):
     return round_trip(t["hourly"], t["monthly"])
 
 
+@check("C5.1b", "the deviation is no more than twice the other product's", "hourly monthly reference reference_monthly", lambda v: v <= 2)
+def _(t):
+    own, other = round_trip(t["hourly"], t["monthly"]), round_trip(t["reference"], t["reference_monthly"]).withColumnRenamed("value", "o")
+    ratio = F.when(F.col("o") == 0, F.lit(float("inf"))).otherwise(F.col("value") / F.col("o"))
+    return own.crossJoin(F.broadcast(other)).select(ratio.alias("value"))  # one row each
+
+
 @check("C5.2", "no trend in a climatology", "series", below(1e-9))
 def _(t):
     y = t["series"].groupBy(F.floor(F.col("ym") / 12).alias("year")).agg(F.sum("npp").alias("s"), F.count("*").alias("n")).withColumn("full", F.max("n").over(W.partitionBy())).filter("n = full")  # years
     return one(y, F.abs(F.try_divide(F.regr_slope("s", "year"), F.nullif(F.avg(F.abs("s")), F.lit(0.0)))))
 
 
-@check("C5.4", "hourly fields are alive", "hourly", lambda v: v > 0.99)
+def hourly_trend(hourly: DataFrame) -> DataFrame:
+    """Pg a year and year, of net flux over cells of one degree."""
+    year = hourly.groupBy(year_of().alias("year")).agg((F.sum(clean(F.col("nee")) * cell_area(F.col("lat") - 0.5, F.col("lat") + 0.5, 1.0)) * 3600 / 1e15).alias("s"))
+    return one(year, F.regr_slope("s", "year"))
+
+
+@check("C5.3", "the other product does show a trend", "hourly reference", lambda v: v > 10, always)
 def _(t):
-    return one(t["hourly"].filter("resp IS NOT NULL"), F.avg((F.col("resp") != 0).cast("double")))
+    """Its trend by this one's."""
+    own, other = hourly_trend(t["hourly"]), hourly_trend(t["reference"]).withColumnRenamed("value", "o")
+    ratio = F.when(F.col("value") == 0, F.when(F.col("o") != 0, F.lit(float("inf"))).otherwise(0.0)).otherwise(F.abs(F.col("o") / F.col("value")))
+    return own.crossJoin(F.broadcast(other)).select(F.when(F.col("o").isNotNull(), ratio).alias("value"))  # one row each
+
+
+@check("C5.4", "hours differ from the other product's", "hourly reference", lambda v: v > 0)
+def _(t):
+    both = t["hourly"].select("cell", "ts", clean(F.col("nee")).alias("v")).join(t["reference"].select("cell", "ts", clean(F.col("nee")).alias("o")), ["cell", "ts"])
+    return one(both, F.when(F.count("*") > 0, F.count_if(F.col("v") != F.col("o"))))
 
 
 @check("C5.5", "no sentinel is delivered", "hourly", zero)
@@ -513,7 +657,46 @@ def _(t):
     return one(t["hourly"], F.count_if((F.abs("nee") > 1e30) | F.isnan("nee")))
 
 
+@check("C5.6", "peak is plausible", "hourly", lambda v: (v > 1e-8) & (v < 1e-3), always)
+def _(t):
+    return one(t["hourly"], F.max(F.abs(clean(F.col("nee")))) / GC_PER_MOL)
+
+
 # Extension of a climatology.
+@check("X.count", "months have all their days", "hourly", zero)
+def _(t):
+    d = t["hourly"].select("cell", day_of(t["hourly"]).alias("d")).distinct().groupBy("cell")
+    return one(d.agg((F.datediff(F.last_day(F.max("d")), F.trunc(F.min("d"), "month")) + 1 - F.count("*")).alias("lost")), F.sum("lost"))
+
+
+STAMP = {"flux_from_climatology": "yes", "climatology_baseline": "2001-2020", "respiration_temperature_driver": "airtemp", "respiration_temperature_function": "q10"}
+
+
+@check("X.stamp", "attributes are those of the product", "attributes", zero)
+def _(t):
+    wrong = F.lit(False)
+    for k, v in STAMP.items():
+        wrong = wrong | ~said(k).eqNullSafe(F.lit(v))
+    return one(t["attributes"], F.count_if(wrong))
+
+
+@check("X.live", "hours differ from those of the reference year", "hourly reference_year", lambda v: v > 0.99)
+def _(t):
+    """Share of slots on land, by their number in the month; 0 where months have other numbers of slots."""
+    keys = ["cell", "month"]
+    slot = lambda h, v: h.select("cell", (F.col("ym") % 12).alias("month"), F.row_number().over(W.partitionBy("cell", "ym").orderBy("ts")).alias("k"), F.col("nee").alias(v))
+    own, other = slot(t["hourly"], "v"), slot(t["reference_year"], "o")
+    land = own.groupBy(*keys).agg(F.abs(F.avg(clean(F.col("v")))).alias("_m")).filter("_m > 0").select(*keys).join(other.select(*keys).distinct(), keys)
+    both = own.withColumn("a", F.lit(1)).join(other.withColumn("b", F.lit(1)), [*keys, "k"], "full").join(land, keys, "left_semi")
+    return one(both, F.when(F.count_if(F.col("a").isNull() | F.col("b").isNull()) > 0, 0.0).otherwise(F.avg((F.col("v") != F.col("o")).cast("double"))))
+
+
+@check("X.budget", "difference of the yearly net flux, Pg", "monthly other", zero, info=True)
+def _(t):
+    year = lambda d: one(d, F.sum((clean(F.col("rh")) - clean(F.col("npp"))) * F.col("area_m2")) / F.countDistinct("ym") * (365 * SECONDS_PER_DAY / 1e15))
+    return year(t["monthly"]).crossJoin(F.broadcast(year(t["other"]).withColumnRenamed("value", "o"))).select((F.col("value") - F.col("o")).alias("value"))  # one row each
+
+
 @check("X.mean", "means agree to 10 units of single precision", "monthly other", lambda v: v <= 10)
 def _(t):
     both = t["monthly"].select("cell", "ym", "npp").join(t["other"].select("cell", "ym", F.col("npp").alias("o")), ["cell", "ym"])
