@@ -16,13 +16,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from gridloom.functions.flux import clean, piece_max, piece_mean, piece_min, solar_noon
 from gridloom.functions.grid import cell_area, disjoint_band
 from gridloom.operators.windows import neighbour_pairs
 from gridloom.plans import budget, diagnostics
-from gridloom.schema import CHECK, GC_PER_MOL, SECONDS_PER_DAY
+from gridloom.schema import GC_PER_MOL, SECONDS_PER_DAY
 
 Tables = dict[str, DataFrame]
 
@@ -712,13 +712,14 @@ def _(t):
 
 
 def run(tables: Tables, ids: tuple[str, ...] | None = None) -> DataFrame:
-    """Results of the checks whose tables are there (or of those named), one row each."""
-    chosen = [REGISTRY[i] for i in ids] if ids else [c for c in REGISTRY.values() if set(c.needs) <= set(tables)]
+    """Results of all checks (or of those named), one row each; one whose tables are not all there is skipped and says which."""
+    spark = next(iter(tables.values())).sparkSession if tables else SparkSession.active()
     out = None
-    for c in chosen:
-        row = c.run(tables)
+    for c in [REGISTRY[i] for i in ids] if ids else REGISTRY.values():
+        lost = [n for n in c.needs if n not in tables]
+        row = spark.range(1).select(F.lit(c.id).alias("check_id"), F.lit(c.name).alias("name"), F.lit("SKIP").alias("status"), F.lit("no table: " + ", ".join(lost)).alias("detail")) if lost else c.run(tables)
         out = row if out is None else out.unionByName(row)
-    return out if out is not None else next(iter(tables.values())).sparkSession.createDataFrame([], CHECK)
+    return out
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import math
 
-from gridloom.functions import calendar
+from pyspark.sql import Window as W, functions as F
+
+from gridloom.functions import calendar, flux
 from gridloom.operators import series as S
-from gridloom.plans import checks, lineage
+from gridloom.plans import checks, diurnal, lineage
 from gridloom.plans.fits import fit
 from gridloom.queries import base as B
 from gridloom.queries.base import MONTHLY, SERIES, q4, query, r4, read, series
@@ -161,8 +163,46 @@ def _(spark, root):
     return read(spark, root, "embeddings").select("vec_id", r4(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x)).alias("dot"))
 
 
+def _hours(spark, root, m, s, months, function="q10"):
+    """Hourly fluxes of some months: light by the sun's hour at a cell's longitude and warmth, both stirred by the events of that hour of that day."""
+    e = read(spark, root, "events").groupBy(F.dayofmonth("ts").alias("day"), F.hour("ts").alias("h")).agg(F.avg("value").alias("x"))  # 744 rows at most
+    month = F.make_date(F.floor(F.col("ym") / 12).cast("int"), (F.col("ym") % 12 + 1).cast("int"), F.lit(1)).cast("timestamp")
+    own = m.filter(F.col("ym").isin(list(months)))
+    slots = F.sequence(month + F.expr("INTERVAL 30 MINUTES"), F.add_months(month, 1).cast("timestamp") - F.expr("INTERVAL 30 MINUTES"), F.expr("INTERVAL 1 HOUR"))
+    h = own.select("cell", "ym", "lon", "lat", F.explode(slots).alias("ts")).withColumn("day", F.dayofmonth("ts")).withColumn("h", F.hour("ts")).join(F.broadcast(e), ["day", "h"], "left").withColumn("x", F.coalesce("x", F.lit(0.0)))
+    sun = F.greatest(F.cos((F.col("h") + 0.5 - flux.solar_noon(F.col("lon"))) * (math.pi / 12)), F.lit(0.0))
+    h = h.select("cell", "ym", "lon", "lat", "ts", (sun * (100 + F.col("x"))).alias("ssrd"), (278.15 + 5 * sun + F.col("x") / 100).alias("t2m"))
+    means = own.select("cell", "ym", (-2 * F.col("npp")).alias("gpp_mn"), (F.col("rh") + F.col("npp")).alias("resp_mn"))
+    near = s.filter(F.col("ym").between(min(months) - 3, max(months) + 3))  # window fits look two months around
+    gpp, resp = (fit(near.withColumn("u", x), "ppm") for x in (F.col("u") * -2e-9, F.col("v") / 1e6 + F.col("u") / 1e9))
+    return diurnal.diurnalize(h, means, gpp, resp, function=function).select("cell", "lon", "lat", "ts", "ym", "gpp", "resp", "nee", "ssrd")
+
+
+def _files(spark, root):
+    p = read(spark, root, "pages").select(F.format_string("%09d.html", "page_id").alias("file"), "page_id", "html")
+    recorded = text.hash_manifest(p.select(F.concat(F.sha2("html", 256), F.lit("  pages/"), "file").alias("value"), F.lit("pages").alias("manifest"))).withColumnRenamed("sha256", "recorded")
+    return p.join(recorded, "file", "left").select("file", F.lit("pages").alias("stream"), F.col("html").isNotNull().alias("exists"), F.length("html").cast("bigint").alias("size"), F.sha2("html", 256).alias("sha256"), "recorded", F.col("page_id").cast("bigint").alias("mtime"))
+
+
+def _attributes(spark, root):
+    waits = F.col("o_orderstatus") == "P"
+    given = {"source": F.lit("orders"), "history": F.concat(F.lit("ordered "), F.col("o_orderdate").cast("string")), "commit": F.col("o_orderkey").cast("string"), "provisional": F.when(waits, "yes"), "provisional_reason": F.when(waits, F.col("o_orderpriority"))}
+    given |= {k: F.lit(v) for k, v in checks.STAMP.items()} | {k: F.lit("example") for k in checks.CLIMATOLOGY_SAYS if k not in checks.STAMP}
+    return read(spark, root, "orders").select(F.create_map(*(x for k, v in given.items() for x in (F.lit(k), v))).alias("attributes"))
+
+
+def _logs(spark, root):
+    told = F.when(F.col("event_type") == "click", F.concat(F.lit("sign-flip GPP "), F.round(F.col("value") / 100, 2).cast("string"), F.lit(" %"))).otherwise(F.concat("event_type", F.lit(" of "), F.col("user_id").cast("string")))
+    return read(spark, root, "events").select(told.alias("value"))
+
+
 def check_tables(spark, root):
-    """The example tables in the shape that checks read."""
+    """The example tables in the shape that checks read.
+
+    other: the monthly means as single precision holds them | previous: fits whose last three months are still the mean of their calendar month
+    hourly: January to March 1996, with a leap day | reference: the same from ``other``, another response to warmth
+    reference_year: January and March 1995; its February has other slots
+    """
     s = series(spark, root)
     place = lambda d: d.withColumn("i", F.col("cell") % 360).withColumn("j", F.floor(F.col("cell") / 360)).withColumn("lat", (F.col("j") - 89.5).cast("double")).withColumn("lon", F.col("i") - 179.5).withColumn("area_m2", F.lit(1e10))
     m = place(s.select("cell", "ym", (F.col("u") / 1e9).alias("npp"), (F.col("v") / 1e6).alias("rh"), F.lit(0.0).alias("fire"), F.lit(0.0).alias("fuel")))
@@ -170,7 +210,13 @@ def check_tables(spark, root):
     fits = ppm.withColumn("channel", F.lit("gpp")).unionByName(ppm.withColumn("channel", F.lit("rtot")))
     e = read(spark, root, "lineitem")
     summary = m.groupBy("ym").agg(*(F.sum(x).alias(f"{n}_{b}") for n, x in (("nee", F.col("rh") - F.col("npp")), ("gpp", -2 * F.col("npp")), ("resp", F.col("rh") + F.col("npp"))) for b in ("global", "nh", "sh", "boreal", "polar_n")))
-    return {"monthly": m, "other": m, "fits": fits, "previous": fits, "summary": summary, "series": m, "delivery": m.filter("ym > 23950 AND ym < 23990"), "manifest": text.manifest(_lines(spark, root)), "grid": place(m.select("cell").distinct())}
+    other = m.withColumns({c: F.col(c).cast("float").cast("double") for c in ("npp", "rh", "fire", "fuel")})
+    late = F.col("ym") > F.max("ym").over(W.partitionBy("cell")) - 3
+    before = fit(s.withColumn("u", F.when(late, F.avg("u").over(W.partitionBy("cell", F.col("ym") % 12))).otherwise(F.col("u"))), "ppm")
+    previous = before.withColumn("channel", F.lit("gpp")).unionByName(before.withColumn("channel", F.lit("rtot")))
+    out = {"monthly": m, "other": other, "reference_monthly": other, "fits": fits, "previous": previous, "summary": summary, "series": m, "delivery": m.filter("ym > 23950 AND ym < 23990"), "manifest": text.manifest(_lines(spark, root)), "grid": place(m.select("cell").distinct())}
+    out |= {"hourly": _hours(spark, root, m, s, (23952, 23953, 23954)), "reference": _hours(spark, root, other, s, (23952, 23953, 23954), "lt"), "reference_year": _hours(spark, root, m, s, (23940, 23942))}
+    return out | {"logs": _logs(spark, root), "files": _files(spark, root), "attributes": _attributes(spark, root)}
 
 
 _CHECKED = ("1.1", "1.2", "1.3", "2.1", "2.1r", "2.3", "5.1", "5.1r", "6.1", "6.2", "7.1", "7.4", "16.1", "18.1", "C1.5", "C2.2", "P2.0", "X.mean", "24.1")

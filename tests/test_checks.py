@@ -1,6 +1,7 @@
 """An input for every check that it must not pass, and limits and sites against the reference's."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,3 +236,23 @@ def test_check_passes(spark, id_):
 
 def test_leap_day_that_is_missing(spark):
     assert status({"hourly": hourly(spark, start=dt.datetime(2000, 2, 1), hours=28 * 24), "delivery": monthly(spark, ONE)}, "C3.f") == "FAIL"
+
+
+def test_a_check_without_its_table_is_skipped(spark):
+    rows = {r["check_id"]: r for r in checks.run({"manifest": manifest(spark)}).collect()}
+    assert set(rows) == set(checks.REGISTRY)
+    assert (rows["17.1"]["status"], rows["17.1"]["detail"]) == ("SKIP", "no table: hourly") and rows["24.1"]["status"] == "PASS"
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the example tables are not there")
+def test_example_tables(spark):
+    """Every table that a check reads is there, and those held against one another are not the same."""
+    from gridloom.queries.sources import check_tables
+
+    t = check_tables(spark, "/root/testdata/sf0.001")
+    assert {n for c in checks.REGISTRY.values() for n in c.needs} <= set(t)
+    for a, b, columns in (("monthly", "other", ("cell", "ym", "npp", "rh")), ("fits", "previous", ("cell", "channel", "ym", "c")), ("hourly", "reference", ("cell", "ts", "nee"))):
+        assert t[a].count() == t[b].count() and t[a].select(*columns).exceptAll(t[b].select(*columns)).count() > 0
+    assert t["hourly"].select("ym").distinct().count() == 3
+    results = checks.run(t, ("11.2", "12.1", "2.4", "9.2", "10.1", "3.1", "C5.4")).collect()
+    assert {r["check_id"]: r["status"] for r in results} == {"11.2": results[0]["status"]} | {i: "PASS" for i in ("12.1", "2.4", "9.2", "10.1", "3.1", "C5.4")} and results[0]["detail"] != "value=0.0"
