@@ -10,8 +10,10 @@ the share of the item's words under tiles, so passages that were reordered or br
 The items travel in blocks of at most ``block_bytes`` of text; a larger benchmark takes a scan of the documents
 for each block, so what is sent to a task never grows with it.
 
-Defined results: null or empty documents and items match nothing, as do items under five words; an item that
-repeats an item_id is tiled by itself and reported by its best coverage; a document row that repeats a doc_id
+Items under five words match where a document holds their whole word sequence, as one tile.
+
+Defined results: null or empty documents and items match nothing; an item without an item_id is reported with none,
+unless one with an item_id has the same text, which then stands for it; an item that repeats an item_id is tiled by itself and reported by its best coverage; a document row that repeats a doc_id
 is reported for each row; other columns are ignored; empty tables give no rows.
 """
 
@@ -96,6 +98,25 @@ class Items:
         self.seeds, self.items = seeds[order], item[order]
         self.distinct, self.begin = np.unique(self.seeds, return_index=True)
         self.begin = np.append(self.begin, len(self.seeds))
+        #: By number of words below a seed's: the sequences of items of so many words, in order, and those items.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in range(1, MIN_TILE):
+            whole, at = grams(hashed, first, n)
+            own = np.flatnonzero(np.diff(first) == n)
+            if len(own):
+                order = np.argsort(whole[at[own]], kind="stable")
+                self.short[n] = whole[at[own]][order], own[order]
+
+
+def short_hits(items: Items, hashed: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, tuple]]:
+    """(row, result) of each document and item under a seed's length that it holds whole."""
+    for n, (whole, own) in items.short.items():
+        seen, at = grams(hashed, first, n)
+        lo, hi = np.searchsorted(whole, seen, "left"), np.searchsorted(whole, seen, "right")
+        hit = np.flatnonzero(hi > lo)
+        doc = np.searchsorted(at, hit, "right") - 1
+        for d, i in sorted({(d, i) for d, a, b in zip(doc.tolist(), lo[hit].tolist(), hi[hit].tolist()) for i in own[a:b].tolist()}):
+            yield d, (items.ids[i], n, n, 1, 1.0)
 
 
 def hits(items: Items, block: Block, threshold: float) -> Iterator[tuple[int, tuple]]:
@@ -103,6 +124,7 @@ def hits(items: Items, block: Block, threshold: float) -> Iterator[tuple[int, tu
     data = LOWER[block.data]
     starts, ends, first = words(data, block.offs, GAP)
     hashed = word_hashes(data, starts, ends)
+    yield from short_hits(items, hashed, first)
     seeds, at = grams(hashed, first, MIN_TILE)
     if not len(seeds) or not len(items.distinct):
         return
@@ -158,7 +180,10 @@ def tiled(items: Items, seeds: np.ndarray, places: np.ndarray, tokens: np.ndarra
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Items]:
     ids, texts, size = [], [], 0
-    for row in benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text IS NOT NULL AND item_id IS NOT NULL").toLocalIterator():
+    texts_of = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text IS NOT NULL")
+    named = texts_of.filter("item_id IS NOT NULL")
+    nameless = texts_of.filter("item_id IS NULL").join(named.select("text").distinct(), "text", "left_anti").select("item_id", "text")
+    for row in named.unionByName(nameless).toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
         size += len(row[1])

@@ -379,6 +379,15 @@ def test_decontamination(spark):
     assert decontaminate.decontaminate(docs(spark, []), bench).count() == 0
 
 
+def test_items_without_an_id_or_of_few_words(spark):
+    item = " ".join(f"v{i}" for i in range(12))
+    rows = [(1, f"so {item} it goes"), (2, "It says: Short One, here"), (3, "short of one"), (4, "one"), (5, "a short one and a short one"), (6, "v1 v2 v3 v4")]
+    bench = spark.createDataFrame([(None, item), (11, "short one"), (12, "!?"), (13, "v1 v2 v3 v4"), (None, "short one")], "item_id long, text string")
+    got = sorted(((r["doc_id"], r["item_id"], r["item_words"], r["n_tiles"], r["coverage"]) for r in decontaminate.decontaminate(docs(spark, rows), bench).collect()), key=str)
+    assert got == [(1, 13, 4, 1, 1.0), (1, None, 12, 1, 1.0), (2, 11, 2, 1, 1.0), (5, 11, 2, 1, 1.0), (6, 13, 4, 1, 1.0)]
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs(spark, rows), bench).collect()) == [3, 4]
+
+
 # toxicity
 
 
