@@ -1,9 +1,9 @@
-"""Similarity join on word shingles: Jaccard 0.8 or more, by prefix filters under several global orders.
+"""Similarity join on word shingles: Jaccard 0.8 or more, by a prefix filter under one global order.
 
 Two sets of Jaccard t or more share a token among the first n - ceil(t n) + 1 of each, whatever order all sets
 are sorted by, and k tokens of the first n - ceil(t n) + k. Candidates are found under the first order, rare tokens
-first, from postings of such extended prefixes; they must share prefix tokens under two other orders as well before
-the sets are compared.
+first, from postings of such extended prefixes. That links share prefix tokens under two other orders as well is
+asked once their overlap is known: it drops nothing that the overlap keeps.
 
 Texts with one set are one class from the start, so copies cost nothing more. Counts for the first order cover
 all documents: each task reports the tokens it met in several texts; any function of the token serves as a
@@ -270,7 +270,7 @@ def meet(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def compare(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[int, int, bool]:
-    """Shared and all shingles of two sets, and whether they link: first the prefixes under every other order must meet."""
+    """Shared and all shingles of two sets, and whether they link; the prefixes of a link meet under every other order."""
     shared = meet(x, y)
     total = len(x) + len(y) - shared
     near = 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) and all(meet(prefix(x, k, percent), prefix(y, k, percent)) for k in range(len(ORDERS)))
