@@ -17,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridloom.llm.session import ROW, materialize, numbered
+from gridloom.llm.session import materialize, numbered
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 #: A chunk ends after the first word past 1,024 characters whose end is one of 10 letter pairs, or at 8,192.
@@ -62,9 +62,9 @@ def grouped(recipes: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each group of equal texts, with all its columns."""
-    rows = numbered(docs)
-    dropped = exact_dedup(rows, rid=F.col(ROW)).filter("NOT kept").select(F.col("rid").alias(ROW))
-    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
+    rows, row = numbered(docs)
+    dropped = exact_dedup(rows, rid=F.col(row)).filter("NOT kept").select(F.col("rid").alias(row))
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""

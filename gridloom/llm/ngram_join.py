@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.llm.components import components
 from gridloom.llm.exchange import SCHEMA, flushed, reduce_buckets
-from gridloom.llm.session import ROW, buckets_for, materialize, numbered, plan_bytes
+from gridloom.llm.session import buckets_for, materialize, numbered, plan_bytes
 from gridloom.llm.textkit import LOWER, U64, Block, blocks, grams, mix, word_hashes, words
 
 SHINGLE = 5
@@ -425,9 +425,9 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = Non
 
 def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row of each component, with all its columns."""
-    rows = numbered(docs)
-    dropped = ngram_join(rows, percent, rid=F.col(ROW)).filter("NOT kept").select(F.col("rid").alias(ROW))
-    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
+    rows, row = numbered(docs)
+    dropped = ngram_join(rows, percent, rid=F.col(row)).filter("NOT kept").select(F.col("rid").alias(row))
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)
 
 
 ORACLE = f"""

@@ -15,9 +15,12 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def shared_dir(spark: SparkSession) -> str:
     """This application's place in the folder that driver and executors share: spark.checkpoint.dir, or a local one
-    where that is unset. It goes when the application ends."""
+    where that is unset and all runs on one machine. It goes when the application ends."""
     context = spark.sparkContext
-    place = f"{spark.conf.get('spark.checkpoint.dir', None) or LOCAL_SHARED}/gridloom-{context.applicationId}"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    place = f"{named or LOCAL_SHARED}/gridloom-{context.applicationId}"
     path = context._jvm.org.apache.hadoop.fs.Path(place)
     files = path.getFileSystem(context._jsc.hadoopConfiguration())
     files.mkdirs(path)
@@ -42,7 +45,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with shuffles_cleaned(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.gridloom_path = path
+    return out
+
+
+def release(*written: DataFrame) -> None:
+    """Remove what ``materialize`` wrote for these frames, once all that reads them has been written as well."""
+    for df in written:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.gridloom_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -50,10 +63,11 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def buckets_for(df: DataFrame, factor: float, target: int = 8 << 20, most: int = 1 << 16) -> int:
-    """Buckets so that ``factor`` times the bytes of ``df`` make about ``target`` bytes in each; as many as shuffle partitions at least."""
+def buckets_for(df: DataFrame, factor: float, target: int = 8 << 20) -> int:
+    """Buckets so that ``factor`` times the bytes of ``df`` make about ``target`` bytes in each, however large ``df`` is;
+    as many as shuffle partitions at least."""
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, min(most, max(shuffle, int(plan_bytes(df) * factor / target))))
+    return min((1 << 31) - 1, max(4, shuffle, int(plan_bytes(df) * factor / target)))
 
 
 def fold(doc_id: Column) -> Column:
@@ -61,10 +75,10 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)), F.lit(0))
 
 
-#: Name of the row number that ``numbered`` adds.
-ROW = "gridloom_row"
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number for each row, written so that the numbers stay whatever is computed again."""
-    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, written so that the numbers stay whatever is computed again, and the name of
+    that column, which no column of ``docs`` has."""
+    name = "gridloom_row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name

@@ -1,8 +1,10 @@
 """Vectorised work on whole batches of texts: numpy over Arrow's own buffers, no loop over words.
 
 Words are maximal runs of bytes other than 0x20 and 0x09-0x0D. Those are ASCII, so UTF-8 text can be cut
-byte by byte. All hashes are 64-bit polynomials modulo 2**64, mixed at the end; they depend on nothing but the
-bytes, so every executor gets the same.
+byte by byte. Hashes are 64-bit polynomials modulo 2**64, mixed at the end. Such polynomials agree on some long
+strings of two letters (Thue-Morse words of 1,024 letters and more), so stretches of over ``SHORT`` bytes are hashed
+by XXH3. Hashes depend on nothing but the bytes, so every executor gets the same; where equality decides a result,
+operators compare the bytes, or words, as well.
 """
 
 from __future__ import annotations
@@ -14,10 +16,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 BYTE_BASE = U64(0x9E3779B97F4A7C15)
 WORD_BASE = U64(0xC2B2AE3D27D4EB4F)
+#: Longest stretch of bytes known by a polynomial.
+SHORT = 32
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -43,7 +48,7 @@ class Block:
         return self.data[self.offs[i] : self.offs[i + 1]].tobytes()
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[Block]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[Block]:
     """Cut batches into blocks of about ``most`` bytes of text (one row at least); a null text is an empty one."""
     for batch in batches:
         if not batch.num_rows:
@@ -64,10 +69,14 @@ def words(data: np.ndarray, offs: np.ndarray, gap: np.ndarray = SPACE) -> tuple[
 
     gap: the bytes that part words, as a table of 256 booleans.
     """
-    n = len(data)
+    return runs(~gap[data], offs)
+
+
+def runs(word: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True in ``word``, none of which crosses the end of a text; see ``words``."""
+    n = len(word)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    word = ~gap[data]
     edge = np.zeros(n + 1, bool)
     edge[offs] = True
     before = np.empty(n, bool)
@@ -119,9 +128,19 @@ def spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint6
     return mix((sums[ends] - sums[starts]) * inv[starts] + (ends - starts).astype(U64) * U64(0x9FB21C651E98DF25))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each stretch of bytes, whatever its length."""
+    out = spans(prefix(data.astype(U64) + U64(1 + seed), BYTE_BASE), starts, ends, BYTE_BASE)
+    long = np.flatnonzero(ends - starts > SHORT)
+    if len(long):
+        view = memoryview(np.ascontiguousarray(data))
+        out[long] = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b], seed) for a, b in zip(starts[long].tolist(), ends[long].tolist())), U64, len(long))
+    return out
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each word's bytes."""
-    return spans(prefix(data.astype(U64) + U64(1 + seed), BYTE_BASE), starts, ends, BYTE_BASE)
+    return byte_hashes(data, starts, ends)
 
 
 def grams(hashes: np.ndarray, first: np.ndarray, n: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
