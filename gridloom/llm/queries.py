@@ -55,4 +55,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_toxicity, op4_mixing, op5_exact_dedup, op6_language_id, op7_ngram_join, op8_substring_dedup, op9_line_dedup, op10_secret_scan)}
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE, "op7_ngram_join": ngram_join.ORACLE, "op10_secret_scan": secrets.oracle()}
+ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": suffixes.ORACLE,
+    "op5_exact_dedup": exact_dedup.ORACLE,
+    "op7_ngram_join": ngram_join.ORACLE,
+    "op8_substring_dedup": substrings.ORACLE,
+    "op9_line_dedup": lines.ORACLE,
+    "op10_secret_scan": secrets.oracle(),
+}

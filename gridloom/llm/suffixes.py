@@ -283,3 +283,15 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         return pa.table({"doc_id": left.column("doc_id"), "n_bytes": pa.array(sizes), "n_removed": pa.array(removed), "n_spans": pa.array(runs), "kept_sha256": pa.array(shas, pa.string())})
 
     return by_doc(texts, n_docs).cogroup(every.groupBy("bucket")).applyInArrow(cleaned, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+
+
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS (SELECT r, o, substr(x, 2 * o + 1, {2 * (1000 + WIDTH - 1)}) AS y FROM (SELECT r, x, unnest(range(0, greatest(length(x) // 2 - {WIDTH - 1}, 0), 1000)) AS o FROM d)),
+w AS (SELECT r, o + i AS i, substr(y, 2 * i + 1, {2 * WIDTH}) AS g FROM (SELECT r, o, y, unnest(range(0, least(1000, length(y) // 2 - {WIDTH - 1}))) AS i FROM b)),
+again AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY md5_number(g) ORDER BY r, i) AS k FROM w) WHERE k > 1),
+s AS (SELECT r, min(i) AS a, max(i) + {WIDTH} AS b FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k FROM (SELECT r, i, (i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + {WIDTH}, -1))::INT AS new FROM again)) GROUP BY r, k),
+g AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z, lead(a) OVER (PARTITION BY r ORDER BY a) IS NULL AS last FROM s),
+k AS (SELECT r, sum(b - a) AS removed, count(*) AS n, string_agg(substr(x, 2 * z + 1, 2 * (a - z)) || CASE WHEN last THEN substr(x, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS kept FROM g JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
