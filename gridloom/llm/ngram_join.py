@@ -1,18 +1,20 @@
-"""Similarity join on word shingles: Jaccard 0.8 or more, by a prefix filter under one global order.
+"""Similarity join on word shingles: Jaccard 0.8 or more, by prefix filters under several global orders.
 
-Two sets of Jaccard t or more share a token among the first n - ceil(t n) + 1 of each, whatever order all sets
-are sorted by, and k tokens of the first n - ceil(t n) + k. Candidates are found under the first order, rare tokens
-first, from postings of such extended prefixes. That links share prefix tokens under two other orders as well is
-asked once their overlap is known: it drops nothing that the overlap keeps.
+Two sets of Jaccard t or more share k tokens of the first n - ceil(t n) + k of each, whatever order all sets are
+sorted by. Three orders are used: rare tokens first, and two by hash. Under the first, prefixes are posted and sets
+meet in the lists of their tokens; under the two others, prefixes of two sets must share k tokens as well before
+the sets themselves are compared.
 
 Texts with one set are one class from the start, so copies cost nothing more. Counts for the first order cover
 all documents: each task reports the tokens it met in several texts; any function of the token serves as a
-global order, so what a task leaves out costs speed and never a link. Short posting lists give their pairs. A
-long list (over ``LONG``) does not: its members are paired with one pivot each, and only members that did not turn
-out connected are looked at further. What a pair can share is bounded first: shingles that no other candidate has
-are shared with nobody. Pairs are compared with one text of each set, in buckets of pairs, and an end that has many
-pairs is dealt to many buckets. Members of long lists that stay apart are compared in blocks, where products of
-incidence matrices give all their overlaps at once; links between components come out, never the pairs tried.
+global order, so what a task leaves out costs speed and never a link. No list gives its pairs: it is cut by size
+(two sets that link are of like size), and each part names a group that its members belong to, so what comes out
+grows with the postings. Filters by set come first: one that meets others in fewer lists than a link needs goes (sets
+that share a phrase by chance), lists are made anew of those left, and then one goes too many of whose shingles no
+other candidate has. Members are compared with one member of their group, its centre,
+with one text of each set, in buckets of pairs; an end that has many pairs is dealt to many buckets. Groups whose members are not all connected by then are compared in blocks, where products of incidence
+matrices of the prefixes under the other orders leave the pairs whose sets are multiplied out; links between
+components come out, never the pairs tried.
 
 Defined results: empty and null texts have no shingles, link with nothing and are their own component; texts of
 1 to 4 words have their whole sequence as one shingle; a component's id is its smallest doc_id, null where all
@@ -29,24 +31,29 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.llm.components import components
-from gridloom.llm.exchange import SCHEMA, flushed, reduce_buckets
-from gridloom.llm.session import buckets_for, materialize, numbered, plan_bytes
+from gridloom.llm.exchange import SCHEMA, dealt, flushed, reduce_buckets
+from gridloom.llm.session import buckets_for, materialize, numbered, plan_bytes, release
 from gridloom.llm.textkit import LOWER, U64, Block, blocks, grams, mix, word_hashes, words
 
 SHINGLE = 5
 PERCENT = 80
-LONG = 24
 #: Tokens that are ranked by count; the rest come first, by hash. Bounds what is sent to tasks: 16 bytes each.
 MOST_COMMON = 1 << 20
 LEAST_COMMON = 8
 LOCAL_COMMON = 3
 COUNTED = 1 << 22
 PAIRS_AT_ONCE = 2_000
-GROUP_BLOCK = 1_024
+GROUP_BLOCK = 512
 EXTENDED = 20
+#: More than there are classes of sizes.
+WIDE = 1 << 24
 ORDERS = (U64(0xD1342543DE82EF95), U64(0xAF251AF3B0F025B5))
-POST = np.dtype([("tok", "<u8"), ("cls", "<i8"), ("n", "<u4")])
+#: A token of a set's prefix, the set, its size, and its first token under another order, by which groups are named.
+POST = np.dtype([("tok", "<u8"), ("cls", "<i8"), ("first", "<u8"), ("n", "<u4")])
 COUNT = np.dtype([("tok", "<u8"), ("n", "<u4")])
+MEMBER = np.dtype([("grp", "<i8"), ("x", "<i8")])
+#: A set, its size, and in how many lists of a bucket it meets others.
+MEET = np.dtype([("cls", "<i8"), ("n", "<u4"), ("lists", "<u4")])
 
 
 def keyed(docs: DataFrame, rid: Column | None) -> DataFrame:
@@ -134,6 +141,13 @@ def common_tokens(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tok[order], n[order]
 
 
+def first_tokens(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The first token of each set under the second order (of an empty set: any)."""
+    if not len(tokens):
+        return np.zeros(len(at) - 1, U64)
+    return np.minimum.reduceat(tokens * ORDERS[0], np.minimum(at[:-1], len(tokens) - 1))
+
+
 def postings(texts: DataFrame, common: Broadcast, n_buckets: int, percent: int) -> DataFrame:
     """Packed postings of the prefixes under the first order, once for each set and task."""
 
@@ -159,6 +173,7 @@ def postings(texts: DataFrame, common: Broadcast, n_buckets: int, percent: int)
                 own = order[take]
                 out = np.zeros(len(own), POST)
                 out["tok"], out["cls"], out["n"] = tokens[own], sig[text[own]], n[text[own]]
+                out["first"] = first_tokens(tokens, at)[text[own]]
                 yield out, (tokens[own] % U64(n_buckets)).astype(np.int64)
 
         yield from flushed(parts())
@@ -166,42 +181,80 @@ def postings(texts: DataFrame, common: Broadcast, n_buckets: int, percent: int)
     return texts.select("text").mapInArrow(apply, SCHEMA)
 
 
-def candidates(packed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets with the short lists they share and the number needed (kind 0: a, b, n, need), and members of
-    long lists (kind 1: member a, list tok)."""
-    schema = "kind int, a bigint, b bigint, tok bigint, n int, need int"
-    arrow = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("tok", pa.int64()), ("n", pa.int32()), ("need", pa.int32())])
-
-    def pairs(_: int, got: np.ndarray) -> Iterator[pa.RecordBatch]:
-        got = got[np.lexsort((got["cls"], got["n"], got["tok"]))]
-        new = np.ones(len(got), bool)
-        new[1:] = (got["tok"][1:] != got["tok"][:-1]) | (got["cls"][1:] != got["cls"][:-1])
-        got = got[new]
-        edge = np.flatnonzero(np.concatenate([[True], got["tok"][1:] != got["tok"][:-1], [True]]))
-        size = np.diff(edge)
-        found = []
-        for m in range(2, LONG + 1):  # all lists of one length at once
-            at = edge[:-1][size == m]
-            for i in range(m - 1):
-                for j in range(i + 1, m):
-                    x, y = got[at + i], got[at + j]
-                    ok = 100 * x["n"].astype(np.int64) >= percent * y["n"].astype(np.int64)
-                    x, y = x[ok], y[ok]
-                    found.append(np.stack([np.minimum(x["cls"], y["cls"]), np.maximum(x["cls"], y["cls"]), needed(x["n"].astype(np.int64))], 1))
-        if found:
-            both, count = np.unique(np.concatenate(found), axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(both), np.int32)), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.nulls(len(both), pa.int64()), pa.array(count.astype(np.int32)), pa.array(both[:, 2].astype(np.int32))], schema=arrow)
-        for at, m in zip(edge[:-1][size > LONG], size[size > LONG]):
-            own = got[at : at + m]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.array(np.ascontiguousarray(own["cls"])), pa.nulls(m, pa.int64()), pa.array(np.full(m, own["tok"][0]).view(np.int64)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32())], schema=arrow)
-
-    return reduce_buckets(packed, POST, pairs, schema, arrow)
-
-
-def short_pairs(found: DataFrame) -> DataFrame:
-    """Distinct pairs that share as many short lists as they need. A pair that links but shares fewer shares a long one."""
-    short = found.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
-    return short.filter("n >= need").select("a", "b")
+def size_classes(n: np.ndarray, percent: int) -> np.ndarray:
+    """Classes of sizes; sets that link are of one class or of two neighbours."""
+    steps = [1]
+    while len(n) and steps[-1] <= n.max():
+        steps.append(steps[-1] * 100 // percent + 1)
+    return np.searchsorted(steps, n, "right")
+
+
+def groups(got: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of postings as groups: name, member, the member's size, and in how many lists the group holds it. Two sets of
+    one list whose sizes allow a link are in one group.
+
+    A group is named by the least of its members' first tokens under another order. Sets that are alike have few first
+    tokens between them, so the many lists that near copies share name one group or two, not one each.
+    """
+    got = got[np.lexsort((got["cls"], got["n"], got["tok"]))]
+    new = np.ones(len(got), bool)
+    new[1:] = (got["tok"][1:] != got["tok"][:-1]) | (got["cls"][1:] != got["cls"][:-1])
+    got = got[new]
+    size = got["n"].astype(np.int64)
+    head = np.flatnonzero(np.concatenate([[True], got["tok"][1:] != got["tok"][:-1]])) if len(got) else np.zeros(0, np.int64)
+    count = np.diff(np.append(head, len(got)))
+    last = head + count - 1
+    part = np.where(np.repeat(100 * size[head] >= percent * size[last], count), 0, size_classes(size, percent))  # a list of like sizes stays whole
+    part = np.repeat(np.cumsum(count) - count, count) * WIDE + part
+    # Part c holds class c and the next; one that has none of class c is held by the next part.
+    below = np.flatnonzero(np.isin(part - 1, part))
+    at, part = np.concatenate([np.arange(len(got)), below]), np.concatenate([part, part[below] - 1])
+    order = np.lexsort((got["first"][at], part))
+    at, part = at[order], part[order]
+    head = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    count = np.diff(np.append(head, len(part)))
+    name = got["first"][at][np.repeat(head, count)].view(np.int64)
+    use = np.repeat(count > 1, count)
+    edges = np.stack([name[use], got["cls"][at][use], size[at][use]], 1)
+    edges, lists = np.unique(edges, axis=0, return_counts=True)
+    return edges[:, 0].copy(), edges[:, 1].copy(), edges[:, 2].copy(), lists
+
+
+def candidates(packed: DataFrame, n_buckets: int, percent: int) -> DataFrame:
+    """(grp, x): sets that meet in lists of the first order, by group; each once, however many lists say so."""
+
+    def said(_: int, got: np.ndarray) -> Iterator[pa.RecordBatch]:
+        name, member, *_ = groups(got, percent)
+        out = np.zeros(len(name), MEMBER)
+        out["grp"], out["x"] = name, member
+        where = mix(out["grp"].view(U64) ^ mix(out["x"].view(U64)))  # members of one large group go to many buckets
+        yield dealt(out, (where % U64(n_buckets)).astype(np.int64))
+
+    def once(_: int, got: np.ndarray) -> Iterator[pa.RecordBatch]:
+        got = np.unique(got)
+        yield pa.RecordBatch.from_arrays([pa.array(got[c].copy()) for c in MEMBER.names], MEMBER.names)
+
+    every = reduce_buckets(packed, POST, said, SCHEMA, pa.schema([("bucket", pa.int32()), ("blob", pa.binary())]))
+    return reduce_buckets(every, MEMBER, once, "grp bigint, x bigint", pa.schema([("grp", pa.int64()), ("x", pa.int64())]))
+
+
+def enough_lists(packed: DataFrame, n_buckets: int, percent: int) -> DataFrame:
+    """(sig) of the sets that meet others in as many lists as a link needs at least."""
+
+    def met(_: int, got: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, member, n, lists = groups(got, percent)
+        cls, first, at = np.unique(member, return_index=True, return_inverse=True)
+        out = np.zeros(len(cls), MEET)
+        out["cls"], out["n"], out["lists"] = cls, n[first], np.bincount(at, lists, len(cls))
+        yield dealt(out, np.mod(cls, n_buckets))
+
+    def enough(_: int, got: np.ndarray) -> Iterator[pa.RecordBatch]:
+        cls, first, at = np.unique(got["cls"], return_index=True, return_inverse=True)
+        n = got["n"][first].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(cls[np.bincount(at, got["lists"], len(cls)) >= needed(-(-percent * n // 100))])], ["sig"])
+
+    counted = reduce_buckets(packed, POST, met, SCHEMA, pa.schema([("bucket", pa.int32()), ("blob", pa.binary())]))
+    return reduce_buckets(counted, MEET, enough, "sig bigint", pa.schema([("sig", pa.int64())]))
 
 
 def bounds(held: DataFrame, n_buckets: int) -> DataFrame:
@@ -256,10 +309,13 @@ def with_texts(texts: DataFrame, profiles: DataFrame, wanted: DataFrame) -> Data
     return texts.select("key", "text").join(chosen, "key").drop("key")
 
 
-def prefix(own: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The prefix of a set under one of the other orders."""
-    p = int(prefix_size(np.array([len(own)]), percent)[0])
-    return np.partition(own * ORDERS[order], p - 1)[:p]
+def prefixes(own: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """The extended prefixes of a set under the other orders."""
+    n = np.array([len(own)])
+    p = int((prefix_size(n, percent) + needed(n) - 1)[0])
+    if not p:
+        return (own,) * len(ORDERS)
+    return tuple(np.partition(own * order, p - 1)[:p] for order in ORDERS)
 
 
 def meet(x: np.ndarray, y: np.ndarray) -> int:
@@ -269,12 +325,16 @@ def meet(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
-def compare(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[int, int, bool]:
-    """Shared and all shingles of two sets, and whether they link; the prefixes of a link meet under every other order."""
+def may_meet(x: np.ndarray, y: np.ndarray, x_prefixes, y_prefixes, percent: int) -> bool:
+    """Whether two sets pass the filters: like sizes, and prefixes that share what a link needs under each other order."""
+    low, high = sorted((len(x), len(y)))
+    need = 1 + low // EXTENDED
+    return 100 * low >= percent * high and all(meet(p, q) >= need for p, q in zip(x_prefixes, y_prefixes))
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     shared = meet(x, y)
-    total = len(x) + len(y) - shared
-    near = 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) and all(meet(prefix(x, k, percent), prefix(y, k, percent)) for k in range(len(ORDERS)))
-    return shared, total, near and 100 * shared >= percent * total
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
 def sets_of(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -288,7 +348,7 @@ def sets_of(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray]]:
 
 
 def verified(pairs: DataFrame, held: DataFrame, n_buckets: int, percent: int) -> DataFrame:
-    """(a, b, shared, total, linked) of distinct pairs. held: sig, text.
+    """(a, b) of the pairs that link. held: sig, text.
 
     Pairs are dealt by the end that has more of them; its text goes to the bucket once, the others' texts once a
     pair. An end with over ``PAIRS_AT_ONCE`` pairs is dealt to several buckets.
@@ -307,13 +367,17 @@ def verified(pairs: DataFrame, held: DataFrame, n_buckets: int, percent: int) ->
     left = held.select("sig", "text").join(hubs.select("a", bucket), F.col("sig") == F.col("a")).select("bucket", "sig", "text")
 
     def apply(hub: pa.Table, other: pa.Table) -> pa.Table:
-        sets = {sig: own for _, sig, own in sets_of(hub.select(["sig", "text"]))}
-        a = other.column("hub").to_pylist()
-        out = [(a[row], sig, *compare(sets[a[row]], own, percent)) for row, sig, own in sets_of(other.select(["b_sig", "b_text"]).rename_columns(["sig", "text"])) if a[row] in sets]
-        cols = list(zip(*out)) or [[]] * 5
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("a", "b", "shared", "total", "linked"), cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()))})
+        sets = {sig: (own, prefixes(own, percent)) for _, sig, own in sets_of(hub.select(["sig", "text"]))}
+        a, out = other.column("hub").to_pylist(), []
+        for row, sig, own in sets_of(other.select(["b_sig", "b_text"]).rename_columns(["sig", "text"])):
+            if a[row] in sets:
+                centre, own_prefixes = sets[a[row]]
+                if may_meet(centre, own, own_prefixes, prefixes(own, percent), percent) and linked(centre, own, percent):
+                    out.append((a[row], sig))
+        cols = list(zip(*out)) or [[]] * 2
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", cols)})
 
-    return left.groupBy("bucket").cogroup(right.groupBy("b_bucket")).applyInArrow(apply, "a bigint, b bigint, shared bigint, total bigint, linked boolean")
+    return left.groupBy("bucket").cogroup(right.groupBy("b_bucket")).applyInArrow(apply, "a bigint, b bigint")
 
 
 def ordered(df: DataFrame) -> DataFrame:
@@ -321,14 +385,11 @@ def ordered(df: DataFrame) -> DataFrame:
 
 
 def unresolved(members: DataFrame, label: DataFrame) -> DataFrame:
-    """(v, n, label, grp) of the members of long lists that are not of one component yet; grp: connected by such lists."""
+    """(v, label, grp) of the groups whose members are not all of one component yet. members: grp, x."""
     of = label.select(F.col("v").alias("l_v"), F.col("label").alias("l_label"))
-    members = members.join(of, F.col("x") == F.col("l_v"), "left").select("tok", "x", "n", "pivot", F.coalesce("l_label", "x").alias("label"))
-    mixed = members.groupBy(F.col("tok").alias("m_tok")).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("m_tok")
-    members = materialize(members.join(mixed, F.col("tok") == F.col("m_tok"), "left_semi").select("x", "n", "pivot", "label").distinct(), "mixed-lists")
-    group = components(members.select(F.col("x").alias("a"), F.col("pivot").alias("b"))).select("v", F.col("label").alias("grp"))
-    own = members.select("x", "n", "label").distinct()
-    return own.join(group, F.col("x") == F.col("v")).select("v", "n", "label", "grp")
+    left = members.join(of, F.col("x") == F.col("l_v"), "left").select("grp", F.col("x").alias("v"), F.coalesce("l_label", "x").alias("label"))
+    mixed = left.groupBy(F.col("grp").alias("m_grp")).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("m_grp")
+    return left.join(mixed, F.col("grp") == F.col("m_grp"), "left_semi")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -350,6 +411,29 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def near_pairs(sets: list[np.ndarray], label: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of sets of different labels that pass the filters under the other orders: like sizes and enough shared tokens."""
+    n = np.array([len(x) for x in sets])
+    low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+    near = (100 * low >= percent * high) & (label[:, None] < label[None, :])
+    parts = [prefixes(x, percent) for x in sets]
+    for k in range(len(ORDERS)):
+        if near.any():
+            near &= overlaps([p[k] for p in parts]) >= 1 + low // EXTENDED
+    return near
+
+
+def block_links(sets: list[np.ndarray], label: np.ndarray, percent: int) -> set[tuple[int, int]]:
+    """Labels that links between sets of a block join."""
+    near = near_pairs(sets, label, percent)
+    use = np.flatnonzero(near.any(0) | near.any(1))
+    if not len(use):
+        return set()
+    both, n = overlaps([sets[k] for k in use]), np.array([len(sets[k]) for k in use])
+    i, j = np.nonzero(near[np.ix_(use, use)] & (100 * both >= percent * (n[:, None] + n[None, :] - both)))
+    return set(zip(label[use[i]].tolist(), label[use[j]].tolist()))
+
+
 def group_links(left: DataFrame, held: DataFrame, n_buckets: int, percent: int) -> DataFrame:
     """(a, b): labels of sets of one group that link. A group of over ``GROUP_BLOCK`` sets is dealt out as pairs of blocks.
 
@@ -367,20 +451,11 @@ def group_links(left: DataFrame, held: DataFrame, n_buckets: int, percent: int)
         for row, _, own in sets_of(table.select(["sig", "text"])):
             rows.append(row)
             sets.append(own)
-        rows = np.array(rows, np.int64)
-        found = []
+        rows, found = np.array(rows, np.int64), set()
         for t in np.unique(task):
             at = np.flatnonzero(task[rows] == t)
-            both = overlaps([sets[k] for k in at])
-            own = label[rows[at]]
-            n = np.array([len(sets[k]) for k in at])
-            i, j = np.nonzero(100 * both >= percent * (n[:, None] + n[None, :] - both))
-            apart = own[i] != own[j]
-            pairs = np.unique(np.sort(np.stack([i[apart], j[apart]], 1), axis=1), axis=0)
-            for x, y in pairs.tolist():
-                if compare(sets[at[x]], sets[at[y]], percent)[2]:
-                    found.append(sorted((int(own[x]), int(own[y]))))
-        both = np.unique(np.array(found, np.int64).reshape(-1, 2), axis=0)
+            found |= block_links([sets[k] for k in at], label[rows[at]], percent)
+        both = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(both[:, 0].copy()), "b": pa.array(both[:, 1].copy())})
 
     return sent.groupBy("bucket").applyInArrow(apply, "a bigint, b bigint").distinct()
@@ -394,25 +469,25 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = Non
     texts = keyed(docs, rid)
     profiles = materialize(profile(texts), "shingle-profiles")
     common = docs.sparkSession.sparkContext.broadcast(common_tokens(profiles))
-    found = materialize(candidates(postings(texts, common, buckets_for(docs, 1.5), percent), percent), "candidates")
-    short = materialize(short_pairs(found), "short-pairs")
-    listed = found.filter("kind = 1").select("tok", F.col("a").alias("x"))
-    wanted = short.select(F.col("a").alias("sig")).unionByName(short.select(F.col("b").alias("sig"))).unionByName(listed.select(F.col("x").alias("sig"))).distinct()
+    n_buckets = buckets_for(docs, 1.5)
+    wanted = enough_lists(postings(texts, common, n_buckets, percent), n_buckets, percent)
     held = materialize(with_texts(texts, profiles, wanted).dropDuplicates(["sig"]), "candidate-texts")
+    found = materialize(candidates(postings(held, common, n_buckets, percent), n_buckets, percent), "candidates")
     bound = materialize(bounds(held, max(8, plan_bytes(docs) // (20 << 20))), "bounds")
     open_ = 100 * (F.col("n") - F.col("dead")) >= percent * F.col("n")  # else it links with nothing
-    members = listed.join(bound.filter(open_), F.col("x") == F.col("sig")).select("tok", "x", "n", "dead")
-    pivot = members.groupBy(F.col("tok").alias("p_tok")).agg(F.min(F.struct("dead", "x")).alias("p"))
-    members = materialize(members.join(pivot, F.col("tok") == F.col("p_tok")).select("tok", "x", "n", "dead", F.col("p.x").alias("pivot")), "long-lists")
-    stars = members.select(F.col("x").alias("a"), F.col("pivot").alias("b"))
-    pairs = materialize(bounded(ordered(short.unionByName(stars)), bound, percent), "candidate-pairs")
+    members = materialize(found.join(bound.filter(open_).select(F.col("sig").alias("x"), "dead"), "x"), "members")
+    release(found)
+    centre = members.groupBy(F.col("grp").alias("c_grp")).agg(F.min(F.struct("dead", "x")).alias("c"), F.count("*").alias("size")).filter("size > 1")
+    members = materialize(members.join(centre, F.col("grp") == F.col("c_grp")).select("grp", "x", F.col("c.x").alias("centre")), "groups")
+    pairs = materialize(bounded(ordered(members.select(F.col("x").alias("a"), F.col("centre").alias("b"))), bound, percent), "candidate-pairs")
     n_buckets = buckets_for(docs, 1.0)
     links = materialize(verified(pairs, held, n_buckets, percent), "links")
-    label = components(links.filter("linked"))
+    label = components(links)
     left = materialize(unresolved(members, label), "unresolved")
     more = materialize(group_links(left, held, n_buckets, percent), "group-links")
     if more.limit(1).count():
-        label = components(links.filter("linked").select("a", "b").unionByName(more))
+        label = components(links.unionByName(more))
+    release(held, bound, members, pairs, left)
     rows = profiles.filter("kind = 0").select("rid", "doc_id", "n", "sig")
     rows = materialize(rows.join(label, rows["sig"] == label["v"], "left").select("rid", "doc_id", "n", F.coalesce("label", "sig").alias("root")), "rooted")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")
