@@ -1,9 +1,9 @@
 """Language identification of mixed text: scripts narrow the candidates, Viterbi labels the words.
 
-Each word gets a score for each learned language, from letter trigrams and from the word itself where it is
-known; the ranges of its letters' script leave out languages that are not written in it. Viterbi then finds the
-best labels of all words of a text under a penalty for each switch, which gives spans; a text's language is the
-one that has most letters.
+A word is a run of letters; marks inside one belong to it. Each word gets a score for each learned language, from
+byte trigrams and from the word itself where it is known; the script of its letters, by ranges of code points, leaves
+out languages that are not written in it. Viterbi then finds the best labels of all words of a text under a penalty
+for each switch, which gives spans; a text's language is the one that has most letters.
 
 Trigram and word tables are fitted on a sample of at most about ``most_per_language`` labelled texts of each
 language, drawn by hash from outside the held-out fold; every text is labelled whole. Viterbi runs over many
@@ -16,28 +16,85 @@ language that sorts first.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridloom.llm.session import fold
-from gridloom.llm.textkit import LOWER, NO_LETTER, U64, Block, blocks, word_hashes, words
+from gridloom.llm.textkit import LOWER, U64, Block, blocks, runs, word_hashes
 
 WORD_BITS, GRAM_BITS = 18, 16
 MOST_PER_LANGUAGE = 1_500
 PENALTY = 4.0
 FLOOR = -6.0
 HELD_OUT = 2
-#: Script by the lead byte of a letter in UTF-8: 1 Latin, 2 Greek, 3 Cyrillic, 4 Hebrew, 5 Arabic, 6 other three-byte
-#: alphabets of Asia, 7 Kana and Han, 8 Hangul, 9 the rest.
-SCRIPT = np.zeros(256, np.int8)
-SCRIPT[0x41:0x5B] = SCRIPT[0x61:0x7B] = 1
-for _low, _high, _script in ((0xC3, 0xCB, 1), (0xCC, 0xCF, 2), (0xD0, 0xD4, 3), (0xD5, 0xD7, 4), (0xD8, 0xDF, 5), (0xE0, 0xE2, 6), (0xE3, 0xE9, 7), (0xEA, 0xED, 8), (0xEE, 0xF4, 9)):
-    SCRIPT[_low:_high + 1] = _script
-SCRIPTS = 10
+#: Bytes of text that Viterbi steps through side by side.
+BLOCK = 3 << 20
+#: Ranges of code points of scripts, by name (letters of no range are one more script). Fixed values, from the Unicode blocks.
+SCRIPT_RANGES = {
+    "Latin": ((0x41, 0x5A), (0x61, 0x7A), (0xAA, 0xAA), (0xBA, 0xBA), (0xC0, 0x2AF), (0x1D00, 0x1DBF), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xAB30, 0xAB6F), (0xFB00, 0xFB06), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A)),
+    "Greek": ((0x370, 0x3FF), (0x1F00, 0x1FFF)),
+    "Cyrillic": ((0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)),
+    "Armenian": ((0x531, 0x58F), (0xFB13, 0xFB17)),
+    "Hebrew": ((0x590, 0x5FF), (0xFB1D, 0xFB4F)),
+    "Arabic": ((0x600, 0x6FF), (0x750, 0x77F), (0x8A0, 0x8FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFF)),
+    "Devanagari": ((0x900, 0x97F), (0xA8E0, 0xA8FF)),
+    "Bengali": ((0x980, 0x9FF),),
+    "Gurmukhi": ((0xA00, 0xA7F),),
+    "Gujarati": ((0xA80, 0xAFF),),
+    "Tamil": ((0xB80, 0xBFF),),
+    "Telugu": ((0xC00, 0xC7F),),
+    "Kannada": ((0xC80, 0xCFF),),
+    "Malayalam": ((0xD00, 0xD7F),),
+    "Sinhala": ((0xD80, 0xDFF),),
+    "Thai": ((0xE00, 0xE7F),),
+    "Lao": ((0xE80, 0xEFF),),
+    "Tibetan": ((0xF00, 0xFFF),),
+    "Myanmar": ((0x1000, 0x109F),),
+    "Georgian": ((0x10A0, 0x10FF), (0x1C90, 0x1CBF), (0x2D00, 0x2D2F)),
+    "Ethiopic": ((0x1200, 0x139F), (0x2D80, 0x2DDF)),
+    "Khmer": ((0x1780, 0x17FF),),
+    "Hangul": ((0x1100, 0x11FF), (0x3130, 0x318F), (0xA960, 0xA97F), (0xAC00, 0xD7FF)),
+    "Kana and Han": ((0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3031, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)),
+}
+#: 0 is no script: marks, and what is no letter.
+SCRIPTS = len(SCRIPT_RANGES) + 2
+
+
+@lru_cache(1)
+def code_points() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point, its script (0 unless it is a letter), and whether it stands in a word: letters and marks."""
+    script = np.full(0x110000, SCRIPTS - 1, np.int8)
+    for k, ranges in enumerate(SCRIPT_RANGES.values()):
+        for low, high in ranges:
+            script[low : high + 1] = k + 1
+    letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    mark = np.fromiter((unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)), bool, 0x110000)
+    return np.where(letter, script, 0).astype(np.int8), letter | mark
+
+
+def by_byte(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For UTF-8 bytes: the script of the letter that starts there (else 0), and whether the byte stands in a word."""
+    script, inside = code_points()
+    out, word = script[data], inside[data]  # right where a character is one byte
+    high = np.flatnonzero(data >= 0x80)
+    if len(high):
+        out[high], word[high] = 0, False
+        at = high[data[high] >= 0xC0]
+        b = [data[np.minimum(at + k, len(data) - 1)].astype(np.int32) & 0x3F for k in (1, 2, 3)]
+        first = data[at].astype(np.int32)
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        code = np.select([size == 2, size == 3], [(first & 0x1F) << 6 | b[0], (first & 0x0F) << 12 | b[0] << 6 | b[1]], (first & 0x07) << 18 | b[0] << 12 | b[1] << 6 | b[2])
+        out[at] = script[code]
+        stands = inside[code]
+        for k in range(4):
+            word[at[stands & (size > k)] + k] = True
+    return out, word
 
 
 @dataclass
@@ -62,12 +119,25 @@ def gram_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 
 
 def parsed(block: Block):
+    """Words of a block: starts, ends, first words, trigrams and the first of each word, hashes, scripts, letters.
+
+    A word's script is that of its first letter; a run without a letter (marks alone) is no word.
+    """
     data = LOWER[block.data]
-    starts, ends, first = words(data, block.offs, NO_LETTER)
+    script, inside = by_byte(data)
+    starts, ends, first = runs(inside, block.offs)
+    before = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(script > 0, out=before[1:])
+    letters = (before[ends] - before[starts]).astype(np.int64)
+    use = letters > 0
+    first = np.concatenate([[0], np.cumsum(use)])[first]
+    starts, ends, letters = starts[use], ends[use], letters[use]
+    own = script[starts]
+    for i in np.flatnonzero(own == 0):  # a mark stands before the first letter
+        own[i] = next(x for x in script[starts[i] : ends[i]] if x)
     ids, at = gram_ids(data, starts, ends)
     hashed = (word_hashes(data, starts, ends) >> U64(64 - WORD_BITS)).astype(np.int64)
-    script = np.maximum.reduceat(SCRIPT[data], np.stack([starts, ends], 1).ravel()[: 2 * len(starts)].clip(max=max(len(data) - 1, 0)))[::2] if len(starts) else np.zeros(0, np.int8)
-    return starts, ends, first, ids, at, hashed, script
+    return starts, ends, first, ids, at, hashed, own, letters
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -75,8 +145,8 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list[np.ndarray]] = {}
-        for block in blocks(batches):
-            _, _, first, ids, at, hashed, script = parsed(block)
+        for block in blocks(batches, most=BLOCK):
+            _, _, first, ids, at, hashed, script, _ = parsed(block)
             langs = np.array(block.rows.column("lang").to_pylist(), object)
             text = np.repeat(np.arange(block.n), np.diff(first))
             for lang in sorted(set(langs)):
@@ -130,11 +200,11 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = PENALTY) ->
     length = np.diff(first)
     order = np.argsort(-length, kind="stable")
     begin, length = first[:-1][order], length[order]
-    labels = np.zeros(len(scores), np.int8)
+    labels = np.zeros(len(scores), np.int32)
     if not len(scores):
         return labels
     back = np.zeros(scores.shape, bool)  # came from the best label before, by a switch
-    best = np.zeros(len(scores), np.int8)
+    best = np.zeros(len(scores), np.int32)
     live = np.searchsorted(-length, -np.arange(length[0]), "left")  # texts longer than t
     d = scores[begin[: live[0]]].copy()
     for t in range(1, len(live)):
@@ -164,13 +234,9 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = PENALTY) ->
 
 
 def labelled(model: Model, block: Block, penalty: float = PENALTY):
-    """Word starts, ends, first words and labels of a block."""
-    starts, ends, first, ids, at, hashed, script = parsed(block)
-    return starts, ends, first, viterbi(word_scores(model, ids, at, hashed, script), first, penalty)
-
-
-def has_letter(text: bytes) -> bool:
-    return any(c.isalpha() for c in text.decode("utf-8", "replace"))
+    """Word starts, ends, first words, letters and labels of a block."""
+    starts, ends, first, ids, at, hashed, script, letters = parsed(block)
+    return starts, ends, first, letters, viterbi(word_scores(model, ids, at, hashed, script), first, penalty)
 
 
 def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
@@ -179,17 +245,12 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFra
     size = len(model.languages)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            starts, ends, first, labels = labelled(model, block, penalty) if size else (*(np.zeros(0, np.int64),) * 2, np.zeros(block.n + 1, np.int64), np.zeros(0, np.int8))
+        for block in blocks(batches, most=BLOCK):
+            none = np.zeros(0, np.int64)
+            starts, ends, first, count, labels = labelled(model, block, penalty) if size else (none, none, np.zeros(block.n + 1, np.int64), none, none)
             text = np.repeat(np.arange(block.n), np.diff(first))
-            letters = np.bincount(text * max(size, 1) + labels, (ends - starts).astype(float), block.n * max(size, 1)).reshape(block.n, -1)
+            letters = np.bincount(text * max(size, 1) + labels, count.astype(float), block.n * max(size, 1)).reshape(block.n, -1)
             total, top = letters.sum(1), letters.argmax(1)
-            high = block.data >= 0x80
-            plain = np.concatenate([[0], np.cumsum(~NO_LETTER[block.data] & ~high)])
-            doubtful = np.flatnonzero((total > 0) & (plain[block.offs[1:]] == plain[block.offs[:-1]]))
-            for i in doubtful:
-                if not has_letter(block.text(i)):
-                    total[i] = 0
             pred = np.where(total > 0, top, size)
             new = np.ones(len(labels), bool)
             new[1:] = (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])
