@@ -5,8 +5,10 @@ features are the terms it has, so long and short texts are scored by the same ev
 sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>): the pairwise part learns combinations that additive weights miss.
 
 The model is fitted on a sample of the labelled rows, at most about ``most_toxic`` toxic and ``most_clean`` other
-ones, drawn by hash and weighted back to the full counts. Terms that tell the classes apart in the sample (at
-most ``most_terms``) enter the machine. Scoring covers whole texts, by table lookup, in one scan.
+ones, drawn by hash and weighted back to the full counts. Terms that tell the classes apart in the sample enter the
+machine: those that do so alone (at most ``most_terms``), and those of pairs that do so together, whatever each does
+alone, such as two words of which exactly one marks a toxic text. Pairs are tried among the ``most_paired`` commonest
+terms; rarer ones are not together often enough to tell. Scoring covers whole texts, by table lookup, in one scan.
 
 Defined results: empty or null text scores the base rate; a null doc_id is in no fold and is not held out; rows
 that repeat a doc_id are scored each; labels that repeat are toxic if any says so; null labels are no labels;
@@ -30,6 +32,11 @@ FACTORS = 8
 MOST_TOXIC = 5_000
 MOST_CLEAN = 7_000
 MOST_TERMS = 20_000
+MOST_PAIRED = 3_000
+#: How many standard errors a term, or a pair of some millions tried, has to be off to count.
+SINGLE, PAIR = 3, 7
+#: Texts of the sample that hold both terms of a pair, at least, and by how much their rate is off, at least.
+TOGETHER, EFFECT = 30, 0.3
 THRESHOLD = 0.3
 HELD_OUT = 2
 
@@ -57,7 +64,35 @@ def places(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return (key >> U64(BITS)).astype(np.int64), (key & U64((1 << BITS) - 1)).astype(np.int64)
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, factors: int = FACTORS, most_terms: int = MOST_TERMS, seed: int = 0) -> Machine:
+def paired_terms(rows: list[np.ndarray], toxic: np.ndarray, df: np.ndarray, df_pos: np.ndarray, most_paired: int) -> np.ndarray:
+    """Terms of pairs whose texts are toxic more, or less, often than the two terms' own rates add up to."""
+    terms = np.flatnonzero(df >= TOGETHER)
+    terms = np.sort(terms[np.argsort(-df[terms], kind="stable")[:most_paired]])
+    place = np.full(1 << BITS, -1, np.int32)
+    place[terms] = np.arange(len(terms))
+    both, positive = (np.zeros((len(terms), len(terms)), np.float32) for _ in range(2))
+    for k in range(0, len(rows), 1000):
+        x = np.zeros((len(rows[k : k + 1000]), len(terms)), np.float32)
+        for i, r in enumerate(rows[k : k + 1000]):
+            at = place[r]
+            x[i, at[at >= 0]] = 1
+        both += x.T @ x
+        x = x[toxic[k : k + 1000] == 1]
+        positive += x.T @ x
+    rate = toxic.sum() / len(toxic)
+    own = (df_pos[terms] / df[terms]).astype(np.float32)
+    use = np.zeros(len(terms), bool)
+    for a in range(0, len(terms), 500):  # rows of the table, a few at a time
+        n, p = both[a : a + 500], positive[a : a + 500]
+        expected = np.clip(own[a : a + 500, None] + own[None, :] - rate, 0.01, 0.99)
+        off = np.abs(p - n * expected) >= PAIR * np.sqrt(n * expected * (1 - expected))
+        off &= (n >= TOGETHER) & (np.abs(p - n * expected) >= EFFECT * n)
+        off[np.arange(off.shape[0]), a + np.arange(off.shape[0])] = False
+        use[a : a + 500] |= off.any(1)
+    return terms[use]
+
+
+def fit(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, factors: int = FACTORS, most_terms: int = MOST_TERMS, most_paired: int = MOST_PAIRED, seed: int = 0) -> Machine:
     """Fit on texts given by their distinct terms; toxic and weight by text. Works through the texts a thousand at a time."""
     n, size = len(toxic), 1 << BITS
     if not n or not weight.sum():
@@ -73,9 +108,12 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, factors:
     with np.errstate(all="ignore"):
         z = np.where(df >= 2, (df_pos - df * rate) / np.sqrt(df * rate * (1 - rate)), 0.0)
     z = np.nan_to_num(z)
-    chosen = np.flatnonzero(np.abs(z) >= 3)
+    chosen = np.flatnonzero(np.abs(z) >= SINGLE)
     if len(chosen) > most_terms:
-        chosen = np.sort(chosen[np.argsort(-np.abs(z[chosen]), kind="stable")[:most_terms]])
+        chosen = chosen[np.argsort(-np.abs(z[chosen]), kind="stable")[:most_terms]]
+    if 0 < rate < 1:
+        chosen = np.union1d(chosen, paired_terms(rows, toxic, df, df_pos, most_paired))
+    chosen = np.sort(chosen)
     place = np.full(size, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     found = [at[at >= 0] for at in (place[r] for r in rows)]
@@ -127,6 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most
     part = {y: min(1.0, most / max(n.get(y, 0), 1)) for y, most in ((1, most_toxic), (0, most_clean))}
     draw = (F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 30)) / (1 << 30)) < F.when(F.col("toxic") == 1, part[1]).otherwise(part[0])
     sample = docs.select("doc_id", "text").join(F.broadcast(known.filter(draw)), "doc_id")  # bounded by the two limits
+    sample = sample.dropDuplicates(["doc_id", "text"])  # a row that repeats without end counts once
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, most=2 << 20):
