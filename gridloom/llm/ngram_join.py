@@ -389,6 +389,7 @@ def unresolved(members: DataFrame, label: DataFrame) -> DataFrame:
     of = label.select(F.col("v").alias("l_v"), F.col("label").alias("l_label"))
     left = members.join(of, F.col("x") == F.col("l_v"), "left").select("grp", F.col("x").alias("v"), F.coalesce("l_label", "x").alias("label"))
     mixed = left.groupBy(F.col("grp").alias("m_grp")).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("m_grp")
+    mixed = materialize(mixed, "mixed-groups")
     return left.join(mixed, F.col("grp") == F.col("m_grp"), "left_semi")
 
 
@@ -478,6 +479,7 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, rid: Column | None = Non
     members = materialize(found.join(bound.filter(open_).select(F.col("sig").alias("x"), "dead"), "x"), "members")
     release(found)
     centre = members.groupBy(F.col("grp").alias("c_grp")).agg(F.min(F.struct("dead", "x")).alias("c"), F.count("*").alias("size")).filter("size > 1")
+    centre = materialize(centre, "centres")  # its size shows whether members of a large group need to be dealt by group at all
     members = materialize(members.join(centre, F.col("grp") == F.col("c_grp")).select("grp", "x", F.col("c.x").alias("centre")), "groups")
     pairs = materialize(bounded(ordered(members.select(F.col("x").alias("a"), F.col("centre").alias("b"))), bound, percent), "candidate-pairs")
     n_buckets = buckets_for(docs, 1.0)
