@@ -7,7 +7,8 @@ twenty times fewer entries.
 
 The sketch has two rows of cells for saturating counts. Each task sends the cells it touched; slices of the rows
 are summed apart, and one bit a cell, "twice or more", goes to the second pass. Cells grow with the input up to
-``MOST_BITS`` and no further: beyond that the sketch lets more through, and still loses nothing.
+``MOST_BITS``, which bounds what is broadcast to 128 MB: beyond that the sketch lets more through (``share_let_through``
+says how much), and still loses nothing.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from gridloom.llm.exchange import SCHEMA, flushed, reduce_buckets
 from gridloom.llm.session import plan_bytes
 from gridloom.llm.textkit import U64
 
-MOST_BITS = 27
+MOST_BITS = 29
 SLICE_BITS = 20
-_PLACE = U64((1 << 28) - 1)
+#: Places take the low bits of what is compared; Arrow holds no longer text than they count.
+_PLACE = U64((1 << 31) - 1)
 
 
 def segments(grams: np.ndarray, first: np.ndarray, per_window: int, width: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -38,8 +40,6 @@ def segments(grams: np.ndarray, first: np.ndarray, per_window: int, width: int |
     n = len(grams) - per_window + 1
     if n <= 0:
         return none, none, none, none
-    if len(grams) > int(_PLACE):
-        raise ValueError("a text of over 2**28 grams")
     low = (grams & ~_PLACE) | np.arange(len(grams), dtype=U64)
     span = 1
     while span * 2 <= per_window:
@@ -64,6 +64,11 @@ def cell_bits(docs: DataFrame, bytes_per_anchor: float) -> int:
     return int(min(MOST_BITS, max(SLICE_BITS, np.ceil(np.log2(max(expected * 4, 2))))))
 
 
+def share_let_through(anchors: float, bits: int) -> float:
+    """Expected share of anchors met once that the sketch takes for repeated, with so many different anchors in it."""
+    return float((1 - np.exp(-anchors / 2**bits)) ** 2)
+
+
 def cells(anchors: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The cell of each anchor in either row."""
     return (anchors >> U64(64 - bits)).astype(np.int64), ((anchors * U64(0xA24BAED4963EE407)) >> U64(64 - bits)).astype(np.int64)

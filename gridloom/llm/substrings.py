@@ -195,7 +195,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     counted = sketch(texts.select("k1", "k2", "text"), anchors, cell_bits(docs, BYTES_PER_ANCHOR))
     found = docs.sparkSession.sparkContext.broadcast(counted)
-    stretches = materialize(repeated_windows(texts, found, buckets_for(docs, 2.0), window), "repeated-windows")
+    stretches = materialize(repeated_windows(texts, found, buckets_for(docs, 2.0, 2 << 20), window), "repeated-windows")
     # Tasks that read copies of one text mark it alike: marks fall together before they are listed.
     marks = stretches.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("marks"))
     copies = texts.groupBy("k1", "k2").agg(F.count("*").alias("copies")).filter("copies > 1")
