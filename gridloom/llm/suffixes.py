@@ -3,10 +3,10 @@
 Every ``WIDTH``-byte string that also starts earlier (smaller doc_id, or earlier in the same document) is
 removed, overlaps included. Which strings can repeat at all is found first: the windows of a text fall into
 segments by their minimiser, minimisers are sketched, and segments whose minimiser may repeat are grouped by
-it. Segments equal as a whole repeat as a whole; where one minimiser has different segments, their bytes go to
-the minimiser's bucket, and there a suffix array by linear grouping brings equal windows side by side, each run
-checked byte for byte; all but the earliest of a run are marked. Every window lies in one segment, and equal
-windows have one minimiser, so nothing is lost between buckets.
+it. Segments equal as a whole (of one minimiser and one 128-bit hash) repeat as a whole; where one minimiser has
+different segments, their bytes go to the minimiser's bucket, and there a suffix array by linear grouping brings
+equal windows side by side, each run checked byte for byte; all but the earliest of a run are marked. Every window
+lies in one segment, and equal windows have one minimiser, so nothing is lost between buckets.
 
 Texts equal as a whole need no windows: only the smallest doc_id's is searched, later copies go entirely.
 Records are packed; memory holds one bucket at a time, and a task sends one of equal segments on.
@@ -31,20 +31,21 @@ from gridloom.llm.anchors import Sketch, cell_bits, segments, sketch
 from gridloom.llm.exchange import dealt, packed
 from gridloom.llm.gsaca import HEAD, MARK
 from gridloom.llm.session import buckets_for, materialize
-from gridloom.llm.textkit import BYTE_BASE, U64, Block, blocks, covered, mix, powers, prefix, spans
+from gridloom.llm.textkit import BYTE_BASE, U64, WORD_BASE, Block, blocks, covered, mix, powers, prefix, spans
 
 WIDTH = 100
 GRAM = 20
 BYTES_PER_ANCHOR = 35
 LAST = (1 << 63) - 1
+SECOND = U64(0xD6E8FEB86659FD93)
 #: place: of the minimiser in the segment; often: its minimiser has over ``OFTEN`` different segments.
-SEGMENT = np.dtype([("anchor", "<u4"), ("n", "u1"), ("place", "u1"), ("often", "<u2"), ("seg", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<u4")])
+SEGMENT = np.dtype([("anchor", "<u4"), ("n", "u1"), ("place", "u1"), ("often", "<u2"), ("seg", "<u8"), ("seg2", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<u4")])
 OFTEN = 10_000
 #: Windows of such segments are dealt by where they lie to the minimiser, in steps of PART, and by the bytes they all hold.
 PART = 16
 SENT, MARKED, COPY = 0, 1, 2
 ROW = "bucket int, kind int, blob binary"
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -55,13 +56,17 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def cut(block: Block, width: int):
-    """Segments of a block: text, first window, windows, the minimiser's place, its hash, and the segment's hash."""
+    """Segments of a block: text, first window, windows, the minimiser's place, its hash, and the segment's two hashes.
+
+    A segment is hashed by the mixed hashes of all its grams, which are no polynomial of its bytes.
+    """
     sums = prefix(block.data.astype(U64) + U64(1), BYTE_BASE)
     n = len(block.data) - GRAM + 1
     small = mix((sums[GRAM:] - sums[:-GRAM]) * powers(BYTE_BASE, n)[1]) if n > 0 else np.zeros(0, U64)
     text, begin, count, place = segments(small, block.offs, width - GRAM + 1, width)
-    seg = spans(sums, begin, begin + count - 1 + width, BYTE_BASE) + mix((place - begin).astype(U64))
-    return text, begin, count, place, small[place], seg
+    end = begin + count + width - GRAM
+    seg = spans(prefix(small, WORD_BASE), begin, end, WORD_BASE) + mix((place - begin).astype(U64))
+    return text, begin, count, place, small[place], seg, spans(prefix(mix(small ^ SECOND), BYTE_BASE), begin, end, BYTE_BASE)
 
 
 def searched(block: Block, seen: dict[tuple[int, int], int]) -> np.ndarray:
@@ -76,9 +81,9 @@ def searched(block: Block, seen: dict[tuple[int, int], int]) -> np.ndarray:
 
 def split(records: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The first of equal segments, and marks for the others, whose windows all start earlier as well."""
-    order = np.lexsort((records["start"], records["key"], records["doc"], records["seg"], records["anchor"]))
+    order = np.lexsort((records["start"], records["key"], records["doc"], records["seg2"], records["seg"], records["anchor"]))
     r = records[order]
-    same = (r["anchor"][1:] == r["anchor"][:-1]) & (r["seg"][1:] == r["seg"][:-1])
+    same = (r["anchor"][1:] == r["anchor"][:-1]) & (r["seg"][1:] == r["seg"][:-1]) & (r["seg2"][1:] == r["seg2"][:-1])
     twin = same & (r["doc"][1:] == r["doc"][:-1]) & (r["key"][1:] == r["key"][:-1]) & (r["start"][1:] == r["start"][:-1])
     first = np.concatenate([[True], ~same])[: len(r)]
     again = r[~first & ~np.concatenate([[False], twin])[: len(r)]]
@@ -116,12 +121,13 @@ def grouped(texts: DataFrame, found: Broadcast, n_buckets: int, n_docs: int, wid
             yield rows(marks, of_doc(marks, n_buckets), MARKED)
 
         for block in blocks(batches, most=BLOCK):
-            text, begin, n, place, anchor, seg = cut(block, width)
+            text, begin, n, place, anchor, seg, seg2 = cut(block, width)
             use = np.flatnonzero(searched(block, seen)[text] & known.repeated(anchor))
             out = np.zeros(len(use), SEGMENT)
             owner = text[use]
             out["place"] = (place - begin)[use]
-            out["anchor"], out["n"], out["seg"], out["start"] = anchor[use] & U64(0xFFFFFFFF), n[use], seg[use], begin[use] - block.offs[:-1][owner]
+            out["seg"], out["seg2"] = seg[use], seg2[use]
+            out["anchor"], out["n"], out["start"] = anchor[use] & U64(0xFFFFFFFF), n[use], begin[use] - block.offs[:-1][owner]
             out["doc"], out["key"] = block.rows.column("doc").to_numpy()[owner], block.rows.column("key").to_numpy()[owner]
             held.append(out)
             size += out.nbytes
@@ -251,7 +257,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         seen: dict[tuple[int, int], int] = {}
         for block in blocks(batches, most=BLOCK):
-            text, _, _, _, anchor, _ = cut(block, width)
+            text, _, _, _, anchor, *_ = cut(block, width)
             yield anchor[searched(block, seen)[text]]
 
     counted = sketch(texts.select("doc", "k1", "k2", "text"), anchors, cell_bits(docs, BYTES_PER_ANCHOR))
