@@ -7,7 +7,8 @@ Within a shard the documents, in seeded order, make one stream of words cut into
 of it and the rest takes blocks by seeded rank, so a document's taken words are what the chosen blocks hold.
 
 Only totals of shards reach the driver, at most ``most_shards`` plus one for each source. Shards split a hot
-source, and a shard is a bounded share of the corpus.
+source, and a shard is a bounded share of the corpus: rows that are alike in doc_id, source and size are counted
+first and dealt to shards ``COPIES`` at a time, so a doc_id that repeats without end fills no shard.
 
 Defined results: null text has size 0; a null source is a source of its own, ordered last; documents without
 words take 0; with no words at all every target is 0; rows that repeat a doc_id count each; an empty table
@@ -22,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from gridloom.llm.session import materialize
+from gridloom.llm.session import materialize, release
 
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
@@ -31,6 +32,8 @@ BLOCK_WORDS = 1 << 10
 BLOCKS_PER_MIX = 20_000
 MOST_SHARDS = 200_000
 BLOCKS_PER_SHARD = 64
+#: Rows alike that go to one shard together.
+COPIES = 256
 
 
 def n_words(text: Column) -> Column:
@@ -102,15 +105,19 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """One row per row of ``docs``: doc_id, size, source_size, target, taken."""
     spark = docs.sparkSession
     sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), F.xxhash64(F.lit(seed), F.col(doc_id), F.col(source)).alias("h"))
-    sized = materialize(sized, "sizes")
-    words = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sized = materialize(sized.groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("n")), "sizes")
+    words = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     total = words.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, min(block_words, total // BLOCKS_PER_MIX), -(-total // (most_shards * BLOCKS_PER_SHARD)))
     shard_words = block * BLOCKS_PER_SHARD
-    cut = words.select(F.col("source").alias("c_source"), "source_size", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("bigint").alias("n"))
-    dealt = sized.join(cut, F.col("source").eqNullSafe(F.col("c_source"))).select("doc_id", "source", "size", "h", "source_size", F.pmod(F.shiftright("h", 20), F.col("n")).alias("shard"))
+    cut = words.select(F.col("source").alias("c_source"), "source_size", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("bigint").alias("shards"))
+    some = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / COPIES))).alias("part")
+    dealt = sized.select("*", some).withColumn("copies", F.least(F.col("n") - F.col("part") * COPIES, F.lit(COPIES)))
+    dealt = dealt.withColumn("h", F.when(F.col("part") == 0, F.col("h")).otherwise(F.xxhash64("h", "part")))
+    dealt = dealt.join(cut, F.col("source").eqNullSafe(F.col("c_source"))).select("doc_id", "source", "size", "h", "copies", "source_size", F.pmod(F.shiftright("h", 20), F.col("shards")).alias("shard"))
     dealt = materialize(dealt, "shards")
-    table = dealt.groupBy("source", "shard").agg(F.sum("size").alias("words")).toPandas()
+    release(sized)
+    table = dealt.groupBy("source", "shard").agg(F.sum(F.col("size") * F.col("copies")).alias("words")).toPandas()
     by_source, by_shard = plan(table, block, weights, repeats)
     goals = spark.createDataFrame([(None if s is None or s != s else s, float(t)) for s, t in zip(by_source["source"], by_source["target"])], "g_source string, target double")
     quotas = spark.createDataFrame([(None if s is None or s != s else s, int(k), int(w), int(q)) for s, k, w, q in by_shard.itertuples(index=False)], "source string, shard long, words long, quota long")
@@ -121,7 +128,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 def taken(dealt: DataFrame, quotas: DataFrame, block: int, repeats: int, seed: int) -> DataFrame:
     """Words that each document gives, from its shard's quota of blocks."""
     order = W.partitionBy("source", "shard").orderBy("h", "doc_id", "size")
-    rows = dealt.withColumn("end", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("begin", F.col("end") - F.col("size"))
+    held = F.col("size") * F.col("copies")
+    rows = dealt.withColumn("end", F.sum(held).over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("begin", F.col("end") - held)
     due = F.col("quota") * block
     q = quotas.withColumn("passes", F.when(F.col("words") > 0, F.floor(due / F.greatest("words", F.lit(1)))).otherwise(0)).withColumn("rest", F.when(F.col("words") > 0, due - F.col("passes") * F.col("words")).otherwise(0))
     # The blocks that the last, partial pass takes: a shard's first by seeded hash, the last one cut to the words due.
@@ -137,6 +145,8 @@ def taken(dealt: DataFrame, quotas: DataFrame, block: int, repeats: int, seed: i
     q = q.withColumn("chosen", F.aggregate(ranked, empty, step, lambda acc: acc["out"]))
     q = q.select(F.col("source").alias("q_source"), F.col("shard").alias("q_shard"), "target", "passes", "chosen")
     rows = rows.join(q, rows["source"].eqNullSafe(q["q_source"]) & (rows["shard"] == q["q_shard"]))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    rows = rows.withColumn("begin", F.col("begin") + F.col("copy") * F.col("size")).withColumn("end", F.col("begin") + F.col("size"))
     inside = lambda b: F.greatest(F.lit(0), F.least(F.col("end"), b["end"]) - F.greatest(F.col("begin"), b["begin"]))
     part = F.aggregate("chosen", F.lit(0).cast("bigint"), lambda a, b: a + inside(b))
     return rows.select("doc_id", "size", "source_size", "target", F.least(F.col("passes") * F.col("size") + part, F.lit(repeats) * F.col("size")).cast("bigint").alias("taken"))
