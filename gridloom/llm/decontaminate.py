@@ -7,24 +7,28 @@ covers yet, they are marked without overlap, longest first, and the search lengt
 the share of the item's words under tiles, so passages that were reordered or broken up still count. Pairs at
 ``threshold`` or more are reported.
 
-The items travel in blocks of at most ``block_bytes`` of text; a larger benchmark takes a scan of the documents
-for each block, so what is sent to a task never grows with it.
+The items travel in blocks of about ``block_bytes`` of text (all items of one item_id, at least); a larger benchmark
+takes a scan of the documents for each block, and a block's results are written before the next block is read, so
+neither what is sent to a task nor what the driver holds grows with it.
 
 Items under five words match where a document holds their whole word sequence, as one tile.
 
 Defined results: null or empty documents and items match nothing; an item without an item_id is reported with none,
-unless one with an item_id has the same text, which then stands for it; an item that repeats an item_id is tiled by itself and reported by its best coverage; a document row that repeats a doc_id
-is reported for each row; other columns are ignored; empty tables give no rows.
+unless one with an item_id has the same text, which then stands for it; items that repeat an item_id are tiled each, and
+a document is reported once with that item_id, by the best coverage; a document row that repeats a doc_id is reported for each row; other columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from gridloom.llm.session import materialize, release
 from gridloom.llm.textkit import LOWER, Block, blocks, grams, word_hashes, words
 
 MIN_TILE = 5
@@ -53,7 +57,11 @@ def karp_rabin(tokens: list[int], free: list[bool], length: int) -> Iterator[tup
 
 
 def tile(item: list[int], text: list[int], least: int = MIN_TILE) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (item start, text start, length) of tiles. Negative tokens match nothing."""
+    """Greedy string tiling: (item start, text start, length) of tiles. Negative tokens match nothing.
+
+    A match that could begin a word earlier is part of a longer one, so only matches that could not are walked: a text
+    that repeats one phrase costs a look, not a walk, at each of its places.
+    """
     free_a, free_b = [t >= 0 for t in item], [t >= 0 for t in text]
     tiles: list[tuple[int, int, int]] = []
     search = max(least, len(item) // 2)
@@ -64,6 +72,8 @@ def tile(item: list[int], text: list[int], least: int = MIN_TILE) -> list[tuple[
         longest, found = search, []
         for h, i in karp_rabin(item, free_a, search):
             for j in table.get(h, ()):
+                if i and j and free_a[i - 1] and free_b[j - 1] and item[i - 1] == text[j - 1]:
+                    continue
                 k = 0
                 while i + k < len(item) and j + k < len(text) and free_a[i + k] and free_b[j + k] and item[i + k] == text[j + k]:
                     k += 1
@@ -108,23 +118,19 @@ class Items:
                 self.short[n] = whole[at[own]][order], own[order]
 
 
-def short_hits(items: Items, hashed: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, tuple]]:
-    """(row, result) of each document and item under a seed's length that it holds whole."""
+def short_hits(items: Items, hashed: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, tuple]]:
+    """(row, item, result) of each document and item under a seed's length that it holds whole."""
     for n, (whole, own) in items.short.items():
         seen, at = grams(hashed, first, n)
         lo, hi = np.searchsorted(whole, seen, "left"), np.searchsorted(whole, seen, "right")
         hit = np.flatnonzero(hi > lo)
         doc = np.searchsorted(at, hit, "right") - 1
         for d, i in sorted({(d, i) for d, a, b in zip(doc.tolist(), lo[hit].tolist(), hi[hit].tolist()) for i in own[a:b].tolist()}):
-            yield d, (items.ids[i], n, n, 1, 1.0)
+            yield d, i, (n, n, 1, 1.0)
 
 
-def hits(items: Items, block: Block, threshold: float) -> Iterator[tuple[int, tuple]]:
-    """(row, result) of each document of a block and item at ``threshold`` or more."""
-    data = LOWER[block.data]
-    starts, ends, first = words(data, block.offs, GAP)
-    hashed = word_hashes(data, starts, ends)
-    yield from short_hits(items, hashed, first)
+def long_hits(items: Items, hashed: np.ndarray, first: np.ndarray, threshold: float) -> Iterator[tuple[int, int, tuple]]:
+    """(row, item, result) of each document and item whose tiles cover enough of the item."""
     seeds, at = grams(hashed, first, MIN_TILE)
     if not len(seeds) or not len(items.distinct):
         return
@@ -135,8 +141,23 @@ def hits(items: Items, block: Block, threshold: float) -> Iterator[tuple[int, tu
     edge = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]])) if len(hit) else np.zeros(1, np.int64)
     for a, b in zip(edge[:-1], edge[1:]):
         d = doc[a]
-        for result in tiled(items, where[hit[a:b]], hit[a:b] - at[d], tokens[first[d] : first[d + 1]], threshold):
-            yield d, result
+        for i, result in tiled(items, where[hit[a:b]], hit[a:b] - at[d], tokens[first[d] : first[d + 1]], threshold):
+            yield int(d), i, result
+
+
+def hits(items: Items, block: Block, threshold: float) -> Iterator[tuple[int, tuple]]:
+    """(row, (item_id, ...)) of each document of a block and item_id at ``threshold`` or more, by the best coverage."""
+    data = LOWER[block.data]
+    starts, ends, first = words(data, block.offs, GAP)
+    hashed = word_hashes(data, starts, ends)
+    best: dict[tuple, tuple] = {}
+    for d, i, result in itertools.chain(short_hits(items, hashed, first), long_hits(items, hashed, first, threshold)):
+        known = items.ids[i]
+        key = (d, known is None, i if known is None else known)
+        if key not in best or (result[3], result[0]) > (best[key][4], best[key][1]):  # of equal coverage the longer item
+            best[key] = (known, *result)
+    for key in sorted(best):
+        yield key[0], best[key]
 
 
 def compared(items: Items, threshold: float):
@@ -175,21 +196,22 @@ def tiled(items: Items, seeds: np.ndarray, places: np.ndarray, tokens: np.ndarra
         tiles = tile(items.tokens[items.first[i] : items.first[i + 1]].tolist(), text)
         matched = sum(k for _, _, k in tiles)
         if matched >= threshold * size:
-            yield items.ids[i], size, matched, len(tiles), matched / size
+            yield int(i), (size, matched, len(tiles), matched / size)
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Items]:
+    """The benchmark in blocks, items of one item_id in one block; the driver holds one at a time."""
     ids, texts, size = [], [], 0
     texts_of = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text IS NOT NULL")
     named = texts_of.filter("item_id IS NOT NULL")
     nameless = texts_of.filter("item_id IS NULL").join(named.select("text").distinct(), "text", "left_anti").select("item_id", "text")
-    for row in named.unionByName(nameless).toLocalIterator():
-        ids.append(row[0])
-        texts.append(row[1])
-        size += len(row[1])
-        if size >= block_bytes:
+    for item_id, text in named.unionByName(nameless).orderBy(F.col("item_id").asc_nulls_last(), "text").toLocalIterator():
+        if size >= block_bytes and (item_id is None or item_id != ids[-1]):
             yield Items(ids, texts)
             ids, texts, size = [], [], 0
+        ids.append(item_id)
+        texts.append(text)
+        size += len(text.encode())
     if ids:
         yield Items(ids, texts)
 
@@ -197,13 +219,14 @@ def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Items]:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row for each document and item of which it holds ``threshold`` of the words or more."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("text IS NOT NULL")
-    parts = [texts.mapInArrow(compared(items, threshold), SCHEMA) for items in item_blocks(benchmark, block_bytes)]
-    if not parts:
+    done, waiting = [], None
+    for items in item_blocks(benchmark, block_bytes):
+        if waiting is not None:  # another block follows: write what this one found and let go of its items
+            done.append(materialize(waiting, "contaminated"))
+        waiting = texts.mapInArrow(compared(items, threshold), SCHEMA)
+    if waiting is None:
         return docs.sparkSession.createDataFrame([], SCHEMA)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, [*done, waiting])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -219,6 +242,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
 
         return apply
 
+    schema, written, waiting = docs.schema, None, None
     for items in item_blocks(benchmark, block_bytes):
-        docs = docs.mapInArrow(without(items), docs.schema)
-    return docs
+        if waiting is not None:
+            left = materialize(waiting, "clean")
+            if written is not None:
+                release(written)
+            docs = written = left
+        waiting = docs.mapInArrow(without(items), schema)
+    return docs if waiting is None else waiting
