@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import anchors, components, decontaminate, exact_dedup, gsaca, language, lines, mixing, ngram_join, secrets, substrings, suffixes, textkit, toxicity
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid string, h string, bucket string, label string"
+#: Names that the operators use inside, as columns of the documents.
+CLASHING = ("rid", "h", "bucket", "label", "key", "doc", "k1", "k2", "n", "sig", "tok", "kind", "blob", "gridloom_row", "copies", "marks", "line", "keep", "size", "shard", "x", "grp", "toxic", "score")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def docs(spark, rows, partitions=3):
     """rows: (doc_id, text) or (doc_id, text, lang, source); with columns whose names the operators use inside."""
-    full = [(*r, *(None,) * (4 - len(r)), len(r[1] or ""), "r", "h", "b", "l") for r in rows]
+    full = [(*r, *(None,) * (4 - len(r)), len(r[1] or ""), *CLASHING) for r in rows]
     return spark.createDataFrame(full, SCHEMA).repartition(partitions, "doc_id") if full else spark.createDataFrame([], SCHEMA)
 
 
@@ -125,7 +127,11 @@ def test_common_minimisers_are_parted_alike():
                 assert seen.setdefault(w, (int(part["anchor"]), int(bucket))) == (int(part["anchor"]), int(bucket))
 
 
-def test_suffix_dedup_is_exact(spark, corpus):
+@pytest.mark.parametrize("often,full", [(10_000, False), (1, False), (0, True)])
+def test_suffix_dedup_is_exact(spark, corpus, monkeypatch, often, full):
+    monkeypatch.setattr(suffixes, "OFTEN", often)
+    if full:
+        monkeypatch.setattr(suffixes, "sketch", lambda *_: anchors.Sketch(20, [np.full(1 << 17, 255, np.uint8)] * 2))
     rows = [r for r in corpus if r[0] not in (600, 601)]
     got = sorted(map(str, map(tuple, suffixes.suffix_dedup(docs(spark, rows)).collect())))
     assert got == sorted(map(str, brute_bytes(rows, 100).values()))
@@ -171,6 +177,19 @@ def test_a_full_sketch_loses_nothing(spark, corpus, monkeypatch):
     assert got == sorted(map(str, brute_windows(corpus, 35)))
 
 
+def test_windows_of_one_hash_are_compared_by_their_words(monkeypatch):
+    rng = np.random.default_rng(5)
+    word = rng.integers(0, 3, 200)
+    begin = np.arange(0, 190)
+    counts = {}
+    for b in begin:
+        counts[tuple(word[b : b + 5])] = counts.get(tuple(word[b : b + 5]), 0) + 1
+    want = [counts[tuple(word[b : b + 5])] > 1 for b in begin]
+    assert substrings.equal_windows(word, begin, 5).tolist() == want
+    monkeypatch.setattr(substrings, "spans", lambda sums, a, b, base: np.zeros(len(a), np.uint64))
+    assert substrings.equal_windows(word, begin, 5).tolist() == want
+
+
 # exact dedup
 
 
@@ -227,15 +246,81 @@ def brute_components(rows, percent=80):
     return out
 
 
-@pytest.mark.parametrize("long,at_once", [(24, 2000), (1, 2)])
-def test_ngram_join(spark, corpus, monkeypatch, long, at_once):
-    monkeypatch.setattr(ngram_join, "LONG", long)
+@pytest.mark.parametrize("at_once", [2000, 2])
+def test_ngram_join(spark, corpus, monkeypatch, at_once):
     monkeypatch.setattr(ngram_join, "PAIRS_AT_ONCE", at_once)
     monkeypatch.setattr(ngram_join, "GROUP_BLOCK", at_once)
     got = ngram_join.ngram_join(docs(spark, corpus)).collect()
     assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(str, brute_components(corpus)))
 
 
+def shingle_arrays(texts):
+    import pyarrow as pa
+
+    block = next(textkit.blocks(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])]), most=1 << 30))
+    tokens, at, sig = ngram_join.shingle_sets(block)
+    return [tokens[a:b] for a, b in zip(at[:-1], at[1:])], sig
+
+
+def edited(rng, n_sets):
+    """Texts around common passages, some within the threshold of each other and some just outside."""
+    words = [f"w{k}" for k in range(900)]
+    base = [rng.choices(words, k=rng.choice([12, 60, 200])) for _ in range(6)]
+    shared = rng.choices(words, k=40)
+    out = []
+    for _ in range(n_sets):
+        t = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 2, 4, 8])):
+            t[rng.randrange(len(t))] = rng.choice(words)
+        if rng.random() < 0.4:
+            t = t[: rng.randrange(5, len(t))] + shared
+        out.append(" ".join(t))
+    return out
+
+
+def test_filters_under_several_orders_lose_no_link_and_leave_fewer_pairs():
+    sets, sig = shingle_arrays(edited(random.Random(8), 160))
+    known = {int(s): k for k, s in enumerate(sig)}
+    n = np.array([len(x) for x in sets])
+    take = ngram_join.prefix_size(n, 80) + ngram_join.needed(n) - 1
+    posts = np.concatenate([np.array([(t, s, (x * ngram_join.ORDERS[0]).min(), len(x)) for t in x[:p]], ngram_join.POST) for x, s, p in zip(sets, sig, take)])
+    name, member, _, _ = ngram_join.groups(posts, 80)
+    groups = {}
+    for c, x in zip(name.tolist(), member.tolist()):
+        groups.setdefault(c, set()).add(known[x])
+    one = {(i, j) for g in groups.values() for i, j in itertools.combinations(sorted(g), 2)}
+    parts = [ngram_join.prefixes(x, 80) for x in sets]
+    three = {(i, j) for i, j in one if ngram_join.may_meet(sets[i], sets[j], parts[i], parts[j], 80)}
+    links = {(min(i, j), max(i, j)) for i, j in itertools.combinations(sorted(set(known.values())), 2) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert links and links <= three and len(three) < len(one)
+    assert len(name) <= 2 * len(posts)  # members, not pairs
+    blocked = ngram_join.near_pairs(sets, np.arange(len(sets)), 80)
+    assert links <= set(zip(*map(np.ndarray.tolist, np.nonzero(blocked))))
+    assert ngram_join.block_links(sets, np.arange(len(sets)), 80) == {(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if ngram_join.linked(sets[i], sets[j], 80)}
+
+
+def test_ngram_join_around_common_passages(spark):
+    rows = list(enumerate(edited(random.Random(9), 220)))
+    got = ngram_join.ngram_join(docs(spark, rows)).collect()
+    assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(str, brute_components(rows)))
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_strings_that_polynomials_take_for_one(spark, size):
+    """Thue-Morse words: polynomials modulo 2**64 give them and their complements one hash."""
+    thue = "".join("ab"[bin(k).count("1") % 2] for k in range(size))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    head = [f"w{k}" for k in range(34)]
+    rows = [(1, " ".join([*head, thue])), (2, " ".join([*head, other])), (3, "a b c d " + thue), (4, "a b c d " + other), (5, thue), (6, other)]
+    rows += [(7, f"one\ntwo\n{thue}\nthree"), (8, f"uno\ntwo\n{other}\nthree")]
+    got = {r["doc_id"]: r for r in substrings.substring_dedup(docs(spark, rows)).collect()}
+    assert all(r["n_removed"] == 0 for r in got.values())
+    got = ngram_join.ngram_join(docs(spark, rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got if r["doc_id"] in (3, 4, 5, 6)} == {(k, k) for k in (3, 4, 5, 6)}
+    got = sorted(map(str, map(tuple, suffixes.suffix_dedup(docs(spark, rows)).collect())))
+    assert got == sorted(map(str, brute_bytes(rows, 100).values()))
+
+
 def test_ngram_join_of_nothing_and_kept_rows(spark, corpus):
     assert ngram_join.ngram_join(docs(spark, [])).count() == 0
     rows = [(5, "a b c d e f g"), (3, "A B C D E F G"), (9, "other words"), (7, None), (8, None)]
@@ -339,6 +424,14 @@ def test_passages_are_removed_wherever_they_stand(spark):
     assert lines.passage_dedup(docs(spark, [])).count() == 0
 
 
+def test_lines_of_one_hash_are_told_apart(spark, monkeypatch):
+    real = textkit.byte_hashes
+    monkeypatch.setattr(lines, "byte_hashes", lambda data, a, b, seed=0: real(data, a, b, seed) & np.uint64(1 if seed == 0 else (1 << 64) - 1))
+    rows = [(k, f"left {k}\nright {k}\nshared a\nshared b") for k in range(12)]
+    got = {r["doc_id"]: r["removed"] for r in lines.passage_dedup(docs(spark, rows)).collect()}
+    assert got == {0: "", **{k: "2:4" for k in range(1, 12)}}
+
+
 def test_op9_runs_the_whole_job(spark, tmp_path):
     from gridloom.llm.queries import op9_line_dedup
 
@@ -363,6 +456,78 @@ def test_tiling():
         assert all(a[i : i + k] == b[j : j + k] and k >= 5 for i, j, k in tiles)
 
 
+def brute_tiles(item, text, least=5):
+    """Greedy string tiling from its definition: the longest common unmarked stretches first, in order of place."""
+    free_a, free_b, out = [True] * len(item), [True] * len(text), []
+    while True:
+        found = {}
+        for i in range(len(item)):
+            for j in range(len(text)):
+                k = 0
+                while i + k < len(item) and j + k < len(text) and free_a[i + k] and free_b[j + k] and item[i + k] == text[j + k]:
+                    k += 1
+                if k >= least:
+                    found.setdefault(k, []).append((i, j))
+        if not found:
+            return out
+        longest = max(found)
+        for i, j in found[longest]:
+            if all(free_a[i : i + longest]) and all(free_b[j : j + longest]):
+                free_a[i : i + longest] = free_b[j : j + longest] = [False] * longest
+                out.append((i, j, longest))
+
+
+def brute_contaminated(rows, items, threshold=0.5):
+    parse = lambda t: re.findall("[0-9a-z\\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    out = []
+    named = {t for i, t in items if i is not None}
+    for doc, text in rows:
+        words, best = parse(text), {}
+        for k, (item_id, t) in enumerate(items):
+            item = parse(t)
+            if not item or (item_id is None and t in named):
+                continue
+            if len(item) < 5:
+                got = [(0, 0, len(item))] if any(words[j : j + len(item)] == item for j in range(len(words))) else []
+            else:
+                got = brute_tiles(item, words)
+            matched = sum(n for *_, n in got)
+            if matched >= threshold * len(item):
+                key = ("none", t) if item_id is None else item_id
+                best[key] = max(best.get(key, (0, 0)), (matched / len(item), len(item), matched, len(got), item_id))
+        out += [(doc, item_id, n, matched, tiles, coverage) for coverage, n, matched, tiles, item_id in best.values()]
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
+def test_decontamination_against_brute_force(spark, block_bytes):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(30)]  # few words, so that stretches repeat and matches tie
+    items = [(k % 9, " ".join(rng.choices(words, k=rng.choice([2, 4, 5, 9, 24])))) for k in range(14)] + [(20, "a b a b a b a b a b a b"), (None, "no id but some words in it"), (None, "a b a b a b a b a b a b"), (21, None), (22, ""), (23, "Ünï Çödé wörds ärë läid öut")]
+    rows = []
+    for k in range(60):
+        parts = []
+        for _, t in rng.choices([i for i in items if i[1]], k=3):
+            w = t.split()
+            cut = rng.randrange(len(w) + 1)
+            parts += rng.choice([w, w[cut:] + w[:cut], w[cut:], w + w]) + rng.choices(words, k=rng.randrange(6))
+        rows.append((k, rng.choice([" ", ", ", "\n"]).join(parts)))
+    rows += [(70, None), (71, ""), (72, "a b " * 400), (None, items[4][1]), (0, rows[0][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(str(tuple(r)) for r in decontaminate.decontaminate(docs(spark, rows), benchmark, block_bytes=block_bytes).collect())
+    assert got == brute_contaminated(rows, items) and len(got) > 40
+    gone = {r.split(",")[0].lstrip("(") for r in got}
+    assert sorted(str(r["doc_id"]) for r in decontaminate.clean(docs(spark, rows), benchmark, block_bytes=block_bytes).collect()) == sorted(str(d) for d, _ in rows if str(d) not in gone)
+
+
+def test_periodic_text_costs_no_walk():
+    import time
+
+    begin = time.monotonic()
+    assert sum(n for *_, n in decontaminate.tile([1, 2] * 60, [1, 2] * 5_000)) == 120
+    assert time.monotonic() - begin < 20
+
+
 def test_decontamination(spark):
     item = " ".join(f"w{i}" for i in range(30))
     words = item.split()
@@ -371,7 +536,7 @@ def test_decontamination(spark):
     got = sorted(((r["doc_id"], r["item_id"], r["n_tiles"]) for r in decontaminate.decontaminate(docs(spark, rows), bench).collect()), key=str)
     assert got == [(1, 10, 1), (2, 10, 2), (None, 10, 1)]
     kept = decontaminate.clean(docs(spark, rows), bench).collect()
-    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"]) == sorted(((d, t) for d, t in rows if d not in (2, None) and (d, t) != rows[0]), key=lambda x: (x[0], x[1] or "")) or len(kept) == 5
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"]) == sorted(((d, t) for d, t in rows if d not in (2, None) and (d, t) != rows[0]), key=lambda x: (x[0], x[1] or ""))
     blocks = decontaminate.decontaminate(docs(spark, rows), spark.createDataFrame([(k, item) for k in range(4)], "item_id long, text string"), block_bytes=10)
     assert blocks.filter("doc_id = 2").count() == 4
     empty = spark.createDataFrame([], "item_id long, text string")
@@ -416,6 +581,73 @@ def test_pairs_of_terms_are_learned(spark):
     assert kept.columns == docs(spark, rows).columns and {r["doc_id"] for r in kept.collect()} == {k for k, _ in rows if not got[k]["predicted"]}
 
 
+def exactly_one(n=4_000, seed=5):
+    """Toxic where exactly one of two words stands, so neither says anything alone."""
+    rng = random.Random(seed)
+    plain = ["".join(rng.choices("bcdfglmnprst", k=2)) + "".join(rng.choices("aeiou", k=2)) + "".join(rng.choices("bcdfglmnprst", k=2)) for _ in range(200)]
+    rows, marks = [], []
+    for k in range(n):
+        kind = rng.randrange(4)
+        w = rng.choices(plain, k=rng.randrange(5, 60)) + {0: ["insult", "nation"], 1: ["insult"], 2: ["nation"], 3: []}[kind]
+        rng.shuffle(w)
+        rows.append((k, " ".join(w)))
+        marks.append((k, int(kind in (1, 2))))
+    return rows, marks
+
+
+def test_terms_that_matter_only_together_are_learned(spark):
+    from dataclasses import replace
+
+    rows, marks = exactly_one()
+    df = docs(spark, rows)
+    machine = toxicity.train(df, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    truth = dict(marks)
+
+    def accuracy(m):
+        held = [r for r in toxicity.score(df, m).collect() if r["held_out"]]
+        assert len(held) > 800
+        return np.mean([(r["score"] >= 0.5) == truth[r["doc_id"]] for r in held])
+
+    assert accuracy(machine) > 0.9
+    assert accuracy(replace(machine, v=np.zeros_like(machine.v))) < 0.7  # what additive weights alone make of it
+
+
+def spread(h):
+    """The finisher of 64-bit hashes, on whole numbers."""
+    full = (1 << 64) - 1
+    h ^= h >> 30
+    h = h * 0xBF58476D1CE4E5B9 & full
+    h ^= h >> 27
+    h = h * 0x94D049BB133111EB & full
+    return h ^ h >> 31
+
+
+def brute_hash(raw):
+    """The polynomial hash of up to 32 bytes, term by term."""
+    base = 0x9E3779B97F4A7C15
+    return spread((sum((b + 1) * pow(base, i, 1 << 64) for i, b in enumerate(raw)) + len(raw) * 0x9FB21C651E98DF25) % (1 << 64))
+
+
+def test_toxicity_scores_are_the_machines(spark):
+    """Every score from the machine's definition: terms text by text, pairs one by one."""
+    rows, marks = exactly_one(600, seed=8)
+    rows += [(9_000, "Insult! INSULT? Ünïcode nation's"), (9_001, None), (9_002, "12 34")]
+    df = docs(spark, rows)
+    m = toxicity.train(df, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    w, v = dict(zip(m.terms.tolist(), m.w.tolist())), dict(zip(m.terms.tolist(), m.v.tolist()))
+    assert len(w) >= 2
+    got = {r["doc_id"]: r for r in toxicity.score(df, m).collect()}
+    for doc, text in rows:
+        terms = set()
+        for word in re.findall(rb"[a-z\x80-\xff]+", (text or "").encode().lower()):
+            terms.add(brute_hash(word) >> 44)
+            terms |= {((brute_hash(word[:k]) + k) % (1 << 64)) >> 44 for k in (5, 4)}
+        own = [t for t in terms if t in w]
+        margin = m.bias + sum(w[t] for t in own) + sum(sum(x * y for x, y in zip(v[a], v[b])) for a, b in itertools.combinations(own, 2))
+        assert got[doc]["score"] == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-6)
+        assert got[doc]["predicted"] == int(got[doc]["score"] >= 0.3)
+
+
 def test_toxicity_without_labels_or_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r["score"] for r in toxicity.toxicity(docs(spark, [(1, "a")]), labels).collect()] == [0.0]
@@ -455,6 +687,86 @@ def test_language_id(spark):
     assert language.language_id(docs(spark, [])).count() == 0
 
 
+def brute_language(model, text, penalty=language.PENALTY):
+    """Language and score of one text: words by Unicode's own categories, every path's best end kept word by word."""
+    import unicodedata
+
+    words, now = [], ""
+    for c in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "") + " ":
+        if c.isalpha() or unicodedata.category(c)[0] == "M":
+            now += c
+        elif now:
+            words.append(now)
+            now = ""
+    words = [x for x in words if any(c.isalpha() for c in x)]
+    if not words:
+        return "und", 0.0
+    n, best, back = len(model.languages), None, []
+    names = list(language.SCRIPT_RANGES)
+    for word in words:
+        raw = b" " + word.encode() + b" "
+        first = ord(next(c for c in word if c.isalpha()))
+        script = next((names.index(k) + 1 for k, ranges in language.SCRIPT_RANGES.items() if any(a <= first <= b for a, b in ranges)), len(names) + 1)
+        own = model.words[brute_hash(word.encode()) >> 46].astype(float)
+        for a, b, c in zip(raw, raw[1:], raw[2:]):
+            own = own + model.grams[(((a * 0x01000193 + b) * 0x01000193 + c) * 0x9E3779B1 & 0xFFFFFFFF) >> 16]
+        own = np.where(model.allowed[script], own, -np.inf)
+        own = np.maximum(own - own.max(), language.FLOOR)
+        if best is None:
+            best = own
+            continue
+        ways = [[best[x] - penalty * (x != y) for x in range(n)] for y in range(n)]
+        back.append([max(range(n), key=lambda x: (ways[y][x], x == y)) for y in range(n)])
+        best = np.array([max(ways[y]) for y in range(n)]) + own
+    labels = [int(np.argmax(best))]
+    for step in reversed(back):
+        labels.insert(0, step[labels[0]])
+    letters = [0] * n
+    for label, word in zip(labels, words):
+        letters[label] += sum(c.isalpha() for c in word)
+    top = max(range(n), key=lambda k: (letters[k], -k))
+    return model.languages[top], letters[top] / sum(letters)
+
+
+def test_language_id_against_brute_force(spark):
+    rng = random.Random(15)
+    syllables = {"en": ["the", "ing", "th", "er", "sh"], "de": ["sch", "ung", "ein", "ich", "ß"], "el": ["λο", "γο", "ς", "με"], "ru": ["ст", "ов", "на", "ть"]}
+    text = lambda lang, n: " ".join("".join(rng.choices(syllables[lang], k=rng.randrange(1, 4))) for _ in range(n))
+    rows = [(k, text(lang, 25), lang, "s") for k, lang in enumerate(rng.choices(list(syllables), k=160))]
+    mixed = [(1_000 + k, " ".join(text(rng.choice(list(syllables)), rng.randrange(1, 12)) + rng.choice(["", "!", " — 12", " \u201cx\u201d", " e\u0301", " \u0301"]) for _ in range(4)), None, "s") for k in range(60)]
+    df = docs(spark, rows + mixed + [(2_000, None), (2_001, "… 1 。"), (2_002, "\u0301\u0301"), (2_003, "日本 words")])
+    model = language.train(df)
+    got = language.identify(df, model).collect()
+    want = {r["doc_id"]: brute_language(model, r["text"]) for r in df.collect()}
+    assert len({w for w, _ in want.values()}) == 5
+    for r in got:
+        assert r["lang_pred"] == want[r["doc_id"]][0] and r["score"] == pytest.approx(want[r["doc_id"]][1]), r
+
+
+def test_scripts_are_of_letters():
+    import pyarrow as pa
+
+    def scripts(text):
+        block = next(textkit.blocks(iter([pa.RecordBatch.from_arrays([pa.array([text])], ["text"])])))
+        starts, ends, _, _, _, _, script, letters = language.parsed(block)
+        return [(block.data[a:b].tobytes().decode(), (["", *language.SCRIPT_RANGES, "other"])[k], int(n)) for a, b, k, n in zip(starts, ends, script, letters)]
+
+    assert scripts("\u201cquoted\u201d \u2014 it\u2019s") == [("quoted", "Latin", 6), ("it", "Latin", 2), ("s", "Latin", 1)]
+    assert scripts("cafe\u0301 Vi\u1ec7t \u0301") == [("cafe\u0301", "Latin", 4), ("Vi\u1ec7t", "Latin", 4)]
+    assert scripts("αβγ жук שלום ١٢٣ سلام 日本 한국 12 𝒳 😀") == [("αβγ", "Greek", 3), ("жук", "Cyrillic", 3), ("שלום", "Hebrew", 4), ("سلام", "Arabic", 4), ("日本", "Kana and Han", 2), ("한국", "Hangul", 2), ("𝒳", "other", 1)]
+    assert scripts("") == scripts("1 2 … 。") == []
+
+
+def test_the_language_of_most_letters_wins_and_ties_go_to_the_first(spark):
+    fr, ru = "bonjour maison jardin", "привет дом сад улица"
+    rows = [(k, " ".join(random.Random(k).choices((fr if k % 2 else ru).split(), k=20)), "fr" if k % 2 else "ru", "s") for k in range(200)]
+    extra = [(900, "bonjour maison jardi привет домсад", None, "s"), (901, "\u201cbonjour\u201d \u2026 \u201cmaison\u201d", None, "s"), (902, "дом", None, "s"), (903, "xq жщ", None, "s")]
+    got = {r["doc_id"]: r for r in language.language_id(docs(spark, rows + extra)).collect()}
+    assert got[900]["lang_pred"] == "fr" and got[900]["score"] == pytest.approx(18 / 30)
+    assert got[901]["lang_pred"] == "fr" and got[901]["score"] == 1
+    assert got[902]["lang_pred"] == "ru" and got[903]["lang_pred"] == "fr" and got[903]["score"] == 0.5
+
+
 # mixing
 
 
@@ -501,6 +813,81 @@ def test_mix(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
 
 
+def highest_quotients(votes, seats, most):
+    got = [0] * len(votes)
+    for _ in range(seats):
+        open_ = [i for i in range(len(votes)) if votes[i] > 0 and got[i] < most[i]]
+        if not open_:
+            break
+        got[max(open_, key=lambda i: (votes[i] / (2 * got[i] + 1), -i))] += 1
+    return got
+
+
+def brute_mix(spark, rows):
+    """The mix from its definition, a word a block; hashes alone come from the engine. rows: (doc_id, size, source)."""
+    from collections import Counter
+
+    hashes = lambda schema, keys: {tuple(r)[:-1]: r["h"] for r in spark.createDataFrame(sorted(set(keys), key=str), schema).select("*", F.xxhash64(F.lit(0), *(x.split()[0] for x in schema.split(", "))).alias("h")).collect()}
+    h = hashes("doc_id long, source string", [(d, s) for d, _, s in rows])
+    words = Counter()
+    for _, size, source in rows:
+        words[source] += size
+    order = sorted((s for s in words if s is not None), key=lambda s: [ord(c) for c in s]) + [s for s in words if s is None]
+    target, open_, left = dict.fromkeys(order, 0.0), list(order), float(sum(words.values()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    while open_:  # one source at a time reaches its stop
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 3 * words[s]]
+        if not over:
+            target |= share
+            break
+        for s in over:
+            target[s] = 3.0 * words[s]
+            left -= target[s]
+            open_.remove(s)
+    quota = dict(zip(order, highest_quotients([target[s] for s in order], round(sum(target.values())), [3 * words[s] for s in order])))
+    shards = {s: max(1, -(-words[s] // 64)) for s in order}
+    again, members = Counter(), {}
+    for d, size, s in rows:
+        key, k = (d, s, size), again[d, s, size]
+        again[key] += 1
+        assert k < mixing.COPIES
+        members.setdefault((s, (h[d, s] >> 20) % shards[s]), []).append((h[d, s], d is not None, d or 0, size, k))
+    rank = hashes("source string, shard long, b long", [(s, k, b) for (s, k), own in members.items() for b in range(max(1, sum(m[3] for m in own)))])
+    out = []
+    for s in order:
+        own = sorted(k for x, k in members if x == s)
+        total = [sum(m[3] for m in members[s, k]) for k in own]
+        for k, words_, seats in zip(own, total, highest_quotients(total, quota[s], [3 * t for t in total])):
+            passes, rest = divmod(seats, words_) if words_ else (0, 0)
+            chosen = set(sorted(range(words_), key=lambda b: rank[s, k, b])[:rest])
+            at = 0
+            for _, some, d, size, _ in sorted(members[s, k]):
+                out.append((d if some else None, size, words[s], target[s], min(3 * size, passes * size + sum(b in chosen for b in range(at, at + size)))))
+                at += size
+    return out
+
+
+@pytest.mark.parametrize("copies", [256, 3])
+def test_mix_against_brute_force(spark, monkeypatch, copies):
+    rng = random.Random(21)
+    rows = [(k, rng.randrange(0, 30), s) for k, s in enumerate(rng.choices(["a", "b", "c", "é", "d", None], weights=[1, 8, 8, 2, 2, 2], k=250))]
+    rows += [(None, 7, "b"), (3, *rows[3][1:]), (3, *rows[3][1:]), (900, 0, "only empty")]
+    frame = lambda rows: docs(spark, [(d, " ".join(["w"] * n) if n else rng.choice([None, ""]), None, s) for d, n, s in rows])
+    got = sorted(str(tuple(r)[:3] + (round(r["target"], 6), r["taken"])) for r in mixing.mix(frame(rows)).collect())
+    assert got == sorted(str(r[:3] + (round(r[3], 6), r[4])) for r in brute_mix(spark, rows))
+    # Rows alike are dealt out in parts and nothing of them is lost.
+    monkeypatch.setattr(mixing, "COPIES", copies)
+    rows = rows[:60] + [(None, 11, "b")] * 40
+    a, b = (sorted(str(tuple(r)) for r in mixing.mix(frame(rows).repartition(p)).collect()) for p in (1, 6))
+    assert a == b and len(a) == len(rows)
+    taken, goal = {}, {}
+    for r, (_, _, s) in zip(sorted(mixing.mix(frame(rows)).collect(), key=lambda r: (str(r["doc_id"]), r["size"])), sorted(rows, key=lambda r: (str(r[0]), r[1]))):
+        taken[s], goal[s] = taken.get(s, 0) + r["taken"], r["target"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    assert all(abs(taken[s] - goal[s]) <= 2 for s in goal)
+
+
 # secrets
 
 
@@ -531,6 +918,56 @@ def test_secrets(spark):
     assert secrets.secret_scan(docs(spark, [])).count() == 0
 
 
+def long_rows():
+    """Texts of a few hundred kilobytes among short ones: one repeats another's middle, one is a single word."""
+    rng = random.Random(31)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3_000)]
+    a, b = (rng.choices(words, k=30_000) for _ in range(2))
+    return [(1, " ".join(a)), (2, " ".join(b[:9_000] + a[5_000:6_000] + b[9_000:])), (3, "x" * 300_000), (4, "x" * 300_000 + "y"), (5, "short text"), (6, "\n".join(" ".join(a[i : i + 10]) for i in range(0, 20_000, 10))), (7, None)]
+
+
+def test_very_long_texts(spark):
+    rows = long_rows()
+    got = sorted(map(str, map(tuple, substrings.substring_dedup(docs(spark, rows)).collect())))
+    assert got == sorted(map(str, brute_windows(rows, 35)))
+    got = sorted(map(str, map(tuple, suffixes.suffix_dedup(docs(spark, rows[:3] + rows[4:])).collect())))
+    assert got == sorted(map(str, brute_bytes(rows[:3] + rows[4:], 100).values()))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(docs(spark, rows)).collect()}
+    assert got[1][1] == 1 and got[2][1] == 2 and got[3] == (1, 3) and got[4] == (1, 4) and got[7] == (0, 7)
+    got = {r["doc_id"]: r["n_removed"] for r in lines.passage_dedup(docs(spark, [*rows, (8, rows[5][1])])).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0, 8: 2_000}
+    benchmark = spark.createDataFrame([(1, " ".join(rows[0][1].split()[20_000:20_040]))], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs(spark, rows), benchmark).collect()] == [1]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (5, 0), (6, 1)], "doc_id long, toxic int")
+    assert all(0 <= r["score"] <= 1 for r in toxicity.toxicity(docs(spark, rows), labels).collect())
+    assert {r["doc_id"]: r["size"] for r in mixing.mix(docs(spark, rows)).collect()} == {d: len((t or "").split()) for d, t in rows}
+    found = language.language_id(docs(spark, [(d, t, "en" if d % 2 else "de", "s") for d, t in rows])).collect()
+    assert len(found) == len(rows)
+
+
+def test_very_many_parts(spark):
+    text = " ".join(f"client_id: id{k:05d} secret=Zx9kQ2mPq7Rt4Vw8Yb1Nc3H{k:05d}" for k in range(3_000))
+    row = secrets.secret_scan(docs(spark, [(1, text)])).first()
+    assert row["n_assign"] == 3_000 and row["base_sha256"] == hashlib.sha256(",".join(brute_spans(text)).encode()).hexdigest()
+
+
+def test_the_sketch_at_scale():
+    """What the sketch lets through by size; its cells grow with the input as far as they are broadcast."""
+    assert anchors.share_let_through(2**25, 27) < 0.06  # four cells for each anchor
+    assert anchors.share_let_through(5e9 * 2 / substrings.BYTES_PER_ANCHOR, anchors.MOST_BITS) < 0.1
+    rng = np.random.default_rng(7)
+    some = rng.integers(0, 1 << 63, 40_000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rows = []
+    for at in anchors.cells(some, 16):
+        rows.append(np.packbits(np.bincount(at, minlength=1 << 16) >= 2, bitorder="little"))
+    assert anchors.Sketch(16, rows).repeated(some).mean() == pytest.approx(anchors.share_let_through(40_000, 16), abs=0.02)
+
+
+def test_labels_of_null_documents_are_none(spark):
+    labels = spark.createDataFrame([(None, 1), (None, 0)], "doc_id long, toxic int")
+    assert {r["score"] for r in toxicity.toxicity(docs(spark, [(None, "a b"), (1, "c")]), labels).collect()} == {0.0}
+
+
 def test_sketch_never_underestimates(spark):
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 63, 3000).astype(np.uint64)

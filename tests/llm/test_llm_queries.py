@@ -21,7 +21,7 @@ def rows(df):
     return sorted(map(str, df[sorted(df.columns)].itertuples(index=False, name=None)))
 
 
-@pytest.mark.parametrize("name", ["op5_exact_dedup", "op7_ngram_join", "op10_secret_scan"])
+@pytest.mark.parametrize("name", ["op2_suffix_dedup", "op5_exact_dedup", "op7_ngram_join", "op8_substring_dedup", "op9_line_dedup", "op10_secret_scan"])
 def test_query_against_sql(spark, con, name):
     from gridloom.llm.queries import ORACLES, QUERIES
 
