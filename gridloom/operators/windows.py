@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
+from gridloom.operators.quantiles import exact_quantiles
+
 
 def by_cell(key: str = "cell", order: str = "ym") -> WindowSpec:
     return W.partitionBy(key).orderBy(order)
@@ -82,7 +84,8 @@ def tail_sweep(df: DataFrame, key: str, order: str, value: str, most: int = 12)
     """For k = 1..most, the median of ``value`` over the last k rows of all keys."""
     tail = df.withColumn("_back", F.row_number().over(W.partitionBy(key).orderBy(F.desc(order)))).filter(F.col("_back") <= most)
     ks = F.explode(F.sequence(F.col("_back"), F.lit(most))).alias("k")
-    return tail.select(ks, value).groupBy("k").agg(F.percentile(value, 0.5).alias("median"), F.count("*").alias("n"))
+    tail = tail.select(ks, value)
+    return tail.groupBy("k").agg(F.count("*").alias("n")).join(exact_quantiles(tail, value, {"median": 0.5}, ("k",), few=True), "k", "left")
 
 
 def neighbour_pairs(df: DataFrame, value: str, keys: tuple[str, ...] = ()) -> DataFrame:

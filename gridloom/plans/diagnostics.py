@@ -5,12 +5,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from gridloom.functions.flux import evaluate, piece_max, piece_mean, piece_min, piece_peak, signed_shift
+from gridloom.operators.quantiles import exact_quantiles
 from gridloom.operators.windows import by_cell, envelope, weighted_quantile
 from gridloom.plans.fits import daily, fit
+from gridloom.plans.kernels import all_kriging_weights, by_whole_cells, cells_of, kriged
 
 #: An extremum so near to a piece's end, as a share of its width, lies on it: limiters put them there.
 EDGE = 1e-9
@@ -32,7 +34,12 @@ def overshoot(fitted: DataFrame, least: float = 1e-12) -> DataFrame:
 def overshoot_summary(fitted: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     r = F.col("ratio")
     share = lambda x: F.avg(F.when(r.isNotNull(), (r > x).cast("double")))
-    return overshoot(fitted).groupBy(*keys).agg(*(F.percentile("ratio", p).alias(f"p{round(100 * p)}") for p in (0.5, 0.95, 0.99)), F.max("ratio").alias("max"), share(1.0 + 1e-9).alias("over_1"), share(1.2).alias("over_12"), share(1.5).alias("over_15"))
+    ratios, probs = overshoot(fitted), {f"p{round(100 * p)}": p for p in (0.5, 0.95, 0.99)}
+    rest = F.max("ratio").alias("max"), share(1.0 + 1e-9).alias("over_1"), share(1.2).alias("over_12"), share(1.5).alias("over_15")
+    if "cell" in keys:  # a cell's pieces are bounded by the months there are
+        return ratios.groupBy(*keys).agg(*(F.percentile("ratio", p).alias(name) for name, p in probs.items()), *rest)
+    found, rest = exact_quantiles(ratios, "ratio", probs, keys), ratios.groupBy(*keys).agg(*rest)
+    return found.join(rest, list(keys)) if keys else found.crossJoin(F.broadcast(rest))  # one row each
 
 
 def joints(fitted: DataFrame) -> DataFrame:
@@ -52,10 +59,11 @@ def scores(series: DataFrame, names: tuple[str, ...]) -> DataFrame:
         one = joints(fit(series, name).select("cell", "ym", "t0", "h", "u", "a", "b", "c")).withColumn("fitter", F.lit(name))
         every = one if every is None else every.unionByName(one)
     rel = F.try_divide("jump", F.nullif(F.col("env"), F.lit(0.0)))
-    return every.groupBy("fitter").agg(
-        F.max("ratio").alias("max_overshoot"), F.avg(F.when(F.col("ratio").isNotNull(), (F.col("ratio") > 1 + 1e-9).cast("double"))).alias("share_over"), F.percentile(rel, 0.5).alias("jump_median"), F.percentile(rel, 0.99).alias("jump_p99"),
+    jumps = exact_quantiles(every, rel, {"jump_median": 0.5, "jump_p99": 0.99}, ("fitter",), few=True)
+    return jumps.join(every.groupBy("fitter").agg(
+        F.max("ratio").alias("max_overshoot"), F.avg(F.when(F.col("ratio").isNotNull(), (F.col("ratio") > 1 + 1e-9).cast("double"))).alias("share_over"),
         F.avg(F.when(rel.isNotNull(), (rel > 1e-9).cast("double"))).alias("share_discontinuous"), F.avg(F.abs(F.col("a") * F.col("h") + F.col("b"))).alias("gradient"), F.avg(F.col("turns").cast("double")).alias("share_turning"),
-    )
+    ), "fitter")
 
 
 def footprint(series: DataFrame, name: str, bump: float = 1.10, tolerance: float = 0.01) -> DataFrame:
@@ -76,7 +84,8 @@ def sign_violations(fitted: DataFrame, sign: int, slack: float = 1e-12) -> DataF
 
 
 def continuity(fitted: DataFrame) -> DataFrame:
-    return joints(fitted).agg(F.max("jump").alias("max_jump"), F.percentile("jump", 0.99).alias("p99_jump"))
+    jumps = joints(fitted)
+    return exact_quantiles(jumps, "jump", {"p99_jump": 0.99}).crossJoin(F.broadcast(jumps.agg(F.max("jump").alias("max_jump"))))  # one row each
 
 
 def fidelity(fitted: DataFrame, truth: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -114,21 +123,45 @@ def poisson_bootstrap(df: DataFrame, value: str, unit: str, replicates: int = 20
 
 
 def refit_band(daily_values: DataFrame, name: str, replicates: int = 100, seed: int = 42, p: tuple[float, float] = (0.025, 0.975)) -> DataFrame:
-    """Interval of each piece's middle value when days are resampled and the series is fitted again. daily_values: cell, ym, day, value."""
+    """Interval of each piece's middle value when days are resampled and the series is fitted again. daily_values: cell, ym, day, value.
+
+    Days of a month come together once; its means in all replicates are worked out there, and only they are dealt out again.
+    """
     from gridloom.operators.series import with_knots
 
-    each = daily_values.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r")).withColumn("w", poisson_weight(F.lit(seed), F.col("cell"), F.col("ym"), F.col("day"), F.col("r")))
-    means = each.groupBy("cell", "r", "ym").agg(F.coalesce(F.try_divide(F.sum(F.col("w") * F.col("value")), F.nullif(F.sum("w"), F.lit(0))), F.avg("value")).alias("u"))
-    fitted = fit(with_knots(means.select(F.concat_ws(":", "cell", "r").alias("cell"), "ym", "u")), name)
+    days = daily_values.groupBy("cell", "ym").agg(F.sort_array(F.collect_list(F.struct("day", "value"))).alias("days"))
+
+    def mean(r: Column) -> Column:
+        drawn = F.transform("days", lambda d: F.struct(seeded(F.lit(seed), F.col("cell"), F.col("ym"), d["day"], r).alias("u"), d["value"].alias("v")))
+        drawn = F.transform(drawn, lambda d: F.struct(poisson_of(d["u"]).cast("double").alias("w"), d["v"].alias("v")))
+        plain = F.aggregate("days", F.lit(0.0), lambda acc, d: acc + d["value"]) / F.size("days")
+        zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("s"))
+        add = lambda acc, d: F.struct((acc["w"] + d["w"]).alias("w"), (acc["s"] + d["w"] * d["v"]).alias("s"))
+        return F.aggregate(drawn, zero, add, lambda acc: F.coalesce(F.try_divide(acc["s"], F.nullif(acc["w"], F.lit(0.0))), plain))
+
+    means = days.select("cell", "ym", F.posexplode(F.transform(F.sequence(F.lit(1), F.lit(replicates)), mean)).alias("r", "u"))
+    fitted = fit(with_knots(means.select(F.concat_ws(":", "cell", F.col("r") + 1).alias("cell"), "ym", "u")), name)
     middle = fitted.select(F.split("cell", ":")[0].cast("int").alias("cell"), "ym", evaluate(F.col("a"), F.col("b"), F.col("c"), F.col("h") / 2).alias("v"))
     return middle.groupBy("cell", "ym").agg(F.percentile("v", p[0]).alias("low"), F.percentile("v", p[1]).alias("high"))
 
 
+#: Chances that a Poisson(1) draw is 0, at most 1, and so on.
+POISSON = tuple(float(c) for c in np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)]))
+
+
+def seeded(*key: Column) -> Column:
+    """A number from 0 to 1 that the key alone decides, in any engine that has MD5."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *(k.cast("string") for k in key)).cast("binary")), 1, 10), 16, 10).cast("double") / F.lit(float(1 << 40))
+
+
+def poisson_of(u: Column) -> Column:
+    """The Poisson(1) draw at a number from 0 to 1."""
+    return sum(((u > c).cast("int") for c in POISSON), F.lit(0))
+
+
 def poisson_weight(*key: Column) -> Column:
     """A Poisson(1) draw that the key alone decides."""
-    u = F.pmod(F.xxhash64(*key), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    cdf = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)])
-    return sum(((u > float(c)).cast("int") for c in cdf), F.lit(0))
+    return poisson_of(seeded(*key))
 
 
 def shadow_diff(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("cell",)) -> DataFrame:
@@ -155,6 +188,21 @@ def binomial_p(successes: int, n: int, p: float = 0.5) -> float:
     return min(1.0, sum(x for x in pmf if x <= pmf[successes] * (1 + 1e-12)))
 
 
+def binomial(successes: Column, n: Column) -> Column:
+    """Two-sided exact binomial probability of a fair draw, as an expression; n in the hundreds."""
+    log_pmf = lambda k: F.aggregate(F.when(k > 0, F.sequence(F.lit(1), k)).otherwise(F.array().cast("array<int>")), n.cast("double") * math.log(0.5), lambda acc, i: acc + F.log((n - i + 1) / i))
+    own = log_pmf(successes.cast("int"))
+    likely = F.transform(F.sequence(F.lit(0), n.cast("int")), lambda k: log_pmf(k))
+    return F.least(F.aggregate(likely, F.lit(0.0), lambda acc, x: acc + F.when(x <= own + 1e-9, F.exp(x)).otherwise(0.0)), F.lit(1.0))
+
+
+def kriging_against(fitted: DataFrame, other: DataFrame) -> DataFrame:
+    """By cell: RMS distance of two fits at the middle of pieces over the largest mean, and the mean width of the kriging band."""
+    at = lambda d, name: d.select("cell", "ym", evaluate(F.col("a"), F.col("b"), F.col("c"), F.col("h") / 2).alias(name))
+    both = fitted.select("cell", "ym", "u", "var").join(at(fitted, "own"), ["cell", "ym"]).join(at(other, "theirs"), ["cell", "ym"])
+    return both.groupBy("cell").agg(F.try_divide(F.sqrt(F.avg(F.pow(F.col("own") - F.col("theirs"), 2))), F.max(F.abs("u"))).alias("rms"), F.try_divide(F.avg(2 * F.sqrt("var")), F.max(F.abs("u"))).alias("band"))
+
+
 def seasonal_and_nightly(df: DataFrame, log_flux: str, temps: tuple[str, str], site: str, night: str) -> DataFrame:
     """R2 and Q10 of two temperatures at each site: over the seasons, and within nights (means of the night taken off)."""
     w = W.partitionBy(site, night)
@@ -167,12 +215,13 @@ def seasonal_and_nightly(df: DataFrame, log_flux: str, temps: tuple[str, str], s
 def spectrum(series: DataFrame, value: str, key: str = "cell") -> DataFrame:
     """Power by frequency (cycles a step) of each key's series in order of ym."""
 
-    def fft(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("ym")[value].to_numpy(float)
-        power = np.abs(np.fft.rfft(x - x.mean())) ** 2 / len(x)
-        return pd.DataFrame({key: pdf[key].iloc[0], "frequency": np.fft.rfftfreq(len(x)), "power": power})
+    def fft(table: pa.Table) -> pa.Table:
+        x, at = table.column(value).to_numpy().astype(float), cells_of(table, key)
+        powers = [np.abs(np.fft.rfft(x[a:b] - x[a:b].mean())) ** 2 / (b - a) for a, b in zip(at[:-1], at[1:])]
+        of = np.repeat(at[:-1], [len(p) for p in powers])
+        return pa.table({key: table.column(key).take(pa.array(of)), "frequency": np.concatenate([np.fft.rfftfreq(b - a) for a, b in zip(at[:-1], at[1:])]), "power": np.concatenate(powers)})
 
-    return series.select(key, "ym", value).groupBy(key).applyInPandas(fft, f"{key} {dict(series.dtypes)[key]}, frequency double, power double")
+    return by_whole_cells(series.select(key, "ym", value), key, fft, f"{key} {dict(series.dtypes)[key]}, frequency double, power double")
 
 
 def flat_rate(fitted: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -187,19 +236,23 @@ def compare(left: DataFrame, right: DataFrame, keys: tuple[str, ...], value: str
 
 
 def range_sweep(series: DataFrame, ranges: tuple[float, ...]) -> DataFrame:
-    """Kriging under several covariance ranges: by range, the mean variance and roughness."""
-    from gridloom.plans.kernels import all_kriging_weights, kriged
-
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ym")
-        h, u = pdf["h"].to_numpy(), pdf["u"].to_numpy()
-        rows = []
-        for r in ranges:
-            a, _, _, var = kriged(h, u, all_kriging_weights(len(u), range_=r))
-            rows.append((pdf["cell"].iloc[0], r, float(var.mean()), float(np.abs(2 * a * h * h).mean())))
-        return pd.DataFrame(rows, columns=["cell", "range", "variance", "roughness"])
-
-    each = series.groupBy("cell").applyInPandas(sweep, f"cell {dict(series.dtypes)['cell']}, range double, variance double, roughness double")
+    """Kriging under several covariance ranges: by range, the mean variance and roughness.
+
+    Weights depend on a record's length and the range alone; a task works them out once for each.
+    """
+
+    def sweep(table: pa.Table) -> pa.Table:
+        h, u, at = table.column("h").to_numpy(), table.column("u").to_numpy(), cells_of(table, "cell")
+        weights = {(n, r): all_kriging_weights(n, range_=r) for n in set(np.diff(at).tolist()) for r in ranges}
+        cells, rows = [], []
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            for r in ranges:
+                curve, _, _, var = kriged(h[a:b], u[a:b], weights[b - a, r])
+                cells.append(a)
+                rows.append((r, float(var.mean()), float(np.abs(2 * curve * h[a:b] ** 2).mean())))
+        return pa.table({"cell": table.column("cell").take(pa.array(cells)), **{n: pa.array(c, pa.float64()) for n, c in zip(("range", "variance", "roughness"), zip(*rows))}})
+
+    each = by_whole_cells(series.select("cell", "ym", "h", "u"), "cell", sweep, f"cell {dict(series.dtypes)['cell']}, range double, variance double, roughness double")
     return each.groupBy("range").agg(F.avg("variance").alias("variance"), F.avg("roughness").alias("roughness"))
 
 

@@ -15,6 +15,12 @@ from pyspark.sql import DataFrame
 
 Fit = tuple[np.ndarray, np.ndarray, np.ndarray]
 
+#: Fixed values, which results depend on: points of a piece at which the constrained smoothing keeps its sign; range (in
+#: months), nugget, points a month and months to each side of kriging; values a piece and rounds of the bounded iteration.
+SIGN_POINTS = 8
+RANGE_MONTHS, NUGGET, POINTS, REACH = 1.5, 1e-3, 6, 6
+VALUES_A_PIECE, ROUNDS = 30, 100
+
 
 def _of_slopes(h: np.ndarray, u: np.ndarray, m: np.ndarray) -> Fit:
     """Derivative of the cubic Hermite on the cumulative integral with slopes m at the knots."""
@@ -128,7 +134,7 @@ def _quadratic_program(g: np.ndarray, linear: np.ndarray, rows: np.ndarray, leas
     return None
 
 
-def mss(h: np.ndarray, u: np.ndarray, tests: int = 8) -> Fit:
+def mss(h: np.ndarray, u: np.ndarray, tests: int = SIGN_POINTS) -> Fit:
     """Smoothest cubic on the cumulative integral whose derivative keeps its sign at test points.
 
     A quadratic program in the knots' slopes; where it cannot be solved the monotone cubic stands in.
@@ -159,9 +165,6 @@ def mss(h: np.ndarray, u: np.ndarray, tests: int = 8) -> Fit:
     return tuple(s * x for x in _of_slopes(h, v, m))
 
 
-RANGE_MONTHS, NUGGET, POINTS, REACH = 1.5, 1e-3, 6, 6
-
-
 def kriging_weights(m: int, p: int, points: int = POINTS, range_: float = RANGE_MONTHS, nugget: float = NUGGET) -> tuple[np.ndarray, np.ndarray]:
     """Area-to-point kriging in a window of m months: weights (m, points) for month p's points, and unit variances.
 
@@ -244,7 +247,7 @@ def histospline(h: np.ndarray, u: np.ndarray) -> Fit:
     return _of_slopes(h, u, m)
 
 
-def bounded_iterative(u: np.ndarray, per_piece: int = 30, rounds: int = 100, upper: float | None = None) -> np.ndarray:
+def bounded_iterative(u: np.ndarray, per_piece: int = VALUES_A_PIECE, rounds: int = ROUNDS, upper: float | None = None) -> np.ndarray:
     """Smooth, restore means, clip, again and again: (pieces, per_piece) values."""
     y = np.repeat(u, per_piece).astype(float)
     for _ in range(rounds):
@@ -291,12 +294,7 @@ HELD_ROWS = 200_000
 
 def fitted(table: pa.Table, key: str, kernel: str) -> pa.Table:
     """a, b, c (and var) for whole cells, in order of key and time."""
-    n = table.num_rows
-    k = table.column(key).combine_chunks()
-    new = np.ones(n, bool)
-    if n > 1:
-        new[1:] = pc.not_equal(k.slice(1), k.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-    at = np.append(np.flatnonzero(new), n)
+    n, at = table.num_rows, cells_of(table, key)
     h, u = table.column("h").to_numpy(), table.column("u").to_numpy()
     out = np.zeros((4 if kernel == "atpk" else 3, n))
     weights: dict[int, list] = {}
@@ -323,13 +321,11 @@ def fitted(table: pa.Table, key: str, kernel: str) -> pa.Table:
     return table
 
 
-def fit(series: DataFrame, kernel: str, key: str = "cell", rows_at_once: int = HELD_ROWS) -> DataFrame:
-    """Fit every cell of (cell, ym, t0, h, u): adds a, b, c, and var for kriging.
+def by_whole_cells(rows: DataFrame, key: str, f: Callable[[pa.Table], pa.Table], schema: str, order: str = "ym", rows_at_once: int = HELD_ROWS) -> DataFrame:
+    """Apply f to tables of whole cells in order of key and time.
 
     One shuffle and sort by cell; a task streams through its cells some hundreds at a time, and holds no more.
     """
-    extra = ", var double" if kernel == "atpk" else ""
-    schema = f"{key} {dict(series.dtypes)[key]}, ym int, t0 double, h double, u double, a double, b double, c double{extra}"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -341,11 +337,45 @@ def fit(series: DataFrame, kernel: str, key: str = "cell", rows_at_once: int = H
             k = table.column(key).combine_chunks()
             last = pc.index(k, k[-1]).as_py()  # the last cell may go on in the next batch
             if last:
-                yield from fitted(table.slice(0, last), key, kernel).combine_chunks().to_batches()
+                yield from f(table.slice(0, last)).combine_chunks().to_batches()
             held = table.slice(last).to_batches()
         if held:
             table = pa.Table.from_batches(held)
             if table.num_rows:
-                yield from fitted(table, key, kernel).combine_chunks().to_batches()
+                yield from f(table).combine_chunks().to_batches()
+
+    return rows.repartition(key).sortWithinPartitions(key, order).mapInArrow(apply, schema)
+
+
+def cells_of(table: pa.Table, key: str) -> np.ndarray:
+    """Where each cell's rows begin, and the number of rows."""
+    n = table.num_rows
+    k = table.column(key).combine_chunks()
+    new = np.ones(n, bool)
+    if n > 1:
+        new[1:] = pc.not_equal(k.slice(1), k.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    return np.append(np.flatnonzero(new), n)
+
+
+def fit(series: DataFrame, kernel: str, key: str = "cell", rows_at_once: int = HELD_ROWS) -> DataFrame:
+    """Fit every cell of (cell, ym, t0, h, u): adds a, b, c, and var for kriging."""
+    extra = ", var double" if kernel == "atpk" else ""
+    schema = f"{key} {dict(series.dtypes)[key]}, ym int, t0 double, h double, u double, a double, b double, c double{extra}"
+    return by_whole_cells(series.select(key, "ym", "t0", "h", "u"), key, lambda table: fitted(table, key, kernel), schema, rows_at_once=rows_at_once)
+
+
+def bounded(series: DataFrame, upper: float | None = None, key: str = "cell") -> DataFrame:
+    """(cell, ym, first, last, mean, top) of the bounded iterative smoothing; the bound is the cell's largest mean unless given."""
+
+    def smoothed(table: pa.Table) -> pa.Table:
+        u, at = table.column("u").to_numpy(), cells_of(table, key)
+        out = np.zeros((4, table.num_rows))
+        for a, b in zip(at[:-1], at[1:]):
+            y = bounded_iterative(u[a:b], upper=u[a:b].max() if upper is None else upper)
+            out[:, a:b] = y[:, 0], y[:, -1], y.mean(1), y.max(1)
+        table = table.select([key, "ym"])
+        for name, x in zip(("first", "last", "mean", "top"), out):
+            table = table.append_column(name, pa.array(x))
+        return table
 
-    return series.select(key, "ym", "t0", "h", "u").repartition(key).sortWithinPartitions(key, "ym").mapInArrow(apply, schema)
+    return by_whole_cells(series.select(key, "ym", "u"), key, smoothed, f"{key} {dict(series.dtypes)[key]}, ym int, first double, last double, mean double, top double")

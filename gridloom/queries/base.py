@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridloom.operators.series import filled, with_knots
+from gridloom.plans.diagnostics import POISSON
 from gridloom.sources.tables import monthly, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +98,62 @@ MC = linear(lambda x, y: minmod3(f"(({x} + {y}) / 2)", f"(2 * {x})", f"(2 * {y})
 SUPERBEE = linear(lambda x, y: f"(CASE WHEN abs({minmod(f'(2 * {x})', y)}) > abs({minmod(x, f'(2 * {y})')}) THEN {minmod(f'(2 * {x})', y)} ELSE {minmod(x, f'(2 * {y})')} END)")
 MINMOD = linear()
 
+def poisson(key: str) -> str:
+    """A Poisson(1) draw that the key alone decides."""
+    u = f"(('0x' || substr(md5({key}), 1, 10))::BIGINT / 1099511627776.0)"
+    return "(" + " + ".join(f"({u} > {c!r})::INT" for c in POISSON) + ")"
+
+
+def bootstrap(source: str, unit: str) -> str:
+    """Interval of the mean of u under resampling of units, 200 times."""
+    return f"""bl AS (SELECT {unit} AS unit, sum(u) AS s, count(u) AS n FROM {source} GROUP BY 1),
+dr AS (SELECT r, s, n, {poisson("concat_ws(':', 42, unit, r)")} AS w FROM bl, range(1, 201) k(r)),
+me AS (SELECT sum(w * s) / nullif(sum(w * n), 0) AS m FROM dr GROUP BY r)
+SELECT {q4('quantile_cont(m, 0.025)', 2)} AS low, {q4('quantile_cont(m, 0.5)', 2)} AS median, {q4('quantile_cont(m, 0.975)', 2)} AS high FROM me"""
+
+
+def thomas(eq: str, out: str, rhs: tuple[str, ...]) -> str:
+    """Relations that solve the tridiagonal systems of eq(cell, k, low, mid, up, rhs..), k from 1: out(cell, k, rhs..)."""
+    cols = ", ".join(rhs)
+    e = ", ".join(f"e.{r} - e.low / p.mid * p.{r}" for r in rhs)
+    first = ", ".join(f"{r} / mid AS {r}" for r in rhs)
+    back = ", ".join(f"(p.{r} - p.up * o.{r}) / p.mid" for r in rhs)
+    return f"""{eq}_fwd(cell, k, mid, up, {cols}) AS (SELECT cell, k, mid, up, {cols} FROM {eq} WHERE k = 1
+  UNION ALL SELECT e.cell, e.k, e.mid - e.low / p.mid * p.up, e.up, {e} FROM {eq}_fwd p JOIN {eq} e ON e.cell = p.cell AND e.k = p.k + 1),
+{out}(cell, k, {cols}) AS (SELECT cell, k, {first} FROM (SELECT *, max(k) OVER (PARTITION BY cell) AS last FROM {eq}_fwd) WHERE k = last
+  UNION ALL SELECT p.cell, p.k, {back} FROM {out} o JOIN {eq}_fwd p ON p.cell = o.cell AND p.k = o.k - 1)"""
+
+
+def of_slopes(knots: str) -> str:
+    """f from knot values y of ``knots``(cell, k, y), k from 0, and pieces q."""
+    return f"f AS (SELECT q.cell, ym, t0, h, u, (3 * (l.y + r.y) - 6 * u) / (h * h) AS a, (6 * u - 4 * l.y - 2 * r.y) / h AS b, l.y AS c FROM q JOIN {knots} l ON l.cell = q.cell AND l.k = q.k - 1 JOIN {knots} r ON r.cell = q.cell AND r.k = q.k)"
+
+
+PIECES = f"q AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY cell) AS n, lead(h) OVER w AS hn, lead(u) OVER w AS un FROM s {W})"
+HISTOSPLINE = PIECES + f""",
+hq AS (SELECT cell, k, 1 / lag(h) OVER w AS low, CASE WHEN k = 1 THEN 2 / h ELSE 2 / lag(h) OVER w + 2 / h END AS mid, 1 / h AS up, CASE WHEN k = 1 THEN 3 * u / h ELSE 3 * (lag(u) OVER w / lag(h) OVER w + u / h) END AS y FROM q {W}
+  UNION ALL SELECT cell, n + 1, 1 / h, 2 / h, 0, 3 * u / h FROM q WHERE k = n),
+{thomas('hq', 'hs', ('y',))},
+hk AS (SELECT cell, k - 1 AS k, y FROM hs),
+""" + of_slopes("hk")
+#: Knot values are linear in the two end values: three right-hand sides, then the ends by least squares of the jumps in curvature.
+PIQS = PIECES + f""",
+pq AS (SELECT cell, k, hn AS low, 2 * (h + hn) AS mid, h AS up, CASE WHEN k = 1 THEN -hn ELSE 0.0 END AS r0, CASE WHEN k = n - 1 THEN -h ELSE 0.0 END AS r1, 3 * (h * un + hn * u) AS r2 FROM q WHERE k < n),
+{thomas('pq', 'ps', ('r0', 'r1', 'r2'))},
+pk AS (SELECT cell, k, r0, r1, r2 FROM ps UNION ALL SELECT cell, 0, 1, 0, 0 FROM q WHERE k = 1 UNION ALL SELECT cell, n, 0, 1, 0 FROM q WHERE k = n),
+pp AS (SELECT q.cell, 1 / (h * h * h) AS wt, 2 * u AS uu, x.r0 + y.r0 AS c0, x.r1 + y.r1 AS c1, x.r2 + y.r2 AS c2 FROM q JOIN pk x ON x.cell = q.cell AND x.k = q.k - 1 JOIN pk y ON y.cell = q.cell AND y.k = q.k),
+pn AS (SELECT cell, sum(wt * c0 * c0) AS n00, sum(wt * c0 * c1) AS n01, sum(wt * c1 * c1) AS n11, sum(wt * c0 * (uu - c2)) AS b0, sum(wt * c1 * (uu - c2)) AS b1 FROM pp GROUP BY 1),
+pe AS (SELECT cell, (b0 * n11 - n01 * b1) / (n00 * n11 - n01 * n01) AS y0, (n00 * b1 - n01 * b0) / (n00 * n11 - n01 * n01) AS yn FROM pn),
+pv AS (SELECT pk.cell, k, r0 * y0 + r1 * yn + r2 AS y FROM pk JOIN pe USING (cell)),
+""" + of_slopes("pv")
+
+
+def over(sql: str, source: str, suffix: str) -> str:
+    """The relations of a fit over another series than s, each with ``suffix`` to its name."""
+    names = set(re.findall(r"(?:^|,\n)\s*(\w+)(?:\([\w, ]*\))? AS \(", sql))
+    return re.sub(r"\b(\w+)\b(?!\s*=)", lambda m: source if m[1] == "s" else m[1] + suffix if m[1] in names else m[1], sql)
+
+
 #: Value at the right end, at an interior extremum (or NULL), and the largest magnitude of a piece.
 END = "(a * h * h + b * h + c)"
 VERTEX = "(CASE WHEN a <> 0 AND -b / (2 * a) > 0 AND -b / (2 * a) < h THEN c - b * b / (4 * a) END)"

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from gridloom.functions import flux
+from gridloom.operators.quantiles import exact_quantiles
 from gridloom.operators.windows import after, before, by_cell, cumulative, envelope, moving_mean, step, tail_sweep
 from gridloom.plans import diagnostics as D
 from gridloom.plans.fits import daily, fit, hybrid, month_mean_fit, order_of_averaging, padded_fit, refit_climatology
 from gridloom.queries import base as B
 from gridloom.queries.base import ORACLES, QUERIES, SERIES, W, q4, query, r4, series
-from gridloom.sources.tables import monthly
+from gridloom.session import scratch
+from gridloom.sources.tables import monthly, read_fit, write_fit
 
 SQL_FITS = {"f7_constant": ("constant", B.CONSTANT), "f3_minmod": ("minmod", B.MINMOD), "f2_ppm": ("ppm", B.PPM), "f8_van_leer": ("van_leer", B.VAN_LEER), "f8_mc": ("mc", B.MC), "f8_superbee": ("superbee", B.SUPERBEE), "f9_parabola": ("parabola", B.PARABOLA), "f10_steffen": ("steffen", B.STEFFEN), "f14_trapezoid": ("trapezoid", B.TRAPEZOID)}
 
@@ -43,25 +45,31 @@ QUERIES["f1_pchip"] = lambda spark, root: _show(fit(series(spark, root), "pchip"
 ORACLES["f1_pchip"] = f"WITH RECURSIVE {SERIES},\n{_PCHIP}\n{SHOW}"
 for _name, _fit in {"f4_piqs": "piqs", "f5_mss": "mss", "f6_atpk": "atpk", "f11_histospline": "histospline"}.items():
     QUERIES[_name] = lambda spark, root, k=_fit: _show(fit(series(spark, root), k))
+ORACLES["f4_piqs"] = f"WITH RECURSIVE {SERIES},\n{B.PIQS}\n{SHOW}"
+ORACLES["f11_histospline"] = f"WITH RECURSIVE {SERIES},\n{B.HISTOSPLINE}\n{SHOW}"
 
 
-@query("f13_hybrid")
+@query("f13_hybrid", f"""WITH RECURSIVE {SERIES},
+{B.over(B.PIQS, 's', '_s')},
+{B.over(B.MINMOD, 's', '_l')},
+e AS (SELECT *, avg(u) OVER (PARTITION BY cell) < 0 AS falls, max(abs(u)) OVER (PARTITION BY cell ORDER BY ym ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS env FROM f_s),
+x AS (SELECT *, CASE WHEN falls THEN -greatest(c, {B.END}, coalesce({B.VERTEX}, c)) ELSE least(c, {B.END}, coalesce({B.VERTEX}, c)) END < -1e-9 * env AS wrong FROM e),
+f AS (SELECT x.cell, x.ym, x.h, CASE WHEN wrong THEN 0 ELSE x.a END AS a, CASE WHEN wrong THEN l.b ELSE x.b END AS b, CASE WHEN wrong THEN l.c ELSE x.c END AS c FROM x JOIN f_l l USING (cell, ym))
+{SHOW}""")
 def _(spark, root):
     return _show(hybrid(series(spark, root)))
 
 
-@query("f12_bounded_iterative")
+# The bound is the largest mean, so the smoothing around each record's peaks is clipped in every round.
+@query("f12_bounded_iterative", f"""WITH RECURSIVE {SERIES}, x AS (SELECT cell, ym, u, max(u) OVER (PARTITION BY cell) AS top FROM s),
+it(k, cell, ym, p, y) AS (SELECT 0, cell, ym, p.p, u FROM x, range(30) p(p)
+  UNION ALL SELECT k + 1, cell, ym, p, least(top, sm + (u - avg(sm) OVER (PARTITION BY cell, ym)))
+  FROM (SELECT k, cell, ym, p, CASE WHEN lag(y) OVER w IS NULL THEN (y + lead(y) OVER w) / 2 WHEN lead(y) OVER w IS NULL THEN (lag(y) OVER w + y) / 2 ELSE (lag(y) OVER w + y + lead(y) OVER w) / 3 END AS sm FROM it WHERE k < 100 WINDOW w AS (PARTITION BY cell ORDER BY ym, p)) JOIN x USING (cell, ym))
+SELECT cell, ym, {q4('max(y) FILTER (p = 0)')} AS first, {q4('max(y) FILTER (p = 29)')} AS last, {q4('avg(y)')} AS mean, {q4('max(y)')} AS top FROM it WHERE k = 100 GROUP BY 1, 2""")
 def _(spark, root):
-    from gridloom.plans.kernels import bounded_iterative
+    from gridloom.plans.kernels import bounded
 
-    import pandas as pd
-
-    def smooth(pdf):
-        pdf = pdf.sort_values("ym")
-        y = bounded_iterative(pdf["u"].to_numpy())
-        return pd.DataFrame({"cell": pdf["cell"], "ym": pdf["ym"], "first": y[:, 0], "last": y[:, -1], "mean": y.mean(1)})
-
-    return series(spark, root).select("cell", "ym", "u").groupBy("cell").applyInPandas(smooth, "cell int, ym int, first double, last double, mean double").select("cell", "ym", *(r4(x).alias(x) for x in ("first", "last", "mean")))
+    return bounded(series(spark, root)).select("cell", "ym", *(r4(x).alias(x) for x in ("first", "last", "mean", "top")))
 
 
 @query("f15_padded_fit", f"""WITH {SERIES}, b0 AS (SELECT min(ym) AS lo, max(ym) AS hi FROM s), c0 AS (SELECT cell, ym % 12 AS month, avg(u) AS u FROM s GROUP BY 1, 2),
@@ -81,13 +89,23 @@ def _(spark, root):
     return order_of_averaging(fine, "minmod", "grp").select("grp", "ym", r4("c_fit_first").alias("fit_first"), r4("c_mean_first").alias("mean_first"))
 
 
-@query("f17_climatology_refit")
+@query("f17_climatology_refit", f"""WITH RECURSIVE {SERIES}, c0 AS (SELECT cell, ym % 12 AS month, avg(u) AS u FROM s GROUP BY 1, 2),
+s2 AS (SELECT cell, p.ym::INT AS ym, u, (d - DATE '1970-01-01')::DOUBLE AS t0, day(last_day(d))::DOUBLE AS h FROM (SELECT ym, make_date((ym // 12)::INT, (ym % 12 + 1)::INT, 1) AS d FROM range(2001 * 12, 2006 * 12) r(ym)) p JOIN c0 ON c0.month = p.ym % 12),
+{B.over(_PCHIP, 's2', '_2')}
+{SHOW.replace(' FROM f', ' FROM f_2')}""")
 def _(spark, root):
     from gridloom.operators.series import month_mean
 
     return _show(refit_climatology(month_mean(series(spark, root).select("cell", "ym", "u")), 2001 * 12, 2005 * 12 + 11))
 
 
+@query("s9_stored_fit", f"WITH {SERIES},\n{B.PPM}\n{SHOW} WHERE ym BETWEEN 1994 * 12 + 5 AND 1996 * 12 + 2")
+def _(spark, root):
+    path = scratch(spark, "fit")
+    write_fit(fit(series(spark, root), "ppm"), path)
+    return _show(read_fit(spark, path, 1994 * 12 + 5, 1996 * 12 + 2))
+
+
 @query("a36_month_mean_fit", f"WITH {SERIES}, {B.PPM} SELECT cell, ym % 12 AS month, {q4('avg(a)', 6)} AS a, {q4('avg(b)')} AS b, {q4('avg(c)')} AS c FROM f GROUP BY 1, 2")
 def _(spark, root):
     return month_mean_fit(fit(series(spark, root), "ppm")).select("cell", "month", r4("a", 6).alias("a"), r4("b").alias("b"), r4("c").alias("c"))
@@ -170,8 +188,17 @@ def _(spark, root):
     return D.joints(fit(series(spark, root), "ppm")).select("cell", "ym", r4("jump").alias("jump"), r4("slope_jump").alias("slope_jump"), r4("curvature").alias("curvature"), "turns")
 
 
-for _k, _expected in {"minmod": None, "ppm": None, "pchip": None}.items():
+def _at(f: str, share: float) -> str:
+    return f"({f}.a * {share} * o.h * {share} * o.h + {f}.b * {share} * o.h + {f}.c)"
+
+
+for _k, _sql in {"minmod": B.MINMOD, "ppm": B.PPM, "pchip": _PCHIP}.items():
     QUERIES[f"d4_footprint_{_k}"] = lambda spark, root, k=_k: D.footprint(series(spark, root), k).select("cell", F.col("months").cast("int").alias("months"))
+    ORACLES[f"d4_footprint_{_k}"] = f"""WITH RECURSIVE {SERIES}, s2 AS (SELECT * REPLACE (CASE WHEN lead(ym) OVER w IS NULL THEN u * 1.10 ELSE u END AS u) FROM s {W}),
+{B.over(_sql, 's', '_o')},
+{B.over(_sql, 's2', '_n')},
+x AS (SELECT cell, max(abs(u)) AS scale, max(ym) AS last FROM s GROUP BY 1)
+SELECT cell, coalesce(max(last - ym) FILTER (greatest({', '.join(f"abs({_at('n', p)} - {_at('o', p)})" for p in (0.0, 0.5, 1.0))}) > 0.01 * scale), 0)::INT AS months FROM f_o o JOIN f_n n USING (cell, ym) JOIN x USING (cell) GROUP BY 1"""
 
 
 @query("d5_residual", f"WITH {SERIES}, {B.PPM}, x AS (SELECT cell, abs(a * h * h / 3 + b * h / 2 + c - u) / abs(u) AS rel, lead(ym) OVER w IS NULL AS tail FROM f {W}) SELECT cell, max(rel) < 1e-9 AS preserved, count(*) AS pieces FROM x WHERE NOT tail GROUP BY 1")
@@ -237,28 +264,45 @@ def _(spark, root):
 def _(spark, root):
     j = D.joints(fit(series(spark, root), "minmod"))
     rel = F.col("jump") / F.col("env")
-    return j.agg(r4(F.percentile(rel, 0.5)).alias("p50"), r4(F.percentile(rel, 0.95)).alias("p95"), r4(F.sum(F.abs("b") * F.col("h")) / F.sum(F.abs("u"))).alias("l1"))
+    total = j.agg((F.sum(F.abs("b") * F.col("h")) / F.sum(F.abs("u"))).alias("l1"))
+    out = exact_quantiles(j, rel, {"p50": 0.5, "p95": 0.95}).crossJoin(F.broadcast(total))  # one row each
+    return out.select(*(r4(c).alias(c) for c in ("p50", "p95", "l1")))
 
 
-@query("d10_bootstrap")
+@query("d10_bootstrap", f"WITH {B.MONTHLY}, {B.bootstrap('m', 'cell')}")
 def _(spark, root):
     out = D.poisson_bootstrap(monthly(spark, root), "u", "cell")
     return out.select(*(r4(c, 2).alias(c) for c in out.columns))
 
 
-@query("d11_spectrum")
+@query("d11_spectrum", f"""WITH {SERIES}, x AS (SELECT cell, u - avg(u) OVER (PARTITION BY cell) AS x, row_number() OVER w - 1 AS j, count(*) OVER (PARTITION BY cell) AS n FROM s {W}),
+p AS (SELECT cell, n, k.k, sum(x * cos(2 * pi() * k.k * j / n)) AS re, sum(x * sin(2 * pi() * k.k * j / n)) AS im FROM x JOIN range(10000) k(k) ON k.k <= n // 2 GROUP BY 1, 2, 3)
+SELECT cell, {q4('k::DOUBLE / n')} AS frequency, {q4('(re * re + im * im) / n', 0)} AS power FROM p""")
 def _(spark, root):
     return D.spectrum(series(spark, root), "u").select("cell", r4("frequency").alias("frequency"), r4("power", 0).alias("power"))
 
 
 @query("d24_kriging_coherence")
 def _(spark, root):
-    f = fit(series(spark, root), "atpk")
+    x = series(spark, root)
+    f = fit(x, "atpk")
     rel = F.abs(flux.piece_mean(*(F.col(x) for x in "abch")) - F.col("u")) / F.abs("u")
-    return f.groupBy("cell").agg((F.max(rel) < 1e-9).alias("coherent"), (F.min("var") >= 0).alias("variance_ok"), F.count_if(flux.piece_min(*(F.col(x) for x in "abch")) < -1e-9).alias("wrong_sign"))
+    own = f.groupBy("cell").agg((F.max(rel) < 1e-9).alias("coherent"), (F.min("var") >= 0).alias("variance_ok"), F.count_if(flux.piece_min(*(F.col(x) for x in "abch")) < -1e-9).alias("wrong_sign"))
+    return own.join(D.kriging_against(f, fit(x, "pchip")), "cell").select("cell", "coherent", "variance_ok", "wrong_sign", r4("rms").alias("rms"), r4("band").alias("band"))
+
+
+@query("d22_binomial", f"""WITH {SERIES}, x AS (SELECT cell, count(*) FILTER (d > 0) AS k, count(*) AS n FROM (SELECT cell, u - lag(u) OVER w AS d FROM s {W}) WHERE d IS NOT NULL GROUP BY 1),
+p AS (SELECT cell, n, k, i.i, exp(lgamma(n + 1) - lgamma(i.i + 1) - lgamma(n - i.i + 1) + n * ln(0.5)) AS p, exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + n * ln(0.5)) AS own FROM x JOIN range(1000) i(i) ON i.i <= n)
+SELECT cell, any_value(k) AS rises, any_value(n) AS steps, {q4('least(sum(p) FILTER (p <= own * (1 + 1e-9)), 1)')} AS p FROM p GROUP BY 1""")
+def _(spark, root):
+    steps = series(spark, root).withColumn("d", step(F.col("u"), by_cell())).filter("d IS NOT NULL")
+    x = steps.groupBy("cell").agg(F.count_if(F.col("d") > 0).alias("rises"), F.count("*").alias("steps"))
+    return x.select("cell", "rises", "steps", r4(D.binomial(F.col("rises"), F.col("steps"))).alias("p"))
 
 
-@query("p16_monthly_sd")
+@query("p16_monthly_sd", f"SELECT l_suppkey::INT AS cell, (year(l_shipdate) * 12 + month(l_shipdate) - 1)::INT AS ym, {q4('sqrt(var_samp(l_extendedprice) + var_samp(l_quantity)) / 12')} AS sd FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def _(spark, root):
-    f = fit(series(spark, root), "atpk")
-    return f.select("cell", "ym", r4(flux.monthly_sd(F.col("var"), F.col("var"))).alias("sd"))
+    from gridloom.functions.calendar import ym
+
+    x = B.read(spark, root, "lineitem").groupBy(F.col("l_suppkey").cast("int").alias("cell"), ym(F.col("l_shipdate")).cast("int").alias("ym")).agg(F.var_samp("l_extendedprice").alias("x"), F.var_samp("l_quantity").alias("y"), F.count("*").alias("n"))
+    return x.filter("n > 1").select("cell", "ym", r4(flux.monthly_sd(F.col("x"), F.col("y"))).alias("sd"))

@@ -1,5 +1,7 @@
 """Invariants of the fits, and the window forms against plain numpy ones."""
 
+import itertools
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -7,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from gridloom.operators.series import with_knots
 from gridloom.plans import kernels, window_fits
 from gridloom.plans.fits import fit, hybrid, month_mean_fit, padded_fit
-from gridloom.plans.diagnostics import footprint, overshoot
+from gridloom.plans.diagnostics import footprint, kriging_against, overshoot, range_sweep
 
 H = np.array([31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31], float)
 
@@ -21,7 +23,7 @@ def series(spark, rows):
 
 
 @pytest.mark.parametrize("name", list(kernels.KERNELS))
-@pytest.mark.parametrize("h,u", [(np.ones(5), [1, 4, 2, 8, 3]), (np.array([1.0, 2, 1, 3]), [2, 5, 1, 6]), (np.ones(5), [-0.1, -5, -0.2, -8, -0.1]), (np.array([1.0, 2, 1, 3, 2]), [6, 3, 6, 2, 5])])
+@pytest.mark.parametrize("h,u", [(np.ones(6), [7, 2.5, 9, 0.5, 4, 4]), (np.array([2.0, 0.5, 3, 1.5]), [3, 11, 2, 7]), (np.full(5, 2.0), [-4, -0.3, -6, -0.2, -9]), (np.array([1.0, 2, 1, 3, 2]), [6, 3, 6, 2, 5])])
 def test_kernels_keep_means(name, h, u):
     u = np.array(u, float)
     assert np.allclose(mean(h, *kernels.KERNELS[name](h, u)), u, atol=1e-9)
@@ -143,3 +145,90 @@ def test_unknown_fit_is_refused(spark):
 def test_window_fits_run_no_python(spark):
     plan = fit(series(spark, {1: [1, 2, 3]}), "ppm")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def rough(h, u, m):
+    """Integral of the squared slope of a fit with knot values m, by quadrature."""
+    a, b, _ = kernels._of_slopes(h, u, m)
+    s = (np.arange(400) + 0.5)[:, None] / 400 * h
+    return (((2 * a * s + b) ** 2).mean(0) * h).sum()
+
+
+def test_smoothest_fit_is_the_smoothest():
+    """Against every set of constraints that could bind, solved one by one."""
+    for u in ([4.0, 0.2, 3.0], [0.1, 5.0, 0.3], [2.0, 2.5, 2.0]):
+        u, h = np.array(u), np.array([1.0, 1.5, 0.8])
+        n = len(u) + 1
+        unit = np.eye(n)
+        base = rough(h, u, np.zeros(n))
+        line = np.array([(rough(h, u, e) - rough(h, u, -e)) / 2 for e in unit])
+        quad = np.array([[(rough(h, 0 * u, e + f) - rough(h, 0 * u, e - f)) / 4 for f in unit] for e in unit])
+        at = (np.arange(8) + 0.5) / 8
+
+        def values(m):
+            a, b, c = kernels._of_slopes(h, u, m)
+            s = at[:, None] * h
+            return np.concatenate([(a * s * s + b * s + c).ravel(), m[[0, -1]]])
+
+        zero = values(np.zeros(n))
+        rows = np.array([values(e) - zero for e in unit]).T
+        best = np.inf
+        for k in range(4):
+            for own in itertools.combinations(range(len(rows)), k):
+                own = list(own)
+                system = np.block([[2 * quad, -rows[own].T], [rows[own], np.zeros((k, k))]])
+                m = np.linalg.lstsq(system, np.concatenate([-line, -zero[own]]), rcond=None)[0][:n]
+                if (rows @ m + zero > -1e-9).all():
+                    best = min(best, base + line @ m + m @ quad @ m)
+        a, b, c = kernels.mss(h, u)
+        got = rough(h, u, np.append(c, a[-1] * h[-1] ** 2 + b[-1] * h[-1] + c[-1]))
+        assert got == pytest.approx(best, rel=1e-5)
+
+
+def test_kriging_against_a_dense_solution():
+    """Each month's points from its window's system, then a quadratic by least squares under its mean."""
+    rng = np.random.default_rng(11)
+    n, per = 20, 6
+    u, h = rng.uniform(5, 9, n), np.resize(H, n)
+    a, b, c, var = kernels.kriged(h, u, positive=False)
+    for k in (0, 3, 10, 19):
+        window = range(max(0, k - 6), min(n, k + 7))
+        t = np.array([m + (i + 0.5) / per for m in window for i in range(per)])
+        cov = np.exp(-np.abs(t[:, None] - t) / 1.5) + 1e-3 * np.eye(len(t))
+        block = lambda x: np.array([x[j : j + per].mean(0) for j in range(0, len(t), per)])
+        areas = block(block(cov).T)
+        z, variance = [], []
+        for i in range(per):
+            p = list(window).index(k) * per + i
+            system = np.block([[areas, np.ones((len(window), 1))], [np.ones((1, len(window))), np.zeros((1, 1))]])
+            right = np.append(block(cov[:, p]), 1)
+            weights = np.linalg.solve(system, right)
+            z.append(weights[:-1] @ u[list(window)])
+            variance.append(max(1 + 1e-3 - weights @ right, 0))
+        z = np.array(z) + u[k] - np.mean(z)
+        s = (np.arange(per) + 0.5) / per
+        x = np.stack([s * s, s, np.ones(per)], 1)
+        own = np.array([1 / 3, 1 / 2, 1])
+        beta = np.linalg.solve(np.block([[x.T @ x, own[:, None]], [own[None], np.zeros((1, 1))]]), np.append(x.T @ z, u[k]))[:3]
+        assert np.allclose([a[k] * h[k] ** 2, b[k] * h[k], c[k]], beta) and var[k] == pytest.approx(u.var(ddof=1) * np.mean(variance))
+
+
+def test_range_sweep_and_distance_of_fits(spark):
+    rows = {k: np.random.default_rng(k).uniform(1, 9, 24 + k) for k in range(3)}
+    df = series(spark, rows)
+    got = {r["range"]: (r["variance"], r["roughness"]) for r in range_sweep(df, (1.0, 3.0)).collect()}
+    h = {r["ym"]: r["h"] for r in df.select("ym", "h").distinct().collect()}
+    for reach in (1.0, 3.0):
+        each = []
+        for u in rows.values():
+            own = np.array([h[24000 + k] for k in range(len(u))])
+            a, _, _, var = kernels.kriged(own, u, kernels.all_kriging_weights(len(u), range_=reach))
+            each.append((var.mean(), np.abs(2 * a * own**2).mean()))
+        assert got[reach] == pytest.approx(tuple(np.mean(each, 0)))
+    fits = fit(df, "atpk"), fit(df, "pchip")
+    d = {r["cell"]: r for r in kriging_against(*fits).collect()}
+    mid = [f.toPandas().assign(v=lambda x: x.a * x.h**2 / 4 + x.b * x.h / 2 + x.c).set_index(["cell", "ym"]) for f in fits]
+    for cell, u in rows.items():
+        off = mid[0].v.loc[cell] - mid[1].v.loc[cell]
+        assert d[cell]["rms"] == pytest.approx(np.sqrt((off**2).mean()) / np.abs(u).max())
+        assert d[cell]["band"] == pytest.approx((2 * np.sqrt(mid[0].loc[cell]["var"])).mean() / np.abs(u).max())
