@@ -47,6 +47,19 @@ def parse_month(text: str) -> int:
     return int(m[1]) * 12 + int(m[2]) - 1
 
 
+def month_of(text: Column) -> Column:
+    """'YYYY-MM' or 'YYYYMM' to a month number; NULL for anything else."""
+    part = lambda k: F.try_to_number(F.regexp_extract(F.trim(text), r"^(\d{4})-?(0[1-9]|1[0-2])$", k), F.lit("9999"))
+    return (part(1) * 12 + part(2) - 1).cast("int")
+
+
+def chosen_months(df: DataFrame, listed: str | None, ym_col: str = "ym") -> DataFrame:
+    """Rows of the months in a comma-separated list; all where there is none. A list that names no month is refused."""
+    if listed is None or not listed.strip():
+        return df
+    return df.filter(F.col(ym_col).isin([parse_month(x) for x in listed.split(",")]))
+
+
 def month_axis(df: DataFrame, ym_col: str = "ym") -> DataFrame:
     """All months from the first to the last that ``df`` has."""
     return df.agg(F.min(ym_col).alias("lo"), F.max(ym_col).alias("hi")).filter("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias(ym_col))

@@ -92,6 +92,14 @@ def mean_gate(hourly: DataFrame, value: str, mean: str, tolerance: float = 1e-12
     return g.select("cell", "ym", F.abs(F.col("mean") - F.col("wanted")).alias("error"), (F.abs(F.col("mean") - F.col("wanted")) <= tolerance * F.col("scale")).alias("ok"))
 
 
+def gated(hourly: DataFrame, value: str, mean: str, tolerance: float = 1e-12) -> DataFrame:
+    """``hourly`` itself, or an error once it is computed: no month may miss the mean it was given."""
+    month = W.partitionBy("cell", "ym")
+    error, scale = F.abs(F.avg(value).over(month) - F.col(mean)), F.max(F.abs(value)).over(month)
+    refuse = F.raise_error(F.format_string("month %d of cell %s misses its mean", F.col("ym"), F.col("cell").cast("string")))
+    return hourly.withColumn(value, F.when(error > tolerance * scale, refuse.cast("double")).otherwise(F.col(value)))
+
+
 def sign_flips(hourly: DataFrame, value: str, sign: int) -> DataFrame:
     """Cells with any hour of the wrong sign, and such hours, with denominators; by month."""
     wrong = F.col(value) * sign < 0

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gridloom.functions import calendar, flux, grid
 from gridloom.operators import series as S, windows
+from gridloom.operators.quantiles import exact_quantiles
 from gridloom.plans import budget, diagnostics as D, diurnal
 from gridloom.plans.fits import fit
 from gridloom.queries import base as B
 from gridloom.queries.base import HOURLY, MONTHLY, REGIONAL, SERIES, W, q4, query, r4, read, series
 from gridloom.schema import RADIUS_BUDGET
-from gridloom.sources.tables import hourly, monthly, regional
+from gridloom.session import scratch
+from gridloom.sources.tables import hourly, monthly, regional, signs, write_flux
 
 # 2.2 projections
 @query("p_flux_channels", f"WITH {MONTHLY} SELECT cell, ym, {q4('v * 1e3')} AS grams, {q4('-2 * v')} AS gpp, {q4('u + v')} AS rtot, {q4('u - v')} AS nee, {q4('u - v + 1.5 + 2.5')} AS nbe, {q4('u / 12')} AS mol, {q4('u * 12.011')} AS gc FROM m")
@@ -238,7 +241,8 @@ def _(spark, root):
 
 @query("a15_percentiles", f"SELECT l_returnflag, {q4('quantile_cont(l_extendedprice, 0.5)')} AS p50, {q4('quantile_cont(l_extendedprice, 0.95)')} AS p95, {q4('quantile_cont(l_extendedprice, 0.99)')} AS p99 FROM lineitem GROUP BY 1")
 def _(spark, root):
-    return read(spark, root, "lineitem").groupBy("l_returnflag").agg(*(r4(F.percentile("l_extendedprice", p)).alias(f"p{round(100 * p)}") for p in (0.5, 0.95, 0.99)))
+    out = exact_quantiles(read(spark, root, "lineitem"), "l_extendedprice", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, ("l_returnflag",), few=True)
+    return out.select("l_returnflag", *(r4(p).alias(p) for p in ("p50", "p95", "p99")))
 
 
 @query("a16_weighted_quantile", "WITH x AS (SELECT l_returnflag, l_quantity AS q, sum(l_linenumber) AS w FROM lineitem GROUP BY 1, 2), y AS (SELECT *, sum(w) OVER (PARTITION BY l_returnflag ORDER BY q) AS c, sum(w) OVER (PARTITION BY l_returnflag) AS t FROM x) SELECT l_returnflag, min(q) AS l_quantity FROM y WHERE c >= 0.5 * t GROUP BY 1")
@@ -296,7 +300,7 @@ def _(spark, root):
 @query("a26_residual_cutoff", f"WITH {SERIES}, x AS (SELECT cell, abs(u - avg(u) OVER (PARTITION BY cell)) AS rel FROM s), c AS (SELECT quantile_cont(rel, 0.99) AS p FROM x) SELECT cell % 10 AS band, count(*) FILTER (rel > (SELECT p FROM c)) AS n FROM x GROUP BY 1")
 def _(spark, root):
     x = series(spark, root).select("cell", F.abs(windows.group_anomaly(F.col("u"), "cell")).alias("rel"))
-    cut = x.agg(F.percentile("rel", 0.99).alias("p"))
+    cut = exact_quantiles(x, "rel", {"p": 0.99})
     return x.crossJoin(F.broadcast(cut)).groupBy((F.col("cell") % 10).alias("band")).agg(F.count_if(F.col("rel") > F.col("p")).alias("n"))  # one row
 
 
@@ -379,13 +383,23 @@ def _(spark, root):
     return out
 
 
-@query("o9_seeded_sample")
+_ORDER = "md5('42:' || doc_id), doc_id"
+
+
+@query("o9_seeded_sample", f"SELECT doc_id FROM documents ORDER BY {_ORDER} LIMIT (SELECT least(30, greatest(1, floor(count(*) * 0.01)))::BIGINT FROM documents)")
 def _(spark, root):
     from gridloom.plans.lineage import seeded_sample
 
     return seeded_sample(read(spark, root, "documents").select("doc_id"), "doc_id", 0.01, 1, 30)
 
 
+@query("o9_stratified_sample", f"SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY {_ORDER}) <= 7")
+def _(spark, root):
+    from gridloom.plans.lineage import stratified_sample
+
+    return stratified_sample(read(spark, root, "documents").select("source", "doc_id"), "doc_id", "source", 7)
+
+
 # 2.10 diurnal
 _DIURNAL = f"""WITH {HOURLY}, x AS (SELECT cell, (year(ts) * 12 + month(ts) - 1)::INT AS ym, ts, CASE WHEN hour(ts) < 6 THEN 0 ELSE value END AS ssrd, value + 250 AS t2m FROM e),
 mn AS (SELECT cell, ym, -avg(ssrd) AS gpp_mn, avg(t2m) / 10 AS resp_mn FROM x GROUP BY 1, 2),
@@ -408,6 +422,70 @@ def _(spark, root):
     return _diurnal(spark, root).select("cell", "ts", r4("gpp").alias("gpp"), r4("resp").alias("resp"), r4("nee").alias("nee"))
 
 
+@query("h3_mean_gate", f"SELECT cell, ym, n, {q4('resp_mn')} AS resp_mn, true AS ok FROM (WITH {_DIURNAL[5:].rsplit('SELECT', 1)[0]} SELECT cell, ym, count(*) AS n, any_value(resp_mn) AS resp_mn FROM t GROUP BY 1, 2)")
+def _(spark, root):
+    # Each month's respiration is shifted to its mean, so that the gate lets it pass.
+    month = Window.partitionBy("cell", "ym")
+    h = _diurnal(spark, root).withColumn("kept", F.col("resp") - F.avg("resp").over(month) + F.col("resp_mn"))
+    gate = diurnal.mean_gate(diurnal.gated(h, "kept", "resp_mn"), "kept", "resp_mn")
+    n = h.groupBy("cell", "ym").agg(F.count("*").alias("n"), F.first("resp_mn").alias("resp_mn"))
+    return gate.join(n, ["cell", "ym"]).select("cell", "ym", "n", r4("resp_mn").alias("resp_mn"), "ok")
+
+
+_RESPONSE = {"q10": lambda t: f"pow(1.5, ({t} - 273.15) / 10)", "lt": lambda t: f"exp(-308.56 / (greatest({t}, 227.23) - 227.13))"}
+_TEMPERATURE = {"air": "(value + 250)", "soil": "(value / 2 + 265)"}
+
+
+@query("h4_responses", " UNION ALL ".join(f"(WITH {HOURLY} SELECT '{d}' AS driver, '{k}' AS function, cell, {q4(f'avg({f(t)})', 9)} AS factor FROM e GROUP BY cell)" for d, t in _TEMPERATURE.items() for k, f in _RESPONSE.items()))
+def _(spark, root):
+    e = hourly(spark, root).select("cell", (F.col("value") + 250).alias("t2m"), (F.col("value") / 2 + 265).alias("stl1"))
+    each = [e.groupBy("cell").agg(r4(F.avg(diurnal.response(d, k)), 9).alias("factor")).select(F.lit(d).alias("driver"), F.lit(k).alias("function"), "cell", "factor") for d in diurnal.DRIVERS for k in diurnal.RESPONSES]
+    return reduce(DataFrame.unionByName, each)
+
+
+@query("h5_chosen_months", f"WITH {MONTHLY} SELECT cell, ym, {q4('u')} AS u FROM m WHERE ym IN (1995 * 12 + 2, 1996 * 12 + 10)")
+def _(spark, root):
+    return calendar.chosen_months(monthly(spark, root), "1995-03, 199611").select("cell", "ym", r4("u").alias("u"))
+
+
+@query("h9_parity", "WITH l AS (SELECT column_name AS c, column_type AS t FROM (DESCRIBE orders)), r AS (SELECT replace(column_name, 'l_', 'o_') AS c, column_type AS t FROM (DESCRIBE lineitem)) SELECT coalesce(l.c, r.c) AS name, CASE WHEN r.c IS NULL THEN 'left only' WHEN l.c IS NULL THEN 'right only' ELSE 'type' END AS what FROM l FULL JOIN r ON l.c = r.c WHERE l.c IS NULL OR r.c IS NULL OR l.t <> r.t UNION ALL SELECT column_name, 'attributes' FROM (DESCRIBE orders) WHERE column_name = 'o_orderkey'")
+def _(spark, root):
+    from gridloom.plans.lineage import parity
+
+    l_ = read(spark, root, "lineitem")
+    right = l_.select(*(F.col(c).alias(c.replace("l_", "o_"), metadata={"units": "1"} if c == "l_orderkey" else {}) for c in l_.columns))
+    return spark.createDataFrame(parity(read(spark, root, "orders"), right), "name string, what string")
+
+
+@query("h10_round_trip", f"WITH e AS ({_DIURNAL.replace(q4('gpp'), 'gpp').replace(q4('resp'), 'resp').replace(q4('gpp + resp'), 'gpp + resp')}), h AS (SELECT cell, (year(ts) * 12 + month(ts) - 1)::INT AS ym, avg(gpp) AS gpp FROM e GROUP BY 1, 2), x AS (SELECT event_type AS cell, (year(ts) * 12 + month(ts) - 1)::INT AS ym, avg(CASE WHEN hour(ts) < 6 THEN 0 ELSE value END) AS v FROM (SELECT event_type, date_trunc('hour', ts) AS ts, avg(value) AS value FROM events GROUP BY 1, 2) GROUP BY 1, 2) SELECT h.cell, {q4('max(abs(h.gpp + v) / v)', 6)} AS worst, {q4('avg(h.gpp / -v)', 6)} AS ratio FROM h JOIN x USING (cell, ym) GROUP BY 1")
+def _(spark, root):
+    h = _diurnal(spark, root).groupBy("cell", "ym").agg(F.avg("gpp").alias("gpp"), F.first("gpp_mn").alias("given"))
+    return h.groupBy("cell").agg(r4(F.max(F.abs(F.col("gpp") - F.col("given")) / F.abs("given")), 6).alias("worst"), r4(F.avg(F.col("gpp") / F.col("given")), 6).alias("ratio"))
+
+
+@query("h12_parsed_months", "SELECT o_orderkey, (CASE WHEN o_orderkey % 3 = 2 THEN -1 ELSE year(o_orderdate) * 12 + month(o_orderdate) - 1 END)::INT AS ym FROM orders")
+def _(spark, root):
+    d = F.col("o_orderdate")
+    said = F.when(F.col("o_orderkey") % 3 == 0, F.date_format(d, "yyyy-MM")).when(F.col("o_orderkey") % 3 == 1, F.date_format(d, " yyyyMM")).otherwise(F.date_format(d, "yyyy-'13'"))
+    return read(spark, root, "orders").select("o_orderkey", F.coalesce(calendar.month_of(said), F.lit(-1)).alias("ym"))
+
+
+@query("a28_month_z", f"WITH {SERIES}, z AS (SELECT cell, ym % 12 AS month, ym, abs(u - avg(u) OVER b) / nullif(stddev_pop(u) OVER b, 0) AS z FROM s WINDOW b AS (PARTITION BY cell, ym % 12)) SELECT month, count(*) FILTER (z > 2) AS n, {q4('max(z)')} AS worst, count(z) AS total FROM z GROUP BY 1")
+def _(spark, root):
+    x = series(spark, root).withColumn("month", F.col("ym") % 12)
+    x = x.select("month", F.abs(windows.z_score(F.col("u"), "cell", "month")).alias("z"))
+    return x.groupBy("month").agg(F.count_if(F.col("z") > 2).alias("n"), r4(F.max("z")).alias("worst"), F.count("z").alias("total"))
+
+
+@query("s7_flux_round_trip", f"SELECT cell, month(ts)::INT AS month, count(*) AS n, {q4('sum(gpp)', 2)} AS gpp, {q4('sum(nee)', 2)} AS nee, 'negative: uptake by land' AS sign FROM ({_DIURNAL.replace(q4('gpp'), 'gpp').replace(q4('resp'), 'resp').replace(q4('gpp + resp'), 'gpp + resp')}) GROUP BY 1, 2")
+def _(spark, root):
+    path = scratch(spark, "flux")
+    write_flux(_diurnal(spark, root).select("cell", "ts", "gpp", "resp", "nee"), path)
+    stored = spark.read.parquet(path)
+    out = stored.groupBy("cell", (F.col("month") % 100).alias("month")).agg(F.count("*").alias("n"), r4(F.sum("gpp"), 2).alias("gpp"), r4(F.sum("nee"), 2).alias("nee"))
+    return out.withColumn("sign", F.lit(signs(stored)["gpp"]))
+
+
 @query("h2_conserved_mean", _DIURNAL.rpartition("SELECT")[0] + f"SELECT cell, ym, {q4('avg(gpp)')} AS mean, abs(avg(gpp) - any_value(gpp_mn)) <= 1e-9 * max(abs(gpp)) AS ok FROM t GROUP BY 1, 2")
 def _(spark, root):
     h = _diurnal(spark, root)
@@ -455,7 +533,7 @@ def _(spark, root):
     return x.select("year", r4("fitted", 1).alias("fitted"), (F.abs(F.col("fitted") - F.col("given")) < 1e-9 * F.col("given")).alias("same"))
 
 
-@query("d19_block_bootstrap")
+@query("d19_block_bootstrap", f"WITH {MONTHLY}, {B.bootstrap('m', 'cell // 10')}")
 def _(spark, root):
     x = monthly(spark, root).withColumn("block", F.floor(F.col("cell") / 10))
     return D.poisson_bootstrap(x, "u", "block").select(*(r4(c, 2).alias(c) for c in ("low", "median", "high")))
@@ -503,7 +581,12 @@ def _(spark, root):
     return x.groupBy("cell").agg(r4(F.avg(F.when(january, F.col("d")))).alias("january"), r4(F.avg(F.when(~january, F.col("d")))).alias("others"))
 
 
-@query("d13_refit_band")
+@query("d13_refit_band", f"""WITH tr AS (SELECT l_suppkey::INT AS cell, (year(l_shipdate) * 12 + month(l_shipdate) - 1)::INT AS ym, day(l_shipdate)::INT AS day, avg(l_extendedprice) AS v FROM lineitem GROUP BY 1, 2, 3),
+wt AS (SELECT cell, ym, v, r, {B.poisson("concat_ws(':', 42, cell, ym, day, r)")} AS w FROM tr, range(1, 21) k(r)),
+s0 AS (SELECT cell || ':' || r AS cell, ym, coalesce(sum(w * v) / nullif(sum(w), 0), avg(v)) AS u FROM wt GROUP BY cell, r, ym),
+s AS (SELECT cell, ym, u, (d - DATE '1970-01-01')::DOUBLE AS t0, day(last_day(d))::DOUBLE AS h FROM (SELECT *, make_date((ym // 12)::INT, (ym % 12 + 1)::INT, 1) AS d FROM s0)),
+{B.MINMOD}, v AS (SELECT split_part(cell, ':', 1)::INT AS cell, ym, a * h * h / 4 + b * h / 2 + c AS v FROM f)
+SELECT cell, ym, {q4('quantile_cont(v, 0.025)', 2)} AS low, {q4('quantile_cont(v, 0.975)', 2)} AS high FROM v GROUP BY 1, 2""")
 def _(spark, root):
     from gridloom.queries.fitting import _truth
 

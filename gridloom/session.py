@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -21,3 +23,16 @@ def session(app: str = "gridloom", **more: str) -> SparkSession:
     for k, v in (DEFAULTS | {k.replace("__", "."): v for k, v in more.items()}).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir; unset, a local one, on one machine
+    only). It goes when the application ends."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{named or '/tmp/checkpoints'}/{name}-{uuid.uuid4().hex}"
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path

@@ -21,6 +21,18 @@ def months_together(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+#: Layouts of stores by what their paths look like, the most particular first.
+LAYOUTS = {"partitioned": r"/year=\d{4}/month=\d{2}/", "nested": r"/\d{4}/\d{2}/[^/]+$", "yearly": r"/\d{4}/[^/]+$", "flat": r""}
+
+
+def layout(path: Column) -> Column:
+    """The name of a path's layout."""
+    out = F.lit("flat")
+    for name, pattern in reversed(LAYOUTS.items()):
+        out = F.when(path.rlike(pattern), name).otherwise(out) if pattern else out
+    return out
+
+
 def daily_path(version: Column, ts: Column, root: str = "daily") -> Column:
     return F.format_string(f"{root}/version=%s/year=%04d/month=%02d/%s.nc", version, F.year(ts), F.month(ts), F.date_format(ts, "yyyyMMdd"))
 
@@ -33,6 +45,31 @@ def meteo_path(template: str, ts: Column, variable: Column) -> Column:
     return out
 
 
+#: Which way each flux counts, kept with its column.
+SIGNS = {"gpp": "negative: uptake by land", "resp": "positive: release to air", "nee": "positive: release to air"}
+
+
+def write_flux(hourly: DataFrame, path: str) -> None:
+    """Hourly fluxes by month, each flux with its sign convention among its column's attributes."""
+    said = [F.col(c).alias(c, metadata={"sign": SIGNS[c]}) if c in SIGNS else F.col(c) for c in hourly.columns]
+    write_partitioned(hourly.select(*said, F.date_format("ts", "yyyyMM").cast("int").alias("month")), path, "month")
+
+
+def signs(df: DataFrame) -> dict[str, str]:
+    """The sign conventions that a stored table's columns carry."""
+    return {f.name: f.metadata["sign"] for f in df.schema.fields if "sign" in (f.metadata or {})}
+
+
+def write_fit(fitted: DataFrame, path: str) -> None:
+    """Coefficients by year: what a later run reads in place of fitting again."""
+    write_partitioned(fitted.withColumn("year", F.floor(F.col("ym") / 12).cast("int")), path, "year")
+
+
+def read_fit(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """Stored coefficients of the months first..last; other years' files are not opened."""
+    return spark.read.parquet(path).filter(F.col("year").between(first // 12, last // 12) & F.col("ym").between(first, last)).drop("year")
+
+
 def day_files(hourly: DataFrame, path: str) -> None:
     """Daily files of net flux alone."""
     write_partitioned(hourly.select("cell", "ts", "nee", F.to_date("ts").alias("date")), path, "date")

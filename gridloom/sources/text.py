@@ -41,6 +41,23 @@ def listing(pages: DataFrame, html: str = "html", pattern: str = r"""href="([^"/
     return pages.select(*keys, F.explode(F.array_distinct(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)))).alias("file"))
 
 
+#: A row of an index page: link, date, size with a unit.
+LISTING_ROW = r"""href="([^"/?]+)"[^>]*>[^<]*</a>\s*([0-9]{4}-[0-9]{2}-[0-9]{2})(?: [0-9:]+)?\s+([0-9.]+)([KMG]?)"""
+
+
+def listing_rows(pages: DataFrame, html: str = "html", keys: tuple[str, ...] = ()) -> DataFrame:
+    """(file, date, size in bytes) of the rows of an index page; sizes with a unit are as exact as the page."""
+    rows = pages.select(*keys, F.explode(F.regexp_extract_all(html, F.lit(LISTING_ROW), F.lit(0))).alias("_row"))
+    part = lambda k: F.regexp_extract("_row", LISTING_ROW, k)
+    unit = F.when(part(4) == "K", 1 << 10).when(part(4) == "M", 1 << 20).when(part(4) == "G", 1 << 30).otherwise(1)
+    return rows.select(*keys, part(1).alias("file"), F.to_date(part(2)).alias("date"), F.round(part(3).cast("double") * unit).cast("bigint").alias("size")).distinct()
+
+
+def append_manifest(lines: DataFrame, path: str) -> None:
+    """Add lines (one string column) to the manifest at ``path``."""
+    lines.write.mode("append").text(path)
+
+
 def log_errors(lines: DataFrame, value: str = "value", pattern: str = r"(?i)\b(error|fatal|traceback|killed)\b", skip: tuple[str, ...] = ()) -> DataFrame:
     """Lines that name an error and match nothing on the skip list."""
     out = lines.filter(F.col(value).rlike(pattern))
@@ -49,25 +66,51 @@ def log_errors(lines: DataFrame, value: str = "value", pattern: str = r"(?i)\b(e
     return out
 
 
-def tower_csv(spark: SparkSession, path: str, columns: list[str], skip: int = 2) -> DataFrame:
-    """One half-hourly tower file: ``skip`` lines before the header, -9999 for missing, rows with gaps left out."""
-    lines = spark.read.text(path).withColumn("_n", F.monotonically_increasing_id())  # a file's first split counts from 0
-    header = lines.filter(F.col("_n") == skip).first()["value"].split(",")
-    schema = ", ".join(f"`{c.strip()}` string" for c in header)
-    rows = lines.filter(F.col("_n") > skip).select(F.from_csv("value", schema, {"nullValue": "-9999"}).alias("r")).select("r.*")
-    return rows.select(*columns).dropna()
+def tower_csv(spark: SparkSession, path: str, columns: list[str], skip: int = 2, missing: str = "-9999") -> DataFrame:
+    """Half-hourly tower files: ``skip`` lines before each file's header, ``missing`` for no value, rows with gaps left out.
+
+    Each file has a header of its own; nothing is read until the result is.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_n"))
+    first = lines.filter("_start = 0").groupBy(F.col("_file").alias("_of")).agg(F.min("_n").alias("_zero"))  # the first split of a file
+    placed = lines.join(first, F.col("_file") == F.col("_of"), "left").withColumn("_at", F.when(F.col("_start") == 0, F.col("_n") - F.col("_zero")))
+    cells = F.transform(F.split("value", ",", -1), lambda x: F.trim(x))
+    header = placed.filter(F.col("_at") == skip).select(F.col("_file").alias("_h_file"), cells.alias("_names"))
+    rows = placed.filter(F.col("_at").isNull() | (F.col("_at") > skip)).join(header, F.col("_file") == F.col("_h_file")).select(cells.alias("_cells"), "_names")
+    value = lambda c: F.nullif(F.get("_cells", (F.array_position("_names", c) - 1).cast("int")), F.lit(missing))
+    return rows.select(*(F.nullif(value(c), F.lit("")).alias(c) for c in columns)).dropna()
 
 
-def parse_column(name: str) -> tuple[str, int, int, int, int] | None:
-    """(variable, quality rank, horizontal, vertical, replicate) of VAR[_PI][_F][_H_V_R]; raw before PI before filled."""
-    m = re.fullmatch(r"([A-Z][A-Z0-9]*(?:_(?!PI|F\b|\d)[A-Z]+)*)(_PI)?(_F)?(?:_(\d+)_(\d+)_(\d+))?", name)
-    if not m:
+#: VAR[_PI][_F]_H_V_R: worked up by the investigator, gap-filled, then horizontal, vertical and replicate (a number or a letter).
+TOWER_NAME = r"^([A-Z][A-Z0-9]*(?:_[A-Z0-9]*[A-Z][A-Z0-9]*)*?)(_PI)?(_F)?_(\d+)_(\d+)_(\d+|[A-Z])$"
+#: Marks of quality columns, which hold no measurement.
+TOWER_QUALITY = ("QC", "SSITC")
+
+
+def parse_column(name: str) -> tuple[str, int, int, int, str] | None:
+    """(variable, rank, horizontal, vertical, replicate) of a tower column; rank: 0 raw, 1 PI, 2 gap-filled."""
+    m = re.fullmatch(TOWER_NAME, name)
+    if not m or any(q in name for q in TOWER_QUALITY):
         return None
-    place = tuple(int(x) if x else 1 for x in m.groups()[3:])
-    return m[1], 2 if m[3] else 1 if m[2] else 0, *place
+    return m[1], 2 if m[3] else 1 if m[2] else 0, int(m[4]), int(m[5]), m[6]
 
 
-def pick_column(columns: list[str], variable: str) -> str | None:
-    """The best column of a variable: raw, then PI, then gap-filled; the shallowest first."""
-    found = [(p[1], p[3], p[2], p[4], c) for c in columns if (p := parse_column(c)) and p[0] == variable]
+def pick_column(columns: list[str], variable: str, shallowest: bool = False, filled: bool = False) -> str | None:
+    """The column of a variable: raw before PI, gap-filled only where ``filled`` allows it, the shallowest first if asked."""
+    found = [(p[3] if shallowest else 0, p[1], c) for c in columns if (p := parse_column(c)) and p[0] == variable and (filled or p[1] < 2)]
     return min(found)[-1] if found else None
+
+
+def pick_flux(columns: list[str]) -> str | None:
+    """The measured net flux: NEE, else FC; never gap-filled, which is a model."""
+    return pick_column(columns, "NEE") or pick_column(columns, "FC")
+
+
+def picked_columns(names: DataFrame, site: str, column: str, variable: str, shallowest: bool = False, filled: bool = False) -> DataFrame:
+    """(site, column) that ``pick_column`` gives for the columns of each site."""
+    part = lambda k: F.regexp_extract(column, TOWER_NAME, k)
+    rank = F.when(part(3) != "", 2).when(part(2) != "", 1).otherwise(0)
+    own = names.filter(F.col(column).rlike(TOWER_NAME) & (part(1) == variable) & ~F.col(column).rlike("|".join(TOWER_QUALITY)))
+    own = own if filled else own.filter(rank < 2)
+    order = F.struct((part(5).cast("int") if shallowest else F.lit(0)).alias("depth"), rank.alias("rank"), F.col(column).alias("name"))
+    return own.groupBy(site).agg(F.min_by(column, order).alias(column))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.plans import checks
 
 YEAR = range(24000, 24012)
-BANDS = ("global", "nh", "sh", "boreal", "polar_n")
+from gridloom.functions.grid import BANDS
 
 
 def at(lon, lat):
@@ -27,9 +27,10 @@ def fits(spark, u=lambda ym: 1.0, c=lambda ym: 1.0, channel="gpp", months=YEAR):
 
 
 def summary(spark, value, column=None, months=YEAR):
-    """value(ym) in one column or all, 1 elsewhere."""
+    """value(ym) in one column or all, 1 elsewhere; or value(ym, column) in all."""
     names = [f"{v}_{b}" for v in ("nee", "gpp", "resp") for b in BANDS]
-    return spark.createDataFrame([(ym, *(float(value(ym)) if column in (n, None) else 1.0 for n in names)) for ym in months], "ym int, " + ", ".join(f"{n} double" for n in names))
+    of = value if column is None and value.__code__.co_argcount == 2 else lambda ym, _: value(ym)
+    return spark.createDataFrame([(ym, *(float(of(ym, n)) if column in (n, None) else 1.0 for n in names)) for ym in months], "ym int, " + ", ".join(f"{n} double" for n in names))
 
 
 def hourly(spark, gpp=lambda h: 0.0, ssrd=lambda h: 0.0, nee=0.0, resp=1.0, start=dt.datetime(2000, 7, 1), hours=48, lat=10.0, lon=0.0, step=60, first=30):
@@ -61,12 +62,30 @@ month = lambda ym: ym % 12 + 1
 least_in = lambda m: lambda k, ym: (1e-6 if month(ym) == m else 0.0, 0.0)
 january = lambda ym: -9.0 if month(ym) == 1 else -1.0
 
+#: A year of each band: amplitudes, the south half a year behind; or one value for all months.
+AMPLITUDES = {"nh_mid": 5, "boreal": 3, "trop": 1, "sh_mid": 2, "polar_n": 1}
+
+
+def wave(peak=9, **amplitudes):
+    own = AMPLITUDES | amplitudes
+    return lambda ym, name: own.get(name.partition("_")[2], 1) * (1.0 if month(ym) == (peak if name.endswith("sh_mid") else 3) else 0.0)
+
+
+def pair(spark, flux):
+    return monthly(spark, flux, cells=((0, 90), (5, 95), (9, 99)))
+
+
+def south(spark, ratio):
+    return hourly(spark, nee=1.0).unionByName(hourly(spark, nee=ratio, lat=-70.5).withColumn("cell", F.lit(1)))
+
+
 FEB = dict(start=dt.datetime(2000, 2, 1), hours=29 * 24)
 SAYS = dict(flux_from_climatology="yes", prior_variant="p", climatology_baseline="2001-2020", climatology_method="m", scope_note="s", respiration_temperature_driver="airtemp", respiration_temperature_function="q10")
 years = lambda s, f: hourly(s, nee=f, hours=3, step=366 * 24 * 60)
 
-#: What each check must fail on; WARNS have no failure, only a warning, and X.budget judges nothing.
-WARNS = ("16.2", "20.2", "C1.3", "C1.6", "C5.3", "C5.6")
+#: What each check must fail on; WARNS have no failure, only a warning, and TELLS judge nothing.
+WARNS = ("7.3", "20.2", "C1.3", "C1.6", "C5.3", "C5.6")
+TELLS = ("6.2", "16.1", "16.2", "16.3", "X.budget")
 BAD = {
     "1.1": lambda s: {"monthly": monthly(s, ONE).drop("fuel")},
     "1.2": lambda s: {"fits": fits(s).drop("c")},
@@ -83,16 +102,16 @@ BAD = {
     "5.1": lambda s: {"summary": summary(s, lambda ym: 0, "gpp_global")},
     "5.1r": lambda s: {"summary": summary(s, lambda ym: 1e4, "resp_global")},
     "5.2": lambda s: {"summary": summary(s, lambda ym: -1 - 9 * (ym >= 24012), "gpp_global", range(24000, 24024))},
-    "5.3": lambda s: {"summary": summary(s, january, "gpp_nh")},
-    "6.1": lambda s: {"monthly": monthly(s, lambda k, ym: (ym % 2, 1)), "other": monthly(s, lambda k, ym: (ym % 3, 1))},
-    "6.2": lambda s: {"monthly": monthly(s, ONE), "other": monthly(s, lambda k, ym: (99 if ym in (24000, 24011) else 2, 1))},
-    "7.1": lambda s: {"monthly": monthly(s, lambda k, ym: (1e-16, 0))},
-    "7.2": lambda s: {"monthly": monthly(s, ONE, cells=(at(0.5, -70.5),))},
-    "7.3": lambda s: {"summary": summary(s, january, "gpp_boreal")},
+    "5.3": lambda s: {"summary": summary(s, wave(peak=3, trop=9), months=FIVE)},
+    "6.1": lambda s: {"monthly": pair(s, lambda k, ym: (k, 0)), "other": pair(s, lambda k, ym: (k if ym > 24000 else -k, 0))},
+    "6.2": lambda s: {"monthly": pair(s, ONE), "other": pair(s, lambda k, ym: (9 if ym > 24008 else 2, 1))},
+    "7.1": lambda s: {"hourly": hourly(s, nee=1e-9), "monthly": monthly(s, lambda k, ym: (1e-16, 0))},
+    "7.2": lambda s: {"hourly": south(s, 0.2)},
+    "7.3": lambda s: {"summary": summary(s, january, "nee_boreal")},
     "7.4": lambda s: {"summary": summary(s, lambda ym: 2, "nee_global")},
     "8.1": lambda s: {"summary": summary(s, lambda ym: ym // 12 * 50 + ym % 2, "nee_global", FIVE)},
-    "8.2": lambda s: {"summary": summary(s, lambda ym: -1 - 99 * (ym >= 24012), "gpp_global", range(24000, 24024))},
-    "8.3": lambda s: {"summary": summary(s, lambda ym: -1)},
+    "8.2": lambda s: {"summary": summary(s, lambda ym: (-1) ** (ym // 12) * 5 + 1, "nee_global", FIVE)},
+    "8.3": lambda s: {"summary": summary(s, wave(polar_n=20), months=FIVE)},
     "9.1": lambda s: {"files": files(s, ("a", "s", False, "x", "x", 1))},
     "9.2": lambda s: {"files": files(s, ("a", "s", True, "x", "y", 1))},
     "10.1": lambda s: {"attributes": attributes(s, provisional="yes")},
@@ -105,10 +124,10 @@ BAD = {
     "14.1": lambda s: {"monthly": monthly(s, lambda k, ym: (0, 1e-6), cells=(at(-60.5, -3.5),))},
     "14.2": lambda s: {"monthly": monthly(s, least_in(1), cells=(at(23.5, 60.5),))},
     "14.3": lambda s: {"monthly": monthly(s, least_in(1), cells=(at(19.5, 12.5),))},
-    "15.1": lambda s: {"summary": summary(s, lambda ym: ym // 12, "nee_global", FIVE)},
-    "15.2": lambda s: {"summary": summary(s, lambda ym: 1, "nee_global", range(24144, 24240))},
+    "15.1": lambda s: {"summary": summary(s, lambda ym: ym // 12, "nee_global", range(24000, 24120))},
+    "15.2": lambda s: {"summary": summary(s, lambda ym: 1, "nee_trop", range(24120, 24240))},
     "15.3": lambda s: {"summary": summary(s, lambda ym: ym // 12 == 2020, "nee_global", range(24228, 24264))},
-    "16.1": lambda s: {"monthly": monthly(s, lambda k, ym: ("nan", 1))},
+    "16.1": lambda s: {"monthly": monthly(s, ONE), "hourly": hourly(s, gpp=lambda h: "nan")},
     "16.2": lambda s: {"summary": summary(s, lambda ym: abs(ym // 12 - 2012), "nee_global", range(24012, 24288))},
     "16.3": lambda s: {"fits": fits(s, c=lambda ym: 1 + (ym == 24003)), "grid": monthly(s, ONE).select("cell", "lat").distinct()},
     "16.4": lambda s: {"fits": fits(s, c=lambda ym: 2), "previous": fits(s)},
@@ -175,7 +194,7 @@ def test_every_check_has_an_input_it_does_not_pass():
 @pytest.mark.parametrize("id_", sorted(BAD))
 def test_check_does_not_pass(spark, id_):
     row = checks.run(BAD[id_](spark), (id_,)).first()
-    assert row["status"] == ("INFO" if id_ == "X.budget" else "WARN" if id_ in WARNS else "FAIL"), row
+    assert row["status"] == ("INFO" if id_ in TELLS else "WARN" if id_ in WARNS else "FAIL"), row
 
 
 def status(tables, id_):
@@ -228,6 +247,40 @@ GOOD = {
 }
 
 
+GOOD |= {
+    "5.2": lambda s: {"summary": summary(s, lambda ym: -10 - (ym >= 24012), months=range(24000, 24024))},
+    "5.3": lambda s: {"summary": summary(s, wave(), months=FIVE)},
+    "6.1": lambda s: {"monthly": pair(s, lambda k, ym: (k, 0)), "other": pair(s, lambda k, ym: (2 * k, 0))},
+    "7.1": lambda s: {"hourly": hourly(s, nee=0.0), "monthly": monthly(s, lambda k, ym: (1e-16, 0))},
+    "7.2": lambda s: {"hourly": south(s, 0.005)},
+    "7.3": lambda s: {"summary": summary(s, lambda ym: -9.0 if month(ym) == 7 else -1.0, "nee_boreal")},
+    "8.1": lambda s: {"summary": summary(s, lambda ym: ym % 2, "nee_global", FIVE)},
+    "8.2": lambda s: {"summary": summary(s, lambda ym: 10 + ym // 12 % 2, "nee_global", FIVE)},
+    "8.3": lambda s: {"summary": summary(s, wave(), months=FIVE)},
+    "15.1": lambda s: {"summary": summary(s, lambda ym: 3, "nee_global", range(24000, 24120))},
+    "15.2": lambda s: {"summary": summary(s, lambda ym: 1 + (ym // 12 in (2015, 2016)), "nee_trop", range(24120, 24240))},
+    "15.3": lambda s: {"summary": summary(s, lambda ym: 1, "nee_global", range(24228, 24264))},
+}
+#: Between the two limits.
+BETWEEN = {
+    "5.2": lambda s: {"summary": summary(s, lambda ym: -10 - 1.5 * (ym >= 24012), months=range(24000, 24024))},
+    "6.1": lambda s: {"monthly": pair(s, lambda k, ym: (k + 1, 0)), "other": pair(s, lambda k, ym: ((1.0, 2.0, 2.1)[k], 0))},
+    "7.2": lambda s: {"hourly": south(s, 0.05)},
+    "8.1": lambda s: {"summary": summary(s, lambda ym: ym % 12 * 1.0 if month(ym) < 12 else 2.0, "nee_global", FIVE)},
+    "8.2": lambda s: {"summary": summary(s, lambda ym: 1 + 1.6 * (ym // 12 % 2), "nee_global", FIVE)},
+    "8.3": lambda s: {"summary": summary(s, wave(polar_n=2), months=FIVE)},
+    "15.1": lambda s: {"summary": summary(s, lambda ym: (ym // 12) / 48, "nee_global", range(24000, 24120))},
+    "15.2": lambda s: {"summary": summary(s, lambda ym: 1 + 0.005 * (ym // 12 in (2015, 2016)), "nee_trop", range(24120, 24240))},
+    "15.3": lambda s: {"summary": summary(s, lambda ym: (ym // 12 == 2020) / 16, "nee_global", range(24228, 24264))},
+}
+
+
+@pytest.mark.parametrize("id_", sorted(BETWEEN))
+def test_check_warns(spark, id_):
+    row = checks.run(BETWEEN[id_](spark), (id_,)).first()
+    assert row["status"] == "WARN", row
+
+
 @pytest.mark.parametrize("id_", sorted(GOOD))
 def test_check_passes(spark, id_):
     row = checks.run(GOOD[id_](spark), (id_,)).first()

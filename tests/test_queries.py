@@ -25,7 +25,7 @@ def rows(df):
     return sorted(tuple(map(said, r)) for r in df[sorted(df.columns)].itertuples(index=False, name=None))
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"checks_on_series"}))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_against_sql(spark, con, name):
     got, want = QUERIES[name](spark, SMALL).toPandas(), con.sql(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
