@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm import decontaminate, exact_dedup, mixing, ngram_join, toxicity
-from gridloom.llm.session import materialize
+from gridloom.llm.session import materialize, release
 
 #: Toxicity is scored by a learned model, which SQL cannot express.
 ORACLE_SQL = None
@@ -43,8 +43,10 @@ STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("n-gram Jacca
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder and read again; what the next has read is removed."""
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(*written)
+        written = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
