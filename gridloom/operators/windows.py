@@ -84,8 +84,7 @@ def tail_sweep(df: DataFrame, key: str, order: str, value: str, most: int = 12)
     """For k = 1..most, the median of ``value`` over the last k rows of all keys."""
     tail = df.withColumn("_back", F.row_number().over(W.partitionBy(key).orderBy(F.desc(order)))).filter(F.col("_back") <= most)
     ks = F.explode(F.sequence(F.col("_back"), F.lit(most))).alias("k")
-    tail = tail.select(ks, value)
-    return tail.groupBy("k").agg(F.count("*").alias("n")).join(exact_quantiles(tail, value, {"median": 0.5}, ("k",), few=True), "k", "left")
+    return exact_quantiles(tail.select(ks, value), value, {"median": 0.5}, ("k",), few=True, also=(F.count("*").alias("n"),))
 
 
 def neighbour_pairs(df: DataFrame, value: str, keys: tuple[str, ...] = ()) -> DataFrame:

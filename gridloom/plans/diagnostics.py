@@ -38,8 +38,7 @@ def overshoot_summary(fitted: DataFrame, keys: tuple[str, ...] = ()) -> DataFram
     rest = F.max("ratio").alias("max"), share(1.0 + 1e-9).alias("over_1"), share(1.2).alias("over_12"), share(1.5).alias("over_15")
     if "cell" in keys:  # a cell's pieces are bounded by the months there are
         return ratios.groupBy(*keys).agg(*(F.percentile("ratio", p).alias(name) for name, p in probs.items()), *rest)
-    found, rest = exact_quantiles(ratios, "ratio", probs, keys), ratios.groupBy(*keys).agg(*rest)
-    return found.join(rest, list(keys)) if keys else found.crossJoin(F.broadcast(rest))  # one row each
+    return exact_quantiles(ratios, "ratio", probs, keys, also=rest)
 
 
 def joints(fitted: DataFrame) -> DataFrame:
@@ -59,11 +58,11 @@ def scores(series: DataFrame, names: tuple[str, ...]) -> DataFrame:
         one = joints(fit(series, name).select("cell", "ym", "t0", "h", "u", "a", "b", "c")).withColumn("fitter", F.lit(name))
         every = one if every is None else every.unionByName(one)
     rel = F.try_divide("jump", F.nullif(F.col("env"), F.lit(0.0)))
-    jumps = exact_quantiles(every, rel, {"jump_median": 0.5, "jump_p99": 0.99}, ("fitter",), few=True)
-    return jumps.join(every.groupBy("fitter").agg(
+    rest = (
         F.max("ratio").alias("max_overshoot"), F.avg(F.when(F.col("ratio").isNotNull(), (F.col("ratio") > 1 + 1e-9).cast("double"))).alias("share_over"),
         F.avg(F.when(rel.isNotNull(), (rel > 1e-9).cast("double"))).alias("share_discontinuous"), F.avg(F.abs(F.col("a") * F.col("h") + F.col("b"))).alias("gradient"), F.avg(F.col("turns").cast("double")).alias("share_turning"),
-    ), "fitter")
+    )
+    return exact_quantiles(every, rel, {"jump_median": 0.5, "jump_p99": 0.99}, ("fitter",), few=True, also=rest)
 
 
 def footprint(series: DataFrame, name: str, bump: float = 1.10, tolerance: float = 0.01) -> DataFrame:
@@ -84,8 +83,7 @@ def sign_violations(fitted: DataFrame, sign: int, slack: float = 1e-12) -> DataF
 
 
 def continuity(fitted: DataFrame) -> DataFrame:
-    jumps = joints(fitted)
-    return exact_quantiles(jumps, "jump", {"p99_jump": 0.99}).crossJoin(F.broadcast(jumps.agg(F.max("jump").alias("max_jump"))))  # one row each
+    return exact_quantiles(joints(fitted), "jump", {"p99_jump": 0.99}, also=(F.max("jump").alias("max_jump"),))
 
 
 def fidelity(fitted: DataFrame, truth: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -10,7 +10,7 @@ from gridloom.operators import quantiles
 from gridloom.operators.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("grid,bins", [(2_000, 4_096), (10, 3)])
+@pytest.mark.parametrize("grid,bins", [(500, 4_096), (10, 3)])
 def test_as_sorting_gives_them(spark, monkeypatch, grid, bins):
     monkeypatch.setattr(quantiles, "GRID", grid)
     monkeypatch.setattr(quantiles, "ACCURACY", grid * 10)
@@ -27,6 +27,11 @@ def test_as_sorting_gives_them(spark, monkeypatch, grid, bins):
         own = [x for k, x in rows if k == key and x is not None]
         for name, p in probs.items():
             assert got[key][name] == pytest.approx(np.quantile(own, p), rel=1e-12), (key, name)
+    more = {r["key"]: r for r in exact_quantiles(df, "x", probs, ("key",), also=(F.count("*").alias("rows"), F.max("x").alias("most"))).collect()}
+    assert {k: tuple(r)[: 1 + len(probs)] for k, r in more.items() if k in keys} == {k: tuple(r) for k, r in got.items()}
+    assert set(more) == keys | {"all null"} and more["all null"]["mid"] is None and more["all null"]["rows"] == 1 and more["ties"]["most"] == 3.0 and more["one"]["rows"] == 2
+    whole = exact_quantiles(df, "x", {"mid": 0.5}, also=(F.count("*").alias("rows"),)).collect()
+    assert len(whole) == 1 and whole[0]["rows"] == len(rows)
     alone = exact_quantiles(df.filter("key = 'wide'"), F.col("x") * 2, {"mid": 0.5}).collect()
     assert len(alone) == 1 and alone[0]["mid"] == pytest.approx(2 * np.median([x for k, x in rows if k == "wide"]))
 
