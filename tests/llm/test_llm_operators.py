@@ -489,8 +489,9 @@ def brute_contaminated(rows, items, threshold=0.5):
                 continue
             if len(item) < 5:
                 got = [(0, 0, len(item))] if any(words[j : j + len(item)] == item for j in range(len(words))) else []
-            else:
-                got = brute_tiles(item, words)
+            else:  # without five words in a row in common there is no tile
+                fives = lambda w: {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+                got = brute_tiles(item, words) if fives(item) & fives(words) else []
             matched = sum(n for *_, n in got)
             if matched >= threshold * len(item):
                 key = ("none", t) if item_id is None else item_id
