@@ -61,9 +61,19 @@ def diurnalize(hours: DataFrame, monthly: DataFrame, fit_gpp: DataFrame, fit_res
 
     clip 'conserve' spreads what dark hours lose over the month's lit hours; 'plain' only zeroes them.
     """
-    month = W.partitionBy("cell", "ym")
+    return spread(with_month(hours, monthly, fit_gpp, fit_resp), driver, function, clip, atmc, dt_origin)
+
+
+def with_month(df: DataFrame, monthly: DataFrame, fit_gpp: DataFrame, fit_resp: DataFrame) -> DataFrame:
+    """Hours, or the months that they will be made of, with the month's means and both fits."""
     co = lambda fit, p: fit.select("cell", "ym", *(F.col(x).alias(f"{p}_{x}") for x in "abc"))
-    df = hours.join(monthly, ["cell", "ym"]).join(co(fit_gpp, "g"), ["cell", "ym"]).join(co(fit_resp, "r"), ["cell", "ym"])
+    return df.join(monthly, ["cell", "ym"]).join(co(fit_gpp, "g"), ["cell", "ym"]).join(co(fit_resp, "r"), ["cell", "ym"])
+
+
+def spread(df: DataFrame, driver: str = "air", function: str = "q10", clip: str = "conserve", atmc: str | None = None, dt_origin: str = "first_slot") -> DataFrame:
+    """As ``diurnalize``, of hours that have their month's means and fits: windows only, so hours made of months that
+    were dealt by cell are not dealt again."""
+    month = W.partitionBy("cell", "ym")
     df = df.withColumn("dt", elapsed(dt_origin)).withColumn("w", response(driver, function))
     df = df.withColumn("w_mn", F.avg("w").over(month)).withColumn("ssr_mn", flux.guarded_mean(F.avg("ssrd").over(month)))
     q = lambda p: flux.evaluate(F.col(f"{p}_a"), F.col(f"{p}_b"), F.col(f"{p}_c"), F.col("dt"))

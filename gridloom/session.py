@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -36,3 +38,28 @@ def scratch(spark: SparkSession, name: str) -> str:
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
+
+
+@contextmanager
+def keeping(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives keep(df, name): writes a table to the shared folder and reads it back. Inside, shuffle files go as soon as
+    their query has ended, not when the driver collects garbage, and tables dealt alike by some of a join's keys are
+    joined as they lie; what was kept goes at the end."""
+    own, paths = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.requireAllClusterKeysForCoPartition": "false"}, []
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch(spark, name))
+        df.write.option("compression", "zstd").parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        for p in paths:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -309,3 +310,35 @@ def test_example_tables(spark):
     assert t["hourly"].select("ym").distinct().count() == 3
     results = checks.run(t, ("11.2", "12.1", "2.4", "9.2", "10.1", "3.1", "C5.4")).collect()
     assert {r["check_id"]: r["status"] for r in results} == {"11.2": results[0]["status"]} | {i: "PASS" for i in ("12.1", "2.4", "9.2", "10.1", "3.1", "C5.4")} and results[0]["detail"] != "value=0.0"
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the example tables are not there")
+def test_hours_are_not_dealt_and_nothing_is_left(spark):
+    """No shuffle carries hours, whatever two hourly tables are held against each other for; results are those of ``run``."""
+    from gridloom.queries.sources import check_tables
+    from gridloom.session import keeping
+
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    with keeping(spark) as keep:
+        t = check_tables(spark, "/root/testdata/sf0.001", keep)
+        whole = checks.digested(t, keep)
+        for tables, i in ((t, "C3.d"), (t, "C3.e"), (t, "17.2"), (whole, "C5.4"), (whole, "X.live")):
+            plan = checks.run(tables, (i,))._jdf.queryExecution().executedPlan().toString()
+            dealt = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\), ENSURE_REQUIREMENTS", plan)
+            assert not [d for d in dealt if re.search(r"\b(ts|k|d|hour)#", d)], (i, dealt)
+        ids = ("2.4", "7.1", "12.1", "12.2", "16.1", "17.1", "C3.c", "C3.d", "C3.e", "C4.0", "C5.4", "C5.5", "X.count", "X.live")
+        assert checks.run(whole, ids).select("check_id", "status").collect() == checks.run(t, ids).select("check_id", "status").collect()
+        files = whole["hourly by day"].inputFiles()
+        assert files and "ts" not in whole["hourly by day"].columns
+    assert spark.conf.get(key) == before and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
+def test_collected_is_run(spark):
+    from gridloom.session import keeping
+
+    tables = {"hourly": hourly(spark, gpp=lambda h: -1.0 * (6 <= h < 18), nee=0.5), "reference": hourly(spark, nee=1.0), "monthly": monthly(spark, ONE)}
+    with keeping(spark) as keep:
+        got = checks.collected(tables, keep)
+    want = checks.run(tables).collect()
+    assert len(want) == len(checks.REGISTRY) and sorted(got.collect()) == sorted(want)
