@@ -31,14 +31,14 @@ def dealt(records: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
 def packed(heads: np.ndarray, body: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
     """One row for each bucket of records that each have a head and ``size`` values of ``body``."""
     order = np.argsort(bucket, kind="stable")
-    start = (np.cumsum(size) - size)[order]
-    heads, bucket, size = heads[order], bucket[order], size[order]
-    out = np.cumsum(size)
-    body = body[np.repeat(start, size) + np.arange(out[-1] if len(out) else 0) - np.repeat(out - size, size)]
+    end = np.cumsum(size)[order]
+    heads, bucket, start = heads[order], bucket[order], end - size[order]
     edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, np.int64)
-    out = np.concatenate([[0], out])
+    # Stretches are joined as they lie: an index of each value would take many times the body's bytes.
+    view = memoryview(np.ascontiguousarray(body))
+    join = lambda a, b: b"".join([view[x:y] for x, y in zip(start[a:b].tolist(), end[a:b].tolist())])
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[edge[:-1]].astype(np.int32)), pa.array([heads[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()), pa.array([body[out[a] : out[b]].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
+        [pa.array(bucket[edge[:-1]].astype(np.int32), pa.int32()), pa.array([heads[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()), pa.array([join(a, b) for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
         ["bucket", "heads", "body"],
     )
 

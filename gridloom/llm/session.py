@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Used only where the session names no shared folder, as in local tests.
 LOCAL_SHARED = "/tmp/checkpoints"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.parquet.columnarReaderBatchSize": "512"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,14 +30,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
-    """Inside, shuffle files go as soon as their query has ended, not when the driver collects garbage."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+def settings(spark: SparkSession, own: dict[str, str]) -> Iterator[None]:
+    """Inside, the session has these settings as well; after it, what it had before."""
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def shuffles_cleaned(spark: SparkSession) -> AbstractContextManager[None]:
+    """Inside, shuffle files go as soon as their query has ended, not when the driver collects garbage."""
+    return settings(spark, {CLEANUP: "true"})
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Inside, what is run holds few texts at once in the JVM: a batch for Python has some 2 MB whatever the rows' length
+    (one row at least), not 10,000 rows, and a reader's batch 512 rows, not 4,096. All rows are read and sent."""
+    return settings(spark, BATCHES)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridloom.llm.anchors import Sketch, cell_bits, segments, sketch
 from gridloom.llm.exchange import packed
-from gridloom.llm.session import buckets_for, materialize, release
+from gridloom.llm.session import buckets_for, materialize, release, small_batches
 from gridloom.llm.textkit import U64, WORD_BASE, Block, blocks, covered, grams, mix, prefix, spans, word_hashes, words
 
 WINDOW = 35
@@ -38,6 +38,10 @@ HEAD = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("start", "<u4"), ("n", "<u4"), (
 #: A segment with its words; one that this task met again, so that all its windows repeat; one met before, without them.
 ONCE, AGAIN, BEFORE = 0, 1, 2
 FLUSH = 8 << 20
+#: Bytes of text that are worked on at once; numbers about them take some sixty times as much.
+BLOCK = 1 << 18
+#: Partitions of texts whose results share a file.
+PARTITIONS_PER_FILE = 16
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -133,7 +137,7 @@ def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window:
             own, body, sizes, bucket = met_before(np.concatenate(heads), np.frombuffer(b"".join(bodies), np.uint8), np.concatenate(buckets), n_buckets)
             return packed(own, body, sizes, bucket)
 
-        for block in blocks(batches):
+        for block in blocks(batches, most=BLOCK):
             starts, ends, first, text, begin, n, anchor = cut(block, window)
             use = np.flatnonzero(unsent(block, seen)[text] & known.repeated(anchor))
             if not len(use):
@@ -148,7 +152,7 @@ def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window:
             heads.append(own)
             buckets.append((anchor % U64(n_buckets)).astype(np.int64))
             view = memoryview(flat)
-            bodies += [bytes(view[a:b]) for a, b in zip(low.tolist(), high.tolist())]
+            bodies.append(b"".join([view[a:b] for a, b in zip(low.tolist(), high.tolist())]))
             size += int((high - low).sum()) + own.nbytes
             if size > FLUSH:
                 yield flush()
@@ -183,27 +187,59 @@ def repeated_windows(texts: DataFrame, found: Broadcast, n_buckets: int, window:
     return sent.groupBy("bucket").applyInArrow(group, "k1 bigint, k2 bigint, start int, end int")
 
 
+def runs_of(stretches: DataFrame) -> DataFrame:
+    """(k1, k2, start, end): the stretches of each text, with those that overlap or touch made one."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(runs: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(runs[0]), pa.array(runs[1]), pa.array(runs[2].astype(np.int32)), pa.array(runs[3].astype(np.int32))], ["k1", "k2", "start", "end"])
+
+        last = np.zeros((4, 0), np.int64)  # the run that the next batch may carry on
+        for batch in batches:
+            k1, k2, start, end = np.concatenate([last, np.stack([batch.column(k).to_numpy().astype(np.int64) for k in ("k1", "k2", "start", "end")])], axis=1)
+            if not len(k1):
+                continue
+            new = np.ones(len(k1), bool)
+            new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+            base = np.cumsum(new) << 32  # so that no text's ends reach into the next
+            reach = np.maximum.accumulate(base + end)
+            new[1:] |= base[1:] + start[1:] > reach[:-1]
+            head = np.flatnonzero(new)
+            runs = np.stack([k1[head], k2[head], start[head], (reach - base)[np.append(head[1:], len(k1)) - 1]])
+            last = runs[:, -1:]
+            yield rows(runs[:, :-1])
+        yield rows(last)
+
+    ordered = stretches.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "start")
+    return ordered.mapInArrow(merge, "k1 bigint, k2 bigint, start int, end int")
+
+
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
+    """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256. Written, so that the last pass over the texts
+    has small batches too."""
+    with small_batches(docs.sparkSession):
+        return deduped(docs, window)
+
+
+def deduped(docs: DataFrame, window: int) -> DataFrame:
     texts = keyed(docs)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         seen: set[tuple[int, int]] = set()
-        for block in blocks(batches):
+        for block in blocks(batches, most=BLOCK):
             _, _, _, text, _, _, anchor = cut(block, window)
             yield anchor[unsent(block, seen)[text]]
 
     counted = sketch(texts.select("k1", "k2", "text"), anchors, cell_bits(docs, BYTES_PER_ANCHOR))
     found = docs.sparkSession.sparkContext.broadcast(counted)
-    stretches = materialize(repeated_windows(texts, found, buckets_for(docs, 2.0, 2 << 20), window), "repeated-windows")
-    # Tasks that read copies of one text mark it alike: marks fall together before they are listed.
-    marks = stretches.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("marks"))
+    stretches = repeated_windows(texts, found, buckets_for(docs, 2.0, 2 << 20), window)
+    # Tasks that read copies of one text mark it alike, and segments of one text overlap: runs are listed, not stretches.
+    marks = runs_of(stretches).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
     copies = texts.groupBy("k1", "k2").agg(F.count("*").alias("copies")).filter("copies > 1")
     marks = materialize(marks.join(copies, ["k1", "k2"], "full_outer"), "marks")
-    release(stretches)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, most=BLOCK):
             starts, ends, first = words(block.data, block.offs)
             n = np.diff(first)
             marked = block.rows.column("marks")
@@ -216,7 +252,12 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             shas = [hashlib.sha256(kept_text(block.data, starts[a:b], ends[a:b], ~gone[a:b])).hexdigest() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
             yield pa.RecordBatch.from_arrays([block.rows.column("doc_id"), pa.array(n), pa.array(removed), pa.array(shas)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return texts.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "marks", "copies").mapInArrow(keep, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    kept = texts.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "marks", "copies").mapInArrow(keep, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    # Its rows are short: a few files, since a local file system starts a process or two for each file.
+    files = max(4, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE)
+    kept = materialize(kept.repartition(files), "kept")
+    release(marks)
+    return kept
 
 
 def kept_text(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keep: np.ndarray) -> bytes:

@@ -4,12 +4,14 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import anchors, components, decontaminate, exact_dedup, gsaca, language, lines, mixing, ngram_join, secrets, substrings, suffixes, textkit, toxicity
+from gridloom.llm import anchors, components, decontaminate, exact_dedup, exchange, gsaca, language, lines, mixing, ngram_join, secrets, substrings, suffixes, textkit, toxicity
+from gridloom.llm.session import settings
 
 #: Names that the operators use inside, as columns of the documents.
 CLASHING = ("rid", "h", "bucket", "label", "key", "doc", "k1", "k2", "n", "sig", "tok", "kind", "blob", "gridloom_row", "copies", "marks", "line", "keep", "size", "shard", "x", "grp", "toxic", "score")
@@ -190,6 +192,54 @@ def test_windows_of_one_hash_are_compared_by_their_words(monkeypatch):
     assert substrings.equal_windows(word, begin, 5).tolist() == want
 
 
+def test_substring_dedup_holds_little_at_once(spark, corpus, monkeypatch):
+    """Every pass over texts has small batches, the session has its own settings back, and the result is a few files."""
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before, held = [spark.conf.get(k) for k in names], []
+    for name in ("sketch", "materialize"):
+        f = getattr(substrings, name)
+        monkeypatch.setattr(substrings, name, lambda *a, f=f: held.append([spark.conf.get(k) for k in names]) or f(*a))
+    got = substrings.substring_dedup(docs(spark, corpus, 11))
+    assert held == [["2m", "512"]] * 3 and [spark.conf.get(k) for k in names] == before
+    assert 1 <= len(got.inputFiles()) <= 4
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute_windows(corpus, 35)))
+
+
+def test_packing_takes_little_more_than_what_is_packed():
+    rng = np.random.default_rng(3)
+    size = rng.integers(0, 800, 10_000)
+    heads, body = np.arange(len(size)), rng.integers(0, 256, size.sum()).astype(np.uint8)
+    bucket, end = rng.integers(0, 50, len(size)), np.cumsum(size)
+    tracemalloc.start()
+    try:
+        got = exchange.packed(heads, body, size, bucket)
+        assert tracemalloc.get_traced_memory()[1] < 3 * body.nbytes
+    finally:
+        tracemalloc.stop()
+    assert got.column("bucket").to_pylist() == list(range(50))
+    for b, own, raw in zip(*(got.column(k).to_pylist() for k in ("bucket", "heads", "body"))):
+        which = np.flatnonzero(bucket == b)
+        assert own == heads[which].tobytes() and raw == b"".join(body[end[i] - size[i] : end[i]].tobytes() for i in which)
+    assert exchange.packed(heads[:0], body[:0], size[:0], bucket[:0]).num_rows == 0
+
+
+@pytest.mark.parametrize("rows", ["1", "7", "10000"])
+def test_runs_of_stretches(spark, rows):
+    """Stretches that overlap or touch are one run, whatever batches they come in; no run goes from text to text."""
+    rng = random.Random(19)
+    stretches = [(k % 3 - 1, k // 3, a, a + rng.randrange(1, 12)) for k in range(9) for a in rng.choices(range(120), k=25)]
+    stretches += [(7, 7, 0, 500), (7, 7, 3, 9), (7, 7, 480, 490), (7, 7, 500, 501), (7, 8, 100, 110), *stretches[:40]]
+    want = []
+    for key in {r[:2] for r in stretches}:
+        inside = sorted({w for r in stretches if r[:2] == key for w in range(*r[2:])})
+        heads = [w for w in inside if w - 1 not in inside]
+        want += [(*key, a, b + 1) for a, b in zip(heads, [w for w in inside if w + 1 not in inside])]
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": rows}):
+        df = spark.createDataFrame(stretches, "k1 long, k2 long, start int, end int").repartition(3)
+        assert sorted(map(tuple, substrings.runs_of(df).collect())) == sorted(want)
+        assert substrings.runs_of(df.filter("k1 > 99")).count() == 0
+
+
 # exact dedup
 
 
