@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: Used only where the session names no shared folder, as in local tests.
 LOCAL_SHARED = "/tmp/checkpoints"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Blocks of ``without`` that are broadcast at most: 32 MB, or 268 million rows where all blocks are full.
+MOST_BLOCKS = 8192
 BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.parquet.columnarReaderBatchSize": "512"}
 
 
@@ -84,15 +86,41 @@ def buckets_for(df: DataFrame, factor: float, target: int = 8 << 20) -> int:
     return min((1 << 31) - 1, max(4, shuffle, int(plan_bytes(df) * factor / target)))
 
 
+def files_for(df: DataFrame, target: int = 64 << 20) -> int:
+    """Tasks that write ``df``, so that a file has some ``target`` bytes, but two for each core at least."""
+    return min((1 << 31) - 1, max(2 * df.sparkSession.sparkContext.defaultParallelism, plan_bytes(df) // target))
+
+
 def fold(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 4; 2 is the held-out part."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)), F.lit(0))
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``docs`` has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a number for each row, written so that the numbers stay whatever is computed again, and the name of
     that column, which no column of ``docs`` has."""
-    name = "gridloom_row"
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
+    name = fresh(docs, "gridloom_row")
     return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def without(rows: DataFrame, row: str, dropped: DataFrame, most_blocks: int = MOST_BLOCKS) -> DataFrame:
+    """The rows whose number ``row`` is not in ``dropped``. Bits of the dropped numbers are broadcast, 4 KB for each 32,768
+    numbers in a row that have one, so that no row of ``rows`` is shuffled; beyond ``most_blocks`` of them both sides are
+    joined by number."""
+    at, bits = fresh(rows, "gridloom_block"), fresh(rows, "gridloom_bits")
+    block, place = F.bitmap_bucket_number(row), F.bitmap_bit_position(row)
+    # Numbers are dealt by block before bits are made of them: a task that meets all blocks would send 4 KB for each.
+    marks = dropped.withColumn(at, block).repartition(at).groupBy(at).agg(F.bitmap_construct_agg(place).alias(bits))
+    marks = materialize(marks, "dropped")
+    if marks.count() > most_blocks:
+        return rows.join(dropped, row, "left_anti")
+    byte = F.conv(F.hex(F.substring(F.col(bits), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    gone = F.getbit(byte, (place % 8).cast("int")) == 1
+    return rows.withColumn(at, block).join(F.broadcast(marks), at, "left").filter(F.col(bits).isNull() | ~gone).select(*rows.columns)

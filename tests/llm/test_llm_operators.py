@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import anchors, components, decontaminate, exact_dedup, exchange, gsaca, language, lines, mixing, ngram_join, secrets, substrings, suffixes, textkit, toxicity
+from gridloom.llm import anchors, components, decontaminate, exact_dedup, exchange, gsaca, language, lines, mixing, ngram_join, secrets, session, substrings, suffixes, textkit, toxicity
 from gridloom.llm.session import settings
 
 #: Names that the operators use inside, as columns of the documents.
@@ -270,6 +270,43 @@ def test_exact_dedup_keeps_columns(spark, corpus):
     assert out.columns == df.columns and out.count() == len({x[-1] for x in brute_exact(corpus)})
 
 
+def test_exact_dedup_moves_no_text_and_holds_little(spark, corpus, monkeypatch, tmp_path):
+    """Rows come back whole without a shuffle, from few files, in one pass that has small batches; names inside do not clash."""
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before, held = [spark.conf.get(k) for k in names], []
+    for module in (exact_dedup, session):
+        f = getattr(module, "materialize")
+        monkeypatch.setattr(module, "materialize", lambda df, name, f=f: held.append((name, [spark.conf.get(k) for k in names])) or f(df, name))
+    taken = ("gridloom_row", "GRIDLOOM_CHUNKS", "gridloom_block", "gridloom_bits_")
+    rows = [*corpus, *corpus[:40]]
+    df = spark.createDataFrame([(i, t, *range(k, k + 4)) for k, (i, t) in enumerate(rows)], "doc_id long, text string, " + ", ".join(f"{c} long" for c in taken))
+    df.repartition(40).write.parquet(f"{tmp_path}/docs")
+    df = spark.read.parquet(f"{tmp_path}/docs")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.openCostInBytes": "1m", "spark.sql.files.maxPartitionBytes": "1m"}):
+        assert df.rdd.getNumPartitions() >= 40
+        out = exact_dedup.deduplicated(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Exchange hashpartitioning", "SortMergeJoin", "Python", "Arrow"))
+        got = out.collect()
+    assert held == [(name, ["2m", "512"]) for name in ("numbered", "clashing", "recipe-groups", "dropped")]
+    assert [spark.conf.get(k) for k in names] == before
+    assert 1 <= len(out.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism + 1
+    assert out.columns == df.columns and {tuple(r) for r in got} <= {tuple(r) for r in df.collect()}
+    sha = lambda t: hashlib.sha256(re.sub("[\\x20\\x09-\\x0D]+", " ", t or "").encode()).hexdigest()
+    assert sorted(str((r["doc_id"], sha(r["text"]))) for r in got) == sorted({str((keep, digest)) for _, keep, _, digest in brute_exact(rows)})
+
+
+@pytest.mark.parametrize("most_blocks", [0, 1 << 20])
+def test_rows_without_those_dropped(spark, most_blocks):
+    """By bits and, where these are too many, by a join: the same rows, at the ends of blocks and of tasks too."""
+    at = sorted({b * (1 << 15) + k for b in (0, 1, 2, 7, (1 << 18), (5 << 18) + 3) for k in range(-9, 20) if b or k >= 0})
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([*at, *at[:5]])], "n long, gridloom_bits long").repartition(3)
+    gone = [k for i, k in enumerate(at) if i % 3 == 1 or k < 4]
+    got = session.without(rows, "n", spark.createDataFrame([(k,) for k in gone], "n long"), most_blocks)
+    assert got.columns == rows.columns and sorted(r["n"] for r in got.collect()) == sorted(k for k in [*at, *at[:5]] if k not in set(gone))
+    assert sorted(map(tuple, session.without(rows, "n", rows.select("n").limit(0), most_blocks).collect())) == sorted(map(tuple, rows.collect()))
+
+
 # n-gram join
 
 
